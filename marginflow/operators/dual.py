@@ -126,16 +126,17 @@ def fallback_choice(state: DataFrame, first: DataFrame, seed: int,
 def pair_rows(state: DataFrame, cols: list[str]) -> DataFrame:
     """Rows 2k and 2k+1 side by side, columns suffixed _i / _j.
 
-    An equi-join on k = id div 2: each row takes part in exactly one pair,
-    so the result has n/2 rows and no pair is materialised twice.
+    An equi-join on k = floor(id / 2) with i < j: with unique ids each key
+    holds at most two rows, so every row takes part in exactly one pair and
+    the result has about n/2 rows.
     """
-    left = state.filter(F.col("id") % 2 == 0).select(
-        (F.col("id") / 2).cast("long").alias("k"), F.col("id").alias("i"),
-        *[F.col(c).alias(f"{c}_i") for c in cols])
-    right = state.filter(F.col("id") % 2 == 1).select(
-        ((F.col("id") - 1) / 2).cast("long").alias("k"), F.col("id").alias("j"),
-        *[F.col(c).alias(f"{c}_j") for c in cols])
-    return left.join(right, "k", "inner").drop("k")
+    key = F.floor(F.col("id") / F.lit(2)).cast("long")
+    left = state.select(key.alias("k"), F.col("id").alias("i"),
+                        *[F.col(c).alias(f"{c}_i") for c in cols])
+    right = state.select(key.alias("k"), F.col("id").alias("j"),
+                         *[F.col(c).alias(f"{c}_j") for c in cols])
+    return left.join(right, (left.k == right.k) & (left.i < right.j), "inner") \
+               .drop(left.k).drop(right.k)
 
 
 def with_kernels(pairs: DataFrame, kernel: str, gamma: float) -> DataFrame:

@@ -50,9 +50,11 @@ def scale_global(df: DataFrame, x_col: str = "x", stats: DataFrame | None = None
     ``stats`` lets a test table reuse the training range.
     """
     stats = stats if stats is not None else global_minmax(df, x_col)
-    lo = stats.select("mn").scalar()
-    hi = stats.select("mx").scalar()
-    return df.withColumn(out_col or x_col, F.transform(x_col, lambda v: _safe_scale(v, lo, hi)))
+    # scalar subqueries are bound to columns first: lambdas cannot hold them
+    bound = df.withColumn("_lo", stats.select("mn").scalar()) \
+              .withColumn("_hi", stats.select("mx").scalar())
+    return bound.withColumn(out_col or x_col, F.transform(
+        x_col, lambda v: _safe_scale(v, F.col("_lo"), F.col("_hi")))).drop("_lo", "_hi")
 
 
 def column_minmax(df: DataFrame, x_col: str, dim: int) -> DataFrame:
@@ -66,10 +68,11 @@ def scale_per_column(df: DataFrame, x_col: str, dim: int, stats: DataFrame | Non
                      out_col: str | None = None) -> DataFrame:
     """Standard per-column min-max scaling of an array column."""
     stats = stats if stats is not None else column_minmax(df, x_col, dim)
-    mins = stats.select("mins").scalar()
-    maxs = stats.select("maxs").scalar()
-    return df.withColumn(out_col or x_col, F.transform(
-        x_col, lambda v, i: _safe_scale(v, F.element_at(mins, i + 1), F.element_at(maxs, i + 1))))
+    bound = df.withColumn("_lo", stats.select("mins").scalar()) \
+              .withColumn("_hi", stats.select("maxs").scalar())
+    return bound.withColumn(out_col or x_col, F.transform(
+        x_col, lambda v, i: _safe_scale(v, F.element_at("_lo", i + 1),
+                                        F.element_at("_hi", i + 1)))).drop("_lo", "_hi")
 
 
 def scale_columns(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = None) -> DataFrame:

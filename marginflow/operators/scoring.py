@@ -156,7 +156,8 @@ def weights_array(weights: DataFrame) -> F.Column:
 def linear_score(df: DataFrame, weights: DataFrame, b: float, x_col: str = "x",
                  out_col: str = "score") -> DataFrame:
     """score = W.x - b (M1, with the inner product the reference intended)."""
-    return df.withColumn(out_col, dot(x_col, weights_array(weights)) - F.lit(float(b)))
+    bound = df.withColumn("_w", weights_array(weights))
+    return bound.withColumn(out_col, dot(x_col, "_w") - F.lit(float(b))).drop("_w")
 
 
 # --------------------------------------------------------------------------

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming operator, so none is added here.  The
+scoring path is a narrow Arrow map with the model captured in a broadcast,
+so ``KernelModel.transform`` also applies unchanged to a streaming
+DataFrame from ``spark.readStream`` (no state, no watermark needed).
+"""
