@@ -115,14 +115,24 @@ def kernel_sum(df: DataFrame, basis: DataFrame, coef_col: str, out_col: str,
     if n_chunks == 1:
         blocks = [basis]
     else:
-        key = F.pmod(F.xxhash64(F.col(basis_x_col), F.col(coef_col)), F.lit(n_chunks))
-        tagged = basis.withColumn("_chunk", key)
-        sizes = {r["_chunk"]: r["n"] for r in tagged.groupBy("_chunk").count().collect()}
-        limit = max_broadcast_bytes // ((stats.dim + 2) * 8)
-        if max(sizes.values()) > 2 * limit:
-            raise ValueError("support chunk larger than twice the broadcast budget; "
-                             "duplicate support rows? de-duplicate the basis first")
-        blocks = [tagged.filter(F.col("_chunk") == k) for k in range(n_chunks)]
+        # Too large for one broadcast.  Identical basis vectors are merged
+        # first (their coefficients add: exact for a kernel sum), then rows
+        # are hashed into chunks; the chunk count doubles until every chunk
+        # fits the budget.
+        merged = basis.groupBy(F.col(basis_x_col).alias("_bx")) \
+            .agg(F.sum(coef_col).alias("_bc")) \
+            .select(F.col("_bx").alias(basis_x_col), F.col("_bc").alias(coef_col))
+        limit = max(1, max_broadcast_bytes // ((stats.dim + 2) * 8))
+        for _ in range(6):
+            key = F.pmod(F.xxhash64(F.col(basis_x_col)), F.lit(n_chunks))
+            tagged = merged.withColumn("_chunk", key)
+            sizes = [r["count"] for r in tagged.groupBy("_chunk").count().collect()]
+            if max(sizes) <= limit:
+                break
+            n_chunks *= 2
+        else:
+            raise ValueError("cannot split the basis into broadcast-sized chunks")
+        blocks = [tagged.filter(F.col("_chunk") == k).drop("_chunk") for k in range(n_chunks)]
     out = df if keep is None else df.select(*keep)
     for block in blocks:
         S, coef = _collect_block(block, basis_x_col, coef_col)
