@@ -73,16 +73,21 @@ def random_precision(train: DataFrame, test: DataFrame, label: str = "label") ->
 
 
 def eval_classification(train_scored: DataFrame, test_scored: DataFrame,
-                        label: str = "label", prediction: str = "prediction") -> DataFrame:
+                        label: str = "label", prediction: str = "prediction",
+                        train_labels: DataFrame | None = None,
+                        test_labels: DataFrame | None = None) -> DataFrame:
     """(metric, value) rows: train and test precision and the random baseline (E5).
 
-    Test precision is computed on the test rows (SURVEY Q23).
+    Test precision is computed on the test rows (SURVEY Q23).  The baseline
+    needs labels only: pass the unscored tables as ``*_labels`` so the
+    scoring map (opaque to column pruning) is not run again for it.
     """
     tr = accuracy(train_scored, label, prediction).select(
         F.lit("train_precision").alias("metric"), F.col("accuracy").alias("value"))
     te = accuracy(test_scored, label, prediction).select(
         F.lit("test_precision").alias("metric"), F.col("accuracy").alias("value"))
-    rp = random_precision(train_scored, test_scored, label).select(
+    rp = random_precision(train_labels if train_labels is not None else train_scored,
+                          test_labels if test_labels is not None else test_scored, label).select(
         F.lit("random_precision").alias("metric"), F.col("random_precision").alias("value"))
     return tr.unionByName(te).unionByName(rp)
 

@@ -414,12 +414,31 @@ class FourierMap:
 
 @dataclass
 class FourierModel:
+    """Fourier map + linear model.  Scoring evaluates w . z(x) - b inside one
+    Arrow map, so the D-wide feature arrays are never materialised."""
+
     fmap: FourierMap
-    linear: KernelModel
+    w: np.ndarray
+    b: float
 
     def decision(self, df: DataFrame, x_col: str = "x", out_col: str = "score") -> DataFrame:
-        z = self.fmap.transform(df, x_col, "_z")
-        return self.linear.decision(z, "_z", out_col).drop("_z")
+        W, p = self.fmap.W, self.fmap.p
+        coef = self.w * math.sqrt(2.0 / len(p))
+        b = float(self.b)
+        fields = [f for f in df.schema.fields if f.name != out_col]
+        schema = T.StructType(fields + [T.StructField(out_col, T.DoubleType(), False)])
+
+        def run(batches):
+            for batch in batches:
+                X = arrow_matrix(batch.column(batch.schema.get_field_index(x_col)), W.shape[1])
+                score = np.zeros(len(X))
+                for lo in range(0, len(X), 4096):
+                    score[lo:lo + 4096] = np.cos(X[lo:lo + 4096] @ W.T + p) @ coef - b
+                cols = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
+                yield pa.RecordBatch.from_arrays(cols + [pa.array(score, pa.float64())],
+                                                 names=[f.name for f in fields] + [out_col])
+
+        return df.mapInArrow(run, schema)
 
     def transform(self, df: DataFrame, x_col: str = "x") -> DataFrame:
         from marginflow.operators.scoring import predict_label
@@ -428,7 +447,7 @@ class FourierModel:
 
 def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0,
                 x_col: str = "x", label_col: str = "label", positive: float = 1.0,
-                reg: float = 0.0, max_iter: int = 100, tol: float = 1e-6,
+                reg: float = 1e-5, max_iter: int = 50, tol: float = 1e-4,
                 dedup: bool = True) -> FourierModel:
     """Large-table RBF SVM: random Fourier features + LinearSVC.
 
@@ -438,15 +457,12 @@ def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector
 
-    dim = len(df.select(x_col).first()[0])
+    dim = df.select(F.size(x_col)).first()[0]
     fmap = FourierMap.draw(dim, n_features, gamma, seed)
     rows = _weighted_rows(df, x_col, label_col, positive, dedup)
     z = fmap.transform(rows, "x", "z").select(array_to_vector("z").alias("features"),
                                               "label", "weight")
     model = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
                       regParam=reg, maxIter=max_iter, tol=tol, standardization=False).fit(z)
-    spark = df.sparkSession
-    w = [float(v) for v in model.coefficients.toArray()]
-    support = spark.createDataFrame([(w, 1.0, 1.0, 1)], "x array<double>, y double, alpha double, mult long")
-    lin = KernelModel(support, -float(model.intercept), "linear", 0.0, 0.0, tol)
-    return FourierModel(fmap, lin)
+    return FourierModel(fmap, model.coefficients.toArray().astype(np.float64),
+                        -float(model.intercept))

@@ -63,8 +63,7 @@ def _planted_state(spark, sf) -> DataFrame:
                          (F.col("score") - F.col("y")).alias("e"))
 
 
-def _stepped_pairs(spark, sf) -> DataFrame:
-    st = _planted_state(spark, sf)
+def _stepped_pairs(st: DataFrame) -> DataFrame:
     pairs = D.pair_rows(st, ["x", "y", "cap", "alpha", "e"])
     return D.with_pair_step(D.with_kernels(pairs, "rbf", GAMMA), B, eps=1e-3)
 
@@ -259,25 +258,26 @@ def q_pair_bounds(spark, sf):
 
 
 def q_pair_step(spark, sf):
-    s = _stepped_pairs(spark, sf)
+    s = _stepped_pairs(_planted_state(spark, sf))
     return s.select("i", "j", r("a1_new", 9).alias("a1_new"), r("a2_new", 9).alias("a2_new"),
                     r("b_new", 6).alias("b_new"))
 
 
 def q_apply_step(spark, sf):
     st = _planted_state(spark, sf)
-    out = D.apply_step(st, D.step_deltas(_stepped_pairs(spark, sf)))
+    out = D.apply_step(st, D.step_deltas(_stepped_pairs(st)))
     return out.select("id", r("alpha", 9).alias("alpha"))
 
 
 def q_gradient_update(spark, sf):
     st = _planted_state(spark, sf)
-    out = D.gradient_update(st, D.step_deltas(_stepped_pairs(spark, sf)), "rbf", GAMMA)
+    out = D.gradient_update(st, D.step_deltas(_stepped_pairs(st)), "rbf", GAMMA)
     return out.select("id", r("g", 6).alias("g"))
 
 
 def q_weights_delta(spark, sf):
-    w = D.weights_delta(_planted_weights(spark, sf), D.step_deltas(_stepped_pairs(spark, sf)))
+    st = _planted_state(spark, sf)
+    w = D.weights_delta(_planted_weights(spark, sf), D.step_deltas(_stepped_pairs(st)))
     return w.select("pos", r("w", 9).alias("w"))
 
 
@@ -316,8 +316,11 @@ def q_random_precision(spark, sf):
 def q_eval_classification(spark, sf):
     _, scored = _split_planted(spark, sf)
     pred = predict_label(scored).withColumn("label01", _label01())
+    labels = fx.planted_model(spark, sf).select(_label01().alias("label01"),
+                                                fx.holdout_flag(spark, sf).alias("holdout"))
     ev = M.eval_classification(pred.filter(~F.col("holdout")), pred.filter("holdout"),
-                               "label01", "prediction")
+                               "label01", "prediction",
+                               labels.filter(~F.col("holdout")), labels.filter("holdout"))
     return ev.select("metric", r("value", 9).alias("value"))
 
 

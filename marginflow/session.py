@@ -14,9 +14,19 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int = 8, app: str = "marginflow",
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and the bench.
+
+    ``event_log_dir`` (or $MARGINFLOW_EVENT_LOG) writes Spark's event log
+    there, for stage and task timings without the web UI.
+    """
+    builder = SparkSession.builder
+    event_log_dir = event_log_dir or os.environ.get("MARGINFLOW_EVENT_LOG")
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true") \
+                         .config("spark.eventLog.dir", event_log_dir)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.default.parallelism", str(cores))
