@@ -205,6 +205,10 @@ class TrainInfo:
     history: list = field(default_factory=list)
 
 
+def _cores(df: DataFrame) -> int:
+    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
                   label_col: str = "label", positive: float = 1.0,
                   warm_start: DataFrame | None = None, id_col: str = "id") -> DataFrame:
@@ -226,6 +230,10 @@ def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
     else:
         merged = rows.select("x", "y", F.lit(1).cast("long").alias("mult"),
                              F.col("_a").alias("alpha"))
+    # one partition per core for the iterations: every outer iteration runs
+    # a task per partition, so the stock 200 shuffle partitions of a small
+    # merged table would be pure overhead (narrow coalesce, no shuffle)
+    merged = merged.coalesce(_cores(df))
     state = merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
                           (F.col("mult") * F.lit(params.c)).alias("cap"), "alpha",
                           F.lit(-1.0).alias("g"))
@@ -349,7 +357,8 @@ def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
     if dedup:
-        return rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        return rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight")) \
+                   .coalesce(_cores(df))
     return rows.withColumn("weight", F.lit(1.0))
 
 

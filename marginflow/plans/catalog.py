@@ -303,7 +303,7 @@ def q_class_priors(spark, sf):
 
 def _orders_split(spark, sf):
     o = fx.order_status(spark, sf)
-    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp")
+    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp_ntz")
     return o.filter(early), o.filter(~early)
 
 
@@ -326,7 +326,7 @@ def q_eval_classification(spark, sf):
 
 def _f6_split(spark, sf):
     f6 = fx.regression_pairs(spark, sf)
-    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp")
+    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp_ntz")
     return f6.filter(early), f6.filter(~early)
 
 

@@ -53,7 +53,7 @@ def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | Non
     try:
         task_name = task.select("task").first()["task"]
         d = len(fx.F8_NAMES) - 1
-        early = F.col("l_shipdate") < F.lit(fx.SPLIT_DATE).cast("timestamp")
+        early = F.col("l_shipdate") < F.lit(fx.SPLIT_DATE).cast("timestamp_ntz")
         train_raw, test_raw = rows.filter(early), rows.filter(~early)
         stats = P.column_minmax(train_raw, "x", d)       # test rows reuse the training range
         train = P.scale_per_column(train_raw, "x", d, stats)
