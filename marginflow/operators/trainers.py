@@ -352,19 +352,37 @@ def dual_objective(state: DataFrame) -> float:
 # linear and Fourier-feature trainers (built-in LinearSVC)
 # --------------------------------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Repartition to the core count only when a table has fewer partitions
+    than cores (small inputs); large inputs keep their scan partitioning
+    and pay no shuffle."""
+    cores = _cores(df)
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
-                   dedup: bool) -> DataFrame:
+                   dedup: bool | str) -> DataFrame:
+    """(x, label 0/1, weight).  Identical rows become one row weighted by its
+    count.  ``dedup="auto"`` merges only when the HyperLogLog estimate says
+    fewer than half the rows are distinct, so tables without repeats are not
+    shuffled for nothing."""
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
+    if dedup == "auto":
+        r = rows.agg(F.count(F.lit(1)).alias("n"),
+                     F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
+        dedup = r["k"] < 0.5 * r["n"]
     if dedup:
         return rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight")) \
                    .coalesce(_cores(df))
-    return rows.withColumn("weight", F.lit(1.0))
+    return spread(rows.withColumn("weight", F.lit(1.0)))
 
 
 def fit_linear_svc(df: DataFrame, x_col: str = "x", label_col: str = "label",
                    positive: float = 1.0, reg: float = 0.0, max_iter: int = 100,
-                   tol: float = 1e-6, dedup: bool = True) -> KernelModel:
+                   tol: float = 1e-6, dedup: bool | str = "auto") -> KernelModel:
     """Linear SVM with the built-in LinearSVC.
 
     Identical rows are merged into one weighted row first (LinearSVC's
@@ -457,7 +475,7 @@ class FourierModel:
 def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0,
                 x_col: str = "x", label_col: str = "label", positive: float = 1.0,
                 reg: float = 1e-5, max_iter: int = 50, tol: float = 1e-4,
-                dedup: bool = True) -> FourierModel:
+                dedup: bool | str = "auto") -> FourierModel:
     """Large-table RBF SVM: random Fourier features + LinearSVC.
 
     Duplicates are merged before the feature map (weights carry the counts);

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from marginflow.operators import metrics as M
 from marginflow.operators import prep as P
-from marginflow.operators.trainers import (SVMParams, fit_kernel_svm, fit_rff_svc)
+from marginflow.operators.trainers import SVMParams, fit_kernel_svm, fit_rff_svc, spread
 from marginflow.sources import fixtures as fx
 from marginflow.sources import text as TX
 
@@ -25,16 +25,18 @@ EXACT_ROW_LIMIT = 20_000
 
 
 def prepare(lines: DataFrame, names: list[str], target: str, keep: list[str]):
-    """Parse lines, infer the type codes, look up the target and split it off.
+    """Parse lines once, infer the type codes, look up the target, split it off.
 
-    Returns (rows with label + x, task DataFrame).
+    The parsed table is persisted (it feeds the type codes, the statistics,
+    the trainer and both scoring passes).  Returns (rows with label + x,
+    task DataFrame, parsed table to unpersist).
     """
-    parsed = TX.parse_lines(lines, names, keep=keep)
+    parsed = spread(TX.parse_lines(lines, names, keep=keep)).persist(StorageLevel.MEMORY_AND_DISK)
     codes = P.infer_type_codes(parsed, names)
     task = TX.task_type(codes.select("pos", "name"), codes.select("pos", "code"), target)
     t = names.index(target)
     arr = parsed.select(*keep, F.array(*names).alias("values"))
-    return P.target_split(arr, "values", t).drop("values"), task
+    return P.target_split(arr, "values", t).drop("values"), task, parsed
 
 
 def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | None = None,
@@ -47,9 +49,8 @@ def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | Non
     """
     params = params or SVMParams(c=1.0, gamma=5.0, tol=0.01)
     lines = fx.text_lines(spark, sf_dir)
-    prepared, task = prepare(lines, fx.F8_NAMES, "in_ring", ["l_shipdate"])
-    # parsed once; the statistics, the trainer and both scoring passes reuse it
-    rows = prepared.select("l_shipdate", "label", "x").persist(StorageLevel.MEMORY_AND_DISK)
+    prepared, task, parsed = prepare(lines, fx.F8_NAMES, "in_ring", ["l_shipdate"])
+    rows = prepared.select("l_shipdate", "label", "x")
     try:
         task_name = task.select("task").first()["task"]
         d = len(fx.F8_NAMES) - 1
@@ -75,7 +76,7 @@ def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | Non
                                        train_labels=train.select("label"),
                                        test_labels=test.select("label")).collect()
     finally:
-        rows.unpersist()
+        parsed.unpersist()
     out = [(r["metric"], float(r["value"])) for r in report]
     out += [("trainer_kind", kind), ("converged", converged), ("train_distinct_rows", float(distinct))]
     return metric_rows(spark, out)

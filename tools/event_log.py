@@ -48,6 +48,14 @@ def main():
     print(f"{len(jobs)} jobs, {total} ms in jobs")
     for sid, (d, n, name) in sorted(stages.items(), key=lambda kv: -kv[1][0])[:15]:
         print(f"stage {sid:4d} {d:7d} ms tasks={n:4d} {name}")
+    by_site = {}
+    for d, n, name in stages.values():
+        agg = by_site.setdefault(name, [0, 0])
+        agg[0] += d
+        agg[1] += 1
+    print("-- stage time by call site")
+    for name, (d, k) in sorted(by_site.items(), key=lambda kv: -kv[1][0])[:12]:
+        print(f"{d:7d} ms in {k:4d} stages  {name}")
 
 
 if __name__ == "__main__":
