@@ -29,6 +29,18 @@ from marginflow.operators.scoring import DEFAULT_BROADCAST_BYTES, kernel_sum, li
 # fixed value: multiplier used to turn a seed into a start offset (Knuth's
 # multiplicative hashing constant)
 OFFSET_MULTIPLIER = 2654435761
+# side tables (warm starts, step deltas) up to this many rows are broadcast
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking it has at most
+    ``max_rows`` rows (a bounded count: each task stops at max_rows + 1).
+
+    Catalyst cannot size the output of a Python map, so without the check a
+    two-row table joined to a large one would shuffle the large side."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
 
 
 def up_set() -> Column:
@@ -59,7 +71,7 @@ def warm_state(samples: DataFrame, warm: DataFrame | None, c: float, kernel: str
     base = samples.select("id", F.col(x_col).alias("x"), "y", F.lit(float(c)).alias("cap"))
     if warm is None:
         return base.withColumn("alpha", F.lit(0.0)).withColumn("g", F.lit(-1.0))
-    w = warm.select("id", F.col("alpha").cast("double").alias("_a"))
+    w = broadcast_if_small(warm.select("id", F.col("alpha").cast("double").alias("_a")))
     a = F.coalesce(F.col("_a"), F.lit(0.0))
     checked = F.when((a < 0) | (a > F.col("cap")),
                      F.raise_error(F.concat(F.lit("warm-start alpha outside [0, C] for id "),
@@ -139,6 +151,16 @@ def pair_rows(state: DataFrame, cols: list[str]) -> DataFrame:
                .drop(left.k).drop(right.k)
 
 
+def pair_of(state: DataFrame, choice: DataFrame, cols: list[str]) -> DataFrame:
+    """The chosen (i, j) of a one-row choice table as one pair row.
+
+    Equi-joins of the choice (one row) with the state on id, so the state
+    is scanned once per side and the choice side is broadcast."""
+    a = state.select(F.col("id").alias("i"), *[F.col(c).alias(f"{c}_i") for c in cols])
+    b = state.select(F.col("id").alias("j"), *[F.col(c).alias(f"{c}_j") for c in cols])
+    return choice.select("i", "j").join(a, "i").join(b, "j")
+
+
 def with_kernels(pairs: DataFrame, kernel: str, gamma: float) -> DataFrame:
     return pairs.withColumn("k11", kernel_expr("x_i", "x_i", kernel, gamma)) \
                 .withColumn("k12", kernel_expr("x_i", "x_j", kernel, gamma)) \
@@ -170,7 +192,7 @@ def step_deltas(stepped: DataFrame) -> DataFrame:
 
 def apply_step(state: DataFrame, deltas: DataFrame) -> DataFrame:
     """Write new alphas back by id; untouched rows keep theirs."""
-    d = deltas.select("id", F.col("alpha_new").alias("_new"))
+    d = broadcast_if_small(deltas.select("id", F.col("alpha_new").alias("_new")))
     return state.join(d, "id", "left") \
         .withColumn("alpha", F.coalesce(F.col("_new"), F.col("alpha"))).drop("_new")
 

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from marginflow.functions.kernels import block_kernel, check_kernel
 from marginflow.functions.smo import pair_step
-from marginflow.operators.dual import low_set, up_set
+from marginflow.operators.dual import broadcast_if_small, low_set, up_set
 from marginflow.operators.scoring import (DEFAULT_BROADCAST_BYTES, KernelModel,
                                           arrow_matrix, kernel_sum)
 from marginflow.session import ensure_checkpoint_dir
@@ -217,7 +217,7 @@ def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
     rows = df.select(*([id_col] if warm_start is not None else []),
                      F.col(x_col).cast("array<double>").alias("x"), y.alias("y"))
     if warm_start is not None:
-        w = warm_start.select(F.col(id_col), F.col("alpha").cast("double").alias("_a"))
+        w = broadcast_if_small(warm_start.select(F.col(id_col), F.col("alpha").cast("double").alias("_a")))
         rows = rows.join(w, id_col, "left").withColumn("_a", F.coalesce("_a", F.lit(0.0)))
         bad = (F.col("_a") < 0) | (F.col("_a") > F.lit(params.c))
         rows = rows.withColumn("_a", F.when(bad, F.raise_error(

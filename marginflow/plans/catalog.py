@@ -42,44 +42,66 @@ def _parsed_lines(spark, sf):
     return TX.parse_lines(lines, fx.F8_NAMES, keep=fx.LINEITEM_KEY + ["l_shipdate"])
 
 
-def _planted(spark, sf) -> KernelModel:
-    pm = fx.planted_model(spark, sf)
-    return KernelModel(pm.select("x", "y", "alpha"), B, "rbf", GAMMA, C)
+def _planted_model(rows: DataFrame, dim: int, kernel: str = "rbf") -> KernelModel:
+    """Planted model: class centroids of ``rows`` as support (K rows)."""
+    sv = fx.planted_support(rows, dim)
+    return KernelModel(sv.select("x", "y", "alpha"), B, kernel, GAMMA, C)
 
 
-def _planted_scored(spark, sf) -> DataFrame:
+def _planted_scored(spark, sf, kernel: str = "rbf") -> DataFrame:
     """Every embeddings row scored by the planted model: id, label, y, alpha, score."""
     pm = fx.planted_model(spark, sf)
-    return _planted(spark, sf).decision(pm).drop("x")
+    model = _planted_model(pm, fx.vector_width(pm), kernel)
+    return model.decision(pm).drop("x")
 
 
 def _planted_state(spark, sf) -> DataFrame:
-    """(id, x, y, cap, alpha, g, e) of the planted model, g and e from its scores."""
+    """(id, x, y, cap, alpha, g, e): the planted dual state.
+
+    Multipliers are the planted per-row alphas; errors come from the planted
+    model's decision values (the error cache a solver would hold)."""
     pm = fx.planted_model(spark, sf)
-    scored = _planted(spark, sf).decision(pm)
+    scored = _planted_model(pm, fx.vector_width(pm)).decision(pm)
     # f = sum - b  ->  g = y * (f + b) - 1,  e = f - y
-    return scored.select("id", "x", "y", F.lit(C).alias("cap"), "alpha",
-                         (F.col("y") * (F.col("score") + F.lit(B)) - F.lit(1.0)).alias("g"),
-                         (F.col("score") - F.col("y")).alias("e"))
+    state = scored.select("id", "x", "y", F.lit(C).alias("cap"), "alpha",
+                          (F.col("y") * (F.col("score") + F.lit(B)) - F.lit(1.0)).alias("g"),
+                          (F.col("score") - F.col("y")).alias("e"))
+    # The state feeds scalar subqueries and both sides of pair joins; one
+    # reliable checkpoint computes it once and keeps later plans shallow.
+    return state.checkpoint(eager=True)
+
+
+PAIR_COLS = ["x", "y", "cap", "alpha", "e"]
 
 
 def _stepped_pairs(st: DataFrame) -> DataFrame:
-    pairs = D.pair_rows(st, ["x", "y", "cap", "alpha", "e"])
+    """Every (2k, 2k+1) pair stepped at once (T10 on the whole table)."""
+    pairs = D.pair_rows(st, PAIR_COLS)
     return D.with_pair_step(D.with_kernels(pairs, "rbf", GAMMA), B, eps=1e-3)
 
 
+def _chosen_step(st: DataFrame) -> DataFrame:
+    """One SMO step: first choice i, second choice j, their pair stepped,
+    as delta rows (id, x, y, alpha_old, alpha_new) (T4, T5, T10, T11)."""
+    choice = D.second_choice(st, D.first_choice(st, TOL))
+    pair = D.pair_of(st, choice, PAIR_COLS)
+    return D.step_deltas(D.with_pair_step(D.with_kernels(pair, "rbf", GAMMA), B, eps=1e-3))
+
+
 def _label01() -> Column:
     return F.when(F.col("label") < 5, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def _split_planted(spark, sf):
-    """Planted model restricted to the training part; (model, all scored rows, holdout flag)."""
+def _split_planted(spark, sf, holdout_only: bool = False):
+    """Planted model from the training part's centroids; rows scored with a
+    holdout flag (only the held-out rows when ``holdout_only``)."""
     pm = fx.planted_model(spark, sf)
     hold = fx.holdout_flag(spark, sf)
-    train = pm.filter(~hold)
-    model = KernelModel(train.select("x", "y", "alpha"), B, "rbf", GAMMA, C)
-    scored = model.decision(pm.withColumn("holdout", hold))
-    return model, scored
+    model = _planted_model(pm.filter(~hold), fx.vector_width(pm))
+    rows = pm.withColumn("holdout", hold)
+    if holdout_only:
+        rows = rows.filter("holdout")
+    return model, model.decision(rows)
 
 
 # ---------------------------------------------------------------- S: sources
@@ -168,9 +190,7 @@ def q_decision_rbf(spark, sf):
 
 
 def q_decision_sqdist(spark, sf):
-    pm = fx.planted_model(spark, sf)
-    model = KernelModel(pm.select("x", "y", "alpha"), B, "sqdist", GAMMA, C)
-    return model.decision(pm).select("id", r("score", 6).alias("score"))
+    return _planted_scored(spark, sf, "sqdist").select("id", r("score", 6).alias("score"))
 
 
 def q_prediction_error(spark, sf):
@@ -192,7 +212,7 @@ def q_accuracy(spark, sf):
 
 def q_predict_rows(spark, sf):
     pm = fx.planted_model(spark, sf)
-    out = _planted(spark, sf).transform(pm)
+    out = _planted_model(pm, fx.vector_width(pm)).transform(pm)
     return out.select("id", "label", r("score", 6).alias("score"), "prediction")
 
 
@@ -211,20 +231,22 @@ def q_linear_score(spark, sf):
 
 
 def q_classify_test(spark, sf):
-    _, scored = _split_planted(spark, sf)
+    _, scored = _split_planted(spark, sf, holdout_only=True)
     return scored.filter("holdout").select("id", r("score", 6).alias("score"))
 
 
 def q_holdout_agreement(spark, sf):
-    _, scored = _split_planted(spark, sf)
+    _, scored = _split_planted(spark, sf, holdout_only=True)
     return M.holdout_agreement(scored.filter("holdout"), "score", "y")
 
 
 # ---------------------------------------------------------------- T: training steps
 
 def q_warm_start(spark, sf):
+    """Start from the multipliers one SMO step produced (two rows), every
+    other row at 0; g for all rows from that start (T3)."""
     emb = fx.embeddings(spark, sf).select("id", "x", fx.embeddings_y().alias("y"))
-    warm = fx.planted_model(spark, sf).select("id", "alpha")
+    warm = _chosen_step(_planted_state(spark, sf)).select("id", F.col("alpha_new").alias("alpha"))
     st = D.warm_state(emb, warm, C, "rbf", GAMMA)
     return st.select("id", "y", "alpha", r("g", 6).alias("g"))
 
@@ -265,19 +287,19 @@ def q_pair_step(spark, sf):
 
 def q_apply_step(spark, sf):
     st = _planted_state(spark, sf)
-    out = D.apply_step(st, D.step_deltas(_stepped_pairs(st)))
+    out = D.apply_step(st, _chosen_step(st))
     return out.select("id", r("alpha", 9).alias("alpha"))
 
 
 def q_gradient_update(spark, sf):
     st = _planted_state(spark, sf)
-    out = D.gradient_update(st, D.step_deltas(_stepped_pairs(st)), "rbf", GAMMA)
+    out = D.gradient_update(st, _chosen_step(st), "rbf", GAMMA)
     return out.select("id", r("g", 6).alias("g"))
 
 
 def q_weights_delta(spark, sf):
     st = _planted_state(spark, sf)
-    w = D.weights_delta(_planted_weights(spark, sf), D.step_deltas(_stepped_pairs(st)))
+    w = D.weights_delta(_planted_weights(spark, sf), _chosen_step(st))
     return w.select("pos", r("w", 9).alias("w"))
 
 

@@ -28,8 +28,18 @@ def _r(expr: str, places: int) -> str:
 EMB = "emb AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings)"
 PM = (f"pm AS (SELECT id, x, label, CASE WHEN label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
       f"{fx.PLANTED_C}{DBL} * (id % {fx.PLANTED_ALPHA_MOD}){DBL} / 10.0{DBL} AS alpha FROM emb)")
-DEC = (f"dec AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) - {fx.PLANTED_B}{DBL} AS score "
-       f"FROM pm t, pm s GROUP BY t.id)")
+def _support(src: str, name: str) -> str:
+    """Class centroids of ``src`` (label, x) with the planted y and alpha."""
+    return (f"{name} AS (SELECT label, x, CASE WHEN label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
+            f"{fx.PLANTED_C}{DBL} * (label + 1){DBL} / 10.0{DBL} AS alpha FROM "
+            f"(SELECT label, list(m ORDER BY pos) AS x FROM (SELECT label, pos, avg(v) AS m FROM "
+            f"(SELECT label, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM {src}) "
+            f"GROUP BY label, pos) GROUP BY label))")
+
+
+SV = _support("pm", "sv")
+DEC = (f"{SV}, dec AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) - {fx.PLANTED_B}{DBL} AS score "
+       f"FROM pm t, sv s GROUP BY t.id)")
 STATE = (f"state AS (SELECT p.id, p.x, p.y, {fx.PLANTED_C}{DBL} AS cap, p.alpha, "
          f"p.y * (d.score + {fx.PLANTED_B}{DBL}) - 1.0{DBL} AS g, d.score - p.y AS e "
          f"FROM pm p JOIN dec d USING (id))")
@@ -48,8 +58,9 @@ PAIRS = ("pairs AS (SELECT a.id AS i, b.id AS j, a.x AS x_i, b.x AS x_j FROM emb
 
 HOLD = ("n AS (SELECT count(*) AS n FROM embeddings), "
         "pmh AS (SELECT pm.*, pm.id * 5 >= 4 * n.n AS holdout FROM pm, n), "
+        f"{_support('pmh WHERE NOT holdout', 'sv_tr')}, "
         f"dec_tr AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) - {fx.PLANTED_B}{DBL} AS score "
-        "FROM pmh t, (SELECT * FROM pmh WHERE NOT holdout) s GROUP BY t.id), "
+        "FROM pmh t, sv_tr s GROUP BY t.id), "
         "held AS (SELECT d.id, d.score, p.y, p.label, p.holdout FROM dec_tr d JOIN pmh p USING (id))")
 
 F6 = ("f6 AS (SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice AS label, l.prediction FROM orders o "
@@ -83,11 +94,20 @@ def _pair_step_sql(b: float, eps: float) -> str:
             f"(SELECT *, {a2n} AS a2n FROM kp)")
 
 
-def _steps(b: float = fx.PLANTED_B, eps: float = 1e-3) -> str:
-    kp = ("kp AS (SELECT a.id AS i, b.id AS j, a.x AS x_i, b.x AS x_j, a.y AS y_i, b.y AS y_j, "
-          "a.cap AS cap_i, b.cap AS cap_j, a.alpha AS alpha_i, b.alpha AS alpha_j, a.e AS e_i, b.e AS e_j, "
-          f"{_rbf('a.x', 'a.x')} AS k11, {_rbf('a.x', 'b.x')} AS k12, {_rbf('b.x', 'b.x')} AS k22 "
-          "FROM state a JOIN state b ON a.id // 2 = b.id // 2 AND a.id < b.id)")
+PAIR_SELECT = ("a.id AS i, b.id AS j, a.x AS x_i, b.x AS x_j, a.y AS y_i, b.y AS y_j, "
+               "a.cap AS cap_i, b.cap AS cap_j, a.alpha AS alpha_i, b.alpha AS alpha_j, a.e AS e_i, b.e AS e_j, "
+               f"{_rbf('a.x', 'a.x')} AS k11, {_rbf('a.x', 'b.x')} AS k12, {_rbf('b.x', 'b.x')} AS k22")
+KP_ALL = f"kp AS (SELECT {PAIR_SELECT} FROM state a JOIN state b ON a.id // 2 = b.id // 2 AND a.id < b.id)"
+CHOICE = (f"viol AS (SELECT * FROM state WHERE (y * e > 0.01{DBL} AND alpha > 0) "
+          f"OR (y * e < -0.01{DBL} AND alpha < cap)), "
+          "first AS (SELECT id, e FROM viol ORDER BY abs(e) DESC, id LIMIT 1), "
+          "second AS (SELECT f.id AS i, s.id AS j FROM state s, first f "
+          "WHERE s.alpha > 0 AND s.alpha < s.cap AND s.id <> f.id ORDER BY abs(f.e - s.e) DESC, s.id LIMIT 1)")
+KP_CHOSEN = (f"{CHOICE}, kp AS (SELECT {PAIR_SELECT} FROM second c JOIN state a ON a.id = c.i "
+             "JOIN state b ON b.id = c.j)")
+
+
+def _steps(kp: str = KP_ALL, b: float = fx.PLANTED_B, eps: float = 1e-3) -> str:
     bb = f"{b}{DBL}"
     b1 = f"(e_i + y_i * (a1n - alpha_i) * k11 + y_j * (a2n - alpha_j) * k12 + {bb})"
     b2 = f"(e_j + y_i * (a1n - alpha_i) * k12 + y_j * (a2n - alpha_j) * k22 + {bb})"
@@ -155,9 +175,9 @@ ORACLE: dict[str, str] = {
     "pair_curvature": (f"WITH {EMB}, {PAIRS} SELECT i, j, "
                        f"{_r('2.0::DOUBLE * ' + _rbf('x_i', 'x_j') + ' - ' + _rbf('x_i', 'x_i') + ' - ' + _rbf('x_j', 'x_j'), 9)} AS eta FROM pairs"),
     "decision_rbf": f"WITH {EMB}, {PM}, {DEC} SELECT id, {_r('score', 6)} AS score FROM dec",
-    "decision_sqdist": (f"WITH {EMB}, {PM} SELECT t.id, "
+    "decision_sqdist": (f"WITH {EMB}, {PM}, {SV} SELECT t.id, "
                         f"{_r('sum(s.alpha * s.y * ' + _d2('s.x', 't.x') + f') - {fx.PLANTED_B}{DBL}', 6)} AS score "
-                        "FROM pm t, pm s GROUP BY t.id"),
+                        "FROM pm t, sv s GROUP BY t.id"),
     "prediction_error": (f"WITH {EMB}, {PM}, {DEC} SELECT d.id, p.y, {_r('d.score - p.y', 6)} AS e "
                          "FROM dec d JOIN pm p USING (id)"),
     "predict_label": (f"WITH {EMB}, {PM}, {DEC} SELECT id, {_r('score', 6)} AS score, "
@@ -174,9 +194,13 @@ ORACLE: dict[str, str] = {
     "holdout_agreement": (f"WITH {EMB}, {PM}, {HOLD} SELECT count(*) AS n, "
                           f"avg(CASE WHEN (score > 0) = (y > 0) THEN 1.0{DBL} ELSE 0.0{DBL} END) AS agreement "
                           "FROM held WHERE holdout"),
-    "warm_start": (f"WITH {EMB}, {PM} SELECT t.id, t.y, t.alpha, "
-                   f"{_r('t.y * sum(s.alpha * s.y * ' + _rbf('s.x', 't.x') + f') - 1.0{DBL}', 6)} AS g "
-                   "FROM pm t, (SELECT * FROM pm WHERE alpha > 0) s GROUP BY t.id, t.y, t.alpha"),
+    "warm_start": (f"{PLANTED}, {_steps(KP_CHOSEN)}, "
+                   "warm AS (SELECT id, alpha_new AS alpha FROM deltas), "
+                   "w0 AS (SELECT e.id, e.x, CASE WHEN e.label < 5 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS y, "
+                   "coalesce(w.alpha, 0.0::DOUBLE) AS alpha FROM emb e LEFT JOIN warm w USING (id)), "
+                   "basis AS (SELECT x, alpha * y AS coef FROM w0 WHERE alpha > 0) "
+                   f"SELECT t.id, t.y, t.alpha, {_r('t.y * coalesce(sum(s.coef * ' + _rbf('s.x', 't.x') + f'), 0.0{DBL}) - 1.0{DBL}', 6)} AS g "
+                   "FROM w0 t LEFT JOIN basis s ON TRUE GROUP BY t.id, t.y, t.alpha"),
     "kkt_violators": (f"{PLANTED} SELECT id, y, alpha, {_r('e', 6)} AS e FROM state "
                       f"WHERE (y * e > 0.01{DBL} AND alpha > 0) OR (y * e < -0.01{DBL} AND alpha < cap)"),
     "second_choice": (f"{PLANTED}, viol AS (SELECT * FROM state WHERE (y * e > 0.01{DBL} AND alpha > 0) "
@@ -207,14 +231,14 @@ ORACLE: dict[str, str] = {
                     "FROM pm a JOIN pm b ON a.id // 2 = b.id // 2 AND a.id < b.id"),
     "pair_step": (f"{PLANTED}, {_steps()} SELECT i, j, {_r('a1n', 9)} AS a1_new, {_r('a2n', 9)} AS a2_new, "
                   f"{_r('bn', 6)} AS b_new FROM steps"),
-    "apply_step": (f"{PLANTED}, {_steps()} SELECT s.id, {_r('coalesce(d.alpha_new, s.alpha)', 9)} AS alpha "
+    "apply_step": (f"{PLANTED}, {_steps(KP_CHOSEN)} SELECT s.id, {_r('coalesce(d.alpha_new, s.alpha)', 9)} AS alpha "
                    "FROM state s LEFT JOIN deltas d USING (id)"),
-    "gradient_update": (f"{PLANTED}, {_steps()}, "
+    "gradient_update": (f"{PLANTED}, {_steps(KP_CHOSEN)}, "
                         "moved AS (SELECT x, (alpha_new - alpha_old) * y AS coef FROM deltas "
                         "WHERE (alpha_new - alpha_old) * y <> 0) "
                         f"SELECT s.id, {_r('s.g + s.y * coalesce(sum(m.coef * ' + _rbf('m.x', 's.x') + f'), 0.0{DBL})', 6)} AS g "
                         "FROM state s LEFT JOIN moved m ON TRUE GROUP BY s.id, s.g, s.y"),
-    "weights_delta": (f"{PLANTED}, {_steps()}, {WEIGHTS}, "
+    "weights_delta": (f"{PLANTED}, {_steps(KP_CHOSEN)}, {WEIGHTS}, "
                       "dw AS (SELECT pos, sum(coef * v) AS dw FROM (SELECT (alpha_new - alpha_old) * y AS coef, "
                       "unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM deltas) GROUP BY pos) "
                       f"SELECT pos::INTEGER AS pos, {_r(f'coalesce(w.w, 0.0{DBL}) + coalesce(dw.dw, 0.0{DBL})', 9)} AS w "

@@ -47,16 +47,39 @@ def embeddings_y(label: Column | str = "label") -> Column:
 # F7 ----------------------------------------------------------------------
 
 def planted_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every embeddings row as a support row: (id, x, label, y, alpha).
+    """Every embeddings row with planted multipliers: (id, x, label, y, alpha).
 
     alpha = 0.1 * (id % 11) / 10 covers alpha = 0, 0 < alpha < C and
-    alpha = C, so every bound case of the KKT tests appears.
+    alpha = C, so every bound case of the KKT tests appears.  These are the
+    rows of the planted dual state.
     """
     return embeddings(spark, sf_dir).select(
         "id", "x", "label", embeddings_y().alias("y"),
         (F.lit(PLANTED_C) * (F.col("id") % PLANTED_ALPHA_MOD) / F.lit(10.0)).alias("alpha"))
 
 
+def class_centroids(rows: DataFrame, dim: int) -> DataFrame:
+    """(label, x): the mean vector of each class, one aggregate pass with
+    map-side partial sums; K rows for K classes."""
+    return rows.groupBy("label").agg(
+        F.array(*[F.avg(F.col("x")[i]) for i in range(dim)]).alias("x"))
+
+
+def planted_support(rows: DataFrame, dim: int) -> DataFrame:
+    """Support of the planted model: the class centroids of ``rows`` with
+    y = +1 for labels below 5 and alpha = 0.1 * (label + 1) / 10.
+
+    The support size is the class count, not the row count, so scoring
+    every row against it is linear in the table."""
+    return class_centroids(rows, dim).select(
+        "label", "x", embeddings_y().alias("y"),
+        (F.lit(PLANTED_C) * (F.col("label") + F.lit(1)) / F.lit(10.0)).alias("alpha"))
+
+
+def vector_width(df: DataFrame, x_col: str = "x") -> int:
+    return int(df.select(F.size(x_col)).first()[0])
+
+
 def holdout_flag(spark: SparkSession, sf_dir: str) -> Column:
     """Rows past the first 80 % of ids are held out (the reference's rows n..N).
 
