@@ -205,10 +205,21 @@ class TrainInfo:
     history: list = field(default_factory=list)
 
 
+# rows per task for the tables the iterative trainers pass over many times
+ROWS_PER_TASK = 100_000
+
+
 def _cores(df: DataFrame) -> int:
     return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
+def _task_count(df: DataFrame, rows: int) -> int:
+    """Partitions for an iterated table: about ROWS_PER_TASK rows each, at
+    most one per core.  Every optimizer step runs one task per partition, so
+    a small merged table in 200 partitions would be all scheduling."""
+    return max(1, min(_cores(df), math.ceil(rows / ROWS_PER_TASK)))
+
+
 def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
                   label_col: str = "label", positive: float = 1.0,
                   warm_start: DataFrame | None = None, id_col: str = "id") -> DataFrame:
@@ -230,9 +241,6 @@ def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
     else:
         merged = rows.select("x", "y", F.lit(1).cast("long").alias("mult"),
                              F.col("_a").alias("alpha"))
-    # one partition per core for the iterations: every outer iteration runs
-    # a task per partition, so the stock 200 shuffle partitions of a small
-    # merged table would be pure overhead (narrow coalesce, no shuffle)
     merged = merged.coalesce(_cores(df))
     state = merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
                           (F.col("mult") * F.lit(params.c)).alias("cap"), "alpha",
@@ -272,6 +280,11 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
                          f"{sorted(counts) or 'no rows'}")
     info.rows = int(sum(v[0] for v in counts.values()))
     info.distinct_rows = int(sum(v[1] for v in counts.values()))
+    # size the iterated state to its row count (narrow coalesce of the
+    # checkpointed files; each outer iteration runs one task per partition)
+    sized = state.coalesce(_task_count(state, info.distinct_rows)).persist(StorageLevel.MEMORY_AND_DISK)
+    state.unpersist()
+    state = sized
     if warm_start is not None:
         resid = sum(v[2] for v in counts.values())
         if abs(resid) > 1e-8 * max(1.0, params.c * info.rows):
@@ -370,13 +383,14 @@ def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
     shuffled for nothing."""
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
-    if dedup == "auto":
+    if dedup == "auto" or dedup:
         r = rows.agg(F.count(F.lit(1)).alias("n"),
                      F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
-        dedup = r["k"] < 0.5 * r["n"]
+        if dedup == "auto":
+            dedup = r["k"] < 0.5 * r["n"]
     if dedup:
-        return rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight")) \
-                   .coalesce(_cores(df))
+        merged = rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        return merged.coalesce(_task_count(df, r["k"]))
     return spread(rows.withColumn("weight", F.lit(1.0)))
 
 
