@@ -64,13 +64,16 @@ def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | Non
             # has no regression loss to train, so report the label spread.
             res = M.rmse(test.withColumn("prediction", F.lit(0.0))).first()
             return metric_rows(spark, [("test_rmse_vs_zero", float(res["rmse"]))])
-        distinct = train.agg(F.approx_count_distinct(F.xxhash64("x", "label"), 0.02)).first()[0]
+        est = train.agg(F.count(F.lit(1)).alias("n"),
+                        F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
+        distinct = est["k"]
         if distinct <= exact_row_limit:
             model = fit_kernel_svm(train, params)
             kind, converged = 1.0, float(model.info["converged"])
         else:
             model = fit_rff_svc(train, gamma=params.gamma, n_features=rff_features,
-                                reg=1e-5, max_iter=50, tol=1e-4)
+                                reg=1e-5, max_iter=50, tol=1e-4,
+                                dedup=bool(distinct < 0.5 * est["n"]))
             kind, converged = 2.0, 1.0
         report = M.eval_classification(model.transform(train), model.transform(test),
                                        train_labels=train.select("label"),
