@@ -374,13 +374,21 @@ def dual_objective(state: DataFrame) -> float:
 # linear and Fourier-feature trainers (built-in LinearSVC)
 # --------------------------------------------------------------------------
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition to the core count only when a table has fewer partitions
-    than cores (small inputs); large inputs keep their scan partitioning
-    and pay no shuffle."""
-    cores = _cores(df)
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Give an iterated table a task count that suits its size.
+
+    Without a row count: repartition to the core count only when the table
+    has fewer partitions than cores (small inputs); large inputs keep their
+    scan partitioning and pay no shuffle.  With a row count: about
+    ROWS_PER_TASK rows per partition, at most one per core (narrow coalesce
+    when there are too many partitions, repartition when too few).
+    """
+    target = _cores(df) if rows is None else _task_count(df, rows)
+    current = df.rdd.getNumPartitions()
+    if current < target:
+        return df.repartition(target)
+    if rows is not None and current > target:
+        return df.coalesce(target)
     return df
 
 
@@ -392,6 +400,7 @@ def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
     shuffled for nothing."""
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
+    r = None
     if dedup == "auto" or dedup:
         r = rows.agg(F.count(F.lit(1)).alias("n"),
                      F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
@@ -400,7 +409,10 @@ def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
     if dedup:
         merged = rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
         return merged.coalesce(_task_count(df, r["k"]))
-    return spread(rows.withColumn("weight", F.lit(1.0)))
+    # without merging, size the tasks by the row count (a pruned count reads
+    # no columns: parquet footers, or the cached blocks' row counts)
+    n = r["n"] if r is not None else rows.count()
+    return spread(rows.withColumn("weight", F.lit(1.0)), n)
 
 
 def fit_linear_svc(df: DataFrame, x_col: str = "x", label_col: str = "label",
