@@ -26,6 +26,7 @@ many rows it has, into one row before anything iterates.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -194,13 +195,21 @@ def _update_state(state: DataFrame, sids: np.ndarray, S: np.ndarray, dcoef: np.n
 
 
 def _select(state: DataFrame, half: int):
+    """Top q/2 of the up set (-y*g descending) and of the low set (ascending).
+
+    Each is a per-partition top-k merged on the driver.  The two jobs read
+    the same cached state and are submitted together from two threads, so
+    an outer iteration waits for one round of tasks, not two.
+    """
     key = -F.col("y") * F.col("g")
     cols = ["sid", "x", "y", "cap", "alpha", "g"]
     up = state.filter(up_set()).select(*cols, key.alias("v")) \
-        .orderBy(F.col("v").desc(), "sid").limit(half).collect()
+        .orderBy(F.col("v").desc(), "sid").limit(half)
     low = state.filter(low_set()).select(*cols, key.alias("v")) \
-        .orderBy(F.col("v").asc(), "sid").limit(half).collect()
-    return up, low
+        .orderBy(F.col("v").asc(), "sid").limit(half)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_up, f_low = pool.submit(up.collect), pool.submit(low.collect)
+        return f_up.result(), f_low.result()
 
 
 @dataclass
