@@ -106,10 +106,11 @@ def class_index(df: DataFrame, label_col: str = "label",
         raise ValueError(f"more than {max_classes} classes in {label_col!r}")
     if any(v is None for v in labels):
         raise ValueError(f"NULL label in {label_col!r}")
-    spark = df.sparkSession
-    field_type = df.schema[label_col].dataType.simpleString()
-    return spark.createDataFrame([(v, i) for i, v in enumerate(labels)],
-                                 f"{label_col} {field_type}, idx int")
+    # a JVM-side local relation of K rows (no Python task to read it back)
+    field_type = df.schema[label_col].dataType
+    rows = [F.struct(F.lit(v).cast(field_type).alias(label_col), F.lit(i).alias("idx"))
+            for i, v in enumerate(labels)]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def one_hot(df: DataFrame, label_col: str = "label", classes: DataFrame | None = None,
