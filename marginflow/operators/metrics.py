@@ -6,7 +6,7 @@ K x K confusion table derived from them); no row reaches the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,33 +30,39 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 def class_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Per-class precision, recall, F1 and the overall precision (= accuracy).
 
-    Computed from the confusion table, which has at most K x K rows.
+    One pass over the scored rows: each row adds (tp, 1 true) to its label's
+    class and (1 predicted) to its prediction's class, then one grouped
+    aggregate with map-side partial sums.  Totals come from a window over
+    the K aggregated class rows, not from a second pass over the input.
     """
-    conf = confusion(df, label, prediction)
-    tp = conf.filter(F.col("label") == F.col("prediction")) \
-             .select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    n_true = conf.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("n_true"))
-    n_pred = conf.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("n_pred"))
-    total = conf.agg(F.sum("n")).scalar()
-    correct = conf.filter(F.col("label") == F.col("prediction")).agg(F.sum("n")).scalar()
-    per = (n_true.join(n_pred, "cls", "full").join(tp, "cls", "left")
-           .select("cls",
-                   F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-                   F.coalesce("n_true", F.lit(0)).cast("long").alias("n_true"),
-                   F.coalesce("n_pred", F.lit(0)).cast("long").alias("n_pred")))
+    ltype = df.schema[label].dataType
+    lab = F.col(label)
+    pred = F.col(prediction).cast(ltype)
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+    contrib = df.select(F.inline(F.array(
+        F.struct(lab.alias("cls"), (lab == pred).cast("long").alias("tp"),
+                 one.alias("n_true"), zero.alias("n_pred")),
+        F.struct(pred.alias("cls"), zero.alias("tp"), zero.alias("n_true"), one.alias("n_pred")))))
+    per = contrib.groupBy("cls").agg(F.sum("tp").alias("tp"), F.sum("n_true").alias("n_true"),
+                                     F.sum("n_pred").alias("n_pred"))
+    classes = Window.partitionBy()     # the K class rows only
     precision = F.col("tp") / F.nullif(F.col("n_pred"), F.lit(0))
     recall = F.col("tp") / F.nullif(F.col("n_true"), F.lit(0))
     return per.withColumn("precision", precision).withColumn("recall", recall) \
         .withColumn("f1", F.lit(2.0) * F.col("precision") * F.col("recall")
                     / F.nullif(F.col("precision") + F.col("recall"), F.lit(0.0))) \
-        .withColumn("overall_precision", correct / total)
+        .withColumn("overall_precision",
+                    F.sum("tp").over(classes) / F.sum("n_true").over(classes))
 
 
 def class_priors(df: DataFrame, label: str = "label") -> DataFrame:
-    """(cls, n, prior) sorted by class."""
+    """(cls, n, prior) sorted by class.
+
+    The total comes from a window over the K aggregated class rows, so the
+    input is read once."""
     counts = df.groupBy(F.col(label).alias("cls")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.withColumn("prior", F.col("n") / total).orderBy("cls")
+    return counts.withColumn("prior", F.col("n") / F.sum("n").over(Window.partitionBy())) \
+                 .orderBy("cls")
 
 
 def random_precision(train: DataFrame, test: DataFrame, label: str = "label") -> DataFrame:
@@ -100,8 +106,8 @@ def value_range(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def denormalise(df: DataFrame, cols: list[str], rng: DataFrame) -> DataFrame:
     """v * (max - min) + min with the range of the training table."""
-    lo = rng.select("mn").scalar()
-    hi = rng.select("mx").scalar()
+    st = rng.select(F.struct("mn", "mx")).scalar()
+    lo, hi = st["mn"], st["mx"]
     out = df
     for c in cols:
         out = out.withColumn(c, F.col(c) * (hi - lo) + lo)

@@ -50,9 +50,10 @@ def scale_global(df: DataFrame, x_col: str = "x", stats: DataFrame | None = None
     ``stats`` lets a test table reuse the training range.
     """
     stats = stats if stats is not None else global_minmax(df, x_col)
-    # scalar subqueries are bound to columns first: lambdas cannot hold them
-    bound = df.withColumn("_lo", stats.select("mn").scalar()) \
-              .withColumn("_hi", stats.select("mx").scalar())
+    # one scalar subquery for the statistics row (one aggregate pass), bound
+    # to columns first because lambdas cannot hold subqueries
+    st = stats.select(F.struct("mn", "mx")).scalar()
+    bound = df.withColumn("_lo", st["mn"]).withColumn("_hi", st["mx"])
     return bound.withColumn(out_col or x_col, F.transform(
         x_col, lambda v: _safe_scale(v, F.col("_lo"), F.col("_hi")))).drop("_lo", "_hi")
 
@@ -68,8 +69,8 @@ def scale_per_column(df: DataFrame, x_col: str, dim: int, stats: DataFrame | Non
                      out_col: str | None = None) -> DataFrame:
     """Standard per-column min-max scaling of an array column."""
     stats = stats if stats is not None else column_minmax(df, x_col, dim)
-    bound = df.withColumn("_lo", stats.select("mins").scalar()) \
-              .withColumn("_hi", stats.select("maxs").scalar())
+    st = stats.select(F.struct("mins", "maxs")).scalar()
+    bound = df.withColumn("_lo", st["mins"]).withColumn("_hi", st["maxs"])
     return bound.withColumn(out_col or x_col, F.transform(
         x_col, lambda v, i: _safe_scale(v, F.element_at("_lo", i + 1),
                                         F.element_at("_hi", i + 1)))).drop("_lo", "_hi")
@@ -79,11 +80,10 @@ def scale_columns(df: DataFrame, cols: Sequence[str], stats: DataFrame | None =
     """Per-column min-max scaling of plain numeric columns (P3 on columns)."""
     stats = stats if stats is not None else df.agg(
         *[F.min(c).alias(f"{c}__min") for c in cols], *[F.max(c).alias(f"{c}__max") for c in cols])
+    st = stats.select(F.struct(*stats.columns)).scalar()
     out = df
     for c in cols:
-        lo = stats.select(f"{c}__min").scalar()
-        hi = stats.select(f"{c}__max").scalar()
-        out = out.withColumn(c, _safe_scale(F.col(c), lo, hi))
+        out = out.withColumn(c, _safe_scale(F.col(c), st[f"{c}__min"], st[f"{c}__max"]))
     return out
 
 
