@@ -102,3 +102,55 @@ def pair_step(y1, y2, a1, a2, e1, e2, k11, k12, k22, c1, c2, b=0.0,
     else:
         bn = (b1 + b2) / 2.0
     return a1n, a2n, bn
+
+
+def with_pair_step_columns(df, y1: str, y2: str, a1: str, a2: str, e1: str, e2: str,
+                           k11: str, k12: str, k22: str, c1: str, c2: str, b: float,
+                           eps: float = 1e-3):
+    """The same step as ``pair_step_expr``, added as columns a1_new, a2_new,
+    b_new through named intermediate columns.
+
+    The single-expression form repeats L, H and the new alphas inside every
+    later term, so its tree grows multiplicatively and takes seconds to
+    analyse; staged columns keep the plan linear (Catalyst does not inline a
+    non-trivial column that is used more than once)."""
+    col = F.col
+    t = "_ps_"
+    out = df.withColumns({
+        t + "s": col(y1) * col(y2),
+        t + "lo": lower_bound(col(y1), col(y2), col(a1), col(a2), col(c1), col(c2)),
+        t + "hi": upper_bound(col(y1), col(y2), col(a1), col(a2), col(c1), col(c2)),
+        t + "eta": F.lit(2.0) * col(k12) - col(k11) - col(k22),
+        t + "b": F.lit(float(b)),
+    })
+    s, lo, hi, eta, bb = (col(t + n) for n in ("s", "lo", "hi", "eta", "b"))
+    out = out.withColumns({
+        t + "newton": F.least(F.greatest(col(a2) - col(y2) * (col(e1) - col(e2)) / eta, lo), hi),
+        t + "f1": col(y1) * (col(e1) + bb) - col(a1) * col(k11) - s * col(a2) * col(k12),
+        t + "f2": col(y2) * (col(e2) + bb) - s * col(a1) * col(k12) - col(a2) * col(k22),
+        t + "l1": col(a1) + s * (col(a2) - lo),
+        t + "h1": col(a1) + s * (col(a2) - hi),
+    })
+    f1, f2, l1, h1 = (col(t + n) for n in ("f1", "f2", "l1", "h1"))
+    out = out.withColumns({
+        t + "lobj": (l1 * f1 + lo * f2 + F.lit(0.5) * l1 * l1 * col(k11)
+                     + F.lit(0.5) * lo * lo * col(k22) + s * lo * l1 * col(k12)),
+        t + "hobj": (h1 * f1 + hi * f2 + F.lit(0.5) * h1 * h1 * col(k11)
+                     + F.lit(0.5) * hi * hi * col(k22) + s * hi * h1 * col(k12)),
+    })
+    lobj, hobj = col(t + "lobj"), col(t + "hobj")
+    flat = (F.when(lobj < hobj - F.lit(eps), lo)
+            .when(lobj > hobj + F.lit(eps), hi).otherwise(col(a2)))
+    out = out.withColumn("a2_new", F.when(lo >= hi, col(a2))
+                         .when(eta < F.lit(-ETA_FLOOR), col(t + "newton")).otherwise(flat))
+    out = out.withColumn("a1_new", col(a1) + s * (col(a2) - col("a2_new")))
+    a1n, a2n = col("a1_new"), col("a2_new")
+    out = out.withColumns({
+        t + "b1": col(e1) + col(y1) * (a1n - col(a1)) * col(k11) + col(y2) * (a2n - col(a2)) * col(k12) + bb,
+        t + "b2": col(e2) + col(y1) * (a1n - col(a1)) * col(k12) + col(y2) * (a2n - col(a2)) * col(k22) + bb,
+    })
+    b1, b2 = col(t + "b1"), col(t + "b2")
+    out = out.withColumn("b_new", F.when((a1n > 0) & (a1n < col(c1)), b1)
+                         .when((a2n > 0) & (a2n < col(c2)), b2)
+                         .otherwise((b1 + b2) / F.lit(2.0)))
+    return out.drop(*[c for c in out.columns if c.startswith(t)])

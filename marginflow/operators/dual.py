@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginflow.functions.kernels import kernel_expr
-from marginflow.functions.smo import lower_bound, pair_step_expr, upper_bound
+from marginflow.functions.smo import lower_bound, upper_bound, with_pair_step_columns
 from marginflow.operators.scoring import DEFAULT_BROADCAST_BYTES, kernel_sum, linear_weights
 
 # fixed value: multiplier used to turn a seed into a start offset (Knuth's
@@ -161,6 +161,22 @@ def pair_of(state: DataFrame, choice: DataFrame, cols: list[str]) -> DataFrame:
     return choice.select("i", "j").join(a, "i").join(b, "j")
 
 
+def local_rows(df: DataFrame, max_rows: int) -> DataFrame:
+    """Collect a table bounded by construction (checked: at most max_rows)
+    and return it as a JVM-side local relation.
+
+    Used for the two rows one SMO step moves: later plans read two literal
+    rows instead of re-running the choice and the step for every use."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"expected at most {max_rows} rows")
+    if not rows:
+        return df.sparkSession.createDataFrame([], df.schema)
+    structs = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+               for r in rows]
+    return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
+
+
 def with_kernels(pairs: DataFrame, kernel: str, gamma: float) -> DataFrame:
     return pairs.withColumn("k11", kernel_expr("x_i", "x_i", kernel, gamma)) \
                 .withColumn("k12", kernel_expr("x_i", "x_j", kernel, gamma)) \
@@ -175,10 +191,8 @@ def with_pair_bounds(pairs: DataFrame) -> DataFrame:
 
 def with_pair_step(pairs: DataFrame, b: float, eps: float = 1e-3) -> DataFrame:
     """Adds a1_new, a2_new, b_new (T10); needs y, alpha, e, cap and k11/k12/k22."""
-    st = pair_step_expr(F.col("y_i"), F.col("y_j"), F.col("alpha_i"), F.col("alpha_j"),
-                        F.col("e_i"), F.col("e_j"), F.col("k11"), F.col("k12"), F.col("k22"),
-                        F.col("cap_i"), F.col("cap_j"), F.lit(float(b)), eps)
-    return pairs.withColumn("_st", st).select("*", "_st.*").drop("_st")
+    return with_pair_step_columns(pairs, "y_i", "y_j", "alpha_i", "alpha_j", "e_i", "e_j",
+                                  "k11", "k12", "k22", "cap_i", "cap_j", b, eps)
 
 
 def step_deltas(stepped: DataFrame) -> DataFrame:

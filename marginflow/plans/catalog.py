@@ -85,7 +85,8 @@ def _chosen_step(st: DataFrame) -> DataFrame:
     as delta rows (id, x, y, alpha_old, alpha_new) (T4, T5, T10, T11)."""
     choice = D.second_choice(st, D.first_choice(st, TOL))
     pair = D.pair_of(st, choice, PAIR_COLS)
-    return D.step_deltas(D.with_pair_step(D.with_kernels(pair, "rbf", GAMMA), B, eps=1e-3))
+    deltas = D.step_deltas(D.with_pair_step(D.with_kernels(pair, "rbf", GAMMA), B, eps=1e-3))
+    return D.local_rows(deltas, 2)   # one pair moves two rows
 
 
 def _label01() -> Column:

@@ -171,6 +171,25 @@ def test_pair_step_expr_equals_scalar(spark):
         assert -1e-12 <= s.a1_new <= row[-2] + 1e-12
 
 
+def test_staged_pair_step_equals_scalar(spark):
+    from marginflow.functions.smo import with_pair_step_columns
+    rnd = random.Random(12)
+    rows = []
+    for k in range(200):
+        a1, a2 = rnd.choice([0.0, 0.5, rnd.uniform(0, 0.5)]), rnd.choice([0.0, 0.5, rnd.uniform(0, 0.5)])
+        k12 = 1.0 if k % 9 == 0 else rnd.uniform(0, 1)
+        rows.append((k, rnd.choice([-1.0, 1.0]), rnd.choice([-1.0, 1.0]), a1, a2, rnd.uniform(-2, 2),
+                     rnd.uniform(-2, 2), 1.0, k12, 1.0, 0.5, 0.5))
+    df = spark.createDataFrame(rows, "k int, y1 double, y2 double, a1 double, a2 double, e1 double, "
+                                     "e2 double, k11 double, k12 double, k22 double, c1 double, c2 double")
+    out = with_pair_step_columns(df, "y1", "y2", "a1", "a2", "e1", "e2", "k11", "k12", "k22",
+                                 "c1", "c2", -0.2, 1e-3)
+    assert set(out.columns) == set(df.columns) | {"a1_new", "a2_new", "b_new"}
+    got = {r.k: (r.a1_new, r.a2_new, r.b_new) for r in out.collect()}
+    for row in rows:
+        assert np.allclose(got[row[0]], pair_step(*row[1:], b=-0.2, eps=1e-3), atol=1e-12)
+
+
 def test_pair_step_identical_points_opposite_labels():
     # curvature 0: end-point rule; same point with opposite labels
     a1, a2, _ = pair_step(1.0, -1.0, 0.0, 0.0, -1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 1e-3)
