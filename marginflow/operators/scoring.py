@@ -170,6 +170,17 @@ def linear_score(df: DataFrame, weights: DataFrame, b: float, x_col: str = "x",
     return bound.withColumn(out_col, dot(x_col, "_w") - F.lit(float(b))).drop("_w")
 
 
+def literal_linear_score(df: DataFrame, w: list, b: float, x_col: str = "x",
+                         out_col: str = "score") -> DataFrame:
+    """score = sum_i x[i] * w_i - b with W held as d literals: a plain sum of
+    products that stays in generated code (no lambda, no subquery)."""
+    terms = [F.col(x_col)[i] * F.lit(float(v)) for i, v in enumerate(w)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    return df.withColumn(out_col, total - F.lit(float(b)))
+
+
 # --------------------------------------------------------------------------
 # fitted kernel model
 # --------------------------------------------------------------------------
@@ -185,6 +196,7 @@ class KernelModel:
     c: float = 1.0
     tol: float = 1e-3
     info: dict = field(default_factory=dict)
+    weights: list | None = None     # linear models whose W is already on the driver
 
     def coef_table(self) -> DataFrame:
         mult = F.col("mult") if "mult" in self.support.columns else F.lit(1.0)
@@ -193,6 +205,8 @@ class KernelModel:
     def decision(self, df: DataFrame, x_col: str = "x", out_col: str = "score",
                  max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
         """Add the decision value f(x) (K4)."""
+        if self.kernel == "linear" and self.weights is not None:
+            return literal_linear_score(df, self.weights, self.b, x_col, out_col)
         if self.kernel == "linear":
             w = linear_weights(self.coef_table(), "coef")
             return linear_score(df, w, self.b, x_col, out_col)

@@ -440,11 +440,14 @@ def fit_linear_svc(df: DataFrame, x_col: str = "x", label_col: str = "label",
         .withColumn("features", array_to_vector("x"))
     model = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
                       regParam=reg, maxIter=max_iter, tol=tol, standardization=False).fit(rows)
-    spark = df.sparkSession
     w = [float(v) for v in model.coefficients.toArray()]
-    support = spark.createDataFrame([(w, 1.0, 1.0, 1)], "x array<double>, y double, alpha double, mult long")
+    # the single support row is W itself, as a JVM-side local relation
+    support = df.sparkSession.range(1).select(
+        F.array(*[F.lit(v) for v in w]).alias("x"), F.lit(1.0).alias("y"),
+        F.lit(1.0).alias("alpha"), F.lit(1).cast("long").alias("mult"))
     return KernelModel(support, -float(model.intercept), "linear", 0.0, 0.0, tol,
-                       info={"iterations": model.summary().totalIterations if model.hasSummary else None})
+                       info={"iterations": model.summary().totalIterations if model.hasSummary else None},
+                       weights=w)
 
 
 @dataclass
