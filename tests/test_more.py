@@ -67,3 +67,41 @@ def test_broadcast_if_small_marks_only_small_tables(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert broadcast_if_small(big, max_rows=10) is big
+
+
+def test_chunked_basis_merges_duplicates(spark):
+    """Over-budget bases merge identical vectors (coefficients add) before
+    chunking; the sum is unchanged."""
+    from marginflow.operators.scoring import kernel_sum
+    rng = np.random.default_rng(4)
+    pts = rng.normal(size=(40, 3))
+    rows = [(i, pts[i % 40].tolist(), float(i % 5 - 2)) for i in range(400)]   # each point 10 times
+    df = spark.createDataFrame(rows, "id long, x array<double>, coef double")
+    small = {r.id: r.s for r in kernel_sum(df, df, "coef", "s", "rbf", 0.3,
+                                           max_broadcast_bytes=1500).collect()}
+    X = np.array([r[1] for r in rows]); c = np.array([r[2] for r in rows])
+    want = np.exp(-0.3 * ((X[:, None] - X[None]) ** 2).sum(-1)) @ c
+    assert all(abs(small[i] - want[i]) < 1e-9 for i in range(400))
+
+
+def test_local_rows_checks_its_bound(spark):
+    from marginflow.operators.dual import local_rows
+    df = spark.range(3).select("id", (F.col("id") * 0.5).alias("v"))
+    back = local_rows(df, 3)
+    assert sorted((r.id, r.v) for r in back.collect()) == [(0, 0.0), (1, 0.5), (2, 1.0)]
+    assert back.schema == df.schema
+    with pytest.raises(ValueError):
+        local_rows(df, 2)
+    assert local_rows(df.filter("id > 5"), 2).count() == 0
+
+
+def test_task_sizing(spark):
+    from marginflow.operators.trainers import ROWS_PER_TASK, _task_count, spread
+    df = spark.range(10)
+    cores = spark.sparkContext.defaultParallelism
+    assert _task_count(df, 550) == 1
+    assert _task_count(df, 10 ** 9) == cores
+    assert _task_count(df, 3 * ROWS_PER_TASK) == min(cores, 3)
+    wide = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(wide, 1000).rdd.getNumPartitions() == 1
+    assert spread(spark.range(0, 1000, numPartitions=1)).rdd.getNumPartitions() == cores
