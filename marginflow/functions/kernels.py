@@ -98,7 +98,10 @@ def block_kernel_sum(X: np.ndarray, S: np.ndarray, coef: np.ndarray,
     out = np.zeros(len(X), dtype=np.float64)
     if len(S) == 0 or len(X) == 0:
         return out
-    if kernel != "linear" and center is None:
+    if kernel == "linear":
+        # sum_j c_j (x . s_j) = x . (sum_j c_j s_j): one d-vector per basis
+        return X @ (S.T @ coef)
+    if center is None:
         center = S.mean(axis=0)
     step = max(1, max_cells // max(1, len(S)))
     for lo in range(0, len(X), step):

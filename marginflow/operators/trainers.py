@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.functions.kernels import block_kernel, check_kernel
+from marginflow.functions.kernels import block_kernel, block_kernel_sum, check_kernel
 from marginflow.functions.smo import pair_step
 from marginflow.operators.dual import broadcast_if_small, low_set, up_set
 from marginflow.operators.scoring import (DEFAULT_BROADCAST_BYTES, KernelModel,
@@ -178,10 +178,7 @@ def _update_state(state: DataFrame, sids: np.ndarray, S: np.ndarray, dcoef: np.n
             alpha = cols["alpha"].to_numpy(zero_copy_only=False).copy()
             if len(S_m):
                 X = arrow_matrix(cols["x"], S.shape[1])
-                step = max(1, 4_000_000 // len(S_m))
-                for lo in range(0, len(X), step):
-                    kb = block_kernel(X[lo:lo + step], S_m, kernel, gamma, center)
-                    g[lo:lo + step] += y[lo:lo + step] * (kb @ c_m)
+                g += y * block_kernel_sum(X, S_m, c_m, kernel, gamma, center)
             sid = cols["sid"].to_numpy(zero_copy_only=False)
             pos = np.searchsorted(sids, sid)
             pos[pos >= len(sids)] = 0
