@@ -105,3 +105,14 @@ def test_task_sizing(spark):
     wide = spark.range(0, 1000, numPartitions=cores * 2)
     assert spread(wide, 1000).rdd.getNumPartitions() == 1
     assert spread(spark.range(0, 1000, numPartitions=1)).rdd.getNumPartitions() == cores
+
+
+def test_report_run_small_table_uses_exact_trainer(spark):
+    """E9 end to end on sf0.001: few distinct training rows -> exact trainer."""
+    from marginflow.plans.run import classification_run
+    got = {r.metric: r.value for r in classification_run(spark, SF_SMALL).collect()}
+    assert set(got) == {"train_precision", "test_precision", "random_precision",
+                        "trainer_kind", "converged", "train_distinct_rows"}
+    assert got["trainer_kind"] == 1.0 and got["converged"] == 1.0
+    assert got["train_precision"] >= 0.95 and got["test_precision"] >= 0.9
+    assert 0.0 < got["random_precision"] < 1.0
