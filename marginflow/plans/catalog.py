@@ -43,9 +43,13 @@ def _parsed_lines(spark, sf):
 
 
 def _planted_model(rows: DataFrame, dim: int, kernel: str = "rbf") -> KernelModel:
-    """Planted model: class centroids of ``rows`` as support (K rows)."""
-    sv = fx.planted_support(rows, dim)
-    return KernelModel(sv.select("x", "y", "alpha"), B, kernel, GAMMA, C)
+    """Planted model: class centroids of ``rows`` as support (K rows).
+
+    The support is aggregated once and kept as a literal local relation
+    (bounded by the class count, checked), so every later scoring call reads
+    K rows instead of re-aggregating the table."""
+    sv = D.local_rows(fx.planted_support(rows, dim).select("x", "y", "alpha"), P.MAX_CLASSES)
+    return KernelModel(sv, B, kernel, GAMMA, C)
 
 
 def _planted_scored(spark, sf, kernel: str = "rbf") -> DataFrame:
