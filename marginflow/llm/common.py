@@ -72,3 +72,31 @@ def text_slices(texts: list[str | None], limit: int = 4_000_000):
         size += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make) -> DataFrame:
+    """The ``keep`` columns of every row plus columns computed from its text.
+
+    ``make()`` runs once per task and returns a function from a list of texts
+    to one Arrow array per new field.  A kept column with the name of a new
+    one gives way to it, as with ``withColumn``.  A narrow Arrow map: no
+    shuffle, and rows travel in slices of bounded text size.
+    """
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    names = {f.name.lower() for f in new_fields}
+    keep = [c for c in keep if c.lower() not in names]
+    schema = T.StructType([docs.schema[c] for c in keep] + list(new_fields))
+    out_names = [f.name for f in schema]
+
+    def run(batches):
+        f = make()
+        for batch in batches:
+            texts = batch.column(len(keep)).to_pylist()
+            for lo, hi in text_slices(texts):
+                old = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(old + list(f(texts[lo:hi])), names=out_names)
+
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text")) \
+               .mapInArrow(run, schema)
