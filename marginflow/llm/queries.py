@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import read_table
+from marginflow.llm.common import read_table, sha256_joined
+from marginflow.llm.decontamination import decontaminate
+from marginflow.llm.language_id import fit_languages, held_out, identify_languages
 from marginflow.llm.packing import pack
+from marginflow.llm.secrets import find_secrets
+from marginflow.llm.simhash import near_duplicates
+from marginflow.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +28,56 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack(read_table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "sequence_id", "offset")
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                          keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        sha256_joined("item_ids").alias("items_sha256"), "contaminated")
+
+
+@query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def span_digests(spans, base_kinds: dict[str, str]):
+    """Digest columns of an array of (kind, start, stop, base) in order."""
+    def joined(arr):
+        return F.transform(arr, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"]))
+    base = F.filter(spans, lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(name) for name, kind in base_kinds.items()]
+    return [*counts, sha256_joined(joined(base)).alias("base_sha256"),
+            F.concat_ws(",", joined(spans)).alias("spans")]
+
+
+#: fixed values: the rules of the contract
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS r(host, path, verdict)")
+    return judge_urls(read_table(spark, sf_dir, "pages"), rules, keep=["page_id"])
+
+
+@query
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *span_digests(F.col("secrets"), {
+        "n_assign": "assign", "n_access": "access", "n_hex": "hex"}))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_languages(docs.filter(~held_out(F.col("doc_id"))))
+    found = identify_languages(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
