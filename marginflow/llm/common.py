@@ -100,3 +100,29 @@ def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make)
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text")) \
                .mapInArrow(run, schema)
+
+
+def range_buckets(df: DataFrame, col: str, rows: int, most: int = 20_000) -> tuple[F.Column, int]:
+    """A bucket number that rises with an integer column, and how many there are.
+
+    About ``rows`` rows to a bucket (more if that would need over ``most``
+    buckets), from approximate quantiles of the whole column: one aggregate
+    that reads only that column.  Nulls are in bucket 0.
+    """
+    import json
+    import math
+
+    n = df.filter(F.col(col).isNotNull()).count()
+    k = min(most, -(-n // rows))
+    if k <= 1:
+        return F.lit(0), 1
+    cuts = df.select(F.percentile_approx(col, [i / k for i in range(1, k)], max(10_000, 10 * k))).first()[0]
+    cuts = sorted(set(cuts))
+    width = math.isqrt(len(cuts)) + 1
+    blocks = [cuts[i:i + width] for i in range(0, len(cuts), width)]
+    heads = F.from_json(F.lit(json.dumps([b[0] for b in blocks])), "array<bigint>")
+    table = F.from_json(F.lit(json.dumps(blocks)), "array<array<bigint>>")
+    key = F.col(col)
+    block = F.size(F.filter(heads, lambda h: h <= key)) - 1
+    inside = F.size(F.filter(F.get(table, block), lambda c: c <= key))
+    return F.when(block < 0, 0).otherwise(block * width + inside), len(cuts) + 1

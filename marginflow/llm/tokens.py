@@ -42,6 +42,15 @@ def _latin_pattern(pattern: str):
     return re.compile(pattern)
 
 
+def _bare(tok):
+    """The file's model for pieces already lowered and cut, one per blank."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+    bare = Tokenizer(tok.model)
+    bare.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+    return bare
+
+
 class WordEncoder:
     """Encodes whole texts; remembers the ids of pieces already encoded.
 
@@ -65,8 +74,8 @@ class WordEncoder:
             ends = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)
             for token, i in tok.get_vocab(with_added_tokens=True).items():
                 ends[i] = token.endswith("</w>")
-            held[path] = (tok, pattern and _latin_pattern(pattern), ends, {})
-        self.tok, self.pattern, self.ends, self.pieces = held[path]
+            held[path] = (tok, pattern and _latin_pattern(pattern), ends, {}, _bare(tok))
+        self.tok, self.pattern, self.ends, self.pieces, self.bare = held[path]
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.width = 2 if len(self.ends) <= 0x10000 else 4
         self.dtype = f"<u{self.width}"
@@ -80,7 +89,7 @@ class WordEncoder:
         import numpy as np
         for at in range(0, len(new), 2000):
             part = new[at:at + 2000]
-            ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+            ids = np.asarray(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
                              self.dtype)
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(part):
