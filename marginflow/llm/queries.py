@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import read_table, sha256_joined
+from marginflow.llm.common import read_table, scratch_path, sha256_joined
 from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
+from marginflow.llm import order_minhash as omh
 from marginflow.llm.packing import pack
 from marginflow.llm.secrets import find_secrets
 from marginflow.llm.simhash import near_duplicates
+from marginflow.llm.token_files import read_token_files, write_token_files
 from marginflow.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +83,26 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.filter(~held_out(F.col("doc_id"))))
     found = identify_languages(docs, model, keep=["doc_id"])
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(read_table(spark, sf_dir, "documents"), path)
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = omh.with_next(omh.sketch(read_table(spark, sf_dir, "documents")), "id", ["text", "sigs"], "tie")
+    n = F.length("text")
+    kept = n - F.floor(n / 4).cast("int")
+    edited = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept),
+                                                F.substring("next_text", F.lit(1), n - kept))) \
+        .withColumn("edited_sigs", omh.signatures(F.col("edited")))
+    return edited.select(
+        F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        omh.fingerprint(F.col("sigs")).alias("fingerprint"),
+        omh.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
+        omh.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
+        omh.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
