@@ -12,6 +12,7 @@ from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
 from marginflow.llm import order_minhash as omh
 from marginflow.llm.packing import pack
+from marginflow.llm.pii import find_pii
 from marginflow.llm.secrets import find_secrets
 from marginflow.llm.simhash import near_duplicates
 from marginflow.llm.token_files import read_token_files, write_token_files
@@ -106,3 +107,10 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         omh.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         omh.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         omh.likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"))
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *span_digests(F.col("pii"), {
+        "n_email": "email", "n_ip": "ip", "n_card": "card", "n_phone": "phone"}))
