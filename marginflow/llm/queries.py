@@ -13,6 +13,7 @@ from marginflow.llm.language_id import fit_languages, held_out, identify_languag
 from marginflow.llm import order_minhash as omh
 from marginflow.llm.packing import pack
 from marginflow.llm.pii import find_pii
+from marginflow.llm.quality import fit_quality, score_quality
 from marginflow.llm.secrets import find_secrets
 from marginflow.llm.simhash import near_duplicates
 from marginflow.llm.token_files import read_token_files, write_token_files
@@ -114,3 +115,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", *span_digests(F.col("pii"), {
         "n_email": "email", "n_ip": "ip", "n_card": "card", "n_phone": "phone"}))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels.filter(~held_out(F.col("doc_id"))))
+    scored = score_quality(docs.select("doc_id", "text", "source", "lang"), model, keep=["doc_id"])
+    return scored.withColumns({"held_out": held_out(F.col("doc_id")), "keep": F.col("quality") >= 0.5})
