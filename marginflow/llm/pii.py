@@ -36,7 +36,7 @@ from marginflow.llm.common import write_table
 KINDS = ("email", "ip", "card", "phone")
 #: Least probability of a looser candidate.
 MIN_PROBABILITY = 0.9
-EM_ROUNDS, FIT_ROUNDS = 50, 300
+EM_ROUNDS, FIT_ROUNDS = 50, 500
 #: Reliability a labeler is thought to have before any vote, and its weight.
 PRIOR_RIGHT, PRIOR_WRONG = 8.0, 2.0
 
@@ -189,8 +189,9 @@ def candidates(text: Column) -> Column:
 
 def estimate(patterns: list[tuple[int, tuple[int, ...], int]]) -> list[float]:
     """Probability of each (kind, votes, count) pattern, by EM over two
-    classes with labelers independent given the class."""
-    p = [0.9 if sum(v) >= 2 else 0.1 for _, v, _ in patterns]
+    classes with labelers independent given the class.  Candidates of the
+    fixed formats are taken as given."""
+    p = [1.0 if v[0] > 0 else 0.9 if sum(v) >= 2 else 0.1 for _, v, _ in patterns]
     for _ in range(EM_ROUNDS):
         right = {}  # (labeler, class): probability of a vote of 1 among votes given
         for j in range(len(VOTES)):
@@ -204,6 +205,9 @@ def estimate(patterns: list[tuple[int, tuple[int, ...], int]]) -> list[float]:
                 right[j, y] = up / all_
         new = []
         for _, v, _ in patterns:
+            if v[0] > 0:
+                new.append(1.0)
+                continue
             log = 0.0  # both classes are taken as equally likely beforehand
             for j, vote in enumerate(v):
                 if vote:
