@@ -40,34 +40,6 @@ def upper_bound(y1, y2, a1, a2, c1, c2) -> Column:
         .otherwise(F.least(c2, a1 + a2))
 
 
-def pair_step_expr(y1, y2, a1, a2, e1, e2, k11, k12, k22, c1, c2, b,
-                   eps: float = 1e-3) -> Column:
-    """New (a1, a2, b) for one pair, as a struct column."""
-    s = y1 * y2
-    lo = lower_bound(y1, y2, a1, a2, c1, c2)
-    hi = upper_bound(y1, y2, a1, a2, c1, c2)
-    eta = F.lit(2.0) * k12 - k11 - k22
-    newton = F.least(F.greatest(a2 - y2 * (e1 - e2) / eta, lo), hi)
-    f1 = y1 * (e1 + b) - a1 * k11 - s * a2 * k12
-    f2 = y2 * (e2 + b) - s * a1 * k12 - a2 * k22
-    l1 = a1 + s * (a2 - lo)
-    h1 = a1 + s * (a2 - hi)
-    lobj = (l1 * f1 + lo * f2 + F.lit(0.5) * l1 * l1 * k11
-            + F.lit(0.5) * lo * lo * k22 + s * lo * l1 * k12)
-    hobj = (h1 * f1 + hi * f2 + F.lit(0.5) * h1 * h1 * k11
-            + F.lit(0.5) * hi * hi * k22 + s * hi * h1 * k12)
-    flat = (F.when(lobj < hobj - F.lit(eps), lo)
-            .when(lobj > hobj + F.lit(eps), hi).otherwise(a2))
-    a2n = F.when(lo >= hi, a2).when(eta < F.lit(-ETA_FLOOR), newton).otherwise(flat)
-    a1n = a1 + s * (a2 - a2n)
-    b1 = e1 + y1 * (a1n - a1) * k11 + y2 * (a2n - a2) * k12 + b
-    b2 = e2 + y1 * (a1n - a1) * k12 + y2 * (a2n - a2) * k22 + b
-    bn = (F.when((a1n > 0) & (a1n < c1), b1)
-          .when((a2n > 0) & (a2n < c2), b2)
-          .otherwise((b1 + b2) / F.lit(2.0)))
-    return F.struct(a1n.alias("a1_new"), a2n.alias("a2_new"), bn.alias("b_new"))
-
-
 # --------------------------------------------------------------------------
 # the same step on scalars (driver-side working-set solver)
 # --------------------------------------------------------------------------
@@ -107,12 +79,11 @@ def pair_step(y1, y2, a1, a2, e1, e2, k11, k12, k22, c1, c2, b=0.0,
 def with_pair_step_columns(df, y1: str, y2: str, a1: str, a2: str, e1: str, e2: str,
                            k11: str, k12: str, k22: str, c1: str, c2: str, b: float,
                            eps: float = 1e-3):
-    """The same step as ``pair_step_expr``, added as columns a1_new, a2_new,
-    b_new through named intermediate columns.
+    """The same step added as columns a1_new, a2_new, b_new through named
+    intermediate columns.
 
-    The single-expression form repeats L, H and the new alphas inside every
-    later term, so its tree grows multiplicatively and takes seconds to
-    analyse; staged columns keep the plan linear (Catalyst does not inline a
+    As one expression it would repeat L, H and the new alphas inside every
+    later term, and take seconds to analyse; staged columns keep the plan linear (Catalyst does not inline a
     non-trivial column that is used more than once)."""
     col = F.col
     t = "_ps_"

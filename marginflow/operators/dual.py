@@ -19,28 +19,31 @@ Operators (T3-T14):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.functions.kernels import kernel_expr
 from marginflow.functions.smo import lower_bound, upper_bound, with_pair_step_columns
 from marginflow.operators.scoring import DEFAULT_BROADCAST_BYTES, kernel_sum, linear_weights
+from marginflow.session import one_row
 
 # fixed value: multiplier used to turn a seed into a start offset (Knuth's
 # multiplicative hashing constant)
 OFFSET_MULTIPLIER = 2654435761
-# side tables (warm starts, step deltas) up to this many rows are broadcast
-BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking it has at most
-    ``max_rows`` rows (a bounded count: each task stops at max_rows + 1).
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if its values take at most ``max_bytes``
+    (8 bytes a value, arrays and strings by their lengths; one aggregate).
 
     Catalyst cannot size the output of a Python map, so without the check a
     two-row table joined to a large one would shuffle the large side."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    def values(f) -> Column:
+        c = F.col(f"`{f.name}`")
+        kind = f.dataType.typeName()
+        return F.coalesce(F.size(c) if kind == "array" else F.length(c) if kind == "string" else F.lit(1), F.lit(1))
+    total = df.agg(F.sum(sum((values(f) for f in df.schema.fields), F.lit(0)) * 8).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if total <= max_bytes else df
 
 
 def up_set() -> Column:
@@ -108,8 +111,8 @@ def second_choice(state: DataFrame, first: DataFrame) -> DataFrame:
 
     Per-partition top-1 merged on the driver; never a full sort.
     """
-    ei = first.select("e").scalar()
-    i = first.select("id").scalar()
+    chosen = first.select(F.struct("id", "e")).scalar()
+    i, ei = chosen["id"], chosen["e"]
     cand = state.filter(free_set() & (F.col("id") != i))
     return cand.select(i.alias("i"), F.col("id").alias("j"), ei.alias("e_i"),
                        F.col("e").alias("e_j"), F.abs(ei - F.col("e")).alias("gap")) \
@@ -138,17 +141,18 @@ def fallback_choice(state: DataFrame, first: DataFrame, seed: int,
 def pair_rows(state: DataFrame, cols: list[str]) -> DataFrame:
     """Rows 2k and 2k+1 side by side, columns suffixed _i / _j.
 
-    An equi-join on k = floor(id / 2) with i < j: with unique ids each key
-    holds at most two rows, so every row takes part in exactly one pair and
-    the result has about n/2 rows.
+    One exchange on k = id >> 1 and a look at the next row of the same key:
+    every row takes part in exactly one pair, and a row whose neighbour is
+    absent stays with NULLs for it.  Ids must be unique; a repeated id raises.
     """
-    key = F.floor(F.col("id") / F.lit(2)).cast("long")
-    left = state.select(key.alias("k"), F.col("id").alias("i"),
-                        *[F.col(c).alias(f"{c}_i") for c in cols])
-    right = state.select(key.alias("k"), F.col("id").alias("j"),
-                         *[F.col(c).alias(f"{c}_j") for c in cols])
-    return left.join(right, (left.k == right.k) & (left.i < right.j), "inner") \
-               .drop(left.k).drop(right.k)
+    pair = Window.partitionBy(F.shiftright("id", 1)).orderBy("id")
+    rows = state.select(F.struct("id", *cols).alias("a"), F.lead(F.struct("id", *cols)).over(pair).alias("b"),
+                        F.row_number().over(pair).alias("at"))
+    first = F.when((F.col("at") > 2) | (F.col("a.id") == F.col("b.id")), F.raise_error(
+        F.lit("ids must be unique"))).otherwise(F.col("at") == 1)
+    return rows.filter(first).select(
+        F.col("a.id").alias("i"), *[F.col(f"a.{c}").alias(f"{c}_i") for c in cols],
+        F.col("b.id").alias("j"), *[F.col(f"b.{c}").alias(f"{c}_j") for c in cols])
 
 
 def pair_of(state: DataFrame, choice: DataFrame, cols: list[str]) -> DataFrame:
@@ -163,7 +167,7 @@ def pair_of(state: DataFrame, choice: DataFrame, cols: list[str]) -> DataFrame:
 
 def local_rows(df: DataFrame, max_rows: int) -> DataFrame:
     """Collect a table bounded by construction (checked: at most max_rows)
-    and return it as a JVM-side local relation.
+    and return it as literal rows of a one-partition relation.
 
     Used for the two rows one SMO step moves: later plans read two literal
     rows instead of re-running the choice and the step for every use."""
@@ -174,7 +178,7 @@ def local_rows(df: DataFrame, max_rows: int) -> DataFrame:
         return df.sparkSession.createDataFrame([], df.schema)
     structs = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
                for r in rows]
-    return df.sparkSession.range(1).select(F.inline(F.array(*structs)))
+    return one_row(df.sparkSession).select(F.inline(F.array(*structs)))
 
 
 def with_kernels(pairs: DataFrame, kernel: str, gamma: float) -> DataFrame:
@@ -196,24 +200,33 @@ def with_pair_step(pairs: DataFrame, b: float, eps: float = 1e-3) -> DataFrame:
 
 
 def step_deltas(stepped: DataFrame) -> DataFrame:
-    """Pair rows -> one row per moved multiplier: (id, x, y, alpha_old, alpha_new)."""
+    """Pair rows -> one row per moved multiplier: (id, x, y, alpha_old,
+    alpha_new, b_new)."""
     return stepped.select(F.inline(F.array(
         F.struct(F.col("i").alias("id"), F.col("x_i").alias("x"), F.col("y_i").alias("y"),
-                 F.col("alpha_i").alias("alpha_old"), F.col("a1_new").alias("alpha_new")),
+                 F.col("alpha_i").alias("alpha_old"), F.col("a1_new").alias("alpha_new"), "b_new"),
         F.struct(F.col("j").alias("id"), F.col("x_j").alias("x"), F.col("y_j").alias("y"),
-                 F.col("alpha_j").alias("alpha_old"), F.col("a2_new").alias("alpha_new")))))
+                 F.col("alpha_j").alias("alpha_old"), F.col("a2_new").alias("alpha_new"), "b_new"))))
+
+
+def new_threshold(deltas: DataFrame, b: float) -> Column:
+    """The step's b, or the old one if no pair was chosen."""
+    return F.coalesce(deltas.agg(F.max("b_new")).scalar(), F.lit(float(b)))
 
 
-def apply_step(state: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Write new alphas back by id; untouched rows keep theirs."""
+def apply_step(state: DataFrame, deltas: DataFrame, b: float) -> DataFrame:
+    """Write new alphas back by id; untouched rows keep theirs.  Adds the new
+    threshold as ``b`` (T11)."""
     d = broadcast_if_small(deltas.select("id", F.col("alpha_new").alias("_new")))
     return state.join(d, "id", "left") \
-        .withColumn("alpha", F.coalesce(F.col("_new"), F.col("alpha"))).drop("_new")
+        .withColumn("alpha", F.coalesce(F.col("_new"), F.col("alpha"))).drop("_new") \
+        .withColumn("b", new_threshold(deltas, b))
 
 
-def gradient_update(state: DataFrame, deltas: DataFrame, kernel: str, gamma: float,
+def gradient_update(state: DataFrame, deltas: DataFrame, kernel: str, gamma: float, b: float,
                     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """g += y * sum_j (alpha_new - alpha_old)_j y_j K(x_j, x) on every row.
+    """g += y * sum_j (alpha_new - alpha_old)_j y_j K(x_j, x) on every row, and
+    the errors e = y*g - b with the step's new b (T12).
 
     The moved rows are the broadcast basis (chunked if large); rows with no
     change are filtered out before anything is collected.
@@ -222,7 +235,8 @@ def gradient_update(state: DataFrame, deltas: DataFrame, kernel: str, gamma: flo
                   .filter(F.col("coef") != 0)
     upd = kernel_sum(state, moved, "coef", "_dg", kernel, gamma, scale_col="y",
                      max_broadcast_bytes=max_broadcast_bytes)
-    return upd.withColumn("g", F.col("g") + F.col("_dg")).drop("_dg")
+    return upd.withColumn("g", F.col("g") + F.col("_dg")).drop("_dg") \
+              .withColumn("e", F.col("y") * F.col("g") - new_threshold(deltas, b))
 
 
 def weights_delta(weights: DataFrame, deltas: DataFrame) -> DataFrame:

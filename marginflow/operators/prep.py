@@ -8,14 +8,11 @@ row count on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # fixed value: a decoded one-hot slot counts as set at this score
 ONE_HOT_THRESHOLD = 0.5
-MAX_CLASSES = 10_000
 
 
 def target_split(df: DataFrame, values_col: str, target_index: int,
@@ -58,33 +55,29 @@ def scale_global(df: DataFrame, x_col: str = "x", stats: DataFrame | None = None
         x_col, lambda v: _safe_scale(v, F.col("_lo"), F.col("_hi")))).drop("_lo", "_hi")
 
 
-def column_minmax(df: DataFrame, x_col: str, dim: int) -> DataFrame:
-    """Per-position (mins, maxs) arrays in one aggregate row."""
-    return df.agg(
-        F.array(*[F.min(F.col(x_col)[i]) for i in range(dim)]).alias("mins"),
-        F.array(*[F.max(F.col(x_col)[i]) for i in range(dim)]).alias("maxs"))
+def column_minmax(df: DataFrame, x_col: str) -> DataFrame:
+    """Per-position (mins, maxs) arrays: one vector aggregate with map-side
+    partial results, no row for an empty table."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    vectors = df.select(array_to_vector(F.col(x_col).cast("array<double>")).alias("v"))
+    return vectors.groupBy().agg(Summarizer.metrics("min", "max").summary(F.col("v")).alias("s")) \
+                  .select(vector_to_array("s.min").alias("mins"), vector_to_array("s.max").alias("maxs"))
 
 
-def scale_per_column(df: DataFrame, x_col: str, dim: int, stats: DataFrame | None = None,
+def scale_per_column(df: DataFrame, x_col: str, stats: DataFrame | None = None,
                      out_col: str | None = None) -> DataFrame:
     """Standard per-column min-max scaling of an array column."""
-    stats = stats if stats is not None else column_minmax(df, x_col, dim)
+    stats = stats if stats is not None else column_minmax(df, x_col)
     st = stats.select(F.struct("mins", "maxs")).scalar()
-    bound = df.withColumn("_lo", st["mins"]).withColumn("_hi", st["maxs"])
-    return bound.withColumn(out_col or x_col, F.transform(
-        x_col, lambda v, i: _safe_scale(v, F.element_at("_lo", i + 1),
-                                        F.element_at("_hi", i + 1)))).drop("_lo", "_hi")
+    return scale_with(df.withColumn("_lo", st["mins"]).withColumn("_hi", st["maxs"]),
+                      x_col, F.col("_lo"), F.col("_hi"), out_col).drop("_lo", "_hi")
 
 
-def scale_columns(df: DataFrame, cols: Sequence[str], stats: DataFrame | None = None) -> DataFrame:
-    """Per-column min-max scaling of plain numeric columns (P3 on columns)."""
-    stats = stats if stats is not None else df.agg(
-        *[F.min(c).alias(f"{c}__min") for c in cols], *[F.max(c).alias(f"{c}__max") for c in cols])
-    st = stats.select(F.struct(*stats.columns)).scalar()
-    out = df
-    for c in cols:
-        out = out.withColumn(c, _safe_scale(F.col(c), st[f"{c}__min"], st[f"{c}__max"]))
-    return out
+def scale_with(df: DataFrame, x_col: str, lo: Column, hi: Column, out_col: str | None = None) -> DataFrame:
+    """Per-column scaling with given arrays of minima and maxima."""
+    return df.withColumn(out_col or x_col, F.transform(
+        x_col, lambda v, i: _safe_scale(v, F.element_at(lo, i + 1), F.element_at(hi, i + 1))))
 
 
 def class_count(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -92,36 +85,27 @@ def class_count(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.agg(F.count_distinct(label_col).alias("n_classes"))
 
 
-def class_index(df: DataFrame, label_col: str = "label",
-                max_classes: int = MAX_CLASSES) -> DataFrame:
-    """(label, idx) with idx = rank of the label in sorted order.
+def class_list(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """One row ``classes``: the distinct labels in order.  A NULL label raises.
 
-    The distinct labels are aggregated with map-side combine, then the K
-    class rows (checked K <= max_classes) are numbered on the driver and
-    returned as a small table; joining it back is a broadcast of K rows.
-    """
-    labels = [r[0] for r in df.select(label_col).distinct().orderBy(label_col)
-              .limit(max_classes + 1).collect()]
-    if len(labels) > max_classes:
-        raise ValueError(f"more than {max_classes} classes in {label_col!r}")
-    if any(v is None for v in labels):
-        raise ValueError(f"NULL label in {label_col!r}")
-    # a JVM-side local relation of K rows (no Python task to read it back)
-    field_type = df.schema[label_col].dataType
-    rows = [F.struct(F.lit(v).cast(field_type).alias(label_col), F.lit(i).alias("idx"))
-            for i, v in enumerate(labels)]
-    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    K values in one row; a one-hot row has as many."""
+    seen = df.groupBy(label_col).agg(F.lit(1).alias("_one"))
+    return seen.agg(F.when(F.max(F.col(label_col).isNull()), F.raise_error(F.lit(f"NULL label in {label_col!r}")))
+                    .otherwise(F.array_sort(F.collect_list(label_col))).alias("classes"))
+
+
+def class_index(df: DataFrame, label_col: str = "label") -> DataFrame:
+    """(label, idx) with idx = rank of the label in sorted order."""
+    return class_list(df, label_col).select(F.posexplode("classes").alias("idx", label_col)).select(label_col, "idx")
 
 
 def one_hot(df: DataFrame, label_col: str = "label", classes: DataFrame | None = None,
             out_col: str = "onehot") -> DataFrame:
-    """label -> K-slot 0/1 array, slot i = class i (P5, SURVEY Q5)."""
-    classes = classes if classes is not None else class_index(df, label_col)
-    k = classes.count()
-    joined = df.join(F.broadcast(classes), label_col, "left")
-    return joined.withColumn(out_col, F.transform(
-        F.sequence(F.lit(0), F.lit(k - 1)),
-        lambda i: F.when(i == F.col("idx"), F.lit(1.0)).otherwise(F.lit(0.0)))).drop("idx")
+    """label -> K-slot 0/1 array, slot i = class i (P5, SURVEY Q5); all 0 for
+    a label that is not among ``classes`` (a ``class_list``)."""
+    known = (classes if classes is not None else class_list(df, label_col)).select("classes").scalar()
+    return df.withColumn("_classes", known).withColumn(out_col, F.transform(
+        "_classes", lambda c: F.when(c == F.col(label_col), F.lit(1.0)).otherwise(F.lit(0.0)))).drop("_classes")
 
 
 def one_hot_decode(col: Column | str, threshold: float = ONE_HOT_THRESHOLD) -> Column:
@@ -130,24 +114,3 @@ def one_hot_decode(col: Column | str, threshold: float = ONE_HOT_THRESHOLD) -> C
     hits = F.filter(F.transform(c, lambda v, i: F.when(v >= F.lit(threshold), i)),
                     lambda e: e.isNotNull())
     return F.coalesce(F.array_max(hits), F.lit(0))
-
-
-def infer_type_codes(df: DataFrame, cols: Sequence[str], max_classes: int = 16) -> DataFrame:
-    """Type file derived from the data: (pos, name, code).
-
-    code 1 (classification) when every value of the column is a whole number
-    in [0, max_classes); otherwise 2 (regression).  One aggregate pass with
-    map-side combine; no distinct, so no per-value shuffle.
-    """
-    aggs = []
-    for c in cols:
-        v = F.col(c)
-        aggs += [F.min(v).alias(f"{c}__lo"), F.max(v).alias(f"{c}__hi"),
-                 F.bool_and(v == F.floor(v)).alias(f"{c}__int")]
-    stats = df.agg(*aggs)
-    rows = [F.struct(F.lit(i).alias("pos"), F.lit(c).alias("name"),
-                     F.when(F.col(f"{c}__int") & (F.col(f"{c}__lo") >= 0)
-                            & (F.col(f"{c}__hi") < max_classes), F.lit(1))
-                     .otherwise(F.lit(2)).alias("code"))
-            for i, c in enumerate(cols)]
-    return stats.select(F.inline(F.array(*rows)))

@@ -5,9 +5,10 @@ against every support row.  Here it is a narrow Arrow map: the support block
 is collected once (after a size check) and broadcast; each task scores its
 own batches with one GEMM per slice.  No join, no shuffle, no pair rows.
 
-If the support table exceeds the broadcast budget it is cut into chunks that
-each fit; one Arrow map per chunk adds that chunk's share into the running
-score column, so the cost stays rows x support x d with bounded memory.
+If the support table exceeds the broadcast budget, identical rows are merged
+and the rest is taken in chunks: one Arrow map adds a chunk's share, the
+partial scores are written, and the chunk is released before the next is
+collected.  The driver never holds more than one chunk.
 For the linear kernel the support collapses to one weight vector computed by
 a distributed aggregate (T13), and scoring is a per-row dot product.
 """
@@ -24,25 +25,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginflow.functions.kernels import block_kernel_sum, check_kernel, dot
+from marginflow.session import shared_table
 
 DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def arrow_matrix(column: pa.Array, d: int | None = None) -> np.ndarray:
-    """LIST<DOUBLE> Arrow column -> dense (rows x d) float64 matrix."""
+    """LIST<DOUBLE> Arrow column -> dense (rows x d) float64 matrix.
+
+    Every row must have the same length, and no value may be NULL or NaN."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
         raise ValueError("feature vectors must not be NULL")
     n = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     if n == 0:
         return np.zeros((0, d or 0))
-    width = len(flat) // n
-    if width * n != len(flat) or (d is not None and width != d):
-        lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    width = int(lengths[0]) if d is None else d
+    if (lengths != width).any():
         raise ValueError(f"feature vectors differ in length: {sorted(set(lengths.tolist()))[:5]}")
-    return flat.reshape(n, width)
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("feature values must not be NULL")
+    values = flat.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if np.isnan(values).any():
+        raise ValueError("feature values must not be NaN")
+    return values.reshape(n, width)
 
 
 @dataclass
@@ -72,9 +81,10 @@ def _collect_block(block: DataFrame, x_col: str, coef_col: str):
 
 
 def _add_kernel_sum(df: DataFrame, bc, out_col: str, x_col: str, kernel: str,
-                    gamma: float, scale_col: str | None) -> DataFrame:
+                    gamma: float, scale_col: str | None, has_out: bool = False) -> DataFrame:
+    """One Arrow map that adds a block's share (to an earlier share if
+    ``has_out``)."""
     fields = [f for f in df.schema.fields if f.name != out_col]
-    has_out = out_col in df.columns
     schema = T.StructType(fields + [T.StructField(out_col, T.DoubleType(), False)])
 
     def run(batches):
@@ -95,50 +105,44 @@ def _add_kernel_sum(df: DataFrame, bc, out_col: str, x_col: str, kernel: str,
     return df.mapInArrow(run, schema)
 
 
+def _shared_block(df: DataFrame, S: np.ndarray, coef: np.ndarray, kernel: str):
+    center = S.mean(axis=0) if (kernel != "linear" and len(S)) else None
+    return df.sparkSession.sparkContext.broadcast((S, coef, center))
+
+
 def kernel_sum(df: DataFrame, basis: DataFrame, coef_col: str, out_col: str,
                kernel: str = "rbf", gamma: float = 0.5, x_col: str = "x",
                basis_x_col: str = "x", scale_col: str | None = None,
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-               stats: BasisStats | None = None, keep: list | None = None) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Add ``out_col = [scale *] sum_j coef_j K(basis_x_j, x)`` to every row of df.
 
-    ``basis`` is collected in chunks of at most ``max_broadcast_bytes`` each
-    (the size is checked before anything is collected).
+    The basis is counted first.  One that fits ``max_broadcast_bytes`` is
+    broadcast; a larger one is taken chunk by chunk, with the same result.
     """
     check_kernel(kernel)
-    stats = stats or basis_stats(basis, basis_x_col)
+    if out_col in df.columns:
+        raise ValueError(f"column {out_col!r} is already there")
+    stats = basis_stats(basis, basis_x_col)
     if stats.rows == 0:
-        out = df.withColumn(out_col, F.lit(0.0))
-        return out
-    sc = df.sparkSession.sparkContext
-    n_chunks = max(1, math.ceil(stats.bytes / max_broadcast_bytes))
-    if n_chunks == 1:
-        blocks = [basis]
-    else:
-        # Too large for one broadcast.  Identical basis vectors are merged
-        # first (their coefficients add: exact for a kernel sum), then rows
-        # are hashed into chunks; the chunk count doubles until every chunk
-        # fits the budget.
-        merged = basis.groupBy(F.col(basis_x_col).alias("_bx")) \
-            .agg(F.sum(coef_col).alias("_bc")) \
-            .select(F.col("_bx").alias(basis_x_col), F.col("_bc").alias(coef_col))
-        limit = max(1, max_broadcast_bytes // ((stats.dim + 2) * 8))
-        for _ in range(6):
-            key = F.pmod(F.xxhash64(F.col(basis_x_col)), F.lit(n_chunks))
-            tagged = merged.withColumn("_chunk", key)
-            sizes = [r["count"] for r in tagged.groupBy("_chunk").count().collect()]
-            if max(sizes) <= limit:
-                break
-            n_chunks *= 2
-        else:
-            raise ValueError("cannot split the basis into broadcast-sized chunks")
-        blocks = [tagged.filter(F.col("_chunk") == k).drop("_chunk") for k in range(n_chunks)]
-    out = df if keep is None else df.select(*keep)
-    for block in blocks:
-        S, coef = _collect_block(block, basis_x_col, coef_col)
-        center = S.mean(axis=0) if (kernel != "linear" and len(S)) else None
-        bc = sc.broadcast((S, coef, center))
-        out = _add_kernel_sum(out, bc, out_col, x_col, kernel, gamma, scale_col)
+        return df.withColumn(out_col, F.lit(0.0))
+    if stats.bytes <= max_broadcast_bytes:
+        bc = _shared_block(df, *_collect_block(basis, basis_x_col, coef_col), kernel)
+        return _add_kernel_sum(df, bc, out_col, x_col, kernel, gamma, scale_col)
+    # identical basis vectors first become one: their coefficients add
+    merged = shared_table(basis.groupBy(F.col(basis_x_col).alias("x")).agg(
+        F.sum(coef_col).alias("c")), "basis")
+    n_chunks = math.ceil(1.25 * merged.count() * (stats.dim + 2) * 8 / max_broadcast_bytes)
+    chunk = F.pmod(F.xxhash64("x"), F.lit(n_chunks))
+    out, begun = df, False
+    for k in range(n_chunks):
+        S, coef = _collect_block(merged.filter(chunk == k), "x", "c")
+        if not len(S):
+            continue
+        bc = _shared_block(df, S, coef, kernel)
+        out = shared_table(_add_kernel_sum(out, bc, out_col, x_col, kernel, gamma, scale_col, begun),
+                           "partial-scores")
+        bc.destroy()
+        begun = True
     return out
 
 
@@ -173,12 +177,14 @@ def linear_score(df: DataFrame, weights: DataFrame, b: float, x_col: str = "x",
 def literal_linear_score(df: DataFrame, w: list, b: float, x_col: str = "x",
                          out_col: str = "score") -> DataFrame:
     """score = sum_i x[i] * w_i - b with W held as d literals: a plain sum of
-    products that stays in generated code (no lambda, no subquery)."""
+    products that stays in generated code (no lambda, no subquery).  A vector
+    of another length raises."""
     terms = [F.col(x_col)[i] * F.lit(float(v)) for i, v in enumerate(w)]
     total = terms[0]
     for t in terms[1:]:
         total = total + t
-    return df.withColumn(out_col, total - F.lit(float(b)))
+    return df.withColumn(out_col, F.when(F.size(x_col) == len(w), total - F.lit(float(b))).otherwise(
+        F.raise_error(F.lit(f"feature vectors must have {len(w)} values"))))
 
 
 # --------------------------------------------------------------------------
@@ -197,6 +203,7 @@ class KernelModel:
     tol: float = 1e-3
     info: dict = field(default_factory=dict)
     weights: list | None = None     # linear models whose W is already on the driver
+    block: tuple | None = None      # (support vectors, coefficients) already on the driver
 
     def coef_table(self) -> DataFrame:
         mult = F.col("mult") if "mult" in self.support.columns else F.lit(1.0)
@@ -210,13 +217,19 @@ class KernelModel:
         if self.kernel == "linear":
             w = linear_weights(self.coef_table(), "coef")
             return linear_score(df, w, self.b, x_col, out_col)
-        scored = kernel_sum(df, self.coef_table(), "coef", "_ksum", self.kernel, self.gamma,
-                            x_col=x_col, max_broadcast_bytes=max_broadcast_bytes)
+        if self.block is not None:
+            scored = _add_kernel_sum(df, _shared_block(df, *self.block, self.kernel), "_ksum", x_col,
+                                     self.kernel, self.gamma, None)
+        else:
+            scored = kernel_sum(df, self.coef_table(), "coef", "_ksum", self.kernel, self.gamma,
+                                x_col=x_col, max_broadcast_bytes=max_broadcast_bytes)
         return scored.withColumn(out_col, F.col("_ksum") - F.lit(float(self.b))).drop("_ksum")
 
-    def transform(self, df: DataFrame, x_col: str = "x") -> DataFrame:
-        """Score + 0/1 prediction (M2, M4)."""
-        return predict_label(self.decision(df, x_col))
+    def transform(self, df: DataFrame, x_col: str = "x", y: F.Column | None = None) -> DataFrame:
+        """Score and 0/1 prediction (M2, M4); with the true ``y`` (-1, 1) also
+        the decision error f(x) - y (K5)."""
+        out = predict_label(self.decision(df, x_col))
+        return out if y is None else prediction_error(out, y=y)
 
     def header(self) -> DataFrame:
         spark = self.support.sparkSession
@@ -236,10 +249,12 @@ class KernelModel:
 
 
 def predict_label(df: DataFrame, score: str = "score", out: str = "prediction") -> DataFrame:
-    """score > 0 -> 1.0 else 0.0 (M2)."""
-    return df.withColumn(out, F.when(F.col(score) > 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+    """score > 0 -> 1.0, otherwise 0.0 (M2); NULL for a NULL or NaN score."""
+    v = F.nanvl(F.col(score), F.lit(None).cast("double"))
+    return df.withColumn(out, F.when(v > 0, F.lit(1.0)).when(v <= 0, F.lit(0.0)))
 
 
-def prediction_error(df: DataFrame, score: str = "score", y: str = "y") -> DataFrame:
+def prediction_error(df: DataFrame, score: str = "score", y: str | F.Column = "y",
+                     out: str = "error") -> DataFrame:
     """E = f(x) - y (K5)."""
-    return df.withColumn("e", F.col(score) - F.col(y))
+    return df.withColumn(out, F.col(score) - (F.col(y) if isinstance(y, str) else y))

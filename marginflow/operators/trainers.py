@@ -13,9 +13,10 @@ alpha, g).  Per outer iteration:
 3. one Arrow map over all rows adds y * sum_j dalpha_j y_j K(x_j, x) to g
    and writes the q new alphas (the q rows travel with the task closure).
 
-The state is persisted each iteration and written to the reliable
-checkpoint folder every ``checkpoint_every`` iterations, so lineage (and
-the recomputation after a lost executor) stays bounded.
+The state is persisted each iteration and written to the shared checkpoint
+folder every ``checkpoint_every`` iterations, so lineage (and the
+recomputation after a lost executor) stays bounded.  Its partition count
+follows its bytes.
 
 Duplicate rows are merged first: identical (x, y) rows share one
 multiplier with box bound C * multiplicity.  This is exact (any optimum can
@@ -41,7 +42,7 @@ from marginflow.functions.smo import pair_step
 from marginflow.operators.dual import broadcast_if_small, low_set, up_set
 from marginflow.operators.scoring import (DEFAULT_BROADCAST_BYTES, KernelModel,
                                           arrow_matrix, kernel_sum)
-from marginflow.session import ensure_checkpoint_dir
+from marginflow.session import ensure_checkpoint_dir, one_row, shared_table
 
 # fixed values: the reference trainer's defaults (C, eps, gamma, tolerance)
 DEFAULT_C = 0.1
@@ -76,6 +77,7 @@ class SVMParams:
     checkpoint_every: int = 10
     dedup: bool = True
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+    allow_unconverged: bool = False
 
     def __post_init__(self):
         if not self.c > 0:
@@ -108,7 +110,7 @@ class SVMParams:
 # --------------------------------------------------------------------------
 
 def solve_subproblem(K: np.ndarray, y: np.ndarray, alpha: np.ndarray, g: np.ndarray,
-                     cap: np.ndarray, tol: float, max_steps: int):
+                     cap: np.ndarray, tol: float, max_steps: int, eps: float = 0.0):
     """Pair steps on the working set until its own gap <= tol.
 
     g is the full gradient restricted to the set; it is kept current with
@@ -116,7 +118,9 @@ def solve_subproblem(K: np.ndarray, y: np.ndarray, alpha: np.ndarray, g: np.ndar
     i = the most violating row of the up set, j = the low-set row with the
     largest guaranteed decrease b^2 / a (a = K_ii + K_jj - 2 K_ij), which
     needs far fewer steps than the maximal violating pair when bounds are
-    large (merged duplicates).  Returns (new alpha, steps).
+    large (merged duplicates).  A flat pair whose ends differ by less than
+    ``eps`` stays where it is, and another partner is tried; the most
+    violating row of all is moved even so.  Returns (new alpha, steps).
     """
     a = alpha.astype(np.float64).copy()
     G = g.astype(np.float64).copy()
@@ -136,12 +140,15 @@ def solve_subproblem(K: np.ndarray, y: np.ndarray, alpha: np.ndarray, g: np.ndar
         gain_b = v[i] - v
         curv = np.maximum(diag[i] + diag - 2.0 * K[i], 1e-12)
         score = np.where(cand, gain_b * gain_b / curv, -np.inf)
-        j = int(np.argmax(score))
-        a1, a2, _ = pair_step(y[i], y[j], a[i], a[j], y[i] * G[i], y[j] * G[j],
-                              K[i, i], K[i, j], K[j, j], cap[i], cap[j], 0.0, 0.0)
-        a1, a2 = _snap(a1, cap[i]), _snap(a2, cap[j])
-        d1, d2 = a1 - a[i], a2 - a[j]
-        if d1 == 0.0 and d2 == 0.0:
+        for j, e in ((int(np.argmax(score)), eps), (int(np.argmax(np.where(curv > 1e-12, score, -np.inf))), eps),
+                     (int(np.argmax(score)), 0.0)):
+            a1, a2, _ = pair_step(y[i], y[j], a[i], a[j], y[i] * G[i], y[j] * G[j],
+                                  K[i, i], K[i, j], K[j, j], cap[i], cap[j], 0.0, e)
+            a1, a2 = _snap(a1, cap[i]), _snap(a2, cap[j])
+            d1, d2 = a1 - a[i], a2 - a[j]
+            if d1 != 0.0 or d2 != 0.0:
+                break
+        else:
             break
         a[i], a[j] = a1, a2
         G += Q[:, i] * d1 + Q[:, j] * d2
@@ -192,18 +199,19 @@ def _update_state(state: DataFrame, sids: np.ndarray, S: np.ndarray, dcoef: np.n
 
 
 def _select(state: DataFrame, half: int):
-    """Top q/2 of the up set (-y*g descending) and of the low set (ascending).
+    """Top q/2 of the up set (-y*g descending) and of the low set (ascending);
+    ties go by (y, x), which tells merged rows apart on any partitioning.
 
     Each is a per-partition top-k merged on the driver.  The two jobs read
     the same cached state and are submitted together from two threads, so
     an outer iteration waits for one round of tasks, not two.
     """
-    key = -F.col("y") * F.col("g")
+    key = F.round(-F.col("y") * F.col("g"), NOISE_PLACES)
     cols = ["sid", "x", "y", "cap", "alpha", "g"]
     up = state.filter(up_set()).select(*cols, key.alias("v")) \
-        .orderBy(F.col("v").desc(), "sid").limit(half)
+        .orderBy(F.col("v").desc(), "y", "x", "sid").limit(half)
     low = state.filter(low_set()).select(*cols, key.alias("v")) \
-        .orderBy(F.col("v").asc(), "sid").limit(half)
+        .orderBy(F.col("v").asc(), "y", "x", "sid").limit(half)
     with ThreadPoolExecutor(max_workers=2) as pool:
         f_up, f_low = pool.submit(up.collect), pool.submit(low.collect)
         return f_up.result(), f_low.result()
@@ -218,21 +226,52 @@ class TrainInfo:
     rows: int = 0
     distinct_rows: int = 0
     history: list = field(default_factory=list)
+    objective: list = field(default_factory=list)
+
+
+class NotConverged(RuntimeError):
+    """The trainer stopped before its tolerance."""
+
 
+#: Decimal places of a gradient that count; the rest is summation noise.
+NOISE_PLACES = 10
+#: Bytes from which an iterated table has two tasks, and of a task at most.
+SMALL_TASK_BYTES, TASK_BYTES = 16 << 10, 64 << 20
 
-# rows per task for the tables the iterative trainers pass over many times
-ROWS_PER_TASK = 100_000
 
+def task_count(n_bytes: int) -> int:
+    """Partitions of a table that is passed over many times, from its bytes
+    alone: as many tasks as each has units of 16 KB, until tasks of 64 MB."""
+    return max(1, math.ceil(math.sqrt(n_bytes / SMALL_TASK_BYTES)), math.ceil(n_bytes / TASK_BYTES))
 
-def _cores(df: DataFrame) -> int:
-    return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
+def sized(df: DataFrame, rows: int, width: int) -> DataFrame:
+    """Spread an iterated table of ``width`` doubles a row by its bytes."""
+    n = task_count(8 * rows * (width + 6))
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
-def _task_count(df: DataFrame, rows: int) -> int:
-    """Partitions for an iterated table: about ROWS_PER_TASK rows each, at
-    most one per core.  Every optimizer step runs one task per partition, so
-    a small merged table in 200 partitions would be all scheduling."""
-    return max(1, min(_cores(df), math.ceil(rows / ROWS_PER_TASK)))
+
+def check_training(df: DataFrame, x_col: str, label_col: str, positive: float) -> tuple[int, int]:
+    """(rows, width) of a usable training table.
+
+    Raises on NULL labels, NULL vectors, NULL or NaN values, vectors of
+    different lengths, no rows, and labels other than ``positive`` and one
+    more value."""
+    x = F.col(x_col)
+    odd = x.isNull() | F.exists(F.transform(x, lambda v: v.cast("double")), lambda v: v.isNull() | F.isnan(v))
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(F.size(x)).alias("lo"), F.max(F.size(x)).alias("hi"),
+               F.max(F.coalesce(odd, F.lit(True))).alias("odd"),
+               F.max(F.col(label_col).isNull()).alias("unlabelled")).first()
+    if not r["n"]:
+        raise ValueError("training needs both classes; found no rows")
+    if r["unlabelled"]:
+        raise ValueError("training labels must not be NULL")
+    if r["odd"] or r["lo"] != r["hi"]:
+        raise ValueError("feature vectors must have one length and no NULL or NaN values")
+    labels = sorted(row[0] for row in df.select(label_col).distinct().limit(3).collect())
+    if len(labels) != 2 or positive not in labels:
+        raise ValueError(f"training needs both classes, {positive} and one other label; found {labels}")
+    return r["n"], r["hi"]
 
 
 def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
@@ -256,22 +295,9 @@ def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
     else:
         merged = rows.select("x", "y", F.lit(1).cast("long").alias("mult"),
                              F.col("_a").alias("alpha"))
-    merged = merged.coalesce(_cores(df))
-    state = merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
+    return merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
                           (F.col("mult") * F.lit(params.c)).alias("cap"), "alpha",
-                          F.lit(-1.0).alias("g"))
-    return state
-
-
-def _freeze(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Persist, then write to the reliable checkpoint folder.
-
-    Persisting first lets the checkpoint write read the cached blocks
-    instead of recomputing the plan.  Returns (checkpointed, to_release).
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    frozen = cached.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
-    return frozen, cached
+                         F.lit(-1.0).alias("g"))
 
 
 def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str = "x",
@@ -279,27 +305,22 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
                    warm_start: DataFrame | None = None, id_col: str = "id",
                    verbose: bool = False) -> KernelModel:
     """Train an exact kernel SVM (T2); returns a KernelModel with support table
-    (x, y, alpha, mult) and b in the f = sum alpha y K - b convention."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    (x, y, alpha, mult) and b in the f = sum alpha y K - b convention.
+
+    Raises NotConverged when the optimality gap is above ``tol`` at the end,
+    unless ``allow_unconverged``; ``info`` holds the gaps and the dual
+    objective, iteration by iteration."""
+    ensure_checkpoint_dir(df.sparkSession)
     info = TrainInfo()
-    # sid is assigned once and frozen by the reliable checkpoint
-    state, release = _freeze(prepare_state(df, params, x_col, label_col, positive,
-                                           warm_start, id_col))
-    release.unpersist()
+    _, width = check_training(df, x_col, label_col, positive)
+    # sid is assigned once and frozen by the written table
+    state = shared_table(prepare_state(df, params, x_col, label_col, positive, warm_start, id_col), "state")
     counts = {r["y"]: (r["rows"], r["n"], r["ay"]) for r in state.groupBy("y").agg(
         F.sum("mult").alias("rows"), F.count(F.lit(1)).alias("n"),
         F.sum(F.col("alpha") * F.col("y")).alias("ay")).collect()}
-    if len(counts) < 2:
-        raise ValueError("training needs both classes; found only "
-                         f"{sorted(counts) or 'no rows'}")
     info.rows = int(sum(v[0] for v in counts.values()))
     info.distinct_rows = int(sum(v[1] for v in counts.values()))
-    # size the iterated state to its row count (narrow coalesce of the
-    # checkpointed files; each outer iteration runs one task per partition)
-    sized = state.coalesce(_task_count(state, info.distinct_rows)).persist(StorageLevel.MEMORY_AND_DISK)
-    state.unpersist()
-    state = sized
+    state = sized(state, info.distinct_rows, width)
     if warm_start is not None:
         resid = sum(v[2] for v in counts.values())
         if abs(resid) > 1e-8 * max(1.0, params.c * info.rows):
@@ -309,10 +330,9 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
         started = kernel_sum(state, basis, "coef", "_ks", params.kernel, params.gamma,
                              scale_col="y", max_broadcast_bytes=params.max_broadcast_bytes) \
             .withColumn("g", F.col("_ks") - F.lit(1.0)).select(*STATE_SCHEMA.names)
-        old = state
-        state, release = _freeze(started)
-        release.unpersist()
-        old.unpersist()
+        state = sized(shared_table(started, "state"), info.distinct_rows, width)
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    info.objective.append(dual_objective(state))
 
     half = max(1, params.working_set // 2)
     pending: list[DataFrame] = []
@@ -333,27 +353,26 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
         if info.gap <= params.tol:
             info.converged = True
             break
-        rows = {r["sid"]: r for r in up + low}
-        sids = np.array(sorted(rows), dtype=np.int64)
-        S = np.array([rows[s]["x"] for s in sids], dtype=np.float64)
-        yv = np.array([rows[s]["y"] for s in sids])
-        av = np.array([rows[s]["alpha"] for s in sids])
-        gv = np.array([rows[s]["g"] for s in sids])
-        cv = np.array([rows[s]["cap"] for s in sids])
+        # an order, and gradients, that do not depend on the partitioning
+        chosen = sorted({r["sid"]: r for r in up + low}.values(), key=lambda r: (r["y"], r["x"], r["sid"]))
+        sids = np.array([r["sid"] for r in chosen], dtype=np.int64)
+        S = np.array([r["x"] for r in chosen], dtype=np.float64)
+        yv, av, cv = (np.array([r[k] for r in chosen]) for k in ("y", "alpha", "cap"))
+        gv = np.round([r["g"] for r in chosen], NOISE_PLACES)
         K = block_kernel(S, S, params.kernel, params.gamma)
-        new_a, steps = solve_subproblem(K, yv, av, gv, cv, params.tol * 0.1, params.max_inner)
+        new_a, steps = solve_subproblem(K, yv, av, gv, cv, params.tol * 0.1, params.max_inner, params.eps)
         info.inner_steps += steps
         info.iterations = it
         dcoef = (new_a - av) * yv
         if not np.any(dcoef):
             break
+        # the step changes the objective by d'g + 0.5 d'Qd, d = change of alpha
+        info.objective.append(info.objective[-1] + float((new_a - av) @ gv + 0.5 * dcoef @ (K @ dcoef)))
         nxt = _update_state(state, sids, S, dcoef, new_a, params.kernel, params.gamma)
         if it % params.checkpoint_every == 0:
-            nxt, cached = _freeze(nxt)
-            pending = [state, cached]
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            pending = [state]
+            nxt = sized(shared_table(nxt, "state"), info.distinct_rows, width)
+        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        pending = [state]
         state = nxt
     else:
         up, low = _select(state, 1)
@@ -361,9 +380,12 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
             m_up, m_low = up[0]["v"], low[0]["v"]
             info.gap = m_up - m_low
             info.converged = info.gap <= params.tol
+    if not info.converged and not params.allow_unconverged:
+        raise NotConverged(f"gap {info.gap:.3g} > tol {params.tol:.3g} after {info.iterations} iterations; "
+                           "raise max_iter or max_inner, or set allow_unconverged")
     b = -(m_up + m_low) / 2.0
-    final, cached = _freeze(state)
-    for old in pending + [cached, state]:
+    final = shared_table(state, "state")
+    for old in pending + [state]:
         old.unpersist()
     support = final.filter(F.col("alpha") > 0).select(
         "sid", "x", "y", (F.col("alpha") / F.col("mult")).alias("alpha"), "mult")
@@ -380,71 +402,58 @@ def dual_objective(state: DataFrame) -> float:
 # linear and Fourier-feature trainers (built-in LinearSVC)
 # --------------------------------------------------------------------------
 
-def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """Give an iterated table a task count that suits its size.
-
-    Without a row count: repartition to the core count only when the table
-    has fewer partitions than cores (small inputs); large inputs keep their
-    scan partitioning and pay no shuffle.  With a row count: about
-    ROWS_PER_TASK rows per partition, at most one per core (narrow coalesce
-    when there are too many partitions, repartition when too few).
-    """
-    target = _cores(df) if rows is None else _task_count(df, rows)
-    current = df.rdd.getNumPartitions()
-    if current < target:
-        return df.repartition(target)
-    if rows is not None and current > target:
-        return df.coalesce(target)
-    return df
-
-
 def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
-                   dedup: bool | str) -> DataFrame:
-    """(x, label 0/1, weight).  Identical rows become one row weighted by its
-    count.  ``dedup="auto"`` merges only when the HyperLogLog estimate says
-    fewer than half the rows are distinct, so tables without repeats are not
-    shuffled for nothing."""
+                   dedup: bool) -> tuple[DataFrame, dict]:
+    """(x, label 0/1, weight), and the row counts.  With ``dedup`` identical
+    rows become one row weighted by its count.  Written once and spread by
+    its bytes, as every optimizer step passes over it."""
+    n, width = check_training(df, x_col, label_col, positive)
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
-    r = None
-    if dedup == "auto" or dedup:
-        r = rows.agg(F.count(F.lit(1)).alias("n"),
-                     F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
-        if dedup == "auto":
-            dedup = r["k"] < 0.5 * r["n"]
     if dedup:
-        merged = rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-        return merged.coalesce(_task_count(df, r["k"]))
-    # without merging, size the tasks by the row count (a pruned count reads
-    # no columns: parquet footers, or the cached blocks' row counts)
-    n = r["n"] if r is not None else rows.count()
-    return spread(rows.withColumn("weight", F.lit(1.0)), n)
+        rows = rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    else:
+        rows = rows.withColumn("weight", F.lit(1.0))
+    rows = shared_table(rows, "weighted-rows")
+    distinct = rows.count()
+    return sized(rows, distinct, width), {"rows": n, "distinct_rows": distinct, "width": width}
+
+
+def _fit_svc(rows: DataFrame, info: dict, reg: float, max_iter: int, tol: float, allow_unconverged: bool,
+             standardize: bool):
+    """Built-in LinearSVC on (features, label, weight); fills ``info``."""
+    from pyspark.ml.classification import LinearSVC
+
+    model = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight", regParam=reg,
+                      maxIter=max_iter, tol=tol, standardization=standardize).fit(rows)
+    info["iterations"] = model.summary().totalIterations
+    info["converged"] = info["iterations"] < max_iter
+    if not info["converged"] and not allow_unconverged:
+        raise NotConverged(f"LinearSVC has not reached tol {tol:.3g} in {max_iter} iterations; "
+                           "raise max_iter or tol, or set allow_unconverged")
+    return model
 
 
 def fit_linear_svc(df: DataFrame, x_col: str = "x", label_col: str = "label",
-                   positive: float = 1.0, reg: float = 0.0, max_iter: int = 100,
-                   tol: float = 1e-6, dedup: bool | str = "auto") -> KernelModel:
+                   positive: float = 1.0, reg: float = 1e-3, max_iter: int = 200,
+                   tol: float = 1e-6, dedup: bool = True, allow_unconverged: bool = False) -> KernelModel:
     """Linear SVM with the built-in LinearSVC.
 
     Identical rows are merged into one weighted row first (LinearSVC's
-    weighted hinge loss is then the same objective).  Returned as a linear
-    KernelModel whose single support row is W, so scoring is W.x - b.
+    weighted hinge loss is then the same objective); columns are scaled to
+    unit variance inside the fit.  Returned as a linear KernelModel whose
+    single support row is W, so scoring is W.x - b.
     """
-    from pyspark.ml.classification import LinearSVC
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
-    rows = _weighted_rows(df, x_col, label_col, positive, dedup) \
-        .withColumn("features", array_to_vector("x"))
-    model = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
-                      regParam=reg, maxIter=max_iter, tol=tol, standardization=False).fit(rows)
+    rows, info = _weighted_rows(df, x_col, label_col, positive, dedup)
+    model = _fit_svc(rows.withColumn("features", array_to_vector("x")), info, reg, max_iter, tol,
+                     allow_unconverged, True)
     w = [float(v) for v in model.coefficients.toArray()]
-    # the single support row is W itself, as a JVM-side local relation
-    support = df.sparkSession.range(1).select(
+    support = one_row(df.sparkSession).select(
         F.array(*[F.lit(v) for v in w]).alias("x"), F.lit(1.0).alias("y"),
         F.lit(1.0).alias("alpha"), F.lit(1).cast("long").alias("mult"))
-    return KernelModel(support, -float(model.intercept), "linear", 0.0, 0.0, tol,
-                       info={"iterations": model.summary().totalIterations if model.hasSummary else None},
-                       weights=w)
+    return KernelModel(support, -float(model.intercept), "linear", 0.0, 0.0, tol, info=info, weights=w)
 
 
 @dataclass
@@ -491,6 +500,7 @@ class FourierModel:
     fmap: FourierMap
     w: np.ndarray
     b: float
+    info: dict = field(default_factory=dict)
 
     def decision(self, df: DataFrame, x_col: str = "x", out_col: str = "score") -> DataFrame:
         W, p = self.fmap.W, self.fmap.p
@@ -518,22 +528,20 @@ class FourierModel:
 
 def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0,
                 x_col: str = "x", label_col: str = "label", positive: float = 1.0,
-                reg: float = 1e-5, max_iter: int = 50, tol: float = 1e-4,
-                dedup: bool | str = "auto") -> FourierModel:
+                reg: float = 1e-5, max_iter: int = 200, tol: float = 1e-3,
+                dedup: bool = True, allow_unconverged: bool = False) -> FourierModel:
     """Large-table RBF SVM: random Fourier features + LinearSVC.
 
-    Duplicates are merged before the feature map (weights carry the counts);
-    the expanded features are never cached, only recomputed per pass.
+    Duplicates are merged before the feature map (weights carry the counts).
+    LinearSVC keeps blocks of the expanded features, in memory and then on
+    the executors' disks, while it iterates; lost blocks are computed again.
     """
-    from pyspark.ml.classification import LinearSVC
     from pyspark.ml.functions import array_to_vector
 
-    dim = df.select(F.size(x_col)).first()[0]
-    fmap = FourierMap.draw(dim, n_features, gamma, seed)
-    rows = _weighted_rows(df, x_col, label_col, positive, dedup)
+    rows, info = _weighted_rows(df, x_col, label_col, positive, dedup)
+    fmap = FourierMap.draw(info["width"], n_features, gamma, seed)
     z = fmap.transform(rows, "x", "z").select(array_to_vector("z").alias("features"),
                                               "label", "weight")
-    model = LinearSVC(featuresCol="features", labelCol="label", weightCol="weight",
-                      regParam=reg, maxIter=max_iter, tol=tol, standardization=False).fit(z)
+    model = _fit_svc(z, info, reg, max_iter, tol, allow_unconverged, False)
     return FourierModel(fmap, model.coefficients.toArray().astype(np.float64),
-                        -float(model.intercept))
+                        -float(model.intercept), info)

@@ -8,17 +8,21 @@ negative zeros) so results compare exactly with the DuckDB oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import numpy as np
+
 from marginflow.functions.kernels import curvature_expr, kernel_expr, sq_distance
 from marginflow.operators import dual as D
 from marginflow.operators import metrics as M
 from marginflow.operators import prep as P
 from marginflow.operators.scoring import (KernelModel, linear_score, linear_weights,
-                                          predict_label)
+                                          predict_label, prediction_error)
+from marginflow.session import ensure_checkpoint_dir
 from marginflow.sources import fixtures as fx
 from marginflow.sources import text as TX
 
@@ -27,6 +31,7 @@ C = fx.PLANTED_C
 B = fx.PLANTED_B
 TOL = 0.01
 SEED = 7
+EPS = 1e-3
 RING_TARGET = "in_ring"
 
 
@@ -42,54 +47,50 @@ def _parsed_lines(spark, sf):
     return TX.parse_lines(lines, fx.F8_NAMES, keep=fx.LINEITEM_KEY + ["l_shipdate"])
 
 
-def _planted_model(rows: DataFrame, dim: int, kernel: str = "rbf") -> KernelModel:
-    """Planted model: class centroids of ``rows`` as support (K rows).
+def _planted_model(rows: DataFrame, kernel: str = "rbf") -> tuple[KernelModel, list[int]]:
+    """Planted model of ``rows`` (id, x, label): K support rows, one of each
+    class, and a threshold that centres the rows' scores; and the support ids.
 
-    The support is aggregated once and kept as a literal local relation
-    (bounded by the class count, checked), so every later scoring call reads
-    K rows instead of re-aggregating the table."""
-    sv = D.local_rows(fx.planted_support(rows, dim).select("x", "y", "alpha"), P.MAX_CLASSES)
-    return KernelModel(sv, B, kernel, GAMMA, C)
+    The support is collected once (K rows) and broadcast with the tasks."""
+    support = fx.planted_support(rows)
+    got = support.orderBy("label").collect()
+    block = (np.array([g["x"] for g in got]), np.array([g["alpha"] * g["y"] for g in got]))
+    model = KernelModel(support.select("x", "y", "alpha"), 0.0, kernel, GAMMA, C, block=block)
+    model.b = model.decision(rows).agg(F.avg("score")).first()[0]
+    return model, [g["id"] for g in got]
 
 
 def _planted_scored(spark, sf, kernel: str = "rbf") -> DataFrame:
-    """Every embeddings row scored by the planted model: id, label, y, alpha, score."""
+    """Every embeddings row scored by the planted model: id, label, y, score."""
     pm = fx.planted_model(spark, sf)
-    model = _planted_model(pm, fx.vector_width(pm), kernel)
+    model, _ = _planted_model(pm, kernel)
     return model.decision(pm).drop("x")
 
 
-def _planted_state(spark, sf) -> DataFrame:
-    """(id, x, y, cap, alpha, g, e): the planted dual state.
+def _planted_state(spark, sf, keep_x: bool = True) -> tuple[DataFrame, float]:
+    """(id, [x,] y, cap, alpha, g, e) and b: the planted dual state.
 
-    Multipliers are the planted per-row alphas; errors come from the planted
-    model's decision values (the error cache a solver would hold)."""
+    The support rows hold the planted multipliers, all others 0, and g and e
+    follow from them, as in a solver's state."""
     pm = fx.planted_model(spark, sf)
-    scored = _planted_model(pm, fx.vector_width(pm)).decision(pm)
-    # f = sum - b  ->  g = y * (f + b) - 1,  e = f - y
-    state = scored.select("id", "x", "y", F.lit(C).alias("cap"), "alpha",
-                          (F.col("y") * (F.col("score") + F.lit(B)) - F.lit(1.0)).alias("g"),
-                          (F.col("score") - F.col("y")).alias("e"))
-    # The state feeds scalar subqueries and both sides of pair joins; one
-    # reliable checkpoint computes it once and keeps later plans shallow.
-    return state.checkpoint(eager=True)
+    model, ids = _planted_model(pm)
+    alpha = F.when(F.col("id").isin(ids), fx.planted_alpha()).otherwise(F.lit(0.0))
+    # score = sum - b  ->  g = y * (score + b) - 1
+    state = model.decision(pm).select(
+        "id", *(["x"] if keep_x else []), "y", F.lit(C).alias("cap"), alpha.alias("alpha"),
+        (F.col("y") * (F.col("score") + F.lit(model.b)) - F.lit(1.0)).alias("g"))
+    return D.with_error(state, model.b), model.b
 
 
 PAIR_COLS = ["x", "y", "cap", "alpha", "e"]
 
 
-def _stepped_pairs(st: DataFrame) -> DataFrame:
-    """Every (2k, 2k+1) pair stepped at once (T10 on the whole table)."""
-    pairs = D.pair_rows(st, PAIR_COLS)
-    return D.with_pair_step(D.with_kernels(pairs, "rbf", GAMMA), B, eps=1e-3)
-
-
-def _chosen_step(st: DataFrame) -> DataFrame:
-    """One SMO step: first choice i, second choice j, their pair stepped,
-    as delta rows (id, x, y, alpha_old, alpha_new) (T4, T5, T10, T11)."""
+def _chosen_step(st: DataFrame, b: float) -> DataFrame:
+    """One SMO step: first choice i, second choice j, their pair stepped, as
+    delta rows (id, x, y, alpha_old, alpha_new, b_new) (T4, T5, T10, T11)."""
     choice = D.second_choice(st, D.first_choice(st, TOL))
     pair = D.pair_of(st, choice, PAIR_COLS)
-    deltas = D.step_deltas(D.with_pair_step(D.with_kernels(pair, "rbf", GAMMA), B, eps=1e-3))
+    deltas = D.step_deltas(D.with_pair_step(D.with_kernels(pair, "rbf", GAMMA), b, eps=EPS))
     return D.local_rows(deltas, 2)   # one pair moves two rows
 
 
@@ -97,42 +98,42 @@ def _label01() -> Column:
     return F.when(F.col("label") < 5, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def _split_planted(spark, sf, holdout_only: bool = False):
-    """Planted model from the training part's centroids; rows scored with a
-    holdout flag (only the held-out rows when ``holdout_only``)."""
-    pm = fx.planted_model(spark, sf)
-    hold = fx.holdout_flag(spark, sf)
-    model = _planted_model(pm.filter(~hold), fx.vector_width(pm))
-    rows = pm.withColumn("holdout", hold)
-    if holdout_only:
-        rows = rows.filter("holdout")
-    return model, model.decision(rows)
+def _split_planted(spark, sf, holdout_only: bool = False) -> DataFrame:
+    """Rows scored, with a ``holdout`` flag, by the planted model of the
+    training part (only the held-out rows when ``holdout_only``)."""
+    pm, hold = fx.planted_model(spark, sf), fx.holdout_flag()
+    model, _ = _planted_model(pm.filter(~hold))
+    rows = pm.filter(hold) if holdout_only else pm
+    return model.decision(rows.withColumn("holdout", hold)).drop("x")
 
 
 # ---------------------------------------------------------------- S: sources
 
-def q_csv_lines(spark, sf):
-    p = _parsed_lines(spark, sf)
-    return p.select(*fx.LINEITEM_KEY, *fx.F8_NAMES)
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def q_sample_cap(spark, sf):
-    p = _parsed_lines(spark, sf)
-    capped = TX.sample_cap(p, fx.LINEITEM_KEY + ["l_shipdate"], 999)
-    return capped.select(*fx.LINEITEM_KEY, *fx.F8_NAMES)
+def q_csv_lines(spark, sf):
+    path = _scratch(spark, "f8")
+    fx.f8_files(spark, sf, path)
+    p = TX.read_delimited(spark, f"{path}/data", fx.LINEITEM_KEY + fx.F8_NAMES)
+    keys = fx.table(spark, sf, "lineitem").schema
+    return p.select(*[F.col(k).cast(keys[k].dataType).alias(k) for k in fx.LINEITEM_KEY], *fx.F8_NAMES)
 
 
 def q_task_type(spark, sf):
-    p = _parsed_lines(spark, sf)
-    codes = P.infer_type_codes(p, fx.F8_NAMES)
-    names = codes.select("pos", "name")
-    types = codes.select("pos", "code")
+    """Name and type files looked up for the target; parsed values per column."""
+    path = _scratch(spark, "f8")
+    fx.f8_files(spark, sf, path)
+    names, types = TX.read_names(spark, f"{path}/names"), TX.read_types(spark, f"{path}/types")
     target = TX.task_type(names, types, RING_TARGET).select(F.col("pos").alias("_tpos"))
-    return codes.join(target, codes.pos == target._tpos, "left").select(
+    counts = TX.read_delimited(spark, f"{path}/data", fx.LINEITEM_KEY + fx.F8_NAMES) \
+        .agg(*[F.count(c).alias(c) for c in fx.F8_NAMES]).unpivot([], fx.F8_NAMES, "name", "n_values")
+    return names.join(types, "pos").join(target, F.col("pos") == F.col("_tpos"), "left").join(counts, "name").select(
         "pos", "name", "code",
         F.when(F.col("code") == TX.CLASSIFICATION_CODE, F.lit(TX.CLASSIFICATION))
         .otherwise(F.lit(TX.REGRESSION)).alias("task"),
-        F.col("_tpos").isNotNull().alias("is_target"))
+        F.col("_tpos").isNotNull().alias("is_target"), "n_values")
 
 
 def q_target_split(spark, sf):
@@ -154,7 +155,7 @@ def q_scale_global(spark, sf):
 
 
 def q_scale_per_column(spark, sf):
-    s = P.scale_per_column(fx.embeddings(spark, sf), "x", 64)
+    s = P.scale_per_column(fx.embeddings(spark, sf), "x")
     return s.select("id", F.posexplode("x").alias("pos", "v"))
 
 
@@ -199,8 +200,8 @@ def q_decision_sqdist(spark, sf):
 
 
 def q_prediction_error(spark, sf):
-    s = _planted_scored(spark, sf)
-    return s.select("id", "y", r(F.col("score") - F.col("y"), 6).alias("e"))
+    s = prediction_error(_planted_scored(spark, sf), out="e")
+    return s.select("id", "y", r("e", 6).alias("e"))
 
 
 # ---------------------------------------------------------------- M: scoring
@@ -217,8 +218,11 @@ def q_accuracy(spark, sf):
 
 def q_predict_rows(spark, sf):
     pm = fx.planted_model(spark, sf)
-    out = _planted_model(pm, fx.vector_width(pm)).transform(pm)
-    return out.select("id", "label", r("score", 6).alias("score"), "prediction")
+    model, _ = _planted_model(pm)
+    out = model.transform(pm, y=F.col("y"))
+    x_sum = F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v)
+    return out.select("id", "label", r(x_sum, 6).alias("x_sum"), r("score", 6).alias("score"), "prediction",
+                      r("error", 6).alias("error"))
 
 
 def _planted_weights(spark, sf):
@@ -236,13 +240,11 @@ def q_linear_score(spark, sf):
 
 
 def q_classify_test(spark, sf):
-    _, scored = _split_planted(spark, sf, holdout_only=True)
-    return scored.filter("holdout").select("id", r("score", 6).alias("score"))
+    return _split_planted(spark, sf, holdout_only=True).select("id", r("score", 6).alias("score"))
 
 
 def q_holdout_agreement(spark, sf):
-    _, scored = _split_planted(spark, sf, holdout_only=True)
-    return M.holdout_agreement(scored.filter("holdout"), "score", "y")
+    return M.holdout_agreement(_split_planted(spark, sf, holdout_only=True), "score", "y")
 
 
 # ---------------------------------------------------------------- T: training steps
@@ -251,30 +253,30 @@ def q_warm_start(spark, sf):
     """Start from the multipliers one SMO step produced (two rows), every
     other row at 0; g for all rows from that start (T3)."""
     emb = fx.embeddings(spark, sf).select("id", "x", fx.embeddings_y().alias("y"))
-    warm = _chosen_step(_planted_state(spark, sf)).select("id", F.col("alpha_new").alias("alpha"))
+    warm = _chosen_step(*_planted_state(spark, sf)).select("id", F.col("alpha_new").alias("alpha"))
     st = D.warm_state(emb, warm, C, "rbf", GAMMA)
     return st.select("id", "y", "alpha", r("g", 6).alias("g"))
 
 
 def q_kkt_violators(spark, sf):
-    v = D.kkt_violators(_planted_state(spark, sf), TOL)
-    return v.select("id", "y", "alpha", r("e", 6).alias("e"))
+    st, _ = _planted_state(spark, sf, keep_x=False)
+    return D.kkt_violators(st, TOL).select("id", "y", "alpha", r("e", 6).alias("e"))
 
 
 def q_second_choice(spark, sf):
-    st = _planted_state(spark, sf)
+    st, _ = _planted_state(spark, sf, keep_x=False)
     sc = D.second_choice(st, D.first_choice(st, TOL))
     return sc.select("i", "j", r("e_i", 6).alias("e_i"), r("e_j", 6).alias("e_j"),
                      r("gap", 6).alias("gap"))
 
 
 def q_fallback_nonbound(spark, sf):
-    st = _planted_state(spark, sf)
+    st, _ = _planted_state(spark, sf, keep_x=False)
     return D.fallback_choice(st, D.first_choice(st, TOL), SEED, free_only=True)
 
 
 def q_fallback_any(spark, sf):
-    st = _planted_state(spark, sf)
+    st, _ = _planted_state(spark, sf, keep_x=False)
     return D.fallback_choice(st, D.first_choice(st, TOL), SEED, free_only=False)
 
 
@@ -285,26 +287,30 @@ def q_pair_bounds(spark, sf):
 
 
 def q_pair_step(spark, sf):
-    s = _stepped_pairs(_planted_state(spark, sf))
+    """Every (2k, 2k+1) pair stepped at once (T10), with the multipliers
+    id % 11 that cover all bound cases."""
+    pm = fx.planted_model(spark, sf)
+    model, _ = _planted_model(pm)
+    st = prediction_error(model.decision(pm), out="e").withColumn("cap", F.lit(C))
+    s = D.with_pair_step(D.with_kernels(D.pair_rows(st, PAIR_COLS), "rbf", GAMMA), model.b, eps=EPS)
     return s.select("i", "j", r("a1_new", 9).alias("a1_new"), r("a2_new", 9).alias("a2_new"),
                     r("b_new", 6).alias("b_new"))
 
 
 def q_apply_step(spark, sf):
-    st = _planted_state(spark, sf)
-    out = D.apply_step(st, _chosen_step(st))
-    return out.select("id", r("alpha", 9).alias("alpha"))
+    st, b = _planted_state(spark, sf)
+    out = D.apply_step(st.drop("x"), _chosen_step(st, b), b)
+    return out.select("id", r("alpha", 9).alias("alpha"), r("b", 6).alias("b"))
 
 
 def q_gradient_update(spark, sf):
-    st = _planted_state(spark, sf)
-    out = D.gradient_update(st, _chosen_step(st), "rbf", GAMMA)
-    return out.select("id", r("g", 6).alias("g"))
+    st, b = _planted_state(spark, sf)
+    out = D.gradient_update(st, _chosen_step(st, b), "rbf", GAMMA, b)
+    return out.select("id", r("g", 6).alias("g"), r("e", 6).alias("e"))
 
 
 def q_weights_delta(spark, sf):
-    st = _planted_state(spark, sf)
-    w = D.weights_delta(_planted_weights(spark, sf), _chosen_step(st))
+    w = D.weights_delta(_planted_weights(spark, sf), _chosen_step(*_planted_state(spark, sf)))
     return w.select("pos", r("w", 9).alias("w"))
 
 
@@ -328,52 +334,39 @@ def q_class_priors(spark, sf):
     return M.class_priors(fx.order_status(spark, sf), "cls")
 
 
-def _orders_split(spark, sf):
-    o = fx.order_status(spark, sf)
-    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp_ntz")
-    return o.filter(early), o.filter(~early)
+def _late() -> Column:
+    return F.col("o_orderdate") >= F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp_ntz")
 
 
 def q_random_precision(spark, sf):
-    tr, te = _orders_split(spark, sf)
-    rp = M.random_precision(tr, te, "cls")
+    rp = M.random_precision(fx.order_status(spark, sf), _late(), "cls")
     return rp.select(r("random_precision", 9).alias("random_precision"))
 
 
 def q_eval_classification(spark, sf):
-    pm = fx.planted_model(spark, sf)
-    hold = fx.holdout_flag(spark, sf)
-    model = _planted_model(pm.filter(~hold), fx.vector_width(pm))
-    # filter before scoring: a filter cannot move below the Arrow map, so
-    # splitting the scored table would score every row once per part
-    train_rows, test_rows = pm.filter(~hold), pm.filter(hold)
-
-    def scored(rows):
-        return predict_label(model.decision(rows)).withColumn("label01", _label01())
-
-    ev = M.eval_classification(scored(train_rows), scored(test_rows), "label01", "prediction",
-                               train_rows.select(_label01().alias("label01")),
-                               test_rows.select(_label01().alias("label01")))
+    scored = predict_label(_split_planted(spark, sf)).withColumn("label01", _label01())
+    ev = M.eval_classification(scored, F.col("holdout"), "label01", "prediction")
     return ev.select("metric", r("value", 9).alias("value"))
 
 
-def _f6_split(spark, sf):
-    f6 = fx.regression_pairs(spark, sf)
-    early = F.col("o_orderdate") < F.lit(fx.ORDERS_SPLIT_DATE).cast("timestamp_ntz")
-    return f6.filter(early), f6.filter(~early)
+def _price_range(pairs: DataFrame) -> DataFrame:
+    return M.value_range(pairs.filter(~_late()), ["price"])
 
 
 def q_denormalise(spark, sf):
-    tr, te = _f6_split(spark, sf)
-    rng = M.value_range(tr, ["label", "prediction"])
-    lo, hi = rng.select("mn").scalar(), rng.select("mx").scalar()
-    scaled = te.select("o_orderkey", *[((F.col(c) - lo) / (hi - lo)).alias(c)
-                                       for c in ("label", "prediction")])
-    back = M.denormalise(scaled, ["label", "prediction"], rng)
-    return back.select("o_orderkey", r("label", 4).alias("label"),
+    """Training and test rows taken back to the training range of the price."""
+    pairs = fx.unit_pairs(spark, sf)
+    back = M.denormalise(pairs, ["label", "prediction"], _price_range(pairs))
+    return back.select("o_orderkey", _late().alias("is_test"), r("label", 4).alias("label"),
                        r("prediction", 4).alias("prediction"))
 
 
+def q_eval_regression(spark, sf):
+    pairs = fx.unit_pairs(spark, sf)
+    ev = M.eval_regression(pairs, _late(), "label", "prediction", _price_range(pairs))
+    return ev.select("metric", r("value", 4).alias("value"))
+
+
 def q_rmse(spark, sf):
     m = M.rmse(fx.regression_pairs(spark, sf))
     return m.select("n", r("mse", 0).alias("mse"), r("rmse", 6).alias("rmse"))
@@ -384,26 +377,33 @@ def q_half_mse(spark, sf):
     return M.half_mse(f6, "err").select("n", r("half_mse", 0).alias("half_mse"))
 
 
-# ---------------------------------------------------------------- trainers (rows-only)
+# ---------------------------------------------------------------- trainers
 
 def q_train_kernel(spark, sf):
+    """Linear-kernel SVM on separable prices: W, b and the rows trained on."""
     from marginflow.operators.trainers import SVMParams, fit_kernel_svm
-    model = fit_kernel_svm(fx.ring_samples(spark, sf), SVMParams(c=1.0, gamma=5.0, tol=0.01))
-    return model.support.select("sid", "y", "alpha", "mult")
+    model = fit_kernel_svm(fx.price_samples(spark, sf), SVMParams(c=10.0, kernel="linear", tol=1e-6))
+    w = linear_weights(model.coef_table(), "coef").filter("pos = 0")
+    return w.select(r("w", 6).alias("w"), F.lit(round(model.b, 6) + 0.0).alias("b"),
+                    F.lit(model.info["rows"]).cast("long").alias("n_rows"))
 
 
 def q_train_linear(spark, sf):
     from marginflow.operators.trainers import fit_linear_svc
-    data = fx.ring_samples(spark, sf)
-    model = fit_linear_svc(data, max_iter=50)
-    return model.transform(data).select(*fx.LINEITEM_KEY, "label", "score", "prediction")
+    data = fx.price_samples(spark, sf)
+    return fit_linear_svc(data, reg=1e-2, tol=1e-4).transform(data).select("o_orderkey", "label", "prediction")
 
 
 def q_train_rff(spark, sf):
+    """Ring over nearly distinct points: rows and classes, and whether the
+    predictions take both values and agree with at least 97 % of the labels."""
     from marginflow.operators.trainers import fit_rff_svc
-    data = fx.ring_samples(spark, sf)
-    model = fit_rff_svc(data, gamma=5.0, n_features=64, seed=SEED, max_iter=50)
-    return model.transform(data).select(*fx.LINEITEM_KEY, "label", "score", "prediction")
+    data = fx.price_ring(spark, sf)
+    scored = fit_rff_svc(data, gamma=5.0, n_features=64, seed=SEED).transform(data)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_positive"),
+        (F.avg((F.col("label") == F.col("prediction")).cast("double")) >= 0.97).alias("accurate"),
+        (F.count_distinct("prediction") == 2).alias("two_sided"))
 
 
 def q_svm_report(spark, sf):
@@ -413,7 +413,6 @@ def q_svm_report(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_lines": q_csv_lines,
-    "sample_cap": q_sample_cap,
     "task_type": q_task_type,
     "target_split": q_target_split,
     "global_minmax": q_global_minmax,
@@ -451,6 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "random_precision": q_random_precision,
     "eval_classification": q_eval_classification,
     "denormalise": q_denormalise,
+    "eval_regression": q_eval_regression,
     "rmse": q_rmse,
     "half_mse": q_half_mse,
     "train_kernel": q_train_kernel,

@@ -28,22 +28,28 @@ def _r(expr: str, places: int) -> str:
 EMB = "emb AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings)"
 PM = (f"pm AS (SELECT id, x, label, CASE WHEN label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
       f"{fx.PLANTED_C}{DBL} * (id % {fx.PLANTED_ALPHA_MOD}){DBL} / 10.0{DBL} AS alpha FROM emb)")
-def _support(src: str, name: str) -> str:
-    """Class centroids of ``src`` (label, x) with the planted y and alpha."""
-    return (f"{name} AS (SELECT label, x, CASE WHEN label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
-            f"{fx.PLANTED_C}{DBL} * (label + 1){DBL} / 10.0{DBL} AS alpha FROM "
-            f"(SELECT label, list(m ORDER BY pos) AS x FROM (SELECT label, pos, avg(v) AS m FROM "
-            f"(SELECT label, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM {src}) "
-            f"GROUP BY label, pos) GROUP BY label))")
-
-
-SV = _support("pm", "sv")
-DEC = (f"{SV}, dec AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) - {fx.PLANTED_B}{DBL} AS score "
-       f"FROM pm t, sv s GROUP BY t.id)")
-STATE = (f"state AS (SELECT p.id, p.x, p.y, {fx.PLANTED_C}{DBL} AS cap, p.alpha, "
-         f"p.y * (d.score + {fx.PLANTED_B}{DBL}) - 1.0{DBL} AS g, d.score - p.y AS e "
-         f"FROM pm p JOIN dec d USING (id))")
+# the planted model: of each class the row with the least id, and a threshold
+# that centres the scores
+def _model(src: str, tag: str = "", scored: str = "emb") -> str:
+    """sv (support), ks (kernel sums of ``scored``), bb (mean of the sums over
+    the rows of ``src``) and dec (scores), each with ``tag`` appended."""
+    return (f"sv{tag} AS (SELECT e.label, e.id, e.x, CASE WHEN e.label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
+            f"{fx.PLANTED_C}{DBL} * (e.label + 1){DBL} / 10.0{DBL} AS alpha FROM emb e JOIN "
+            f"(SELECT label, min(id) AS id FROM {src} GROUP BY label) f ON e.id = f.id), "
+            f"ks{tag} AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) AS s "
+            f"FROM {scored} t, sv{tag} s GROUP BY t.id), "
+            f"bb{tag} AS (SELECT avg(k.s) AS b FROM ks{tag} k JOIN (SELECT id FROM {src}) r USING (id)), "
+            f"dec{tag} AS (SELECT id, s - b AS score FROM ks{tag}, bb{tag})")
+
+
+DEC = _model("emb")
+STATE = (f"state AS (SELECT p.id, p.x, p.y, {fx.PLANTED_C}{DBL} AS cap, coalesce(v.alpha, 0.0{DBL}) AS alpha, "
+         f"p.y * k.s - 1.0{DBL} AS g, k.s - bb.b - p.y AS e "
+         f"FROM pm p JOIN ks k USING (id) LEFT JOIN sv v USING (id), bb)")
 PLANTED = f"WITH {EMB}, {PM}, {DEC}, {STATE}"
+# every row with the multipliers id % 11, for the arithmetic of whole-table pairs
+PAIR_STATE = (f"state AS (SELECT p.id, p.x, p.y, {fx.PLANTED_C}{DBL} AS cap, p.alpha, d.score - p.y AS e "
+              f"FROM pm p JOIN dec d USING (id))")
 
 LI = (f"li AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_quantity, "
       f"l_extendedprice, l_discount + 0.0{DBL} AS l_discount, l_tax + 0.0{DBL} AS l_tax FROM lineitem)")
@@ -56,19 +62,27 @@ F8 = "l_quantity, l_extendedprice, l_discount, l_tax, in_ring"
 PAIRS = ("pairs AS (SELECT a.id AS i, b.id AS j, a.x AS x_i, b.x AS x_j FROM emb a JOIN emb b "
          "ON a.id // 2 = b.id // 2 AND a.id < b.id)")
 
-HOLD = ("n AS (SELECT count(*) AS n FROM embeddings), "
-        "pmh AS (SELECT pm.*, pm.id * 5 >= 4 * n.n AS holdout FROM pm, n), "
-        f"{_support('pmh WHERE NOT holdout', 'sv_tr')}, "
-        f"dec_tr AS (SELECT t.id, sum(s.alpha * s.y * {_rbf('s.x', 't.x')}) - {fx.PLANTED_B}{DBL} AS score "
-        "FROM pmh t, sv_tr s GROUP BY t.id), "
-        "held AS (SELECT d.id, d.score, p.y, p.label, p.holdout FROM dec_tr d JOIN pmh p USING (id))")
+HOLD = (_model("(SELECT * FROM emb WHERE id % 5 <> 4)", "_tr") + ", "
+        "held AS (SELECT d.id, d.score, p.y, p.label, p.id % 5 = 4 AS holdout "
+        "FROM dec_tr d JOIN pm p USING (id))")
+
+LATE = f"o_orderdate >= TIMESTAMP '{fx.ORDERS_SPLIT_DATE}'"
+UNIT = (f"unit AS (SELECT o.o_orderkey, o.o_totalprice AS price, {LATE} AS is_test, l.label, l.prediction FROM orders o "
+        f"JOIN (SELECT l_orderkey, avg(l_tax) / 0.08{DBL} AS label, avg(l_discount) / 0.1{DBL} AS prediction "
+        "FROM lineitem GROUP BY l_orderkey) l ON o.o_orderkey = l.l_orderkey), "
+        "rng AS (SELECT min(price) AS mn, max(price) AS mx FROM unit WHERE NOT is_test), "
+        "back AS (SELECT o_orderkey, is_test, label * (mx - mn) + mn AS label, "
+        "prediction * (mx - mn) + mn AS prediction FROM unit, rng)")
+PRICES = (f"st AS (SELECT avg(o_totalprice) AS mean, max(o_totalprice) AS top FROM orders), "
+          f"pr AS (SELECT o_orderkey, CASE WHEN o_totalprice > mean THEN 1.0{DBL} ELSE 0.0{DBL} END AS label, "
+          "o_totalprice / top AS v FROM orders, st)")
 
 F6 = ("f6 AS (SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice AS label, l.prediction FROM orders o "
       "JOIN (SELECT l_orderkey, sum(l_extendedprice) AS prediction FROM lineitem GROUP BY l_orderkey) l "
       "ON o.o_orderkey = l.l_orderkey)")
 
 
-def _pair_step_sql(b: float, eps: float) -> str:
+def _pair_step_sql(eps: float) -> str:
     y1, y2, a1, a2 = "y_i", "y_j", "alpha_i", "alpha_j"
     e1, e2, c1, c2 = "e_i", "e_j", "cap_i", "cap_j"
     s = f"({y1} * {y2})"
@@ -78,7 +92,7 @@ def _pair_step_sql(b: float, eps: float) -> str:
           f"ELSE least({c2}, {a1} + {a2}) END)")
     eta = "(2.0::DOUBLE * k12 - k11 - k22)"
     newton = f"least(greatest({a2} - {y2} * ({e1} - {e2}) / {eta}, {lo}), {hi})"
-    bb = f"{b}{DBL}"
+    bb = "(SELECT b FROM bb)"
     f1 = f"({y1} * ({e1} + {bb}) - {a1} * k11 - {s} * {a2} * k12)"
     f2 = f"({y2} * ({e2} + {bb}) - {s} * {a1} * k12 - {a2} * k22)"
     l1 = f"({a1} + {s} * ({a2} - {lo}))"
@@ -107,13 +121,13 @@ KP_CHOSEN = (f"{CHOICE}, kp AS (SELECT {PAIR_SELECT} FROM second c JOIN state a
              "JOIN state b ON b.id = c.j)")
 
 
-def _steps(kp: str = KP_ALL, b: float = fx.PLANTED_B, eps: float = 1e-3) -> str:
-    bb = f"{b}{DBL}"
+def _steps(kp: str = KP_ALL, eps: float = 1e-3) -> str:
+    bb = "(SELECT b FROM bb)"
     b1 = f"(e_i + y_i * (a1n - alpha_i) * k11 + y_j * (a2n - alpha_j) * k12 + {bb})"
     b2 = f"(e_j + y_i * (a1n - alpha_i) * k12 + y_j * (a2n - alpha_j) * k22 + {bb})"
     steps = (f"steps AS (SELECT *, CASE WHEN a1n > 0 AND a1n < cap_i THEN {b1} "
              f"WHEN a2n > 0 AND a2n < cap_j THEN {b2} ELSE ({b1} + {b2}) / 2.0{DBL} END AS bn "
-             f"FROM ({_pair_step_sql(b, eps)}))")
+             f"FROM ({_pair_step_sql(eps)}))")
     deltas = ("deltas AS (SELECT i AS id, x_i AS x, y_i AS y, alpha_i AS alpha_old, a1n AS alpha_new FROM steps "
               "UNION ALL SELECT j, x_j, y_j, alpha_j, a2n FROM steps)")
     return f"{kp}, {steps}, {deltas}"
@@ -132,22 +146,29 @@ def _priors(src: str, col: str, name: str) -> str:
 
 
 def _type_codes() -> str:
-    stats = ", ".join(
-        f"min({c}) AS lo{i}, max({c}) AS hi{i}, bool_and({c} = floor({c})) AS int{i}"
-        for i, c in enumerate(fx.F8_NAMES))
     rows = " UNION ALL ".join(
-        f"SELECT {i}::INTEGER AS pos, '{c}' AS name, CASE WHEN int{i} AND lo{i} >= 0 AND hi{i} < 16 "
-        f"THEN 1 ELSE 2 END::INTEGER AS code FROM st"
-        for i, c in enumerate(fx.F8_NAMES))
-    return (f"WITH {LI}, {RING}, st AS (SELECT {stats} FROM ring), codes AS ({rows}) "
-            "SELECT pos, name, code, CASE WHEN code = 1 THEN 'Classification' ELSE 'Regression' END AS task, "
-            "name = 'in_ring' AS is_target FROM codes")
+        f"SELECT {i}::INTEGER AS pos, '{c}' AS name, {t}::INTEGER AS code, "
+        f"'{'Classification' if t == 1 else 'Regression'}' AS task, {c == 'in_ring'} AS is_target, "
+        f"count({c}) AS n_values FROM ring"
+        for i, (c, t) in enumerate(zip(fx.F8_NAMES, fx.F8_TYPES)))
+    return f"WITH {LI}, {RING} {rows}"
+
+
+def _report() -> str:
+    """The run's report; a trainer that learns reaches the stated accuracy."""
+    split = f"l_shipdate >= TIMESTAMP '{fx.SPLIT_DATE}'"
+    return (f"WITH {LI}, {RING}, t AS (SELECT *, {split} AS is_test FROM ring), "
+            f"{_priors('t WHERE NOT is_test', 'in_ring', 'p')}, {_priors('t WHERE is_test', 'in_ring', 'q')}, "
+            "n AS (SELECT count(*) FILTER (NOT is_test) AS tr, count(*) FILTER (is_test) AS te FROM t), "
+            f"d AS (SELECT count(*) AS d FROM (SELECT DISTINCT {F8} FROM t WHERE NOT is_test)) "
+            f"SELECT 'train_rows' AS metric, tr::DOUBLE AS value FROM n UNION ALL SELECT 'test_rows', te::DOUBLE FROM n "
+            "UNION ALL SELECT 'distinct_train_rows', d::DOUBLE FROM d "
+            f"UNION ALL SELECT 'random_precision', {_r(f'coalesce(sum(p.p * q.p), 0.0{DBL})', 9)} FROM p JOIN q USING (cls) "
+            + " ".join(f"UNION ALL SELECT '{m}', 1.0{DBL}" for m in ("train_accurate", "test_accurate", "converged")))
 
 
 ORACLE: dict[str, str] = {
     "csv_lines": f"WITH {LI}, {RING} SELECT {KEYS}, {F8} FROM ring",
-    "sample_cap": (f"WITH {LI}, {RING} SELECT {KEYS}, {F8} FROM ring "
-                   f"ORDER BY {KEYS}, l_shipdate LIMIT 999"),
     "task_type": _type_codes(),
     "target_split": (f"WITH {LI}, {RING} SELECT {KEYS}, l_discount AS label, l_quantity AS f0, "
                      "l_extendedprice AS f1, l_tax AS f2, in_ring AS f3 FROM ring"),
@@ -175,17 +196,18 @@ ORACLE: dict[str, str] = {
     "pair_curvature": (f"WITH {EMB}, {PAIRS} SELECT i, j, "
                        f"{_r('2.0::DOUBLE * ' + _rbf('x_i', 'x_j') + ' - ' + _rbf('x_i', 'x_i') + ' - ' + _rbf('x_j', 'x_j'), 9)} AS eta FROM pairs"),
     "decision_rbf": f"WITH {EMB}, {PM}, {DEC} SELECT id, {_r('score', 6)} AS score FROM dec",
-    "decision_sqdist": (f"WITH {EMB}, {PM}, {SV} SELECT t.id, "
-                        f"{_r('sum(s.alpha * s.y * ' + _d2('s.x', 't.x') + f') - {fx.PLANTED_B}{DBL}', 6)} AS score "
-                        "FROM pm t, sv s GROUP BY t.id"),
+    "decision_sqdist": (f"WITH {EMB}, {PM}, {DEC}, d2 AS (SELECT t.id, sum(s.alpha * s.y * {_d2('s.x', 't.x')}) AS s "
+                        "FROM emb t, sv s GROUP BY t.id) "
+                        f"SELECT id, {_r('s - (SELECT avg(s) FROM d2)', 6)} AS score FROM d2"),
     "prediction_error": (f"WITH {EMB}, {PM}, {DEC} SELECT d.id, p.y, {_r('d.score - p.y', 6)} AS e "
                          "FROM dec d JOIN pm p USING (id)"),
     "predict_label": (f"WITH {EMB}, {PM}, {DEC} SELECT id, {_r('score', 6)} AS score, "
                       f"CASE WHEN score > 0 THEN 1.0{DBL} ELSE 0.0{DBL} END AS prediction FROM dec"),
     "accuracy": (f"WITH {EMB}, {PM}, {DEC}, {PRED} SELECT n, accuracy, 1.0{DBL} - accuracy AS error_rate FROM "
                  f"(SELECT count(*) AS n, avg(CASE WHEN label01 = prediction THEN 1.0{DBL} ELSE 0.0{DBL} END) AS accuracy FROM pred)"),
-    "predict_rows": (f"WITH {EMB}, {PM}, {DEC} SELECT d.id, p.label, {_r('d.score', 6)} AS score, "
-                     f"CASE WHEN d.score > 0 THEN 1.0{DBL} ELSE 0.0{DBL} END AS prediction FROM dec d JOIN pm p USING (id)"),
+    "predict_rows": (f"WITH {EMB}, {PM}, {DEC} SELECT d.id, p.label, {_r('list_sum(p.x)', 6)} AS x_sum, "
+                     f"{_r('d.score', 6)} AS score, CASE WHEN d.score > 0 THEN 1.0{DBL} ELSE 0.0{DBL} END AS prediction, "
+                     f"{_r('d.score - p.y', 6)} AS error FROM dec d JOIN pm p USING (id)"),
     "linear_weights": f"WITH {EMB}, {PM}, {WEIGHTS} SELECT pos::INTEGER AS pos, {_r('w', 9)} AS w FROM w",
     "linear_score": (f"WITH {EMB}, {PM}, {WEIGHTS} SELECT e.id, {_r(f'sum(e.v * w.w) - {fx.PLANTED_B}{DBL}', 6)} AS score "
                      "FROM (SELECT id, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM emb) e "
@@ -229,15 +251,18 @@ ORACLE: dict[str, str] = {
                     f"CASE WHEN a.y <> b.y THEN least({fx.PLANTED_C}{DBL}, {fx.PLANTED_C}{DBL} + b.alpha - a.alpha) "
                     f"ELSE least({fx.PLANTED_C}{DBL}, a.alpha + b.alpha) END AS hi "
                     "FROM pm a JOIN pm b ON a.id // 2 = b.id // 2 AND a.id < b.id"),
-    "pair_step": (f"{PLANTED}, {_steps()} SELECT i, j, {_r('a1n', 9)} AS a1_new, {_r('a2n', 9)} AS a2_new, "
+    "pair_step": (f"WITH {EMB}, {PM}, {DEC}, {PAIR_STATE}, {_steps()} SELECT i, j, {_r('a1n', 9)} AS a1_new, {_r('a2n', 9)} AS a2_new, "
                   f"{_r('bn', 6)} AS b_new FROM steps"),
-    "apply_step": (f"{PLANTED}, {_steps(KP_CHOSEN)} SELECT s.id, {_r('coalesce(d.alpha_new, s.alpha)', 9)} AS alpha "
-                   "FROM state s LEFT JOIN deltas d USING (id)"),
+    "apply_step": (f"{PLANTED}, {_steps(KP_CHOSEN)} SELECT s.id, {_r('coalesce(d.alpha_new, s.alpha)', 9)} AS alpha, "
+                   f"{_r('coalesce((SELECT max(bn) FROM steps), bb.b)', 6)} AS b "
+                   "FROM state s LEFT JOIN deltas d USING (id), bb"),
     "gradient_update": (f"{PLANTED}, {_steps(KP_CHOSEN)}, "
                         "moved AS (SELECT x, (alpha_new - alpha_old) * y AS coef FROM deltas "
-                        "WHERE (alpha_new - alpha_old) * y <> 0) "
-                        f"SELECT s.id, {_r('s.g + s.y * coalesce(sum(m.coef * ' + _rbf('m.x', 's.x') + f'), 0.0{DBL})', 6)} AS g "
-                        "FROM state s LEFT JOIN moved m ON TRUE GROUP BY s.id, s.g, s.y"),
+                        "WHERE (alpha_new - alpha_old) * y <> 0), "
+                        f"upd AS (SELECT s.id, s.y, s.g + s.y * coalesce(sum(m.coef * {_rbf('m.x', 's.x')}), 0.0{DBL}) AS g "
+                        "FROM state s LEFT JOIN moved m ON TRUE GROUP BY s.id, s.g, s.y) "
+                        f"SELECT id, {_r('g', 6)} AS g, "
+                        f"{_r('y * g - coalesce((SELECT max(bn) FROM steps), bb.b)', 6)} AS e FROM upd, bb"),
     "weights_delta": (f"{PLANTED}, {_steps(KP_CHOSEN)}, {WEIGHTS}, "
                       "dw AS (SELECT pos, sum(coef * v) AS dw FROM (SELECT (alpha_new - alpha_old) * y AS coef, "
                       "unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM deltas) GROUP BY pos) "
@@ -271,12 +296,23 @@ ORACLE: dict[str, str] = {
                             f"SELECT 'test_precision', {_r(f'avg(CASE WHEN label01 = prediction THEN 1.0{DBL} ELSE 0.0{DBL} END)', 9)} "
                             "FROM hp WHERE holdout UNION ALL "
                             f"SELECT 'random_precision', {_r(f'coalesce(sum(p.p * q.p), 0.0{DBL})', 9)} FROM p JOIN q USING (cls)"),
-    "denormalise": (f"WITH {F6}, rng AS (SELECT least(min(label), min(prediction)) AS mn, "
-                    "greatest(max(label), max(prediction)) AS mx FROM f6 "
-                    f"WHERE o_orderdate < TIMESTAMP '{fx.ORDERS_SPLIT_DATE}') "
-                    f"SELECT o_orderkey, {_r('((label - mn) / (mx - mn)) * (mx - mn) + mn', 4)} AS label, "
-                    f"{_r('((prediction - mn) / (mx - mn)) * (mx - mn) + mn', 4)} AS prediction "
-                    f"FROM f6, rng WHERE o_orderdate >= TIMESTAMP '{fx.ORDERS_SPLIT_DATE}'"),
+    "denormalise": (f"WITH {UNIT} SELECT o_orderkey, is_test, {_r('label', 4)} AS label, "
+                    f"{_r('prediction', 4)} AS prediction FROM back"),
+    "eval_regression": (f"WITH {UNIT} SELECT CASE WHEN is_test THEN 'test_rmse' ELSE 'train_rmse' END AS metric, "
+                        f"{_r('sqrt(avg((label - prediction) * (label - prediction)))', 4)} AS value "
+                        "FROM back GROUP BY is_test"),
+    # closed form: the two points next to the gap are the support
+    "train_kernel": (f"WITH {PRICES}, e AS (SELECT min(CASE WHEN label = 1 THEN v + 1.0{DBL} END) AS p, "
+                     "max(CASE WHEN label = 0 THEN v END) AS n, count(*) AS n_rows FROM pr) "
+                     f"SELECT {_r(f'2.0{DBL} / (p - n)', 6)} AS w, {_r('(p + n) / (p - n)', 6)} AS b, n_rows FROM e"),
+    "train_linear": f"WITH {PRICES} SELECT o_orderkey, label, label AS prediction FROM pr",
+    "train_rff": ("WITH li AS (SELECT (l_quantity - 1.0::DOUBLE) / 49.0::DOUBLE AS q, l_extendedprice AS v FROM lineitem), "
+                  "st AS (SELECT min(v) AS lo, max(v) AS hi FROM li), "
+                  "x AS (SELECT q, (v - lo) / (hi - lo) AS d FROM li, st) "
+                  "SELECT count(*) AS n_rows, count(*) FILTER ((q - 0.5::DOUBLE) * (q - 0.5::DOUBLE) "
+                  f"+ (d - 0.5::DOUBLE) * (d - 0.5::DOUBLE) < {fx.RING_RADIUS_SQ}::DOUBLE) AS n_positive, "
+                  "true AS accurate, true AS two_sided FROM x"),
+    "svm_report": _report(),
     "rmse": (f"WITH {F6} SELECT count(*) AS n, {_r('avg((label - prediction) * (label - prediction))', 0)} AS mse, "
              f"{_r('sqrt(avg((label - prediction) * (label - prediction)))', 6)} AS rmse FROM f6"),
     "half_mse": (f"WITH {F6} SELECT count(*) AS n, "

@@ -1,92 +1,77 @@
 """The reference's whole run (E9): text -> typed rows -> target split ->
 scaling -> training -> report, as one chain of DataFrame operators.
 
-The trainer is chosen from the data: the exact working-set trainer while
-the de-duplicated training table is small enough for its iteration count,
-random Fourier features + LinearSVC beyond that.  The distinct-row count
-that decides it is a HyperLogLog estimate (partial aggregates only, no
-shuffle of the rows); an error of a few percent around the threshold only
-changes which exact-or-approximate trainer runs.
+The caller chooses the trainer (``rff``, which suits any size, or the exact
+working-set trainer); nothing switches with the size of the data.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.operators import metrics as M
 from marginflow.operators import prep as P
-from marginflow.operators.trainers import SVMParams, fit_kernel_svm, fit_rff_svc, spread
+from marginflow.operators.trainers import SVMParams, fit_kernel_svm, fit_rff_svc
+from marginflow.session import ensure_checkpoint_dir, one_row, shared_table
 from marginflow.sources import fixtures as fx
 from marginflow.sources import text as TX
 
-EXACT_ROW_LIMIT = 20_000
+#: Share of rows a run's model must get right to be reported as accurate.
+ACCURATE = 0.97
 
 
-def prepare(lines: DataFrame, names: list[str], target: str, keep: list[str]):
-    """Parse lines once, infer the type codes, look up the target, split it off.
+def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | None = None,
+                       trainer: str = "rff", rff_features: int = 128) -> DataFrame:
+    """Train on rows shipped before the split date, report on all.
 
-    The parsed table is persisted (it feeds the type codes, the statistics,
-    the trainer and both scoring passes).  Returns (rows with label + x,
-    task DataFrame, parsed table to unpersist).
+    Returns (metric, value) rows: training and test rows, distinct training
+    rows, the random-agreement baseline, whether training and test precision
+    reach ``ACCURATE``, and whether the trainer converged (it raises if not,
+    unless ``params.allow_unconverged``).
     """
-    parsed = spread(TX.parse_lines(lines, names, keep=keep)).persist(StorageLevel.MEMORY_AND_DISK)
-    codes = P.infer_type_codes(parsed, names)
-    task = TX.task_type(codes.select("pos", "name"), codes.select("pos", "code"), target)
-    t = names.index(target)
-    arr = parsed.select(*keep, F.array(*names).alias("values"))
-    return P.target_split(arr, "values", t).drop("values"), task, parsed
+    if trainer not in ("rff", "exact"):
+        raise ValueError(f"unknown trainer {trainer!r}; expected 'rff' or 'exact'")
+    params = params or SVMParams(c=1.0, gamma=5.0, tol=0.01)
+    files = f"{ensure_checkpoint_dir(spark).rstrip('/')}/f8-{uuid.uuid4().hex}"
+    names, types = _name_and_type_files(spark, files)
+    target = TX.task_type(names, types, "in_ring").first()
+    if target["task"] != TX.CLASSIFICATION:
+        raise ValueError("the target is not a class; metrics.eval_regression reports on normalised predictions")
 
+    parsed = shared_table(TX.parse_lines(fx.text_lines(spark, sf_dir), fx.F8_NAMES, keep=["l_shipdate"]), "parsed")
+    late = F.col("l_shipdate") >= F.lit(fx.SPLIT_DATE).cast("timestamp_ntz")
+    rows = P.target_split(parsed.select(late.alias("is_test"), F.array(*fx.F8_NAMES).alias("values")),
+                          "values", target["pos"]).drop("values")
+    # the training range, 2 * d numbers; test rows reuse it
+    st = P.column_minmax(rows.filter("not is_test"), "x").first()
+    lo, hi = (F.array(*[F.lit(v) for v in st[k]]) for k in ("mins", "maxs"))
+    rows = P.scale_with(rows, "x", lo, hi)
+    train = rows.filter("not is_test")
+    if trainer == "exact":
+        model = fit_kernel_svm(train, params)
+    else:
+        model = fit_rff_svc(train, gamma=params.gamma, n_features=rff_features,
+                            allow_unconverged=params.allow_unconverged)
+    report = {r["metric"]: r["value"] for r in M.eval_classification(model.transform(rows), F.col("is_test")).collect()}
+    test_rows = rows.filter("is_test").count()
+    return metric_rows(spark, [
+        ("train_rows", model.info["rows"]), ("test_rows", test_rows),
+        ("distinct_train_rows", model.info["distinct_rows"]),
+        ("random_precision", round(report["random_precision"], 9)),
+        ("train_accurate", report["train_precision"] >= ACCURATE),
+        ("test_accurate", report["test_precision"] >= ACCURATE),
+        ("converged", model.info["converged"])])
 
-def classification_run(spark: SparkSession, sf_dir: str, params: SVMParams | None = None,
-                       exact_row_limit: int = EXACT_ROW_LIMIT, rff_features: int = 128) -> DataFrame:
-    """Train on rows shipped before the split date, report on the rest.
 
-    Returns (metric, value) rows: train/test precision, the random-agreement
-    baseline, the trainer used (1 = exact kernel, 2 = Fourier features),
-    whether it converged, and the estimated distinct training rows.
-    """
-    params = params or SVMParams(c=1.0, gamma=5.0, tol=0.01)
-    lines = fx.text_lines(spark, sf_dir)
-    prepared, task, parsed = prepare(lines, fx.F8_NAMES, "in_ring", ["l_shipdate"])
-    rows = prepared.select("l_shipdate", "label", "x")
-    try:
-        task_name = task.select("task").first()["task"]
-        d = len(fx.F8_NAMES) - 1
-        early = F.col("l_shipdate") < F.lit(fx.SPLIT_DATE).cast("timestamp_ntz")
-        train_raw, test_raw = rows.filter(early), rows.filter(~early)
-        stats = P.column_minmax(train_raw, "x", d)       # test rows reuse the training range
-        train = P.scale_per_column(train_raw, "x", d, stats)
-        test = P.scale_per_column(test_raw, "x", d, stats)
-        if task_name != TX.CLASSIFICATION:
-            # "Regression" only selects the RMSE report in the reference; it
-            # has no regression loss to train, so report the label spread.
-            res = M.rmse(test.withColumn("prediction", F.lit(0.0))).first()
-            return metric_rows(spark, [("test_rmse_vs_zero", float(res["rmse"]))])
-        est = train.agg(F.count(F.lit(1)).alias("n"),
-                        F.approx_count_distinct(F.xxhash64("x", "label"), 0.02).alias("k")).first()
-        distinct = est["k"]
-        if distinct <= exact_row_limit:
-            model = fit_kernel_svm(train, params)
-            kind, converged = 1.0, float(model.info["converged"])
-        else:
-            model = fit_rff_svc(train, gamma=params.gamma, n_features=rff_features,
-                                reg=1e-5, max_iter=50, tol=1e-4,
-                                dedup=bool(distinct < 0.5 * est["n"]))
-            kind, converged = 2.0, 1.0
-        report = M.eval_classification(model.transform(train), model.transform(test),
-                                       train_labels=train.select("label"),
-                                       test_labels=test.select("label")).collect()
-    finally:
-        parsed.unpersist()
-    out = [(r["metric"], float(r["value"])) for r in report]
-    out += [("trainer_kind", kind), ("converged", converged), ("train_distinct_rows", float(distinct))]
-    return metric_rows(spark, out)
+def _name_and_type_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    fx.name_and_type_files(spark, path)
+    return TX.read_names(spark, f"{path}/names"), TX.read_types(spark, f"{path}/types")
 
 
 def metric_rows(spark: SparkSession, pairs: list[tuple[str, float]]) -> DataFrame:
-    """A handful of (metric, value) rows as a JVM-side local relation."""
-    structs = [F.struct(F.lit(m).alias("metric"), F.lit(float(v)).cast("double").alias("value"))
-               for m, v in pairs]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A handful of (metric, value) rows."""
+    structs = [F.struct(F.lit(m).alias("metric"), F.lit(float(v)).alias("value")) for m, v in pairs]
+    return one_row(spark).select(F.inline(F.array(*structs)))

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "marginflow",
@@ -64,3 +65,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                               dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it back.
+
+    Cuts the lineage and lets later passes prune columns and split the files;
+    a lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def one_row(spark: SparkSession) -> DataFrame:
+    """A one-row, one-partition relation to hang literals on."""
+    return spark.range(0, 1, 1, 1)

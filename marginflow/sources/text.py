@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marginflow.session import one_row
+
 # fixed values: task names chosen by the type code (1 = classification)
 CLASSIFICATION = "Classification"
 REGRESSION = "Regression"
@@ -35,6 +37,11 @@ def read_delimited(spark: SparkSession, path: str, names: Sequence[str],
             .csv(path))
 
 
+def write_delimited(df: DataFrame, path: str) -> None:
+    """Columns as comma-separated files with a header line each."""
+    df.write.option("header", True).csv(path)
+
+
 def split_fields(line: Column | str, n_fields: int) -> Column:
     """``line.split(',').map(_.toDouble)`` as an ARRAY<DOUBLE> column.
 
@@ -85,7 +92,7 @@ def task_type(names: DataFrame, types: DataFrame, target: str) -> DataFrame:
     Returns one row (target, pos, code, task).  A target missing from the
     name file raises instead of silently using index -1.
     """
-    want = names.sparkSession.range(1).select(F.lit(target).alias("name"))
+    want = one_row(names.sparkSession).select(F.lit(target).alias("name"))
     hit = want.join(names, "name", "left").join(types, "pos", "left")
     return hit.select(
         F.col("name").alias("target"),
@@ -95,15 +102,3 @@ def task_type(names: DataFrame, types: DataFrame, target: str) -> DataFrame:
         "code",
         F.when(F.col("code") == CLASSIFICATION_CODE, F.lit(CLASSIFICATION))
         .otherwise(F.lit(REGRESSION)).alias("task"))
-
-
-def sample_cap(df: DataFrame, order_by: Sequence[str], n: int | None) -> DataFrame:
-    """The reference keeps the first 1,000 lines incl. header = 999 rows.
-
-    Here the order is explicit (a total order on key columns) and the cap is
-    optional; ``None`` keeps every row.  Planned as a per-partition top-n
-    merged on the driver (TakeOrderedAndProject), never a global sort.
-    """
-    if n is None:
-        return df
-    return df.orderBy(*order_by).limit(int(n))

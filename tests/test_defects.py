@@ -99,6 +99,7 @@ def test_q19_seeded_offset_wraps_round(spark):
 def test_q23_test_precision_is_computed_on_test_rows(spark):
     train = spark.createDataFrame([(1.0, 1.0), (0.0, 0.0)], "label double, prediction double")
     test = spark.createDataFrame([(1.0, 0.0), (0.0, 0.0)], "label double, prediction double")
-    got = {r.metric: r.value for r in M.eval_classification(train, test).collect()}
+    both = train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
+    got = {r.metric: r.value for r in M.eval_classification(both, F.col("test")).collect()}
     assert got["train_precision"] == 1.0 and got["test_precision"] == 0.5
     assert got["random_precision"] == pytest.approx(0.5 * 0.5 + 0.5 * 0.5)

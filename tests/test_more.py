@@ -1,11 +1,10 @@
-"""Scoring on a stream, Fourier features, linear kernel, type codes, checked broadcast."""
+"""Scoring on a stream, Fourier features, linear kernel, checked broadcast, the run."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from marginflow.operators import metrics as M
-from marginflow.operators import prep as P
 from marginflow.operators.dual import broadcast_if_small
 from marginflow.operators.scoring import KernelModel
 from marginflow.operators.trainers import fit_linear_svc, fit_rff_svc
@@ -44,7 +43,7 @@ def test_rff_learns_the_ring(spark):
 def test_linear_svc_is_a_linear_kernel_model(spark):
     rows = [([float(i), float(i % 3)], 1.0 if i > 10 else 0.0) for i in range(22)]
     df = spark.createDataFrame(rows, "x array<double>, label double")
-    model = fit_linear_svc(df, reg=0.0, max_iter=100)
+    model = fit_linear_svc(df)
     acc = M.accuracy(model.transform(df)).first().accuracy
     assert acc == 1.0
     w = np.array(model.support.first().x)
@@ -53,20 +52,13 @@ def test_linear_svc_is_a_linear_kernel_model(spark):
         assert s == pytest.approx(float(np.dot(w, x)) - model.b, abs=1e-9)
 
 
-def test_infer_type_codes(spark):
-    df = spark.createDataFrame([(0.0, 1.5, 3.0), (1.0, 2.5, 40.0), (2.0, 0.5, 7.0)],
-                               "a double, b double, c double")
-    codes = {r.name: r.code for r in P.infer_type_codes(df, ["a", "b", "c"]).collect()}
-    assert codes == {"a": 1, "b": 2, "c": 2}
-
-
 def test_broadcast_if_small_marks_only_small_tables(spark):
     small = spark.range(5)
     big = spark.range(50)
-    joined = spark.range(100).join(broadcast_if_small(small, max_rows=10), "id")
+    joined = spark.range(100).join(broadcast_if_small(small, max_bytes=200), "id")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    assert broadcast_if_small(big, max_rows=10) is big
+    assert broadcast_if_small(big, max_bytes=200) is big
 
 
 def test_chunked_basis_merges_duplicates(spark):
@@ -95,24 +87,20 @@ def test_local_rows_checks_its_bound(spark):
     assert local_rows(df.filter("id > 5"), 2).count() == 0
 
 
-def test_task_sizing(spark):
-    from marginflow.operators.trainers import ROWS_PER_TASK, _task_count, spread
-    df = spark.range(10)
-    cores = spark.sparkContext.defaultParallelism
-    assert _task_count(df, 550) == 1
-    assert _task_count(df, 10 ** 9) == cores
-    assert _task_count(df, 3 * ROWS_PER_TASK) == min(cores, 3)
-    wide = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(wide, 1000).rdd.getNumPartitions() == 1
-    assert spread(spark.range(0, 1000, numPartitions=1)).rdd.getNumPartitions() == cores
+def test_task_count_follows_bytes(spark):
+    from marginflow.operators.trainers import TASK_BYTES, sized, task_count
+    assert [task_count(b) for b in (0, 1, 16 << 10, 64 << 10, 1 << 20)] == [1, 1, 1, 2, 8]
+    assert task_count(100 << 40) == (100 << 40) // TASK_BYTES
+    assert sized(spark.range(0, 15000, numPartitions=1), 15000, 1).rdd.getNumPartitions() > 1
 
 
-def test_report_run_small_table_uses_exact_trainer(spark):
-    """E9 end to end on sf0.001: few distinct training rows -> exact trainer."""
+def test_report_with_the_exact_trainer(spark):
+    """E9 end to end on sf0.001 with the trainer the caller asks for."""
+    from marginflow.operators.trainers import SVMParams
     from marginflow.plans.run import classification_run
-    got = {r.metric: r.value for r in classification_run(spark, SF_SMALL).collect()}
-    assert set(got) == {"train_precision", "test_precision", "random_precision",
-                        "trainer_kind", "converged", "train_distinct_rows"}
-    assert got["trainer_kind"] == 1.0 and got["converged"] == 1.0
-    assert got["train_precision"] >= 0.95 and got["test_precision"] >= 0.9
-    assert 0.0 < got["random_precision"] < 1.0
+    params = SVMParams(c=1.0, gamma=5.0, tol=0.05)
+    got = {r.metric: r.value for r in classification_run(spark, SF_SMALL, params, trainer="exact").collect()}
+    assert got["converged"] == got["train_accurate"] == 1.0
+    assert got["distinct_train_rows"] <= got["train_rows"] and 0.0 < got["random_precision"] < 1.0
+    with pytest.raises(ValueError, match="trainer"):
+        classification_run(spark, SF_SMALL, trainer="auto")
