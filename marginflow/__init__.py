@@ -1,4 +1,5 @@
-"""marginflow: support-vector classification as Spark DataFrame jobs.
+"""marginflow: support-vector classification and training-data operators as
+Spark DataFrame jobs.
 
 Layout
 ------
@@ -8,7 +9,9 @@ functions/  column expressions (kernels, SMO bounds and steps) and the
 operators/  DataFrame -> DataFrame operators: preparation, kernel scoring,
             dual-state steps, trainers, metrics
 plans/      the end-to-end train/evaluate run and the query catalog
-streaming/  scoring helpers that also accept streaming DataFrames
+llm/        operators of a training-data pipeline
+
+Scoring is a stateless map and also works on streaming DataFrames.
 """
 
 __version__ = "0.1.0"

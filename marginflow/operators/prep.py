@@ -94,11 +94,6 @@ def class_list(df: DataFrame, label_col: str = "label") -> DataFrame:
                     .otherwise(F.array_sort(F.collect_list(label_col))).alias("classes"))
 
 
-def class_index(df: DataFrame, label_col: str = "label") -> DataFrame:
-    """(label, idx) with idx = rank of the label in sorted order."""
-    return class_list(df, label_col).select(F.posexplode("classes").alias("idx", label_col)).select(label_col, "idx")
-
-
 def one_hot(df: DataFrame, label_col: str = "label", classes: DataFrame | None = None,
             out_col: str = "onehot") -> DataFrame:
     """label -> K-slot 0/1 array, slot i = class i (P5, SURVEY Q5); all 0 for

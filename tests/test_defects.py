@@ -3,7 +3,6 @@ where the other test files do not already pin them down."""
 
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 

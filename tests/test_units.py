@@ -1,11 +1,9 @@
 """Hand-made unit cases (FIXTURES.md sec. 4) and the defect decisions."""
 
-import math
 import random
 
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from marginflow.functions.kernels import block_kernel, block_kernel_sum
