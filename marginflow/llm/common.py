@@ -61,17 +61,20 @@ def sha256_joined(arr) -> F.Column:
     return F.sha2(F.concat_ws(",", arr), 256)
 
 
-def text_slices(texts: list[str | None], limit: int = 4_000_000):
-    """(start, stop) row ranges of at most ``limit`` characters, or one row."""
+def text_slices(column, limit: int = 4_000_000):
+    """(start, stop, texts) parts of an Arrow text column: at most ``limit``
+    bytes of text at a time as Python strings, or one row."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t else 0
+    for i, n in enumerate(sizes):
         if i > start and size + n > limit:
-            yield start, i
+            yield start, i, column.slice(start, i - start).to_pylist()
             start, size = i, 0
         size += n
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes), column.slice(start).to_pylist()
 
 
 def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make) -> DataFrame:
@@ -93,10 +96,9 @@ def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make)
     def run(batches):
         f = make()
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for lo, hi in text_slices(texts):
+            for lo, hi, texts in text_slices(batch.column(len(keep))):
                 old = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(old + list(f(texts[lo:hi])), names=out_names)
+                yield pa.RecordBatch.from_arrays(old + list(f(texts)), names=out_names)
 
     return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text")) \
                .mapInArrow(run, schema)

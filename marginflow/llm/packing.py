@@ -52,10 +52,9 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str,
         chunk, seen, enc = TaskContext.get().partitionId(), {}, WordEncoder(vocabulary)
         end = np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in text_slices(texts):
+            for lo, _, texts in text_slices(batch.column(1)):
                 src, piece, length, ids, rank = [], [], [], [], []
-                part = enc.encode_batch([t or "" for t in texts[lo:hi]])
+                part = enc.encode_batch([t or "" for t in texts])
                 for row, raw in enumerate(part, lo):
                     wide = np.frombuffer(raw, enc.dtype).astype("<u4").tobytes() + end
                     for k in range(0, len(wide) // 4, capacity):

@@ -139,9 +139,9 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 2, vocabulary: s
             return row
 
         for batch in batches:
-            keys, texts, buckets = (batch.column(i).to_pylist() for i in range(3))
-            for lo, hi in text_slices(texts):
-                for key, raw, b in zip(keys[lo:hi], enc.encode_batch(texts[lo:hi]), buckets[lo:hi]):
+            keys, buckets = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for lo, hi, texts in text_slices(batch.column(1)):
+                for key, raw, b in zip(keys[lo:hi], enc.encode_batch(texts), buckets[lo:hi]):
                     if index and (b != bucket or size >= SHARD_BYTES):
                         yield close()
                     if b != bucket:
