@@ -56,6 +56,18 @@ def process_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def share(spark: SparkSession, value):
+    """Broadcast a value; returns a function that gives it in a task.
+
+    Its classes travel by value, like the tasks' functions, so executors need
+    not have this package installed."""
+    import pickle
+
+    from pyspark import cloudpickle
+    raw = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(raw.value)
+
+
 def sha256_joined(arr) -> F.Column:
     """Lowercase hex SHA-256 of an array of strings joined by commas."""
     return F.sha2(F.concat_ws(",", arr), 256)

@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.llm.common import fresh, map_texts, write_table
+from marginflow.llm.common import fresh, map_texts, share, write_table
 
 WINDOW = 10
 SHINGLE = 5
-#: Characters of benchmark text indexed and broadcast at once.
-BLOCK_CHARS = 16_000_000
+#: Characters of benchmark text indexed and broadcast at once (some 300,000
+#: windows, 150 MB as Python objects).
+BLOCK_CHARS = 2_000_000
 
 #: Word bytes: ASCII letters and digits and everything outside ASCII.
 _TABLE = bytes(ord(chr(b).lower()) if b < 128 and chr(b).isalnum() else b if b >= 128 else 32 for b in range(256))
@@ -57,9 +58,8 @@ class WindowIndex:
         for w in self.windows:
             n = min(shingle, len(w))
             keys[n].update(w[i:i + n] for i in range(len(w) - n + 1))
-        #: per shingle length: shingles and the sorted hashes of them
-        self.keys = {n: sorted(k) for n, k in keys.items()}
-        self.hashes = {n: np.unique(self.hash_rows(np.asarray(k, np.uint64))) for n, k in self.keys.items()}
+        #: per shingle length: the sorted hashes of all shingles
+        self.hashes = {n: np.unique(self.hash_rows(np.asarray(list(k), np.uint64))) for n, k in keys.items()}
 
     @staticmethod
     def hash_rows(rows):
@@ -111,6 +111,7 @@ class WindowIndex:
             hs = self.hash_rows(rows).tolist()
             off = min(range(len(hs)), key=lambda i: (frequency.get((n, hs[i]), 0), i))
             self.prefix[n].setdefault(hs[off], []).append((np.asarray(w, np.int64), off, items))
+        del self.windows, self.hashes  # what matching does not need is not sent
         self.prefix_hashes = {n: np.asarray(sorted(p), np.uint64) for n, p in self.prefix.items()}
 
     def match(self, ids):
@@ -141,7 +142,7 @@ def _count_shingles(docs: DataFrame, index, text_col: str) -> dict[tuple[int, in
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        ix = index.value
+        ix = index()
         total = {n: np.zeros(len(ix.hashes[n]), np.int64) for n in ix.sizes}
         for batch in batches:
             for text in batch.column(0):
@@ -170,7 +171,7 @@ def _match(docs: DataFrame, index, keep: list[str], text_col: str, found: str) -
     def make():
         import numpy as np
         import pyarrow as pa
-        ix = index.value
+        ix = index()
         span_t = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         out_t = pa.struct([("n_words", pa.int64()), ("spans", span_t), ("items", pa.list_(pa.string()))])
 
@@ -214,12 +215,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     for b in range(blocks):
         own = items.filter(F.col("block") == b) if blocks > 1 else items
         index = WindowIndex([(r["id"], r["text"]) for r in own.select("id", "text").collect()], window, shingle)
-        counts = _count_shingles(docs, spark.sparkContext.broadcast(index), text_col)
+        counts = _count_shingles(docs, share(spark, index), text_col)
         index.choose_prefixes(counts)
         last = b == blocks - 1
         name, = fresh(out, f"found{b}")
         carry = list(dict.fromkeys([*keep, *parts, *([] if last else [text_col])]))
-        out = _match(out, spark.sparkContext.broadcast(index), carry, text_col, name)
+        out = _match(out, share(spark, index), carry, text_col, name)
         parts.append(name)
 
     if blocks > 1:  # the same word may be hit by windows of several blocks

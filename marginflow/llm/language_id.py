@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.llm.common import map_texts, write_table
+from marginflow.llm.common import map_texts, share, write_table
 
 #: Bounds of the fit: labelled rows per language, and languages (most frequent).
 ROWS_PER_LANGUAGE = 3000
@@ -35,8 +35,9 @@ CENTROIDS = 3
 ROUNDS = 6
 #: A centroid with a smaller share of its language's rows is dropped.
 MIN_SHARE = 0.05
-#: A cosine is too low below this part of the 0.1 % quantile of labelled rows.
-REJECT_PART, REJECT_QUANTILE = 0.5, 0.001
+#: A cosine is too low below this part of the 0.1 % quantile of labelled rows
+#: (short texts have low cosines, but not as low as other scripts).
+REJECT_PART, REJECT_QUANTILE = 0.25, 0.001
 _BITS = 13
 DIMS = 1 << _BITS
 _CHUNK = 1 << 20
@@ -156,7 +157,7 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
     def step_job(shared, last: bool):
         def run(batches):
             import pyarrow as pa
-            m = shared.value
+            m = shared()
             place = {lang: i for i, lang in enumerate(m.languages)}
             sums = np.zeros((DIMS, len(m.owner)), np.float32)
             size, best = np.zeros(len(m.owner), np.int64), []
@@ -179,7 +180,7 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
 
     for step in range(rounds + 1):
         last = step == rounds
-        got = gather(step_job(spark.sparkContext.broadcast(model), last), "sums binary, size binary, best binary")
+        got = gather(step_job(share(spark, model), last), "sums binary, size binary, best binary")
         size = sum(np.frombuffer(r["size"], np.int64) for r in got)
         if last:
             best = np.concatenate([np.frombuffer(r["best"], np.float32) for r in got])
@@ -198,12 +199,12 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None, keep: list[
                        text_col: str = "text") -> DataFrame:
     """Kept columns (default: all) and lang_pred, score (the largest cosine,
     0 to 1) and rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
 
     def make():
         import numpy as np
         import pyarrow as pa
-        m = shared.value
+        m = shared()
 
         def one(text):
             counts = ngram_counts(text) if m else None

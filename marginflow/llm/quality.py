@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.llm.common import map_texts
+from marginflow.llm.common import map_texts, share
 
 LABELLED, POOL, MOVED = 20_000, 20_000, 1_000
 ROUNDS = 4
@@ -217,13 +217,13 @@ def score_quality(docs: DataFrame, model: QualityModel, keep: list[str] | None =
     names = ("text_score", "page_score", "quality")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     rows = _features(docs, keep, text_col, [c for c in meta_cols if c in docs.columns], "__features")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(n, T.DoubleType()) for n in names])
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        m = shared.value
+        m = shared()
         for batch in batches:
             n = batch.num_rows
             if m.text is None or not n:
