@@ -38,6 +38,7 @@ MAGIC = b"MFTOKID1"
 SUFFIX = ".mftok"
 #: Bounds of the dictionary's training sample, and its size in bytes.
 SAMPLE_DOCS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 1024, 64 * 1024
+LEVEL = 3
 #: Compressed bytes of a shard, about.
 SHARD_BYTES = 8 << 20
 ROWS_PER_BUCKET = 4096
@@ -119,8 +120,11 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = 2, vocabulary: s
         from pyspark import TaskContext
         attempt = str(TaskContext.get().taskAttemptId())
         enc = WordEncoder(vocabulary)
-        zstd = zstandard.ZstdCompressor(
-            level=3, **({"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}))
+        options = {}
+        if dictionary:
+            options["dict_data"] = zstandard.ZstdCompressionDict(dictionary)
+            options["dict_data"].precompute_compress(level=LEVEL)  # once, not for every document
+        zstd = zstandard.ZstdCompressor(level=LEVEL, **options)
         head = MAGIC + hashlib.sha256(dictionary).digest() + bytes([enc.width]) + bytes(7)
         end = np.asarray([end_id], enc.dtype).tobytes()
         bucket, part, frames, size, index, ids = None, 0, [], 0, [], 0
