@@ -8,7 +8,7 @@ import os
 from marginflow.llm.common import process_cache
 
 #: Entries kept in a worker's table of pieces already encoded.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 500_000
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
