@@ -25,6 +25,8 @@ from marginflow.llm.common import map_texts
 #: Least guess cost, in bits, of a value that counts as a secret.
 MIN_BITS = 36.0
 MAX_VALUE = 256
+#: Longest unit of a repeat.
+MAX_UNIT = 16
 
 # fixed values: the three formats
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -96,14 +98,18 @@ class GuessCost:
                 j += 1
                 if j - i >= 2:  # a walk: where it starts, and one of two turns at each step
                     add(i, j + 1, self.log2(47) + (j - i))
-            for size in range(1, (n - i) // 2 + 1):
-                unit, times = v[i:i + size], 1
-                while v.startswith(unit, i + times * size):
-                    times += 1
-                    if times * size >= 3:  # a repeat: the unit by brute force, and how often
-                        add(i, i + times * size, sum(self.log2(self._charset(c)) for c in unit) + self.log2(times))
-                if size > 16:
-                    break
+            for size in range(1, min(MAX_UNIT, (n - i) // 2) + 1):
+                unit = v[i:i + size]
+                if v.startswith(unit, i - size) and i >= size:
+                    continue  # inside a repeat that began earlier
+                end = i + size
+                while v.startswith(unit, end):
+                    end += size
+                # a repeat up to its end, from any of its units: the unit by brute force, and how often
+                cost = sum(self.log2(self._charset(c)) for c in unit)
+                for start in range(i, end - size, size):
+                    if end - start >= 3:
+                        add(start, end, cost + self.log2((end - start) // size))
         for i, j, cost in self._dates(v):
             add(i, j, cost)
         return by_end
