@@ -77,17 +77,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-_SPANS = "array<struct<start:int,stop:int,m:string>>"
+_SPANS = "array<struct<start:int,stop:int,m:string,cue:string,around:string>>"
+_BLOCK = 64
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches with their code point positions."""
-    block = 64
+    """Leftmost non-overlapping matches: code point positions, the match, up
+    to 40 characters between the previous match and it, and the characters on
+    either side.  All comes from the matches and the texts between them, so
+    the work is linear in the text."""
     none = F.array().cast(_SPANS)
 
     def spans_of(lens: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(lens) / block).cast("int"), F.lit(1)) - 1),
-                             lambda b: F.slice(lens, b * block + 1, block))
+        blocks = in_blocks(lens)
 
         def fold(part: Column, at: Column) -> Column:
             return F.aggregate(
@@ -95,7 +97,8 @@ def matches(text: Column, pattern: str) -> Column:
                     (acc["at"] + x["gap"] + x["n"]).alias("at"),
                     F.array_append(acc["out"], F.struct(
                         (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["n"]).alias("stop"),
-                        x["m"].alias("m"))).alias("out")), lambda acc: acc["out"])
+                        x["m"].alias("m"), x["cue"].alias("cue"), x["around"].alias("around"))).alias("out")),
+                lambda acc: acc["out"])
 
         def firsts(parts: Column) -> Column:
             sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x["gap"] + x["n"]))
@@ -105,10 +108,35 @@ def matches(text: Column, pattern: str) -> Column:
                                lambda acc: acc["out"])
         return let(blocks, lambda parts: F.flatten(F.zip_with(parts, firsts(parts), fold)))
 
+    def lens(found: Column, gaps: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            gap, after = F.get(gaps, i), F.get(gaps, i + 1)
+            left = F.when(gap != "", F.substring(gap, -1, 1)).otherwise(F.substring(F.get(found, i - 1), -1, 1))
+            right = F.when(after != "", F.substring(after, 1, 1)).otherwise(F.substring(F.get(found, i + 1), 1, 1))
+            return F.struct(F.length(gap).alias("gap"), F.length(m).alias("n"), m.alias("m"),
+                            F.lower(F.substring(gap, -40, 40)).alias("cue"),
+                            F.concat_ws("\n", left, right).alias("around"))
+        return F.transform(found, one)
+
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(
-        F.size(found) == 0, none).otherwise(let(F.zip_with(
-            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
-            lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"), m.alias("m"))), spans_of)))
+        F.size(found) == 0, none).otherwise(
+            let(F.split(text, pattern, -1), lambda gaps: let(lens(found, gaps), spans_of))))
+
+
+def in_blocks(items: Column) -> Column:
+    """An array as an array of blocks, so that folds stay short."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(items) / _BLOCK).cast("int"), F.lit(1)) - 1),
+                       lambda b: F.slice(items, b * _BLOCK + 1, _BLOCK))
+
+
+def overlaps(spans: Column, s: Column) -> Column:
+    """Some of ``spans`` (in order, apart from each other) overlaps ``s``: if
+    any does, the last that starts before the end of ``s`` does.  Found by
+    halving."""
+    steps = F.array(*[F.lit(1 << k) for k in range(24, -1, -1)])
+    last = F.aggregate(steps, F.lit(-1), lambda i, p: F.when(
+        (i + p < F.size(spans)) & (F.get(spans, i + p)["start"] < s["stop"]), i + p).otherwise(i))
+    return F.coalesce(let(last, lambda i: F.get(spans, i)["stop"]) > s["start"], F.lit(False))
 
 
 def _digits(m: Column) -> Column:
@@ -140,9 +168,8 @@ def _sign(yes: Column, no: Column | None = None) -> Column:
     return out.otherwise(-1) if no is None else out.when(no, -1).otherwise(0)
 
 
-def _candidate(kind: str, base: bool, text: Column, c: Column) -> Column:
-    m, before = c["m"], F.lower(F.substring(text, F.greatest(c["start"] - 40, F.lit(0)) + 1,
-                                            F.least(F.lit(40), c["start"])))
+def _candidate(kind: str, base: bool, c: Column) -> Column:
+    m, before = c["m"], c["cue"]
     digits = _digits(m)
     gazetteer = {
         "email": _sign(F.lower(m).rlike(rf"(?:\.|\(dot\)\x20?|\[dot\]\x20?)(?:{DOMAINS})$")),
@@ -151,14 +178,12 @@ def _candidate(kind: str, base: bool, text: Column, c: Column) -> Column:
         "phone": _sign(m.rlike(COUNTRIES), m.startswith("+")),
     }[kind]
     good, bad = CUES[kind]
-    around = F.concat(F.when(c["start"] > 0, F.substring(text, c["start"], F.lit(1))).otherwise(" "), F.lit("\n"),
-                      F.substring(text, c["stop"] + 1, F.lit(1)))
     regex = F.lit(1) if base else F.when(F.lit(kind == "card") & ~luhn(digits), -1).otherwise(0)
     return F.struct(
         c["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), c["stop"].alias("stop"),
         F.lit(base).alias("base"), regex.alias("regex"), gazetteer.alias("gazetteer"),
         _sign(before.rlike(good), before.rlike(bad)).alias("context"),
-        _sign(~around.rlike(r"[\p{L}\p{N}_]")).alias("shape"),
+        _sign(~c["around"].rlike(r"[\p{L}\p{N}_]")).alias("shape"),
         F.when(F.length(m) > 20, 1).otherwise(0).alias("long"),
         F.when(m.rlike(r"^[\p{L}\p{N}]+$"), 1).otherwise(0).alias("plain"))
 
@@ -173,17 +198,17 @@ def candidates(text: Column) -> Column:
         found = F.when(hint, matches(t, (BASE if base else LOOSE)[kind])).otherwise(empty)
         ok = (lambda c: valid(kind, c["m"])) if base else (
             lambda c: F.length(_digits(c["m"])).between(13, 19)) if kind == "card" else (lambda c: F.lit(True))
-        return F.transform(F.filter(found, ok), lambda c: _candidate(kind, base, t, c))
+        return F.transform(F.filter(found, ok), lambda c: _candidate(kind, base, c))
 
     digits = {"email": F.lit(True), "ip": has_digit, "card": has_digit, "phone": has_digit}
-    base = F.concat(*[of(k, True, digits[k] & (t.contains(HINT[k]) if HINT[k] else F.lit(True))) for k in KINDS])
+    base = F.array(*[of(k, True, digits[k] & (t.contains(HINT[k]) if HINT[k] else F.lit(True))) for k in KINDS])
     spelled = {"email": t.contains("(at)") | t.contains("[at]"), "ip": has_digit & t.contains(":"),
                "card": has_digit, "phone": has_digit}
     loose = F.concat(*[of(k, False, spelled[k]) for k in KINDS])
 
     def apart(b: Column) -> Column:
-        free = F.filter(loose, lambda s: ~F.exists(b, lambda x: (x["start"] < s["stop"]) & (s["start"] < x["stop"])))
-        return F.array_sort(F.concat(b, free))
+        free = F.filter(loose, lambda s: ~F.exists(b, lambda spans: overlaps(spans, s)))
+        return F.array_sort(F.concat(F.flatten(b), free))
     return let(base, apart)
 
 
@@ -271,14 +296,31 @@ def find_pii(docs: DataFrame, keep: list[str] | None = None, text_col: str = "te
 
 def redact(text: Column, spans: Column) -> Column:
     """The text with every span (sorted by start) replaced by its kind in
-    brackets; spans that overlap become one, named after the first."""
-    def cut(acc: Column, s: Column) -> Column:
-        return F.when(s["start"] >= acc["at"], F.struct(
-            s["stop"].alias("at"),
-            F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                                         F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))) \
-            .otherwise(F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate(spans, start, cut, lambda acc: F.concat_ws(
-        "", acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(done)
+    brackets; spans that overlap become one, named after the first.  The text
+    is cut block by block of spans."""
+    def part(block: Column, begin: Column) -> Column:
+        """The text from ``begin`` (where earlier spans end) to the block's end."""
+        end = F.greatest(begin, F.array_max(F.transform(block, lambda s: s["stop"])))
+        own = F.substring(text, begin + 1, end - begin)
+
+        def fold(piece: Column) -> Column:
+            def cut(acc: Column, s: Column) -> Column:
+                return F.when(s["start"] >= acc["at"], F.struct(
+                    s["stop"].alias("at"),
+                    F.concat(acc["out"], F.array(
+                        F.substring(piece, acc["at"] - begin + 1, s["start"] - acc["at"]),
+                        F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))) \
+                    .otherwise(F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), acc["out"].alias("out")))
+            return F.aggregate(block, F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out")),
+                               cut, lambda acc: F.concat_ws("", acc["out"]))
+        return let(own, fold)
+
+    def whole(blocks: Column) -> Column:
+        begins = F.aggregate(
+            F.transform(blocks, lambda b: F.array_max(F.transform(b, lambda s: s["stop"]))),
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+            lambda acc, stop: F.struct(F.greatest(acc["at"], stop).alias("at"),
+                                       F.array_append(acc["out"], acc["at"]).alias("out")))
+        return let(begins, lambda g: F.concat(F.concat_ws("", F.zip_with(blocks, g["out"], part)),
+                                              F.substring(text, g["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) == 0, text).otherwise(let(in_blocks(spans), whole))

@@ -160,3 +160,24 @@ def test_cascade_has_levels_and_is_exact(spark, monkeypatch):
     assert len(cascade.shards[0]) >= 3
     wrong = universe.filter(cascade.contains(F.col("key")) != F.expr("hash(key) % 5 = 0"))
     assert wrong.count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """More spans than a block holds: positions, overlaps and redaction."""
+    rng = random.Random(12)
+    bits = ["a@b.co", "1.2.3.4", "4111111111111111", "+1 (988) 555-2485", "+378282246310005", "(988) 555-2485",
+            "word", "é💳", "7"]
+    text = "".join(rng.choice(bits) + rng.choice([" ", ", ", "\n", " x "]) for _ in range(3000))
+    r = pii.find_pii(docs(spark, [text])).select("pii", pii.redact(F.col("text"), F.col("pii")).alias("t")).first()
+    want = brute_spans(text, PII)
+    assert [f"{s['kind']}:{s['start']}:{s['stop']}" for s in r["pii"] if s["base"]] == want and len(want) > 1000
+    base = [(s["start"], s["stop"]) for s in r["pii"] if s["base"]]
+    for s in r["pii"]:
+        if not s["base"]:
+            assert all(b <= s["start"] or s["stop"] <= a for a, b in base)
+    out, at = [], 0
+    for s in r["pii"]:
+        if s["start"] >= at:
+            out += [text[at:s["start"]], f"[{s['kind'].upper()}]"]
+        at = max(at, s["stop"])
+    assert r["t"] == "".join(out) + text[at:]
