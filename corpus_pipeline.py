@@ -7,24 +7,25 @@ read again for the next.  All but the last return the columns of documents.
 A stage renames the columns by position while an operator works on them, so
 that no column of the documents can clash with a result.
 
-Edge cases: rows without text or letters go with the language stage; of the
-rows that share a document id and text group one stays; an empty table passes
-through.
+Edge cases: rows without text or letters go with the language stage; of each
+group of near-duplicate texts one row stays, whatever ids are null or
+repeated; an empty table passes through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marginflow.llm.common import read_table, scratch_path, write_table
 from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
 from marginflow.llm.packing import pack
 from marginflow.llm.pii import find_pii, redact
-from marginflow.llm.simhash import near_duplicates
+from marginflow.llm.simhash import surplus_rows
 
-#: Dropped ids that are broadcast (8 bytes each); more are joined by a shuffle.
+#: Dropped row numbers that are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
 
@@ -45,21 +46,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id."""
-    groups = write_table(near_duplicates(docs).select("doc_id", "component_id"), "groups")
-    dropped = groups.filter("doc_id <> component_id or (doc_id is null and component_id is not null)") \
-                    .select("doc_id").distinct()
+    """Of each group of near-duplicates the row with the least id (nulls last;
+    ties by a hash of the row).  Rows are told apart by a written row number."""
+    own, n = _positional(docs)
+    plain = [f.name for f in own.schema if isinstance(f.dataType, T.AtomicType)]
+    rows = write_table(own.withColumns({"row": F.monotonically_increasing_id(), "hash": F.xxhash64(*plain)}), "rows")
+    dropped = write_table(surplus_rows(rows, "row", [n["doc_id"], "hash"], text_col=n["text"]), "surplus")
     if dropped.count() <= BROADCAST_IDS:
         dropped = F.broadcast(dropped)
-    left = docs.join(dropped, docs.doc_id.eqNullSafe(dropped.doc_id), "left_anti")
-    repeated = groups.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    if not repeated.head(1):
-        return left
-    # repeated ids: one row of each id and text group stays
-    again = write_table(repeated.join(dropped, "doc_id", "left_anti"), "repeated")
-    once = left.join(again, left.doc_id.eqNullSafe(again.doc_id), "left_anti")
-    return once.unionByName(left.join(again, left.doc_id.eqNullSafe(again.doc_id), "left_semi")
-                            .dropDuplicates(["doc_id"]))
+    return _named(rows.join(dropped, "row", "left_anti"), n)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

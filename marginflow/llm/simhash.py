@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,11 +124,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
                     text_col: str = "text") -> DataFrame:
     """(id_col, fp, fingerprint, component_id) for every row of ``docs``."""
     prints = write_table(fingerprints(docs, [id_col], shingle, text_col), "fingerprints")
-    distinct = write_table(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "distinct-fingerprints")
+    of_print = _least_of_component(prints, F.min(id_col)).withColumnRenamed("least", "component_id")
+    return prints.join(of_print, "fp").select(
+        id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _least_of_component(prints: DataFrame, least: Column) -> DataFrame:
+    """(fp, least) for every fingerprint of ``prints``: the least value, by the
+    aggregate ``least``, of all rows in its component."""
+    distinct = write_table(prints.groupBy("fp").agg(least.alias("least")), "distinct-fingerprints")
     roots = connected_components(close_pairs(distinct.select("fp")))
     rooted = write_table(distinct.join(roots, distinct.fp == roots.node, "left")
                          .select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
-    smallest = write_table(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    of_print = write_table(rooted.join(smallest, "root").select("fp", "component_id"), "component-of")
-    return prints.join(of_print, "fp").select(
-        id_col, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    smallest = write_table(rooted.groupBy("root").agg(F.min("least").alias("least")), "components")
+    return write_table(rooted.select("fp", "root").join(smallest, "root").select("fp", "least"), "component-of")
+
+
+def surplus_rows(docs: DataFrame, row_col: str, order: list[str], shingle: int = SHINGLE,
+                 text_col: str = "text") -> DataFrame:
+    """(row_col) of all rows but one of each component: the first by the
+    ``order`` columns (nulls last), then by ``row_col``, which is unique and
+    not null."""
+    prints = write_table(fingerprints(docs, [row_col, *order], shingle, text_col), "fingerprints")
+    place = [x for c in order for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+    kept = _least_of_component(prints, F.min(F.struct(*place, F.col(row_col).alias("kept")))) \
+        .select("fp", "least.kept")
+    return prints.join(kept, "fp").filter(F.col(row_col) != F.col("kept")).select(row_col)

@@ -60,3 +60,13 @@ def test_pipeline_keeps_odd_rows_whole(spark):
     assert {r["doc_id"] for r in packed.collect()} == {5, 7}
     for out in stages(spark, df.limit(0)):
         assert out.count() == 0
+
+
+def test_near_dedup_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in "abcdefg"]
+    a, b, c, d, e, f, g = texts
+    rows = [(None, a), (None, b), (None, c), (None, d), (9, d), (5, e), (5, f), (3, e), (5, f), (None, g), (None, g)]
+    near = cp.near_dedup(spark, docs(spark, [t for _, t in rows], [i for i, _ in rows]), SF)
+    assert {(r["doc_id"], r["text"]) for r in near.collect()} == {
+        (None, a), (None, b), (None, c), (9, d), (3, e), (5, f), (None, g)}
+    assert near.count() == 7 and near.columns == ["doc_id", "text", "lang", "source", "n_chars"]
