@@ -2,7 +2,8 @@
 
 Fixed formats (kinds ``assign``, ``access``, ``hex``) are matched as they
 stand.  Beyond them, values in a credential context that the fixed formats
-miss (other key words, a value of 6+ printable characters) are kept, as kind
+miss (other key words, or other characters in a value of 6+ printable ones;
+a value ends at a blank or where a fixed format begins) are kept, as kind
 ``guess``, if their guess cost is high: the least number of bits over all
 segmentations of the value into known words, dates, repeats, keyboard walks
 and brute-force spans, found by dynamic programming.
@@ -16,6 +17,7 @@ costed in windows of that length, and the costs added.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -35,11 +37,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-# other credential contexts: key word, separator, value
-CONTEXT = re.compile(r"""\b(?:pwd|pass|passphrase|passcode|pin|auth|authorization|bearer|credentials?|login|"""
-                     r"""private_?key|access_?key|client_?secret|session_?id)["']?\x20*(?:[:=]|\bis\b)\x20*["']?"""
-                     r"""([!-~]{6,})""", re.IGNORECASE | re.ASCII)
-_CONTEXT_HINT = re.compile(r"pwd|pass|pin|auth|bearer|credential|login|_?key|secret|session", re.IGNORECASE | re.ASCII)
+# other credential contexts: key word (those of the fixed format anywhere in a
+# word, the others after no letter or digit), separator; then the value
+CONTEXT = re.compile(r"""(?:password|passwd|secret|token|api_?key|(?<![A-Za-z0-9])(?:pwd|pass|passphrase|passcode|"""
+                     r"""pin|auth|authorization|bearer|credentials?|login|private_?key|access_?key|session_?id))"""
+                     r"""["']?\x20*(?:[:=]|\bis\b)\x20*["']?(?=[!-~]{6})""", re.IGNORECASE | re.ASCII)
+_CONTEXT_HINT = re.compile(r"pwd|pass|pin|auth|bearer|credential|login|_?key|secret|token|session",
+                           re.IGNORECASE | re.ASCII)
+_VALUE_END = re.compile(r"[^!-~]|\Z")
 _ASSIGN_HINT = re.compile(r"passw|secret|token|key", re.IGNORECASE | re.ASCII)
 
 # fixed values: common words of passwords, most common first
@@ -144,15 +149,23 @@ def added_spans(text: str, base: list[tuple[int, int, str]], cost: GuessCost,
     """Hard-to-guess values in other credential contexts, outside the base."""
     if not _CONTEXT_HINT.search(text):
         return []
-    out = []
-    for m in CONTEXT.finditer(text):
-        start, value = m.start(1), m[1].rstrip("\"'.,;:!?)]}")
-        end = start + len(value)
-        if len(value) < 6 or any(s < end and start < e for s, e, _ in base):
+    out, at, run_end, stops = [], 0, 0, []
+    starts = [s for s, _, _ in base]
+    for _, e, _ in base:  # the furthest end of the spans so far
+        stops.append(max(e, stops[-1] if stops else 0))
+    while m := CONTEXT.search(text, at):
+        start = m.end()
+        after = bisect_right(starts, start)  # the first base span behind the value's start
+        if after and stops[after - 1] > start:
+            at = stops[after - 1]
             continue
-        bits = cost.bits(value)
-        if bits >= min_bits:
-            out.append((start, end, "guess", bits))
+        if start >= run_end:
+            run_end = _VALUE_END.search(text, start).start()
+        stop = min(run_end, starts[after]) if after < len(starts) else run_end
+        value = text[start:stop].rstrip("\"'.,;:!?)]}")
+        at = max(start, stop)
+        if len(value) >= 6 and (bits := cost.bits(value)) >= min_bits:
+            out.append((start, start + len(value), "guess", bits))
     return out
 
 

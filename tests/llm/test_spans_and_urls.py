@@ -117,6 +117,18 @@ def test_added_secrets_are_hard_to_guess(spark):
     assert find_secrets(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_added_secrets_in_the_main_contexts(spark):
+    values = {"password: P@9x!vQ2#mZ7": "P@9x!vQ2#mZ7", "secret = aB3$kL9!xQ": "aB3$kL9!xQ",
+              "password is xK9$vQ2!mZ7p.": "xK9$vQ2!mZ7p", "token is xK9$vQ2!mZ7p": "xK9$vQ2!mZ7p",
+              "DB_PASS=q#8Zt!4Lw": "q#8Zt!4Lw", "smtp_pass='q#8Zt!4Lw'": "q#8Zt!4Lw", "MYSQL_PWD=q#8Zt!4Lw": "q#8Zt!4Lw",
+              "user_credentials=q#8Zt!4Lw": "q#8Zt!4Lw", "apikey: $x!9Zt!4Lw": "$x!9Zt!4Lw",
+              "token=abcdef123,pwd=xK9$vQ2!mZ7p": "xK9$vQ2!mZ7p", "pwd=xK9$vQ2!mZ7p,token=abcdef123": "xK9$vQ2!mZ7p",
+              "compass=q#8Zt!4Lw": None, "password: hunter": None}
+    rows = find_secrets(docs(spark, list(values)), ["doc_id"]).orderBy("doc_id").collect()
+    got = [[s["text"] for s in r["secrets"] if not s["base"]] for r in rows]
+    assert got == [[v] if v else [] for v in values.values()]
+
+
 def brute_verdict(host, path, rules):
     fit = [(len(h) + len(p), len(h), h + p, v) for h, p, v in rules
            if (host == h or host.endswith("." + h)) and path.startswith(p)]
