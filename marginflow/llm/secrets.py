@@ -10,25 +10,30 @@ and brute-force spans, found by dynamic programming.
 
 Edge cases: a null text is an empty one; repeated rows each get a row; an
 empty table gives an empty result; a kept column with the name of a result
-column gives way to it.  Values longer than ``MAX_VALUE`` characters are
-costed in windows of that length, and the costs added.
+column gives way to it.  Values of any length are costed whole.
+
+The known words are ``WORDS`` and those of all documents, by the number of
+documents that have them outside credential contexts: the ``MAX_WORDS`` most
+common that at least ``MIN_DOCS`` documents have (of words in equally many
+documents all or none).
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.llm.common import map_texts
+from marginflow.llm.common import map_texts, share, text_slices, write_table
 
 #: Least guess cost, in bits, of a value that counts as a secret.
 MIN_BITS = 36.0
-MAX_VALUE = 256
-#: Longest unit of a repeat.
-MAX_UNIT = 16
+#: Known words are broadcast: at most so many, of so many letters; a rarer word is none.
+MAX_WORDS, LETTERS, MIN_DOCS = 50_000, 24, 2
 
 # fixed values: the three formats
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -45,6 +50,7 @@ CONTEXT = re.compile(r"""(?:password|passwd|secret|token|api_?key|(?<![A-Za-z0-9
 _CONTEXT_HINT = re.compile(r"pwd|pass|pin|auth|bearer|credential|login|_?key|secret|token|session",
                            re.IGNORECASE | re.ASCII)
 _VALUE_END = re.compile(r"[^!-~]|\Z")
+_WORD = re.compile(rf"(?<![A-Za-z0-9])[a-z]{{3,{LETTERS}}}(?![A-Za-z0-9])", re.ASCII)
 _ASSIGN_HINT = re.compile(r"passw|secret|token|key", re.IGNORECASE | re.ASCII)
 
 # fixed values: common words of passwords, most common first
@@ -54,7 +60,11 @@ WORDS = ("password pass admin user login welcome secret dragon master monkey let
          "ginger summer winter spring autumn monday friday january february march april june july august "
          "september october november december love money test guest root default changeme example sample "
          "demo temp public private server system service account company office computer internet github "
-         "google apple orange banana cookie cheese coffee the and for you with this that from").split()
+         "google apple orange banana cookie cheese coffee the and for you with this that from "
+         "required available documentation invalid incorrect expired missing optional disabled enabled "
+         "successful successfully failed provided unavailable necessary needed always stored encrypted hidden "
+         "protected correct accepted rejected valid different unknown forgotten allowed information application "
+         "please contact support important everything something").split()
 # fixed values: rows of the keyboard
 KEYBOARD = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 
@@ -103,34 +113,79 @@ class GuessCost:
                 j += 1
                 if j - i >= 2:  # a walk: where it starts, and one of two turns at each step
                     add(i, j + 1, self.log2(47) + (j - i))
-            for size in range(1, min(MAX_UNIT, (n - i) // 2) + 1):
-                unit = v[i:i + size]
-                if v.startswith(unit, i - size) and i >= size:
-                    continue  # inside a repeat that began earlier
-                end = i + size
-                while v.startswith(unit, end):
-                    end += size
-                # a repeat up to its end, from any of its units: the unit by brute force, and how often
-                cost = sum(self.log2(self._charset(c)) for c in unit)
-                for start in range(i, end - size, size):
-                    if end - start >= 3:
-                        add(start, end, cost + self.log2((end - start) // size))
+        for i, j, unit in repeats(v):
+            if j - i >= 3:  # what follows the first unit: how long the unit is, and how often
+                for start in range(i + unit, j - unit + 1):
+                    add(start, j, self.log2(unit) + self.log2((j - start) / unit + 1))
         for i, j, cost in self._dates(v):
             add(i, j, cost)
         return by_end
 
     def bits(self, value: str) -> float:
-        total = 0.0
-        for at in range(0, len(value), MAX_VALUE):
-            v = value[at:at + MAX_VALUE]
-            spans = self._spans(v)
-            best = [0.0] * (len(v) + 1)
-            for j in range(1, len(v) + 1):
-                best[j] = best[j - 1] + self.log2(self._charset(v[j - 1]))
-                for i, cost in spans.get(j, ()):
-                    best[j] = min(best[j], best[i] + cost + 1)  # one bit for the change of kind
-            total += best[-1]
-        return total
+        spans = self._spans(value)
+        best = [0.0] * (len(value) + 1)
+        for j in range(1, len(value) + 1):
+            best[j] = best[j - 1] + self.log2(self._charset(value[j - 1]))
+            for i, cost in spans.get(j, ()):
+                best[j] = min(best[j], best[i] + cost + 1)  # one bit for the change of kind
+        return best[-1]
+
+
+def _prefixes(s) -> list[int]:
+    """For every place, how long a prefix of ``s`` starts there."""
+    n = len(s)
+    z, left, right = [0] * n, 0, 0
+    for i in range(1, n):
+        k = min(right - i, z[i - left]) if i < right else 0
+        while i + k < n and s[k] == s[i + k]:
+            k += 1
+        z[i] = k
+        if i + k > right:
+            left, right = i, i + k
+    return z
+
+
+def repeats(v: str) -> list[tuple[int, int, int]]:
+    """(start, stop, unit) of every longest stretch of two or more units (the
+    last one may be cut short), with its least unit; by halving (Main and
+    Lorentz), so that n log n steps find units of any length."""
+    squares: dict[int, list[tuple[int, int]]] = {}  # by unit: first and last start
+    todo = [(0, len(v))]
+    while todo:
+        lo, hi = todo.pop()
+        if hi - lo < 2:
+            continue
+        mid = (lo + hi) // 2
+        todo += [(lo, mid), (mid, hi)]
+        a, b = v[lo:mid], v[mid:hi]
+        n, m = len(a), len(b)
+        a_back, b_back = a[::-1], b[::-1]
+        back = _prefixes([*a_back])  # common endings of a and its own prefixes
+        ahead = _prefixes([*b])
+        b_in_a = _prefixes([*b, None, *a])[m + 1:]
+        a_in_b = _prefixes([*a_back, None, *b_back])[n + 1:]
+        for unit in range(1, n + 1):  # the first unit begins in a, and the middle of the square lies in a
+            right = b_in_a[n - unit]
+            left = min(back[unit] if unit < n else 0, n - unit, unit - 1)
+            right = min(right, unit)
+            if left + right >= unit:
+                squares.setdefault(unit, []).append((mid - unit - left, mid - 2 * unit + right))
+        for unit in range(1, m + 1):  # the middle lies in b
+            left = min(a_in_b[m - unit], unit)
+            right = min(ahead[unit] if unit < m else 0, unit - 1)
+            if left + right >= unit:
+                squares.setdefault(unit, []).append((mid - left, mid - unit + right))
+    runs: dict[tuple[int, int], int] = {}
+    for unit in sorted(squares):
+        first = last = None
+        for i, j in [*sorted(squares[unit]), (len(v) + 1, 0)]:
+            if last is not None and i > last + 1:
+                runs.setdefault((first, last + 2 * unit), unit)
+                last = None
+            if last is None:
+                first, last = i, j
+            last = max(last, j)
+    return [(i, j, unit) for (i, j), unit in runs.items()]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -169,11 +224,49 @@ def added_spans(text: str, base: list[tuple[int, int, str]], cost: GuessCost,
     return out
 
 
+def known_words(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """``WORDS``, then the words of all documents, the most common first."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            for _, _, texts in text_slices(batch.column(0)):
+                n = Counter()
+                for t in texts:
+                    if t:
+                        n.update(set(_WORD.findall(_without_values(t).lower())))
+                yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())],
+                                                 names=["word", "n"])
+    counted = docs.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "word string, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_DOCS)
+    counted = write_table(counted, "words")
+    least, total = None, 0  # the least count whose words fit, with all of that count
+    for n, words in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):
+        total += words
+        if total > MAX_WORDS:
+            break
+        least = n
+    common = [] if least is None else counted.filter(F.col("n") >= least).collect()
+    return list(dict.fromkeys([*WORDS, *[r["word"] for r in sorted(common, key=lambda r: (-r["n"], r["word"]))]]))
+
+
+def _without_values(text: str) -> str:
+    """The text without the values in credential contexts."""
+    if not _CONTEXT_HINT.search(text):
+        return text
+    out, at = [], 0
+    while m := CONTEXT.search(text, at):
+        out.append(text[at:m.start()])
+        at = _VALUE_END.search(text, m.end()).start()
+    return " ".join([*out, text[at:]])
+
+
 def find_secrets(docs: DataFrame, keep: list[str] | None = None, text_col: str = "text",
-                 min_bits: float = MIN_BITS, words=WORDS) -> DataFrame:
+                 min_bits: float = MIN_BITS, words=None) -> DataFrame:
     """Kept columns (default: all) and ``secrets``: an array of (kind, start,
     stop, base, bits, text) by start, then kind; positions are code points,
-    ``base`` marks the fixed formats, ``bits`` is the value's guess cost."""
+    ``base`` marks the fixed formats, ``bits`` is the value's guess cost.
+    ``words``, most common first, are by default those of the documents."""
+    table = share(docs.sparkSession, known_words(docs, text_col) if words is None else list(words))
     kind = T.ArrayType(T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
         T.StructField("stop", T.LongType()), T.StructField("base", T.BooleanType()),
@@ -181,7 +274,7 @@ def find_secrets(docs: DataFrame, keep: list[str] | None = None, text_col: str =
 
     def make():
         import pyarrow as pa
-        cost = GuessCost(words)
+        cost = GuessCost(table())
         out_t = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()),
                                     ("base", pa.bool_()), ("bits", pa.float64()), ("text", pa.string())]))
 

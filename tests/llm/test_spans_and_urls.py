@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm import pii, url_filter
 from marginflow.llm.queries import QUERIES, span_digests
-from marginflow.llm.secrets import GuessCost, find_secrets
+from marginflow.llm.secrets import GuessCost, find_secrets, repeats
 from tests.llm.helpers import PII, SECRETS, SF, brute_spans, docs, sha, texts_of
 
 PII_TEXTS = [
@@ -129,6 +129,36 @@ def test_added_secrets_in_the_main_contexts(spark):
     assert got == [[v] if v else [] for v in values.values()]
 
 
+def test_words_of_the_documents_are_no_secrets(spark):
+    texts = ["login is required", "credentials: documentation", "the pass is available", "login is photosynthesis",
+             "photosynthesis of plants", "more on photosynthesis", "login is zkqvxwjpbmtr", "pwd: zkqvxwjpbmtr",
+             "login: " + "=" * 600, "login: " + "x7$Gq!m2Wz9" * 80]
+    rows = find_secrets(docs(spark, texts), ["doc_id"]).orderBy("doc_id").collect()
+    got = [[s["text"] for s in r["secrets"]] for r in rows]
+    assert got == [[]] * 6 + [["zkqvxwjpbmtr"]] * 2 + [[], ["x7$Gq!m2Wz9" * 80]]
+
+
+def test_repeats_against_all_units():
+    rng = random.Random(3)
+    for n in [*range(12), *[rng.randint(12, 90) for _ in range(150)]]:
+        v = "".join(rng.choice("ab" if n % 2 else "abc") for _ in range(n)) * rng.choice([1, 1, 2, 3])
+        want = {}
+        for unit in range(1, len(v) // 2 + 1):
+            i = 0
+            while i + unit < len(v):
+                j = i
+                while j + unit < len(v) and v[j] == v[j + unit]:
+                    j += 1
+                if j - i >= unit:
+                    want.setdefault((i, j + unit), unit)
+                i = j + 1
+        assert sorted(repeats(v)) == sorted((i, j, u) for (i, j), u in want.items()), v
+    bits = GuessCost().bits
+    assert bits("=" * 600) < 18 and bits("=" * 600) - bits("=" * 256) < 2
+    unit = "x7Gq$m2Wz9" * 4 + "Qp"  # longer than any unit before
+    assert bits(unit * 20) < bits(unit) + 15
+
+
 def brute_verdict(host, path, rules):
     fit = [(len(h) + len(p), len(h), h + p, v) for h, p, v in rules
            if (host == h or host.endswith("." + h)) and path.startswith(p)]
