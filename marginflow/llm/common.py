@@ -89,31 +89,40 @@ def text_slices(column, limit: int = 4_000_000):
         yield start, len(sizes), column.slice(start).to_pylist()
 
 
-def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make) -> DataFrame:
+def map_texts(docs: DataFrame, text_col: str, keep: list[str], new_fields, make,
+              limit: int = 4_000_000) -> DataFrame:
     """The ``keep`` columns of every row plus columns computed from its text.
 
     ``make()`` runs once per task and returns a function from a list of texts
     to one Arrow array per new field.  A kept column with the name of a new
     one gives way to it, as with ``withColumn``.  A narrow Arrow map: no
-    shuffle, and rows travel in slices of bounded text size.
+    shuffle, and rows travel in slices of at most ``limit`` bytes of text.
+    Columns are renamed by position on the way, so any names will do.
     """
     import pyarrow as pa
     from pyspark.sql import types as T
 
     names = {f.name.lower() for f in new_fields}
     keep = [c for c in keep if c.lower() not in names]
-    schema = T.StructType([docs.schema[c] for c in keep] + list(new_fields))
-    out_names = [f.name for f in schema]
+    result = [docs.schema[c] for c in keep] + list(new_fields)
+    schema = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(result)])
+    out_names = schema.names
 
     def run(batches):
         f = make()
         for batch in batches:
-            for lo, hi, texts in text_slices(batch.column(len(keep))):
+            for lo, hi, texts in text_slices(batch.column(len(keep)), limit):
                 old = [batch.column(i).slice(lo, hi - lo) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(old + list(f(texts)), names=out_names)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text")) \
-               .mapInArrow(run, schema)
+    given = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(keep)],
+                        column(text_col).alias(f"c{len(keep)}"))
+    return given.mapInArrow(run, schema).toDF(*[f.name for f in result])
+
+
+def column(name: str) -> F.Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def range_buckets(df: DataFrame, col: str, rows: int, most: int = 20_000) -> tuple[F.Column, int]:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginflow.llm.byte_bpe import round_trip
 from marginflow.llm.common import read_table, scratch_path, sha256_joined
 from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
@@ -123,3 +124,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, labels.filter(~held_out(F.col("doc_id"))))
     scored = score_quality(docs.select("doc_id", "text", "source", "lang"), model, keep=["doc_id"])
     return scored.withColumns({"held_out": held_out(F.col("doc_id")), "keep": F.col("quality") >= 0.5})
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
