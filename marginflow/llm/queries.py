@@ -17,6 +17,7 @@ from marginflow.llm.pii import find_pii
 from marginflow.llm.quality import fit_quality, score_quality
 from marginflow.llm.secrets import find_secrets
 from marginflow.llm.simhash import near_duplicates
+from marginflow.llm.token_alignment import align_corpus
 from marginflow.llm.token_files import read_token_files, write_token_files
 from marginflow.llm.url_filter import judge_urls
 
@@ -129,3 +130,9 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = align_corpus(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.withColumnRenamed("groups", "groups_sha256")
