@@ -38,4 +38,29 @@ ORACLE: dict[str, str] = {
             FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT p.page_id, p.host, p.path, fit.rule, coalesce(fit.verdict, 'allow') AS verdict
         FROM p LEFT JOIN fit ON fit.page_id = p.page_id AND fit.k = 1""",
+    "op11_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       coalesce(translate(text, {_AZ}), ''), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+        g AS (SELECT lang, k, phrase, count(*) AS n
+              FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+                    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(k)))
+              GROUP BY ALL),
+        total AS (SELECT lang, sum(n)::BIGINT AS n FROM g WHERE k = 1 GROUP BY lang),
+        known AS MATERIALIZED (SELECT lang, k, phrase, n, string_split(phrase, ' ') AS w FROM g WHERE n >= 10),
+        cut AS (SELECT lang, k, phrase, n AS a, w, unnest(range(1, k)) AS c FROM known WHERE k > 1),
+        score AS (
+            SELECT cut.lang, cut.phrase, a, l.n AS l, r.n AS r, c,
+                   ((1000000::HUGEINT * a * a) // (l.n::HUGEINT * r.n))::BIGINT AS score
+            FROM cut JOIN known l ON l.lang = cut.lang AND l.phrase = array_to_string(cut.w[1:c], ' ')
+                     JOIN known r ON r.lang = cut.lang AND r.phrase = array_to_string(cut.w[c + 1:], ' ')),
+        best AS (SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+        longer AS (SELECT lang, part, max(n) AS most FROM (
+                       SELECT lang, n, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part
+                       FROM known WHERE k = 3) GROUP BY ALL)
+        SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, total.n, score
+        FROM best JOIN total USING (lang) LEFT JOIN longer ON longer.lang = best.lang AND longer.part = best.phrase
+        WHERE coalesce(100 * most < 50 * a, true)
+        QUALIFY rank <= 2000""",
 }

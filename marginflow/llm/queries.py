@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginflow.llm.byte_bpe import round_trip
+from marginflow.llm.collocations import collocations
 from marginflow.llm.common import read_table, scratch_path, sha256_joined
 from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
@@ -136,3 +137,8 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = align_corpus(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
