@@ -6,6 +6,7 @@ the minimised dual) and e = f(x) - y = y*g - b (see ``functions.smo``).
 
 Operators (T3-T14):
   warm_state           optional (id, alpha) start, left join + bound check (T3)
+  project_start        nearest feasible start: box and sum(alpha*y) = 0 (T3)
   kkt_violators        first-choice test (T4)
   second_choice        argmax |E_i - E_j| over free rows (T5)
   fallback_choice      first free / any row from a seeded offset (T6, T7)
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from marginflow.functions.kernels import kernel_expr
 from marginflow.functions.smo import lower_bound, upper_bound, with_pair_step_columns
 from marginflow.operators.scoring import DEFAULT_BROADCAST_BYTES, kernel_sum, linear_weights
-from marginflow.session import one_row
+from marginflow.session import one_row, shared_table
 
 # fixed value: multiplier used to turn a seed into a start offset (Knuth's
 # multiplicative hashing constant)
@@ -64,11 +65,12 @@ def free_set() -> Column:
 
 def warm_state(samples: DataFrame, warm: DataFrame | None, c: float, kernel: str,
                gamma: float, x_col: str = "x",
-               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, repair: bool = False) -> DataFrame:
     """(id, x, y, cap, alpha, g) from samples (id, x, y) and an optional
     (id, alpha) start table (T3).
 
-    Missing ids start at 0; an alpha outside [0, C] raises.  g is computed
+    Missing ids start at 0; an alpha outside [0, C] raises, or with
+    ``repair`` the whole start is projected (``project_start``).  g is computed
     from the start alphas with one kernel sum over the rows with alpha > 0.
     """
     base = samples.select("id", F.col(x_col).alias("x"), "y", F.lit(float(c)).alias("cap"))
@@ -79,13 +81,59 @@ def warm_state(samples: DataFrame, warm: DataFrame | None, c: float, kernel: str
     checked = F.when((a < 0) | (a > F.col("cap")),
                      F.raise_error(F.concat(F.lit("warm-start alpha outside [0, C] for id "),
                                             F.col("id").cast("string")))).otherwise(a)
-    state = base.join(w, "id", "left").withColumn("alpha", checked).drop("_a")
+    if repair:
+        state = project_start(shared_table(base.join(w, "id", "left").withColumn("alpha", a).drop("_a"), "start"))
+    else:
+        state = base.join(w, "id", "left").withColumn("alpha", checked).drop("_a")
     basis = state.filter(F.col("alpha") > 0).select("x", (F.col("alpha") * F.col("y")).alias("coef"))
     out = kernel_sum(state, basis, "coef", "g", kernel, gamma, scale_col="y",
                      max_broadcast_bytes=max_broadcast_bytes)
     return out.withColumn("g", F.col("g") - F.lit(1.0))
 
 
+#: Trial values of the multiplier that one pass of ``project_start`` sums for.
+PROBES = 16
+
+
+def project_start(rows: DataFrame, alpha: str = "alpha", y: str = "y", cap: str = "cap") -> DataFrame:
+    """The feasible multipliers nearest to any start (T3): ``alpha`` becomes
+    its projection onto 0 <= alpha <= cap and sum(alpha * y) = 0.
+
+    The projection is clip(alpha - t * y, 0, cap) for the t at which the sum
+    is 0.  The sum falls with t, so t is bracketed by bisection, ``PROBES``
+    trial values an aggregate; between two neighbouring breakpoints the sum is
+    a straight line, whose zero is then exact.  A NULL start is 0; NaN and
+    infinite ones raise."""
+    a = F.coalesce(F.col(alpha).cast("double"), F.lit(0.0))
+    odd = F.isnan(a) | (F.abs(a) == F.lit(float("inf")))
+
+    def clipped(t: float) -> Column:
+        return F.least(F.greatest(a - F.lit(t) * F.col(y), F.lit(0.0)), F.col(cap))
+
+    def sums(ts: list[float]) -> list[float]:
+        got = rows.agg(*[F.sum(F.col(y) * clipped(t)).alias(f"s{i}") for i, t in enumerate(ts)]).first()
+        return [v or 0.0 for v in got]
+
+    st = rows.agg(F.max(F.abs(a) + F.col(cap)).alias("reach"), F.max(odd).alias("odd")).first()
+    if st["reach"] is None:
+        return rows.withColumn(alpha, a)
+    if st["odd"]:
+        raise ValueError("a start must be a finite number")
+    lo, hi = -st["reach"], st["reach"]
+    s_lo, s_hi = sums([lo, hi])
+    for _ in range(64):
+        width = (hi - lo) / (PROBES + 1)
+        ts = [t for t in (lo + width * (i + 1) for i in range(PROBES)) if lo < t < hi]
+        if not ts or hi - lo <= 1e-13 * max(1.0, abs(lo), abs(hi)):
+            break
+        found = [(lo, s_lo), *zip(ts, sums(ts)), (hi, s_hi)]
+        (lo, s_lo), (hi, s_hi) = next((p, q) for p, q in zip(found, found[1:]) if q[1] <= 0.0 or q is found[-1])
+        if s_lo == 0.0:
+            break
+    t = lo if s_lo == s_hi else lo + s_lo * (hi - lo) / (s_lo - s_hi)
+    return rows.withColumn(alpha, clipped(t))
+
+
 def with_error(state: DataFrame, b: float) -> DataFrame:
     """e = f(x) - y with f = sum alpha y K - b, from the gradient:
     y*g = f + b - y  ->  e = y*g - b."""

@@ -6,9 +6,12 @@ is collected once (after a size check) and broadcast; each task scores its
 own batches with one GEMM per slice.  No join, no shuffle, no pair rows.
 
 If the support table exceeds the broadcast budget, identical rows are merged
-and the rest is taken in chunks: one Arrow map adds a chunk's share, the
-partial scores are written, and the chunk is released before the next is
-collected.  The driver never holds more than one chunk.
+and the sum becomes a grid of tiles (``tiled_kernel_sum``): rows are dealt
+into blocks of the budget's size, every block gets a copy of the support
+rows, one shuffle brings them together sorted by (block, rows first), and a
+task holds one block while the support streams past it in Arrow batches,
+each batch a tile whose partial sums are added in place.  Every row is
+written once and shuffled once; nothing of the support reaches the driver.
 For the linear kernel the support collapses to one weight vector computed by
 a distributed aggregate (T13), and scoring is a per-row dot product.
 """
@@ -81,28 +84,89 @@ def _collect_block(block: DataFrame, x_col: str, coef_col: str):
 
 
 def _add_kernel_sum(df: DataFrame, bc, out_col: str, x_col: str, kernel: str,
-                    gamma: float, scale_col: str | None, has_out: bool = False) -> DataFrame:
-    """One Arrow map that adds a block's share (to an earlier share if
-    ``has_out``)."""
-    fields = [f for f in df.schema.fields if f.name != out_col]
-    schema = T.StructType(fields + [T.StructField(out_col, T.DoubleType(), False)])
+                    gamma: float, scale_col: str | None) -> DataFrame:
+    """One Arrow map that adds the kernel sum over a broadcast block."""
+    fields = df.schema.fields
+    at = {f.name: i for i, f in enumerate(fields)}
+    own = [f"c{i}" for i in range(len(fields))]      # by position: names may hold dots
+    schema = T.StructType([T.StructField(c, f.dataType, f.nullable) for f, c in zip(fields, own)]
+                          + [T.StructField("out", T.DoubleType(), False)])
 
     def run(batches):
         S, coef, center = bc.value
         for batch in batches:
-            X = arrow_matrix(batch.column(batch.schema.get_field_index(x_col)), S.shape[1])
+            X = arrow_matrix(batch.column(at[x_col]), S.shape[1])
             part = block_kernel_sum(X, S, coef, kernel, gamma, center)
             if scale_col is not None:
-                part = part * batch.column(batch.schema.get_field_index(scale_col)) \
-                    .to_numpy(zero_copy_only=False)
-            if has_out:
-                prev = batch.column(batch.schema.get_field_index(out_col)).to_numpy(zero_copy_only=False)
-                part = part + prev
-            cols = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(part, pa.float64())],
-                                             names=[f.name for f in fields] + [out_col])
+                part = part * batch.column(at[scale_col]).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(part, pa.float64())], names=schema.names)
+
+    return df.toDF(*own).mapInArrow(run, schema).toDF(*[f.name for f in fields], out_col)
+
+
+def tiled_kernel_sum(df: DataFrame, basis: DataFrame, out_col: str, kernel: str, gamma: float, x_col: str,
+                     scale_col: str | None, dim: int, block_bytes: int) -> DataFrame:
+    """``out_col`` = [scale *] sum_j c_j K(x_j, x) for a basis (x, c) of any size.
+
+    Tiles of row blocks (about ``block_bytes`` of vectors, held in memory)
+    and Arrow batches of the basis; the shuffle carries the rows once and the
+    basis once a block.  Block numbers come from the written table's row
+    numbers, so identical rows spread evenly and a repeated task deals alike."""
+    fields = df.schema.fields
+    own = [f"c{i}" for i in range(len(fields))]
+    at = {f.name: i for i, f in enumerate(fields)}
+    numbered = shared_table(df.select(*[F.col(f"`{f.name}`").alias(c) for f, c in zip(fields, own)],
+                                      F.monotonically_increasing_id().alias("row")), "tile-rows")
+    blocks = max(1, math.ceil(numbered.count() * (dim + 2) * 8 / block_bytes))
+    block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    rows = numbered.select(block.alias("block"), F.lit(0).alias("kind"), *own,
+                           F.lit(None).cast("array<double>").alias("bx"), F.lit(None).cast("double").alias("bc"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    copies = basis.select(every.alias("block"), F.lit(1).alias("kind"),
+                          *[F.lit(None).cast(f.dataType).alias(c) for f, c in zip(fields, own)],
+                          F.col("x").cast("array<double>").alias("bx"), F.col("c").cast("double").alias("bc"))
+    grid = rows.unionByName(copies).repartitionById(blocks, F.col("block")).sortWithinPartitions("block", "kind")
+    schema = T.StructType([T.StructField(c, f.dataType, True) for f, c in zip(fields, own)]
+                          + [T.StructField("out", T.DoubleType(), False)])
+    first, x_at = 2, 2 + at[x_col]
 
-    return df.mapInArrow(run, schema)
+    def run(batches):
+        held, X, sums, center, current = [], None, None, None, None
+
+        def scored():
+            done = 0
+            for part in held:
+                share = sums[done:done + len(part)] if X is not None else np.zeros(len(part))
+                done += len(part)
+                if scale_col is not None:
+                    share = share * part.column(first + at[scale_col]).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(first + i) for i in range(len(own))] + [pa.array(share, pa.float64())],
+                    names=schema.names)
+
+        for batch in batches:
+            number, kind = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cuts = np.flatnonzero((number[1:] != number[:-1]) | (kind[1:] != kind[:-1])) + 1
+            edges = [0, *cuts.tolist(), len(number)]
+            for lo, hi in zip(edges, edges[1:]):
+                if lo == hi:
+                    continue
+                if number[lo] != current:
+                    yield from scored()
+                    held, X, sums, current = [], None, None, number[lo]
+                part = batch.slice(lo, hi - lo)
+                if kind[lo] == 0:
+                    held.append(part)
+                elif held:
+                    if X is None:
+                        X = np.concatenate([arrow_matrix(p.column(x_at), dim) for p in held])
+                        sums, center = np.zeros(len(X)), X.mean(axis=0)
+                    S = arrow_matrix(part.column(first + len(own)), dim)
+                    coef = part.column(first + len(own) + 1).to_numpy(zero_copy_only=False)
+                    sums += block_kernel_sum(X, S, coef, kernel, gamma, center)
+        yield from scored()
+
+    return grid.mapInArrow(run, schema).toDF(*[f.name for f in fields], out_col)
 
 
 def _shared_block(df: DataFrame, S: np.ndarray, coef: np.ndarray, kernel: str):
@@ -117,7 +181,7 @@ def kernel_sum(df: DataFrame, basis: DataFrame, coef_col: str, out_col: str,
     """Add ``out_col = [scale *] sum_j coef_j K(basis_x_j, x)`` to every row of df.
 
     The basis is counted first.  One that fits ``max_broadcast_bytes`` is
-    broadcast; a larger one is taken chunk by chunk, with the same result.
+    broadcast; a larger one meets the rows in tiles, with the same result.
     """
     check_kernel(kernel)
     if out_col in df.columns:
@@ -131,19 +195,7 @@ def kernel_sum(df: DataFrame, basis: DataFrame, coef_col: str, out_col: str,
     # identical basis vectors first become one: their coefficients add
     merged = shared_table(basis.groupBy(F.col(basis_x_col).alias("x")).agg(
         F.sum(coef_col).alias("c")), "basis")
-    n_chunks = math.ceil(1.25 * merged.count() * (stats.dim + 2) * 8 / max_broadcast_bytes)
-    chunk = F.pmod(F.xxhash64("x"), F.lit(n_chunks))
-    out, begun = df, False
-    for k in range(n_chunks):
-        S, coef = _collect_block(merged.filter(chunk == k), "x", "c")
-        if not len(S):
-            continue
-        bc = _shared_block(df, S, coef, kernel)
-        out = shared_table(_add_kernel_sum(out, bc, out_col, x_col, kernel, gamma, scale_col, begun),
-                           "partial-scores")
-        bc.destroy()
-        begun = True
-    return out
+    return tiled_kernel_sum(df, merged, out_col, kernel, gamma, x_col, scale_col, stats.dim, max_broadcast_bytes)
 
 
 # --------------------------------------------------------------------------

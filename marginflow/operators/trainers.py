@@ -18,6 +18,18 @@ folder every ``checkpoint_every`` iterations, so lineage (and the
 recomputation after a lost executor) stays bounded.  Its partition count
 follows its bytes.
 
+Shrinking: every ``shrink_every`` iterations the rows that sit at a bound and
+lie beyond the most violating rows of the other set are written apart, and
+the following iterations pass over the active rows alone.  When those meet
+the tolerance, the gradients of the rows put apart are computed again from
+the support rows (one kernel sum), all rows join in again, and training goes
+on until the gap of the whole table is within the tolerance, so the result
+is that of the trainer without shrinking.
+
+Certificate: at the end one aggregate gives the primal objective
+0.5 |w|^2 + C sum(hinge) beside the dual one; their difference bounds how far
+the model is from the optimum, whatever stopped the trainer.
+
 Duplicate rows are merged first: identical (x, y) rows share one
 multiplier with box bound C * multiplicity.  This is exact (any optimum can
 be averaged over identical rows) and turns a heavily repeated point, however
@@ -27,6 +39,7 @@ many rows it has, into one row before anything iterates.
 from __future__ import annotations
 
 import math
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
@@ -39,7 +52,7 @@ from pyspark.sql import types as T
 
 from marginflow.functions.kernels import block_kernel, block_kernel_sum, check_kernel
 from marginflow.functions.smo import pair_step
-from marginflow.operators.dual import broadcast_if_small, low_set, up_set
+from marginflow.operators.dual import broadcast_if_small, low_set, project_start, up_set
 from marginflow.operators.scoring import (DEFAULT_BROADCAST_BYTES, KernelModel,
                                           arrow_matrix, kernel_sum)
 from marginflow.session import ensure_checkpoint_dir, one_row, shared_table
@@ -75,6 +88,7 @@ class SVMParams:
     max_iter: int = 1000
     max_inner: int = 20000
     checkpoint_every: int = 10
+    shrink_every: int = 10      # 0: never
     dedup: bool = True
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     allow_unconverged: bool = False
@@ -88,8 +102,8 @@ class SVMParams:
             raise ValueError("tol must be > 0 and eps >= 0")
         if self.working_set < 2:
             raise ValueError("working_set must be >= 2")
-        if self.max_iter < 1 or self.checkpoint_every < 1:
-            raise ValueError("max_iter and checkpoint_every must be >= 1")
+        if self.max_iter < 1 or self.checkpoint_every < 1 or self.shrink_every < 0:
+            raise ValueError("max_iter and checkpoint_every must be >= 1, shrink_every >= 0")
         check_kernel(self.kernel)
 
     def set_c(self, c: float) -> "SVMParams":
@@ -227,6 +241,11 @@ class TrainInfo:
     distinct_rows: int = 0
     history: list = field(default_factory=list)
     objective: list = field(default_factory=list)
+    active_rows: list = field(default_factory=list)     # rows passed over, iteration by iteration
+    reconstructions: int = 0
+    primal: float = math.inf
+    dual: float = -math.inf
+    duality_gap: float = math.inf
 
 
 class NotConverged(RuntimeError):
@@ -239,6 +258,48 @@ NOISE_PLACES = 10
 SMALL_TASK_BYTES, TASK_BYTES = 16 << 10, 64 << 20
 
 
+def settled(m_up: float, m_low: float):
+    """Rows at a bound that cannot belong to a violating pair as things stand:
+    in the up set alone and below every low row, or in the low set alone and
+    above every up row (``m_up``, ``m_low``: the extremes of -y*g)."""
+    v = -F.col("y") * F.col("g")
+    return (~low_set() & (v < F.lit(m_low))) | (~up_set() & (v > F.lit(m_up)))
+
+
+def put_apart(state: DataFrame, m_up: float, m_low: float) -> tuple[DataFrame, DataFrame]:
+    """(active rows, settled rows) of one written table."""
+    spark = state.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}"
+    state.withColumn("settled", settled(m_up, m_low)).write.partitionBy("settled").parquet(path)
+    schema = T.StructType([*STATE_SCHEMA.fields, T.StructField("settled", T.BooleanType())])
+    written = spark.read.schema(schema).parquet(path)
+    return tuple(written.filter(F.col("settled") == side).drop("settled") for side in (False, True))
+
+
+def reconstruct(active: DataFrame, apart: list[DataFrame], params: "SVMParams") -> DataFrame:
+    """The whole state again: the gradients of the rows put apart are computed
+    anew, g = y * sum_j alpha_j y_j K(x_j, x) - 1 over all support rows."""
+    idle = apart[0]
+    for t in apart[1:]:
+        idle = idle.unionByName(t)
+    basis = active.unionByName(idle).filter(F.col("alpha") > 0).select(
+        "x", (F.col("alpha") * F.col("y")).alias("coef"))
+    anew = kernel_sum(idle.drop("g"), basis, "coef", "_ks", params.kernel, params.gamma, scale_col="y",
+                      max_broadcast_bytes=params.max_broadcast_bytes)
+    anew = anew.withColumn("g", F.col("_ks") - F.lit(1.0)).select(*STATE_SCHEMA.names)
+    return shared_table(active.select(*STATE_SCHEMA.names).unionByName(anew), "state")
+
+
+def certificate(state: DataFrame, b: float) -> tuple[float, float]:
+    """(primal, dual) objective of a whole state, one aggregate:
+    0.5 a'Qa + sum(cap * hinge(1 - y f)) and sum(a) - 0.5 a'Qa, where
+    a'Qa = sum(a * (g + 1)) and 1 - y f = y b - g."""
+    quad = F.sum(F.col("alpha") * (F.col("g") + F.lit(1.0)))
+    hinge = F.sum(F.col("cap") * F.greatest(F.col("y") * F.lit(float(b)) - F.col("g"), F.lit(0.0)))
+    r = state.agg((0.5 * quad + hinge).alias("primal"), (F.sum("alpha") - 0.5 * quad).alias("dual")).first()
+    return r["primal"], r["dual"]
+
+
 def task_count(n_bytes: int) -> int:
     """Partitions of a table that is passed over many times, from its bytes
     alone: as many tasks as each has units of 16 KB, until tasks of 64 MB."""
@@ -276,17 +337,20 @@ def check_training(df: DataFrame, x_col: str, label_col: str, positive: float) -
 
 def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
                   label_col: str = "label", positive: float = 1.0,
-                  warm_start: DataFrame | None = None, id_col: str = "id") -> DataFrame:
-    """Input rows -> initial dual state (merged duplicates, alpha start, g)."""
+                  warm_start: DataFrame | None = None, id_col: str = "id", repair: bool = False) -> DataFrame:
+    """Input rows -> initial dual state (merged duplicates, alpha start, g).
+
+    With ``repair`` an infeasible start is projected (``project_start``)."""
     y = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(-1.0))
     rows = df.select(*([id_col] if warm_start is not None else []),
                      F.col(x_col).cast("array<double>").alias("x"), y.alias("y"))
     if warm_start is not None:
         w = broadcast_if_small(warm_start.select(F.col(id_col), F.col("alpha").cast("double").alias("_a")))
         rows = rows.join(w, id_col, "left").withColumn("_a", F.coalesce("_a", F.lit(0.0)))
-        bad = (F.col("_a") < 0) | (F.col("_a") > F.lit(params.c))
-        rows = rows.withColumn("_a", F.when(bad, F.raise_error(
-            F.lit("warm-start alpha outside [0, C]"))).otherwise(F.col("_a")))
+        if not repair:
+            bad = (F.col("_a") < 0) | (F.col("_a") > F.lit(params.c))
+            rows = rows.withColumn("_a", F.when(bad, F.raise_error(
+                F.lit("warm-start alpha outside [0, C]"))).otherwise(F.col("_a")))
     else:
         rows = rows.withColumn("_a", F.lit(0.0))
     if params.dedup:
@@ -295,26 +359,29 @@ def prepare_state(df: DataFrame, params: SVMParams, x_col: str = "x",
     else:
         merged = rows.select("x", "y", F.lit(1).cast("long").alias("mult"),
                              F.col("_a").alias("alpha"))
-    return merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
-                          (F.col("mult") * F.lit(params.c)).alias("cap"), "alpha",
-                         F.lit(-1.0).alias("g"))
+    state = merged.select(F.monotonically_increasing_id().alias("sid"), "x", "y", "mult",
+                          (F.col("mult") * F.lit(params.c)).alias("cap"), "alpha", F.lit(-1.0).alias("g"))
+    return project_start(shared_table(state, "start")) if repair and warm_start is not None else state
 
 
 def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str = "x",
                    label_col: str = "label", positive: float = 1.0,
                    warm_start: DataFrame | None = None, id_col: str = "id",
-                   verbose: bool = False) -> KernelModel:
+                   verbose: bool = False, repair_start: bool = False) -> KernelModel:
     """Train an exact kernel SVM (T2); returns a KernelModel with support table
     (x, y, alpha, mult) and b in the f = sum alpha y K - b convention.
 
     Raises NotConverged when the optimality gap is above ``tol`` at the end,
-    unless ``allow_unconverged``; ``info`` holds the gaps and the dual
-    objective, iteration by iteration."""
+    unless ``allow_unconverged``; ``info`` holds the gaps, the objective and
+    the rows passed over, iteration by iteration, and the final primal and
+    dual objectives.  A start that breaks the bounds or sum(alpha*y) = 0
+    raises, or is projected with ``repair_start``."""
     ensure_checkpoint_dir(df.sparkSession)
     info = TrainInfo()
     _, width = check_training(df, x_col, label_col, positive)
     # sid is assigned once and frozen by the written table
-    state = shared_table(prepare_state(df, params, x_col, label_col, positive, warm_start, id_col), "state")
+    state = shared_table(prepare_state(df, params, x_col, label_col, positive, warm_start, id_col, repair_start),
+                         "state")
     counts = {r["y"]: (r["rows"], r["n"], r["ay"]) for r in state.groupBy("y").agg(
         F.sum("mult").alias("rows"), F.count(F.lit(1)).alias("n"),
         F.sum(F.col("alpha") * F.col("y")).alias("ay")).collect()}
@@ -336,21 +403,34 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
 
     half = max(1, params.working_set // 2)
     pending: list[DataFrame] = []
+    apart: list[DataFrame] = []       # written tables of settled rows
+    n_active = info.distinct_rows
     m_up = m_low = 0.0
+
+    def whole_again(active):
+        """All rows in play, cached; the old state waits to be released."""
+        nonlocal apart, n_active
+        full = sized(reconstruct(active, apart, params), info.distinct_rows, width)
+        apart, n_active = [], info.distinct_rows
+        info.reconstructions += 1
+        return full.persist(StorageLevel.MEMORY_AND_DISK)
+
     for it in range(1, params.max_iter + 1):
         up, low = _select(state, half)
+        info.active_rows.append(n_active)
         for old in pending:           # the new state is cached now
             old.unpersist()
         pending = []
-        if not up or not low:
-            info.gap, info.converged = 0.0, True
-            break
-        m_up, m_low = up[0]["v"], low[0]["v"]
-        info.gap = m_up - m_low
+        if up and low:
+            m_up, m_low = up[0]["v"], low[0]["v"]
+        info.gap = m_up - m_low if up and low else 0.0
         info.history.append(info.gap)
         if verbose:
-            print(f"iter {it}: gap {info.gap:.6g}")
+            print(f"iter {it}: gap {info.gap:.6g}, {n_active} rows")
         if info.gap <= params.tol:
+            if apart:
+                pending, state = [state], whole_again(state)
+                continue
             info.converged = True
             break
         # an order, and gradients, that do not depend on the partitioning
@@ -365,28 +445,44 @@ def fit_kernel_svm(df: DataFrame, params: SVMParams = SVMParams(), x_col: str =
         info.iterations = it
         dcoef = (new_a - av) * yv
         if not np.any(dcoef):
+            if apart:
+                pending, state = [state], whole_again(state)
+                continue
             break
         # the step changes the objective by d'g + 0.5 d'Qd, d = change of alpha
         info.objective.append(info.objective[-1] + float((new_a - av) @ gv + 0.5 * dcoef @ (K @ dcoef)))
         nxt = _update_state(state, sids, S, dcoef, new_a, params.kernel, params.gamma)
-        if it % params.checkpoint_every == 0:
-            nxt = sized(shared_table(nxt, "state"), info.distinct_rows, width)
+        if params.shrink_every and it % params.shrink_every == 0:
+            nxt, idle = put_apart(nxt, m_up, m_low)
+            rows = nxt.count()
+            if rows < n_active:
+                apart.append(idle)
+            n_active = rows
+            nxt = sized(nxt, n_active, width)
+        elif it % params.checkpoint_every == 0:
+            nxt = sized(shared_table(nxt, "state"), n_active, width)
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         pending = [state]
         state = nxt
     else:
+        if apart:
+            pending, state = [*pending, state], whole_again(state)
         up, low = _select(state, 1)
         if up and low:
             m_up, m_low = up[0]["v"], low[0]["v"]
             info.gap = m_up - m_low
             info.converged = info.gap <= params.tol
     if not info.converged and not params.allow_unconverged:
+        for old in pending + [state]:
+            old.unpersist()
         raise NotConverged(f"gap {info.gap:.3g} > tol {params.tol:.3g} after {info.iterations} iterations; "
                            "raise max_iter or max_inner, or set allow_unconverged")
     b = -(m_up + m_low) / 2.0
     final = shared_table(state, "state")
     for old in pending + [state]:
         old.unpersist()
+    info.primal, info.dual = certificate(final, b)
+    info.duality_gap = info.primal - info.dual
     support = final.filter(F.col("alpha") > 0).select(
         "sid", "x", "y", (F.col("alpha") / F.col("mult")).alias("alpha"), "mult")
     return KernelModel(support, b, params.kernel, params.gamma, params.c, params.tol,
@@ -456,6 +552,56 @@ def fit_linear_svc(df: DataFrame, x_col: str = "x", label_col: str = "label",
     return KernelModel(support, -float(model.intercept), "linear", 0.0, 0.0, tol, info=info, weights=w)
 
 
+def gram_matrix(df: DataFrame, x_col: str = "x", label_col: str = "label") -> np.ndarray:
+    """Sums of products of every two of (x, label, 1): one pass, (d + 2)^2
+    numbers a task, added up by Spark."""
+    def run(batches):
+        total = None
+        for batch in batches:
+            X = arrow_matrix(batch.column(0))
+            if not len(X):
+                continue
+            Z = np.column_stack([X, batch.column(1).to_numpy(zero_copy_only=False), np.ones(len(X))])
+            total = Z.T @ Z if total is None else total + Z.T @ Z
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(v.ravel()) for v in (i, j, total)], names=["i", "j", "s"])
+
+    rows = df.select(F.col(x_col).cast("array<double>").alias("x"), F.col(label_col).cast("double").alias("y"))
+    cells = rows.mapInArrow(run, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
+    if not cells:
+        raise ValueError("training needs rows")
+    out = np.zeros((max(r["i"] for r in cells) + 1,) * 2)
+    for r in cells:
+        out[r["i"], r["j"]] = r["s"]
+    return out
+
+
+def fit_linear_svr(df: DataFrame, x_col: str = "x", label_col: str = "label", c: float = 1.0) -> KernelModel:
+    """Least-squares support vector regression with the linear kernel: the W
+    and b of min 0.5 |W|^2 + C/2 sum (label - (W.x - b))^2.
+
+    Its optimality conditions are d linear equations over one pass's sums
+    (``gram_matrix``), so it suits any number of rows and up to some thousand
+    columns.  Returned as a linear KernelModel; decision values are the
+    predictions.  NULL or NaN values and NULL labels raise."""
+    if not c > 0:
+        raise ValueError("C must be > 0")
+    s = gram_matrix(df, x_col, label_col)
+    d, n = len(s) - 2, s[-1, -1]
+    if np.isnan(s).any():
+        raise ValueError("training labels must not be NULL or NaN")
+    mean = s[-1, :] / n
+    cov = s[:d + 1, :d + 1] - n * np.outer(mean[:d + 1], mean[:d + 1])
+    w = np.linalg.solve(cov[:d, :d] + np.eye(d) / c, cov[:d, d])
+    b = float(w @ mean[:d] - mean[d])
+    support = one_row(df.sparkSession).select(
+        F.array(*[F.lit(float(v)) for v in w]).alias("x"), F.lit(1.0).alias("y"),
+        F.lit(1.0).alias("alpha"), F.lit(1).cast("long").alias("mult"))
+    return KernelModel(support, b, "linear", 0.0, c, 0.0, info={"rows": int(n), "converged": True},
+                       weights=[float(v) for v in w])
+
+
 @dataclass
 class FourierMap:
     """z(x) = sqrt(2/D) cos(W x + p), W ~ N(0, 2 gamma), p ~ U(0, 2 pi), seeded.

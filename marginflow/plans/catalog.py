@@ -33,6 +33,7 @@ TOL = 0.01
 SEED = 7
 EPS = 1e-3
 RING_TARGET = "in_ring"
+REGRESSION_TARGET = "l_extendedprice"
 
 
 def r(col: Column | str, places: int) -> Column:
@@ -379,13 +380,44 @@ def q_half_mse(spark, sf):
 
 # ---------------------------------------------------------------- trainers
 
-def q_train_kernel(spark, sf):
-    """Linear-kernel SVM on separable prices: W, b and the rows trained on."""
-    from marginflow.operators.trainers import SVMParams, fit_kernel_svm
-    model = fit_kernel_svm(fx.price_samples(spark, sf), SVMParams(c=10.0, kernel="linear", tol=1e-6))
+def _on_the_line(model, *extra: Column) -> DataFrame:
+    """W, b, the rows trained on and the certificate of a model of one column."""
     w = linear_weights(model.coef_table(), "coef").filter("pos = 0")
+    info = model.info
     return w.select(r("w", 6).alias("w"), F.lit(round(model.b, 6) + 0.0).alias("b"),
-                    F.lit(model.info["rows"]).cast("long").alias("n_rows"))
+                    F.lit(info["rows"]).cast("long").alias("n_rows"),
+                    *[F.lit(round(info[k], 4) + 0.0).alias(k) for k in ("primal", "dual", "duality_gap")], *extra)
+
+
+def q_train_kernel(spark, sf):
+    """Linear-kernel SVM on separable prices: W, b, the rows trained on, and
+    the primal and dual objective."""
+    from marginflow.operators.trainers import SVMParams, fit_kernel_svm
+    return _on_the_line(fit_kernel_svm(fx.price_samples(spark, sf), SVMParams(c=10.0, kernel="linear", tol=1e-6)))
+
+
+def q_train_shrinking(spark, sf):
+    """The same fit with settled rows put apart at every step: the same model,
+    over fewer rows, and their gradients computed again before it stops."""
+    from marginflow.operators.trainers import SVMParams, fit_kernel_svm
+    model = fit_kernel_svm(fx.price_samples(spark, sf), SVMParams(
+        c=10.0, kernel="linear", tol=1e-6, working_set=2, shrink_every=1))
+    active = model.info["active_rows"]
+    return _on_the_line(model, F.lit(2 * min(active) < active[0]).alias("fell"),
+                        F.lit(active[-1] == active[0]).alias("whole_at_the_end"))
+
+
+def q_train_rbf(spark, sf):
+    """RBF SVM on three points a class stands for, by value: each status's
+    rows, multiplier and decision value, and b."""
+    from marginflow.operators.trainers import SVMParams, fit_kernel_svm
+    data = fx.status_points(spark, sf)
+    model = fit_kernel_svm(data, SVMParams(c=1000.0, gamma=GAMMA, tol=1e-9, eps=0.0))
+    alpha = model.support.select("x", (F.col("alpha") * F.col("mult")).alias("alpha"))
+    each = data.groupBy("cls", "label", "x").agg(F.count(F.lit(1)).alias("n_rows"))
+    scored = model.decision(each).join(D.broadcast_if_small(alpha), "x")
+    return scored.select("cls", "n_rows", r("alpha", 4).alias("alpha"), r("score", 6).alias("score"),
+                         F.lit(round(model.b, 4) + 0.0).alias("b"))
 
 
 def q_train_linear(spark, sf):
@@ -411,6 +443,34 @@ def q_svm_report(spark, sf):
     return classification_run(spark, sf)
 
 
+def q_svm_regression_report(spark, sf):
+    """The whole run on a target the type file calls a number."""
+    from marginflow.plans.run import svm_run
+    rep = svm_run(spark, sf, REGRESSION_TARGET)
+    return rep.select("metric", r("value", 4).alias("value"))
+
+
+def q_decision_tiled(spark, sf):
+    """Decision values over every row as support (no broadcast: the budget is
+    a tenth of it), rows and support meeting in tiles."""
+    pm = fx.planted_model(spark, sf)
+    model = KernelModel(pm.filter("alpha > 0").select("x", "y", "alpha"), B, "rbf", GAMMA, C)
+    out = model.decision(pm.select("id", "x"), max_broadcast_bytes=_tenth(pm))
+    return out.select("id", r("score", 6).alias("score"))
+
+
+def _tenth(pm: DataFrame) -> int:
+    from marginflow.operators.scoring import basis_stats
+    return max(1, basis_stats(pm.filter("alpha > 0")).bytes // 10)
+
+
+def q_project_start(spark, sf):
+    """A start below 0 and above C, projected onto what the trainer accepts."""
+    a = F.lit(C) * (F.col("id") % fx.PLANTED_ALPHA_MOD - F.lit(2)) / F.lit(6.0)
+    rows = fx.embeddings(spark, sf).select("id", fx.embeddings_y().alias("y"), F.lit(C).alias("cap"), a.alias("alpha"))
+    return D.project_start(rows).select("id", "y", r("alpha", 6).alias("alpha"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_lines": q_csv_lines,
     "task_type": q_task_type,
@@ -457,4 +517,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_linear": q_train_linear,
     "train_rff": q_train_rff,
     "svm_report": q_svm_report,
+    "svm_regression_report": q_svm_regression_report,
+    "train_shrinking": q_train_shrinking,
+    "train_rbf": q_train_rbf,
+    "decision_tiled": q_decision_tiled,
+    "project_start": q_project_start,
 }

@@ -167,6 +167,45 @@ def _report() -> str:
             + " ".join(f"UNION ALL SELECT '{m}', 1.0{DBL}" for m in ("train_accurate", "test_accurate", "converged")))
 
 
+def _regression_report(c: float = 1.0) -> str:
+    """RMSE of the least-squares fit, whose d equations are solved by
+    elimination, one CTE a column (d = 4; column 4 is the label)."""
+    cols = ["l_quantity", "l_discount", "l_tax", "in_ring", "l_extendedprice"]
+    d = len(cols) - 1
+    lohi = ", ".join(f"min({x}) AS lo{i}, max({x}) AS hi{i}" for i, x in enumerate(cols))
+    unit = ", ".join(f"coalesce(({x} - lo{i}) / nullif(hi{i} - lo{i}, 0.0{DBL}), 0.0{DBL}) AS x{i}" for i, x in enumerate(cols))
+    means = ", ".join(f"avg(x{i}) AS m{i}" for i in range(d + 1))
+    cells = [(i, j) for i in range(d) for j in range(d + 1)]
+    sums = ", ".join(f"sum((x{i} - m{i}) * (x{j} - m{j})){f' + {1.0 / c}{DBL}' if i == j else ''} AS s{i}_{j}" for i, j in cells)
+    steps = []
+    for k in range(d):
+        now = ", ".join(f"s{i}_{j} - s{i}_{k} * s{k}_{j} / s{k}_{k} AS s{i}_{j}" if i > k and j >= k else f"s{i}_{j}"
+                        for i, j in cells)
+        steps.append(f"e{k + 1} AS (SELECT {now} FROM e{k})")
+    back = []
+    for k in reversed(range(d)):
+        rest = "".join(f" - s{k}_{j} * w{j}" for j in range(k + 1, d))
+        back.append(f"b{k} AS (SELECT *, (s{k}_{d}{rest}) / s{k}_{k} AS w{k} FROM {'e%d' % d if k == d - 1 else 'b%d' % (k + 1)})")
+    guess = " + ".join(f"w{i} * (x{i} - m{i})" for i in range(d)) + f" + m{d}"
+    rmse = _r(f"sqrt(avg(power((x{d} - ({guess})) * (hi{d} - lo{d}), 2)))", 4)
+    return (f"WITH {LI}, {RING}, t AS (SELECT *, l_shipdate >= TIMESTAMP '{fx.SPLIT_DATE}' AS is_test FROM ring), "
+            f"r AS (SELECT {lohi} FROM t WHERE NOT is_test), u AS (SELECT is_test, {unit}, lo{d}, hi{d} FROM t, r), "
+            f"m AS (SELECT {means} FROM u WHERE NOT is_test), "
+            f"e0 AS (SELECT {sums} FROM u, m WHERE NOT is_test), {', '.join(steps)}, {', '.join(back)} "
+            f"SELECT CASE WHEN is_test THEN 'test_rmse' ELSE 'train_rmse' END AS metric, {rmse} AS value "
+            "FROM u, m, b0 GROUP BY is_test UNION ALL "
+            "SELECT CASE WHEN is_test THEN 'test_rows' ELSE 'train_rows' END, count(*)::DOUBLE FROM t GROUP BY is_test")
+
+
+#: the closed form of ``price_samples``: the two points next to the gap are
+#: the support, no row is inside the margin
+GAP = (f"WITH {PRICES}, e AS (SELECT min(CASE WHEN label = 1 THEN v + 1.0{DBL} END) AS p, "
+       "max(CASE WHEN label = 0 THEN v END) AS n, count(*) AS n_rows FROM pr) "
+       f"SELECT {_r(f'2.0{DBL} / (p - n)', 6)} AS w, {_r('(p + n) / (p - n)', 6)} AS b, n_rows, "
+       + ", ".join(f"{_r(f'2.0{DBL} / ((p - n) * (p - n))', 4)} AS {k}" for k in ("primal", "dual"))
+       + f", 0.0{DBL} AS duality_gap")
+
+
 ORACLE: dict[str, str] = {
     "csv_lines": f"WITH {LI}, {RING} SELECT {KEYS}, {F8} FROM ring",
     "task_type": _type_codes(),
@@ -301,10 +340,27 @@ ORACLE: dict[str, str] = {
     "eval_regression": (f"WITH {UNIT} SELECT CASE WHEN is_test THEN 'test_rmse' ELSE 'train_rmse' END AS metric, "
                         f"{_r('sqrt(avg((label - prediction) * (label - prediction)))', 4)} AS value "
                         "FROM back GROUP BY is_test"),
-    # closed form: the two points next to the gap are the support
-    "train_kernel": (f"WITH {PRICES}, e AS (SELECT min(CASE WHEN label = 1 THEN v + 1.0{DBL} END) AS p, "
-                     "max(CASE WHEN label = 0 THEN v END) AS n, count(*) AS n_rows FROM pr) "
-                     f"SELECT {_r(f'2.0{DBL} / (p - n)', 6)} AS w, {_r('(p + n) / (p - n)', 6)} AS b, n_rows FROM e"),
+    "train_kernel": f"{GAP} FROM e",
+    "train_shrinking": f"{GAP}, true AS fell, true AS whole_at_the_end FROM e",
+    # three points on a line, the middle one positive: its multiplier is twice the others'
+    "train_rbf": (f"WITH st AS (SELECT avg(o_totalprice) / max(o_totalprice) AS m FROM orders), "
+                  f"k AS (SELECT exp(-{fx.PLANTED_GAMMA}{DBL} * m * m) AS k1, exp(-{fx.PLANTED_GAMMA}{DBL} * 4.0{DBL} * m * m) AS k2 FROM st), "
+                  f"a AS (SELECT 2.0{DBL} / (3.0{DBL} - 4.0{DBL} * k1 + k2) AS a1, k1 FROM k) "
+                  "SELECT o_orderstatus AS cls, count(*) AS n_rows, "
+                  f"{_r(f'CASE WHEN o_orderstatus = {chr(39)}O{chr(39)} THEN 2.0{DBL} * a1 ELSE a1 END', 4)} AS alpha, "
+                  f"CASE WHEN o_orderstatus = 'O' THEN 1.0{DBL} ELSE -1.0{DBL} END AS score, "
+                  f"{_r(f'2.0{DBL} * a1 * (1.0{DBL} - k1) - 1.0{DBL}', 4)} AS b FROM orders, a GROUP BY o_orderstatus, a1, k1"),
+    "decision_tiled": (f"WITH {EMB}, {PM} SELECT t.id, {_r(f'sum(s.alpha * s.y * ' + _rbf('s.x', 't.x') + f') - {fx.PLANTED_B}{DBL}', 6)} AS score "
+                       "FROM emb t, (SELECT * FROM pm WHERE alpha > 0) s GROUP BY t.id"),
+    # the sum is a broken line in t: its zero lies between two breakpoints
+    "project_start": (f"WITH s AS (SELECT vec_id AS id, CASE WHEN label < 5 THEN 1.0{DBL} ELSE -1.0{DBL} END AS y, "
+                      f"{fx.PLANTED_C}{DBL} * (vec_id % {fx.PLANTED_ALPHA_MOD} - 2)::DOUBLE / 6.0{DBL} AS a FROM embeddings), "
+                      f"bp AS (SELECT DISTINCT unnest([y * a, y * (a - {fx.PLANTED_C}{DBL})]) AS t FROM s), "
+                      f"h AS (SELECT t, sum(y * least(greatest(a - t * y, 0.0{DBL}), {fx.PLANTED_C}{DBL})) AS h FROM bp, s GROUP BY t), "
+                      "lo AS (SELECT t, h FROM h WHERE h >= 0 ORDER BY t DESC LIMIT 1), "
+                      "hi AS (SELECT t, h FROM h WHERE h <= 0 ORDER BY t LIMIT 1), "
+                      "z AS (SELECT CASE WHEN lo.h = hi.h THEN lo.t ELSE lo.t + lo.h * (hi.t - lo.t) / (lo.h - hi.h) END AS t FROM lo, hi) "
+                      f"SELECT id, y, {_r(f'least(greatest(a - z.t * y, 0.0{DBL}), {fx.PLANTED_C}{DBL})', 6)} AS alpha FROM s, z"),
     "train_linear": f"WITH {PRICES} SELECT o_orderkey, label, label AS prediction FROM pr",
     "train_rff": ("WITH li AS (SELECT (l_quantity - 1.0::DOUBLE) / 49.0::DOUBLE AS q, l_extendedprice AS v FROM lineitem), "
                   "st AS (SELECT min(v) AS lo, max(v) AS hi FROM li), "
@@ -313,6 +369,7 @@ ORACLE: dict[str, str] = {
                   f"+ (d - 0.5::DOUBLE) * (d - 0.5::DOUBLE) < {fx.RING_RADIUS_SQ}::DOUBLE) AS n_positive, "
                   "true AS accurate, true AS two_sided FROM x"),
     "svm_report": _report(),
+    "svm_regression_report": _regression_report(),
     "rmse": (f"WITH {F6} SELECT count(*) AS n, {_r('avg((label - prediction) * (label - prediction))', 0)} AS mse, "
              f"{_r('sqrt(avg((label - prediction) * (label - prediction)))', 6)} AS rmse FROM f6"),
     "half_mse": (f"WITH {F6} SELECT count(*) AS n, "

@@ -147,6 +147,18 @@ def price_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .select("o_orderkey", F.array(F.col("v") + F.col("label")).alias("x"), "label")
 
 
+def status_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, cls, x, label): every order at the point of its status,
+    O at 0 (positive), F and P at -m and m, where m is the mean price over the
+    highest: three distinct points, an RBF fit with a closed form."""
+    orders = table(spark, sf_dir, "orders")
+    m = orders.agg((F.avg("o_totalprice") / F.max("o_totalprice")).alias("m")).scalar()
+    cls = F.col("o_orderstatus")
+    at = F.when(cls == "O", 0.0).when(cls == "F", -m).otherwise(m)
+    return orders.select("o_orderkey", cls.alias("cls"), F.array(at).alias("x"),
+                         F.when(cls == "O", 1.0).otherwise(0.0).alias("label"))
+
+
 def price_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(keys, x = [q, d], label): a ring over quantity and price, both in
     [0, 1]; nearly every row is a distinct point."""
