@@ -8,15 +8,16 @@ becomes active and is counted from the next scan on, next to the shorter
 ones, until it has been through every shard once; scanning ends when no
 phrase of any length is under way.
 
-A scan is an Arrow map over one shard that writes (lang, size, phrase, n) per
-task.  Which phrases have reached the threshold is one aggregate over 40-bit
-hashes of the running cycle's rows; it is kept as a bitmap of ``2^filter_bits``
-bits per length (``FILTER_BITS``: 8 MB, whatever the corpus), which is what the
-next scans' tasks get.  Bits only ever appear, and a phrase is active from the
-first scan after both its subphrases' bits are there, so every phrase goes
-through each shard exactly once and its sum is exact; two phrases sharing a
-bit cost counting, never a wrong count.  Phrases below the threshold are
-dropped only in the end, by their exact sums.
+A scan is an Arrow map over one shard that counts active phrases by 40-bit
+hashes and writes them per task and hash range as packed blobs of about three
+bytes a phrase.  Which phrases have reached the threshold is one merge of the
+running cycle's blobs, range by range (``reached``); it is kept as a bitmap of
+``2^filter_bits`` bits per length (``FILTER_BITS``: 8 MB, whatever the corpus),
+which is what the next scans' tasks get.  Bits only ever appear, and a phrase
+is active from the first scan after both its subphrases' bits are there, so
+every phrase goes through each shard exactly once; phrases sharing a hash or
+a bit cost counting and are never missed.  A last pass counts the phrases
+whose own bit is set by their texts, and those below the threshold go.
 
 Scores use decimals of 38 digits: exact for counts up to 10^15.
 
@@ -30,7 +31,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marginflow.llm.common import column, share, text_slices, write_table
 
@@ -45,7 +45,9 @@ SHARDS = 2
 #: Bits of an activity filter (a power of two).
 FILTER_BITS = 26
 #: Counts that a task holds before it passes them on.
-TASK_COUNTS = 2_000_000
+TASK_COUNTS = 3_000_000
+#: Bits of the hashes by which phrases are counted.
+HASH_BITS = 40
 #: Parts in which each lang's best phrases are first sought.
 PARTS = 16
 
@@ -57,18 +59,13 @@ BREAK = 0
 
 
 class PhraseCounter:
-    """Counts the active phrases of a task's texts.
+    """Numbers the words of a task's texts and counts phrases of them."""
 
-    Words are numbered within the task; a phrase is its words' numbers in one
-    integer of 21 bits a word while they fit, so counting is sorting."""
+    BITS = 21     # of a word's number; three fit into 63
 
-    BITS = 21
-
-    def __init__(self, sizes, now, before):
-        #: lengths to count; per length the filters of its subphrases after
-        #: the last scan and after the scan one cycle earlier
-        self.sizes, self.now, self.before = sizes, now, before
+    def __init__(self, sizes: list[int]):
         upper = bytes(range(65, 91))
+        self.sizes = sizes
         self.table = bytes.maketrans(upper + PIECE_ENDS + BLANKS,
                                      upper.lower() + b"\n" * len(PIECE_ENDS) + b" " * len(BLANKS))
         self._reset()
@@ -79,7 +76,7 @@ class PhraseCounter:
         self.words: list[bytes] = [b"\n"]
         self.langs: list[str] = [""]
         self.hash = np.zeros(1, np.uint64)
-        self.held = {k: (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)) for k in self.sizes}
+        self.held = {k: (np.zeros(0, np.int64), np.zeros(0, np.int64)) for k in self.sizes}
 
     @property
     def full(self) -> bool:
@@ -117,43 +114,96 @@ class PhraseCounter:
     def _count(self, ids, counted: int) -> None:
         """Phrases that end after the first ``counted`` of these words."""
         import numpy as np
-        code, h, ok = ids, self.hash[ids], ids != BREAK
+        h, ok = self.hash[ids], ids != BREAK
         one_h, one_ok = h, ok
         for k in range(1, max(self.sizes) + 1):
-            take = None
-            if k in self.sizes and k > 1:
-                take = inside(self.now[k - 1], h)
-                if self.before[k - 1] is not None:
-                    take &= ~inside(self.before[k - 1], h)
+            shorter = h
             if k > 1:
                 # the phrase of k words from that of k - 1 and its next word
                 ok = ok[:-1] & one_ok[k - 1:]
-                code = code[:-1] << self.BITS | ids[k - 1:]
                 h = mix(h[:-1], one_h[k - 1:])
             if k in self.sizes:
-                take = ok.copy() if take is None else take & ok
+                take = ok & self.active(k, shorter, h)
                 take[:max(0, counted - k + 1)] = False
-                self._sum(k, code[take], h[take])
+                at = np.flatnonzero(take)
+                self._add(k, *np.unique(self.key(k, ids, h, at), return_counts=True))
 
-    def _sum(self, k, code, h) -> None:
+    def _add(self, k, key, n) -> None:
         import numpy as np
-        old_code, old_n, old_h = self.held[k]
-        code, first, n = np.unique(code, return_index=True, return_counts=True)
-        h = h[first]
-        if len(old_code):
-            code, first, where = np.unique(np.concatenate([old_code, code]), return_index=True, return_inverse=True)
-            n = np.bincount(where, np.concatenate([old_n, n]), len(code)).astype(np.int64)
-            h = np.concatenate([old_h, h])[first]
-        self.held[k] = (code, n, h)
+        old_key, old_n = self.held[k]
+        if len(old_key):
+            key, where = np.unique(np.concatenate([old_key, key]), return_inverse=True)
+            n = np.bincount(where, np.concatenate([old_n, n]), len(key)).astype(np.int64)
+        self.held[k] = (key, n)
+
+
+class ActiveCounter(PhraseCounter):
+    """Counts by hash the phrases whose subphrases have both reached the
+    threshold, but not a whole cycle ago."""
+
+    def __init__(self, sizes, now, before, parts: int):
+        super().__init__(sizes)
+        self.now, self.before, self.parts = now, before, parts
+
+    def active(self, k, shorter, h):
+        if k == 1:
+            return True
+        both = inside(self.now[k - 1], shorter)
+        return both if self.before[k - 1] is None else both & ~inside(self.before[k - 1], shorter)
+
+    def key(self, k, ids, h, at):
+        return short(h[at])
 
     def take(self):
-        """(lang, size, phrase, n, hash) of what was counted; then forgets it."""
+        """(size, part, counts): the counts of a range of hashes; then forgets them."""
+        import numpy as np
+        import pyarrow as pa
+        for k, (key, n) in self.held.items():
+            edges = np.searchsorted(key, np.arange(self.parts + 1) * ((1 << HASH_BITS) // self.parts))
+            some = [p for p in range(self.parts) if edges[p] < edges[p + 1]]
+            if some:
+                blobs = [packed(key[edges[p]:edges[p + 1]], n[edges[p]:edges[p + 1]]) for p in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([k] * len(some), pa.int32()), pa.array(some, pa.int32()), pa.array(blobs, pa.binary())],
+                    names=["size", "part", "counts"])
+        self._reset()
+
+
+class FrequentCounter(PhraseCounter):
+    """Counts by their words the phrases whose bit is set, and all words."""
+
+    def __init__(self, sizes, filters):
+        super().__init__(sizes)
+        self.filters = filters
+        self.total: dict[str, int] = {}
+
+    def active(self, k, shorter, h):
+        return self.filters[k].has(h)
+
+    def key(self, k, ids, h, at):
+        code = ids[at]
+        for i in range(1, k):
+            code = code << self.BITS | ids[at + i]
+        return code
+
+    def _count(self, ids, counted):
+        super()._count(ids, counted)
+        import numpy as np
+        words = ids[counted:]
+        new = words[words != BREAK]
+        if len(new):
+            lang = self.langs[int(new[0])]
+            self.total[lang] = self.total.get(lang, 0) + int(np.count_nonzero(words != BREAK))
+
+    def take(self):
+        """(lang, size, phrase, n); then forgets them.  Size 0: a lang's words."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
         words, langs = pa.array(self.words, pa.binary()).cast(pa.string()), pa.array(self.langs)
         mask = (1 << self.BITS) - 1
-        for k, (code, n, h) in self.held.items():
+        names = ["lang", "size", "phrase", "n"]
+        for k, (code, n) in self.held.items():
             for lo in range(0, len(code), 200_000):
                 part = code[lo:lo + 200_000]
                 each = [pa.array((part >> (self.BITS * i)) & mask) for i in reversed(range(k))]
@@ -162,11 +212,35 @@ class PhraseCounter:
                     phrase = pc.binary_join_element_wise(*[words.take(e) for e in each], " ")
                 yield pa.RecordBatch.from_arrays([
                     langs.take(each[0]), pa.array(np.full(len(part), k, np.int32)), phrase,
-                    pa.array(n[lo:lo + 200_000]), pa.array(short(h[lo:lo + 200_000]))],
-                    names=["lang", "size", "phrase", "n", "hash"])
+                    pa.array(n[lo:lo + 200_000])], names=names)
+        if self.total:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(self.total.keys(), pa.string()), pa.array([0] * len(self.total), pa.int32()),
+                pa.array([None] * len(self.total), pa.string()), pa.array(self.total.values(), pa.int64())], names=names)
+            self.total = {}
         self._reset()
 
 
+def packed(key, n) -> bytes:
+    """Rising keys and their counts in little room."""
+    import numpy as np
+    import zstandard
+    steps = np.diff(key, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    # byte by byte of all steps, the rare high ones together
+    raw = np.ascontiguousarray(steps.T).tobytes() + n.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpacked(blob: bytes):
+    import numpy as np
+    import zstandard
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(13, -1)
+    wide = np.zeros((raw.shape[1], 8), np.uint8)
+    wide[:, :5] = raw[:5].T
+    return np.cumsum(wide.view("<u8")[:, 0].astype(np.int64)), \
+        np.ascontiguousarray(raw[5:].T).view("<u8")[:, 0].astype(np.int64)
+
+
 def inside(filter, h):
     """Whether both of two neighbouring phrases have reached the threshold."""
     has = filter.has(h)
@@ -182,34 +256,27 @@ def mix(left, right):
 
 
 def short(h):
-    """The 40 bits of a hash that are compared between tasks."""
+    """The bits of a hash that are compared between tasks."""
     import numpy as np
-    return (h >> np.uint64(24)).astype(np.int64)
+    return (h >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
 class Filter:
-    """Bitmap of the phrases that reached the threshold."""
+    """Bitmap of the phrases that reached the threshold, by their hashes' first bits."""
 
     def __init__(self, bits: int, words):
         self.bits, self.words = bits, words
 
     def has(self, h):
         import numpy as np
-        cell = short(h) & ((1 << self.bits) - 1)
+        cell = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         return (self.words[cell >> 6] >> (cell & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-_ROWS = T.StructType([
-    T.StructField("lang", T.StringType()), T.StructField("size", T.IntegerType()),
-    T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType()), T.StructField("hash", T.LongType())])
-
-
-def scan(shard: DataFrame, sizes: list[int], now: dict, before: dict) -> DataFrame:
-    """(lang, size, phrase, n, hash) per task of one shard (lang, text)."""
-    given = share(shard.sparkSession, (now, before))
-
+def _map_texts(table: DataFrame, make, schema) -> DataFrame:
+    """``make()``'s counter over the (lang, text) rows of every task."""
     def run(batches):
-        counter = PhraseCounter(sizes, *given())
+        counter = make()
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for lo, hi, texts in text_slices(batch.column(1)):
@@ -221,20 +288,38 @@ def scan(shard: DataFrame, sizes: list[int], now: dict, before: dict) -> DataFra
                     yield from counter.add(lang, part)
         yield from counter.take()
 
-    return shard.select("lang", "text").mapInArrow(run, _ROWS)
+    return table.select("lang", "text").mapInArrow(run, schema)
+
+
+def scan(shard: DataFrame, sizes: list[int], now: dict, before: dict, parts: int) -> DataFrame:
+    """(size, part, counts) per task of one shard (lang, text)."""
+    given = share(shard.sparkSession, (now, before))
+    return _map_texts(shard, lambda: ActiveCounter(sizes, *given(), parts), "size int, part int, counts binary")
 
 
-def reached(rows: DataFrame, threshold: int, bits: int):
-    """The bitmap of the phrases of ``rows`` that come to the threshold: at
-    most 2^bits / 64 rows reach the driver."""
+def reached(rows: DataFrame, threshold: int, bits: int, parts: int):
+    """The bitmap of the hashes that come to the threshold in blobs of counts.
+    Ranges of hashes are ranges of the bitmap: 2^bits bits reach the driver."""
     import numpy as np
-    cell = F.col("hash").bitwiseAND((1 << bits) - 1)
-    got = rows.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold) \
-        .groupBy(F.shiftright(cell, 6).alias("word")) \
-        .agg(F.bit_or(F.expr("shiftleft(1L, int(hash & 63))")).alias("set")).toArrow()
-    words = np.zeros(1 << (bits - 6), np.uint64)
-    words[got.column("word").to_numpy()] = got.column("set").to_numpy().view(np.uint64)
-    return words
+
+    def merge(table):
+        import pyarrow as pa
+        keys, sums = zip(*map(unpacked, table.column("counts").to_pylist()))
+        keys, sums = np.concatenate(keys), np.concatenate(sums)
+        order = np.argsort(keys, kind="stable")
+        keys, sums = keys[order], sums[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        cell = np.unique(keys[first][np.add.reduceat(sums, first) >= threshold] >> (HASH_BITS - bits))
+        word, at = np.unique(cell >> 6, return_index=True)
+        held = np.bitwise_or.reduceat(np.uint64(1) << (cell & 63).astype(np.uint64), at) if len(at) else at.astype(np.uint64)
+        return pa.table({"word": pa.array([word.astype("<i8").tobytes()], pa.binary()),
+                         "held": pa.array([held.astype("<u8").tobytes()], pa.binary())})
+
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    for r in rows.groupBy("part").applyInArrow(merge, "word binary, held binary").collect():
+        # two ranges may share a word where there are more ranges than words
+        np.bitwise_or.at(out, np.frombuffer(r["word"], "<i8"), np.frombuffer(r["held"], "<u8"))
+    return out
 
 
 def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int = THRESHOLD, shards: int = SHARDS,
@@ -245,16 +330,16 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
     import numpy as np
     if not 1 <= max_words <= 3:
         raise ValueError("phrases of one to three words are counted")
-    spark = docs.sparkSession
     dealt = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("lang"),
                         column(text_col).alias("text"))
     shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")
     dealt = write_table(dealt.withColumn("shard", shard), "shards", "shard")
+    # ranges of hashes: as many as a scan has tasks, so that each merges about what a task has counted
+    parts = 1 << max(5, (dealt.rdd.getNumPartitions() // shards).bit_length())
 
     empty = np.zeros(1 << (filter_bits - 6), np.uint64)
-    history = {k: [] for k in range(1, max_words)}      # the filter after each scan
-    scans: list[DataFrame] = []
-    sizes_of: list[list[int]] = []
+    history = {k: [] for k in range(1, max_words + 1)}      # the filter after each scan
+    scans: list[tuple[list[int], DataFrame]] = []
 
     def after(k, step):
         return history[k][step] if step >= 0 else empty
@@ -267,29 +352,23 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
                   if not np.array_equal(after(k - 1, step - 1), after(k - 1, step - 1 - shards))]
         if not sizes:
             break
-        now = {k: Filter(filter_bits, after(k, step - 1)) for k in range(1, max_words) if k + 1 in sizes}
+        now = {k - 1: Filter(filter_bits, after(k - 1, step - 1)) for k in sizes if k > 1}
         before = {k: Filter(filter_bits, after(k, step - 1 - shards)) if step > shards else None for k in now}
-        scans.append(write_table(scan(dealt.filter(F.col("shard") == step % shards), sizes, now, before), "scan"))
-        sizes_of.append(sizes)
+        counted = scan(dealt.filter(F.col("shard") == step % shards), sizes, now, before, parts)
+        scans.append((sizes, write_table(counted, "scan")))
         for k in history:
             words = after(k, step - 1)
-            cycle = [scans[s].filter(F.col("size") == k) for s in range(max(0, step - shards + 1), step + 1)
-                     if k in sizes_of[s]]
             if k in sizes:
-                words = words | reached(union(cycle), threshold, filter_bits)
+                cycle = [t.filter(F.col("size") == k) for some, t in scans[max(0, step - shards + 1):] if k in some]
+                words = words | reached(union(cycle), threshold, filter_bits, parts)
             history[k].append(words)
         step += 1
 
-    kept = []
-    for k in range(1, max_words + 1):
-        rows = union([s.filter(F.col("size") == k) for s, sizes in zip(scans, sizes_of) if k in sizes])
-        if rows is not None:
-            kept.append(rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold)
-                        .select("lang", F.lit(k).alias("size"), "phrase", "n"))
-    total = union([s.filter(F.col("size") == 1) for s, sizes in zip(scans, sizes_of) if 1 in sizes]) \
-        .groupBy("lang").agg(F.sum("n").alias("n")) \
-        .select("lang", F.lit(0).alias("size"), F.lit(None).cast("string").alias("phrase"), "n")
-    return write_table(union([*kept, total]), "phrases")
+    filters = share(docs.sparkSession, {k: Filter(filter_bits, after(k, step - 1)) for k in history})
+    counted = _map_texts(dealt, lambda: FrequentCounter(list(history), filters()),
+                         "lang string, size int, phrase string, n long")
+    counted = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    return write_table(counted.filter((F.col("n") >= threshold) | (F.col("size") == 0)), "phrases")
 
 
 def union(tables: list[DataFrame]) -> DataFrame | None:

@@ -83,23 +83,51 @@ def test_phrases_that_become_frequent_late(spark):
     assert "one two three" in {r[2] for r in got}
 
 
+def every():
+    full = np.full(1, 2 ** 64 - 1, np.uint64)
+    return {k: C.Filter(6, full) for k in (1, 2, 3)}
+
+
+def by_words(batches):
+    got = Counter()
+    for b in batches:
+        for r in b.to_pylist():
+            got[r["size"], r["phrase"]] += r["n"]
+    return got
+
+
+def by_hash(batches):
+    got = Counter()
+    for b in batches:
+        for r in b.to_pylist():
+            for key, n in zip(*map(np.ndarray.tolist, C.unpacked(r["counts"]))):
+                assert key // ((1 << C.HASH_BITS) // 8) == r["part"]
+                got[r["size"], key] += n
+    return got
+
+
+def counts_of(text):
+    out = Counter({(len(p), " ".join(p)): n for p, n in brute_counts([("x", text)])["x"].items()})
+    out[0, None] = sum(n for (k, _), n in out.items() if k == 1)
+    return out
+
+
+def both(text):
+    counters = C.FrequentCounter([1, 2, 3], every()), C.ActiveCounter([1, 2, 3], every(), {1: None, 2: None}, 8)
+    return [[*c.add("x", [text.encode()]), *c.take()] for c in counters]
+
+
 def test_a_text_cut_into_parts_counts_once(monkeypatch):
     text = ("alpha beta gamma. " * 50 + "delta " * 40 + "\n") * 3
-    whole = C.PhraseCounter([1, 2, 3], every(), {1: None, 2: None})
-    parts = C.PhraseCounter([1, 2, 3], every(), {1: None, 2: None})
-    def counts(counter, size):
-        monkeypatch.setattr(C, "PART_BYTES", size)
-        batches = [*counter.add("x", [text.encode()]), *counter.take()]
-        return Counter({(r["size"], r["phrase"]): r["n"] for b in batches for r in b.to_pylist()})
-    want = Counter({(len(p), " ".join(p)): n for p, n in brute_counts([("x", text)])["x"].items()})
-    assert counts(whole, 10 ** 6) == want
+    words, hashes = both(text)
+    assert by_words(words) == counts_of(text)
+    hashed = by_hash(hashes)
+    assert Counter((k, n) for (k, _), n in hashed.items()) == Counter(
+        (k, n) for (k, _), n in counts_of(text).items() if k)
     for size in (1, 7, 50, 333):
-        assert counts(parts, size) == want
-
-
-def every():
-    full = np.full(1, 2 ** 64 - 1, np.uint64)
-    return {1: C.Filter(6, full), 2: C.Filter(6, full)}
+        monkeypatch.setattr(C, "PART_BYTES", size)
+        words, hashes = both(text)
+        assert by_words(words) == counts_of(text) and by_hash(hashes) == hashed
 
 
 def test_counts_are_passed_on_when_they_are_many(monkeypatch):
@@ -107,14 +135,38 @@ def test_counts_are_passed_on_when_they_are_many(monkeypatch):
     monkeypatch.setattr(C, "PART_BYTES", 40)
     rnd = random.Random(1)
     text = " ".join(rnd.choice("abcdefgh") * rnd.randrange(1, 4) for _ in range(500))
-    counter = C.PhraseCounter([1, 2, 3], every(), {1: None, 2: None})
-    got = Counter()
-    batches = [*counter.add("x", [text.encode()]), *counter.take()]
-    assert len(batches) > 10
-    for b in batches:
-        for r in b.to_pylist():
-            got[r["size"], r["phrase"]] += r["n"]
-    assert got == Counter({(len(p), " ".join(p)): n for p, n in brute_counts([("x", text)])["x"].items()})
+    words, hashes = both(text)
+    assert len(words) > 10 and len(hashes) > 10
+    assert by_words(words) == counts_of(text)
+    assert sum(by_hash(hashes).values()) == sum(n for (k, _), n in counts_of(text).items() if k)
+
+
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 1000):
+        key = np.unique(rng.integers(0, 1 << C.HASH_BITS, n))
+        count = rng.integers(1, 2 ** 40, len(key))
+        got = C.unpacked(C.packed(key, count))
+        assert got[0].tolist() == key.tolist() and got[1].tolist() == count.tolist()
+
+
+def test_reached_adds_up_tasks_and_ranges(spark):
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << C.HASH_BITS, 3000))
+    rows, total = [], Counter()
+    for task in range(4):
+        some = np.sort(rng.choice(keys, 1500, replace=False))
+        n = rng.integers(1, 6, len(some))
+        total.update(dict(zip(some.tolist(), n.tolist())))
+        part = some // ((1 << C.HASH_BITS) // 32)
+        rows += [(2, int(p), bytearray(C.packed(some[part == p], n[part == p]))) for p in np.unique(part)]
+    got = C.reached(spark.createDataFrame(rows, "size int, part int, counts binary"), 9, 20, 32)
+    want = np.zeros(1 << 14, np.uint64)
+    for key, n in total.items():
+        if n >= 9:
+            cell = key >> (C.HASH_BITS - 20)
+            want[cell >> 6] |= np.uint64(1) << np.uint64(cell & 63)
+    assert got.tolist() == want.tolist() and want.any()
 
 
 def test_exact_scores_beyond_64_bits(spark):
