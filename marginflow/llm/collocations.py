@@ -32,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.llm.bitmaps import Bitmap
 from marginflow.llm.common import column, share, text_slices, write_table
 
 # fixed values of the contract: what ends a piece, and what parts words
@@ -178,7 +179,7 @@ class FrequentCounter(PhraseCounter):
         self.total: dict[str, int] = {}
 
     def active(self, k, shorter, h):
-        return self.filters[k].has(h)
+        return set_for(self.filters[k], h)
 
     def key(self, k, ids, h, at):
         code = ids[at]
@@ -241,9 +242,15 @@ def unpacked(blob: bytes):
         np.ascontiguousarray(raw[5:].T).view("<u8")[:, 0].astype(np.int64)
 
 
-def inside(filter, h):
+def set_for(bitmap: Bitmap, h):
+    """Whether the phrases of these hashes have reached the threshold, by the hashes' first bits."""
+    import numpy as np
+    return bitmap.has((h >> np.uint64(64 - bitmap.bits)).astype(np.int64))
+
+
+def inside(bitmap: Bitmap, h):
     """Whether both of two neighbouring phrases have reached the threshold."""
-    has = filter.has(h)
+    has = set_for(bitmap, h)
     return has[:-1] & has[1:]
 
 
@@ -261,18 +268,6 @@ def short(h):
     return (h >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
-class Filter:
-    """Bitmap of the phrases that reached the threshold, by their hashes' first bits."""
-
-    def __init__(self, bits: int, words):
-        self.bits, self.words = bits, words
-
-    def has(self, h):
-        import numpy as np
-        cell = (h >> np.uint64(64 - self.bits)).astype(np.int64)
-        return (self.words[cell >> 6] >> (cell & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 def _map_texts(table: DataFrame, make, schema) -> DataFrame:
     """``make()``'s counter over the (lang, text) rows of every task."""
     def run(batches):
@@ -297,7 +292,7 @@ def scan(shard: DataFrame, sizes: list[int], now: dict, before: dict, parts: int
     return _map_texts(shard, lambda: ActiveCounter(sizes, *given(), parts), "size int, part int, counts binary")
 
 
-def reached(rows: DataFrame, threshold: int, bits: int, parts: int):
+def reached(rows: DataFrame, threshold: int, bits: int, parts: int) -> Bitmap:
     """The bitmap of the hashes that come to the threshold in blobs of counts.
     Ranges of hashes are ranges of the bitmap: 2^bits bits reach the driver."""
     import numpy as np
@@ -319,7 +314,7 @@ def reached(rows: DataFrame, threshold: int, bits: int, parts: int):
     for r in rows.groupBy("part").applyInArrow(merge, "word binary, held binary").collect():
         # two ranges may share a word where there are more ranges than words
         np.bitwise_or.at(out, np.frombuffer(r["word"], "<i8"), np.frombuffer(r["held"], "<u8"))
-    return out
+    return Bitmap(bits, out)
 
 
 def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int = THRESHOLD, shards: int = SHARDS,
@@ -327,7 +322,6 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
     """(lang, size, phrase, n): all phrases of up to ``max_words`` words that
     occur at least ``threshold`` times in their lang, and, of size 0, every
     lang's number of words (phrase: null)."""
-    import numpy as np
     if not 1 <= max_words <= 3:
         raise ValueError("phrases of one to three words are counted")
     dealt = docs.select(F.coalesce(column(lang_col).cast("string"), F.lit("und")).alias("lang"),
@@ -337,7 +331,7 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
     # ranges of hashes: as many as a scan has tasks, so that each merges about what a task has counted
     parts = 1 << max(5, (dealt.rdd.getNumPartitions() // shards).bit_length())
 
-    empty = np.zeros(1 << (filter_bits - 6), np.uint64)
+    empty = Bitmap(filter_bits)
     history = {k: [] for k in range(1, max_words + 1)}      # the filter after each scan
     scans: list[tuple[list[int], DataFrame]] = []
 
@@ -349,22 +343,22 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
         # a length is under way if a filter of its subphrases grew during the last cycle
         sizes = [1] if step < shards else []
         sizes += [k for k in range(2, max_words + 1)
-                  if not np.array_equal(after(k - 1, step - 1), after(k - 1, step - 1 - shards))]
+                  if after(k - 1, step - 1) != after(k - 1, step - 1 - shards)]
         if not sizes:
             break
-        now = {k - 1: Filter(filter_bits, after(k - 1, step - 1)) for k in sizes if k > 1}
-        before = {k: Filter(filter_bits, after(k, step - 1 - shards)) if step > shards else None for k in now}
+        now = {k - 1: after(k - 1, step - 1) for k in sizes if k > 1}
+        before = {k: after(k, step - 1 - shards) if step > shards else None for k in now}
         counted = scan(dealt.filter(F.col("shard") == step % shards), sizes, now, before, parts)
         scans.append((sizes, write_table(counted, "scan")))
         for k in history:
-            words = after(k, step - 1)
+            bitmap = after(k, step - 1)
             if k in sizes:
                 cycle = [t.filter(F.col("size") == k) for some, t in scans[max(0, step - shards + 1):] if k in some]
-                words = words | reached(union(cycle), threshold, filter_bits, parts)
-            history[k].append(words)
+                bitmap = bitmap | reached(union(cycle), threshold, filter_bits, parts)
+            history[k].append(bitmap)
         step += 1
 
-    filters = share(docs.sparkSession, {k: Filter(filter_bits, after(k, step - 1)) for k in history})
+    filters = share(docs.sparkSession, {k: after(k, step - 1) for k in history})
     counted = _map_texts(dealt, lambda: FrequentCounter(list(history), filters()),
                          "lang string, size int, phrase string, n long")
     counted = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))

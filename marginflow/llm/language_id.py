@@ -12,13 +12,16 @@ The model is fitted on a bounded, hash-chosen sample of labelled rows
 that returns sums per centroid.  All rows are then judged in one narrow map.
 
 Edge cases: a null text, or one without letters, is ``und`` with score 0 and
-is rejected; rows with a null label are not learned from; without any
-labelled row every text is ``und``; repeated rows each get a row; a kept
-column named like a result gives way to it.
+is rejected; rows with a null label are not learned from, every other label
+is learned, however many there are; without any
+labelled row every text is ``und``, and only texts without letters are
+rejected; repeated rows each get a row; a kept column named like a result
+gives way to it.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -28,9 +31,8 @@ from pyspark.sql import types as T
 
 from marginflow.llm.common import map_texts, share, write_table
 
-#: Bounds of the fit: labelled rows per language, and languages (most frequent).
+#: Bound of the fit: labelled rows per language.
 ROWS_PER_LANGUAGE = 3000
-MAX_LANGUAGES = 256
 CENTROIDS = 3
 ROUNDS = 6
 #: A centroid with a smaller share of its language's rows is dropped.
@@ -38,6 +40,8 @@ MIN_SHARE = 0.05
 #: A cosine is too low below this part of the 0.1 % quantile of labelled rows
 #: (short texts have low cosines, but not as low as other scripts).
 REJECT_PART, REJECT_QUANTILE = 0.25, 0.001
+#: Centroids whose sums a task holds before it passes them on (64 MB).
+HELD_CENTROIDS = 2048
 _BITS = 13
 DIMS = 1 << _BITS
 _CHUNK = 1 << 20
@@ -84,15 +88,17 @@ class LanguageModel:
 
 
 def _sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, rows: int) -> DataFrame:
-    """(lang, text, rank) of about ``rows`` rows of each frequent language."""
-    known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    sizes = known.groupBy(F.col(lang_col).alias("lang")).count() \
-                 .orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    """(lang, text, rank) of about ``rows`` rows of each language.
+
+    The share taken of each language is a constant map in the plan: as large
+    as the model's list of languages."""
+    known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")) \
+        .withColumn(lang_col, F.col(lang_col).cast("string"))
+    sizes = known.groupBy(F.col(lang_col).alias("lang")).count().collect()
+    table = json.dumps({r["lang"]: min(1.0, rows / r["count"]) for r in sizes})
     rank = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 40)) / float(1 << 40)
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col(lang_col) == r["lang"], F.lit(min(1.0, rows / r["count"]))).otherwise(share)
-    return known.filter(rank < share).select(F.col(lang_col).cast("string").alias("lang"),
+    share = F.element_at(F.from_json(F.lit(table), "map<string,double>"), F.col(lang_col))
+    return known.filter(rank < share).select(F.col(lang_col).alias("lang"),
                                              F.col(text_col).alias("text"), rank.alias("rank"))
 
 
@@ -159,8 +165,16 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
             import pyarrow as pa
             m = shared()
             place = {lang: i for i, lang in enumerate(m.languages)}
-            sums = np.zeros((DIMS, len(m.owner)), np.float32)
+            sums: dict[int, object] = {}
             size, best = np.zeros(len(m.owner), np.int64), []
+
+            def passed():
+                out = pa.RecordBatch.from_arrays([
+                    pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary()),
+                    pa.array([int(size[k]) for k in sums], pa.int64())], names=["centroid", "sum", "size"])
+                sums.clear()
+                size[:] = 0
+                return out
             for b in batches:
                 for lang, at, n in zip(b.column("lang").to_pylist(), b.column("at").to_pylist(),
                                        b.column("n").to_pylist()):
@@ -171,27 +185,38 @@ def fit_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "
                     if last:
                         best.append(float(cos.max()))
                     k = int(np.argmax(np.where(m.owner == place[lang], cos, -1)))
-                    sums[at, k] += w
                     size[k] += 1
-            yield pa.RecordBatch.from_arrays([
-                pa.array([b"" if last else sums.tobytes()], pa.binary()), pa.array([size.tobytes()], pa.binary()),
-                pa.array([np.asarray(best, np.float32).tobytes()], pa.binary())], names=["sums", "size", "best"])
+                    if not last:
+                        sums.setdefault(k, np.zeros(DIMS, np.float32))[at] += w
+                    if len(sums) >= HELD_CENTROIDS:
+                        yield passed()
+            if last:
+                sums[0] = np.asarray(best, np.float32)
+            yield passed()
         return run
 
-    for step in range(rounds + 1):
-        last = step == rounds
-        got = gather(step_job(share(spark, model), last), "sums binary, size binary, best binary")
-        size = sum(np.frombuffer(r["size"], np.int64) for r in got)
-        if last:
-            best = np.concatenate([np.frombuffer(r["best"], np.float32) for r in got])
-            model.reject_below = REJECT_PART * float(np.quantile(best, REJECT_QUANTILE))
-            break
-        sums = sum(np.frombuffer(r["sums"], np.float32).reshape(DIMS, -1) for r in got)
+    def add(table):
+        """One row per centroid: the driver gets the model's size, not a part of it per task."""
+        import pyarrow as pa
+        total = sum(np.frombuffer(v, np.float32) for v in table.column("sum").to_pylist())
+        return pa.table({"centroid": table.column("centroid")[:1], "sum": pa.array([total.tobytes()], pa.binary()),
+                         "size": pa.array([sum(table.column("size").to_pylist())], pa.int64())})
+
+    schema = "centroid int, sum binary, size long"
+    for step in range(rounds):
+        counted = grams.mapInArrow(step_job(share(spark, model), False), schema)
+        got = counted.groupBy("centroid").applyInArrow(add, schema).collect()
+        size, sums = np.zeros(len(model.owner), np.int64), np.zeros((DIMS, len(model.owner)), np.float32)
+        for r in got:
+            size[r["centroid"]], sums[:, r["centroid"]] = r["size"], np.frombuffer(r["sum"], np.float32)
         of_language = np.bincount(model.owner, weights=size, minlength=len(languages))
         kept = size >= (MIN_SHARE if step == rounds - 1 else 0) * of_language[model.owner]
         kept &= size > 0
         norm = np.sqrt((sums[:, kept] ** 2).sum(axis=0))
         model = LanguageModel(languages, model.owner[kept], (sums[:, kept] / norm).astype(np.float32), idf, 0.0)
+    best = np.concatenate([np.frombuffer(r["sum"], np.float32)
+                           for r in gather(step_job(share(spark, model), True), schema)])
+    model.reject_below = REJECT_PART * float(np.quantile(best, REJECT_QUANTILE))
     return model
 
 
@@ -207,9 +232,9 @@ def identify_languages(docs: DataFrame, model: LanguageModel | None, keep: list[
         m = shared()
 
         def one(text):
-            counts = ngram_counts(text) if m else None
-            if counts is None:
-                return "und", 0.0, True
+            counts = ngram_counts(text)
+            if counts is None or m is None:
+                return "und", 0.0, counts is None
             at, w = m.weigh(counts)
             cos = w @ m.centroids[at]
             k = int(np.argmax(cos))

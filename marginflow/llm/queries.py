@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm.byte_bpe import round_trip
 from marginflow.llm.collocations import collocations
-from marginflow.llm.common import read_table, scratch_path, sha256_joined
+from marginflow.llm.common import read_table, scratch_path, sha256_joined, write_table
 from marginflow.llm.decontamination import decontaminate
 from marginflow.llm.language_id import fit_languages, held_out, identify_languages
 from marginflow.llm import order_minhash as omh
@@ -77,7 +77,7 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = find_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"], base_bits=False)
     return found.select("doc_id", *span_digests(F.col("secrets"), {
         "n_assign": "assign", "n_access": "access", "n_hex": "hex"}))
 
@@ -99,14 +99,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = omh.with_next(omh.sketch(read_table(spark, sf_dir, "documents")), "id", ["text", "sigs"], "tie")
-    n = F.length("text")
-    kept = n - F.floor(n / 4).cast("int")
-    edited = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept),
-                                                F.substring("next_text", F.lit(1), n - kept))) \
-        .withColumn("edited_sigs", omh.signatures(F.col("edited")))
-    return edited.select(
-        F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    texts = omh.with_next(omh.texts_of(read_table(spark, sf_dir, "documents")), "id", ["text"], "tie")
+    rows = omh.with_next(write_table(omh.sketch_with_edit(texts), "sketches"), "id", ["sigs"], "tie")
+    return rows.select(
+        F.col("id").alias("doc_id"), F.col("n").alias("n_chars"), "edited_sha256",
         omh.fingerprint(F.col("sigs")).alias("fingerprint"),
         omh.fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         omh.likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),

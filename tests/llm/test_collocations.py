@@ -1,5 +1,6 @@
 """Collocations against plain counting of all phrases."""
 
+import pickle
 import random
 import re
 from collections import Counter
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginflow.llm import collocations as C
+from marginflow.llm.bitmaps import Bitmap
 from tests.llm.helpers import SF, docs, texts_of
 
 
@@ -85,7 +87,7 @@ def test_phrases_that_become_frequent_late(spark):
 
 def every():
     full = np.full(1, 2 ** 64 - 1, np.uint64)
-    return {k: C.Filter(6, full) for k in (1, 2, 3)}
+    return {k: Bitmap(6, full) for k in (1, 2, 3)}
 
 
 def by_words(batches):
@@ -166,7 +168,9 @@ def test_reached_adds_up_tasks_and_ranges(spark):
         if n >= 9:
             cell = key >> (C.HASH_BITS - 20)
             want[cell >> 6] |= np.uint64(1) << np.uint64(cell & 63)
-    assert got.tolist() == want.tolist() and want.any()
+    assert got.words.tolist() == want.tolist() and want.any()
+    back = pickle.loads(pickle.dumps(got))
+    assert back == got and back != Bitmap(20) and (back | Bitmap(20)) == got
 
 
 def test_exact_scores_beyond_64_bits(spark):

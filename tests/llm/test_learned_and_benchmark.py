@@ -95,6 +95,39 @@ def test_languages_on_a_small_table(spark):
     assert {r["lang_pred"] for r in identify_languages(df, None).collect()} == {"und"}
 
 
+def test_every_label_is_learned_however_many(spark, monkeypatch):
+    """300 labels, a third of the rows with one of them; sums passed on early."""
+    from marginflow.llm import language_id
+    monkeypatch.setattr(language_id, "HELD_CENTROIDS", 7)
+    rng, rows = random.Random(4), []
+    for k in range(300):
+        alphabet = [chr(rng.choice([97, 0x3b1, 0x430, 0x561]) + rng.randrange(22)) for _ in range(5)]
+        words = ["".join(rng.choices(alphabet, k=rng.randint(3, 7))) for _ in range(12)]
+        for _ in range(4 if k else 600):
+            rows.append((len(rows), " ".join(rng.choices(words, k=25)), f"l.{k}'\""))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    model = fit_languages(df, rows_per_language=50)
+    assert len(model.languages) == 300
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_languages(df, model, ["doc_id"]).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) > 0.98 * len(rows)
+    assert len(set(got.values())) > 295
+
+
+def test_the_nearest_centroid_wins(spark):
+    """Every prediction against a loop over dense vectors and all centroids."""
+    rows = lang_docs(spark, 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(df.filter("doc_id < 45"))
+    for r in identify_languages(df, model).collect():
+        counts = ngram_counts(r["text"])
+        v = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * model.idf
+        cos = [float(v @ c / np.linalg.norm(v) / np.linalg.norm(c)) for c in model.centroids.T]
+        best = int(np.argmax(cos))
+        assert r["lang_pred"] == model.languages[model.owner[best]]
+        assert r["score"] == pytest.approx(cos[best], abs=1e-5)
+        assert r["rejected"] == (r["score"] < model.reject_below)
+
+
 def test_ngram_counts_in_pieces(monkeypatch):
     from marginflow.llm import language_id
     text = "Straße und Ñandú, " * 50

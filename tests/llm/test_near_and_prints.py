@@ -90,44 +90,85 @@ def test_components_of_chain_star_and_cycle(spark):
     assert connected_components(df.limit(0)).count() == 0
 
 
-def brute_signatures(hashes, spark_hash):
-    """Signatures from k-mer hashes; ``spark_hash(rows)`` hashes in Spark."""
-    seen, numbered = {}, []
+def brute_picked(hashes):
+    """Ranks of each bucket's least numbered k-mers in text order."""
+    buckets, seen = {}, {}
     for place, h in enumerate(hashes):
-        numbered.append((h, seen.get(h, 0), place))
-        seen[h] = seen.get(h, 0) + 1
-    buckets = {}
-    for (h, n, place), g in zip(numbered, spark_hash([(h, n) for h, n, _ in numbered])):
-        g &= (1 << 64) - 1
-        buckets.setdefault(g & omh.SKETCH - 1, []).append((g >> 6, place))
+        g, number = h & (1 << 64) - 1, seen.get(h, 0)
+        seen[h] = number + 1
+        buckets.setdefault(g & omh.SKETCH - 1, []).append((g >> 6, number, place))
     out = [None] * omh.SKETCH
     for b, members in buckets.items():
-        out[b] = [r for _, r in sorted((place, rank) for rank, place in sorted(members)[:omh.PICK])]
+        out[b] = [r for _, r in sorted((place, rank) for rank, _, place in sorted(members)[:omh.PICK])]
     return out
 
 
-def test_signatures_against_brute_force(spark):
+def brute_signatures(spark, text):
+    windows = [text[i:i + omh.K] for i in range(len(text) - omh.K + 1)] or [text]
+    d = spark.createDataFrame(list(enumerate(windows)), "i int, w string")
+    want = brute_picked([r["h"] for r in d.select("i", F.xxhash64("w").alias("h")).orderBy("i").collect()])
+    d = spark.createDataFrame([(b, m) for b, m in enumerate(want) if m], "b int, m array<long>")
+    tuples = {r["b"]: r["v"] for r in d.select("b", F.xxhash64("m").bitwiseAND(0xFFFFFFFF).alias("v")).collect()}
+    return [tuples.get(b) for b in range(omh.SKETCH)]
+
+
+def test_signatures_against_brute_force(spark, monkeypatch):
     rng = random.Random(2)
     vocab = [f"w{i}" for i in range(40)]
-    cases = ["the cat sat on the mat. " * 200, " ".join(rng.choice(vocab) for _ in range(3000)),
-             " ".join(f"u{i}" for i in range(4000)), "short text", "aaaaaaaaaa" * 3]
-    for text in cases:
-        short = len(text) < omh.SHORT
-        units = list(text) if short else re.findall(r"\S{1,16}", text)
-        k = max(1, min(omh.K, len(text) // 4))
-        cols = [F.get("u", F.lit(j)) for j in range(omh.K)]
-        rows = [(i, units[i:i + k]) for i in range(max(1, len(units) - k + 1))]
-        df = spark.createDataFrame(rows, "i int, u array<string>")
-        hashes = [r["h"] for r in df.select("i", F.xxhash64(*cols).alias("h")).orderBy("i").collect()]
-
-        def spark_hash(pairs):
-            d = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, h long, n int")
-            return [r["g"] for r in d.select("i", F.xxhash64("h", "n").alias("g")).orderBy("i").collect()]
-        want = brute_signatures(hashes, spark_hash)
-        d = spark.createDataFrame([(b, m) for b, m in enumerate(want) if m], "b int, m array<long>")
-        tuples = {r["b"]: r["v"] for r in d.select("b", F.xxhash64("m").bitwiseAND(0xFFFFFFFF).alias("v")).collect()}
-        got = docs(spark, [text]).select(omh.signatures(F.col("text")).alias("s")).first()["s"]
-        assert got == [tuples.get(b) for b in range(omh.SKETCH)], text[:20]
+    cases = ["the cat sat on the mat. " * 100, " ".join(rng.choice(vocab) for _ in range(900)),
+             " ".join(f"u{i}" for i in range(700)), "short text", "aaaaaaaaaa" * 3, "", "seven77", "eight888",
+             "汉字👍🏽\n" * 40 + "ab"]
+    want = [brute_signatures(spark, t) for t in cases]
+    for part in (omh.PART, 1000, 64):
+        monkeypatch.setattr(omh, "PART", part)
+        rows = docs(spark, cases).select("doc_id", omh.signatures(F.col("text")).alias("s")).collect()
+        assert [r["s"] for r in sorted(rows)] == want
+
+
+def near(spark, pairs):
+    rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    sigs = omh.likeness(omh.signatures(F.col("a")), omh.signatures(F.col("b")))
+    return [r["s"] for r in rows.select("i", sigs.alias("s")).orderBy("i").collect()]
+
+
+def test_one_rule_for_texts_of_any_length(spark):
+    """A text and its beginning, on either side of any length."""
+    rng = random.Random(6)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(500))
+    pairs = [(word[:a], word[:b]) for a, b in ((420, 390), (401, 399), (400, 398), (21, 19), (20, 19), (17, 16), (13, 12))]
+    assert all(s > 0.8 for s in near(spark, pairs)), near(spark, pairs)
+
+
+def test_one_character_more_in_unspaced_texts(spark):
+    rng = random.Random(7)
+    alphabets = {"chinese": [chr(rng.randrange(0x4e00, 0x9fa5)) for _ in range(800)],
+                 "thai": [chr(c) for c in range(0xe01, 0xe2f)],
+                 "base64": list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")}
+    texts = {name: "".join(rng.choice(a) for _ in range(3000)) for name, a in alphabets.items()}
+    pairs = [(t, t[:at] + "x" + t[at:]) for t in texts.values() for at in (0, 1, 1500, 3000)]
+    assert all(s > 0.8 for s in near(spark, pairs)), near(spark, pairs)
+    others = ["".join(rng.choice(a) for _ in range(3000)) for a in alphabets.values()]
+    assert all(s < 0.2 for s in near(spark, list(zip(texts.values(), others))))
+
+
+def test_order_counts_and_not_only_members(spark):
+    rng = random.Random(8)
+    words = [f"{rng.randrange(10 ** 6)}" for _ in range(400)]
+    halves = " ".join(words[200:] + words[:200])
+    moved, same = near(spark, [(" ".join(words), halves), (" ".join(words), " ".join(words))])
+    assert moved < 0.85 and same == 1.0
+
+
+def test_edited_hashes_are_those_of_the_edited_text(spark):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcé汉 ") for _ in range(90))
+    rows = [(i, text[:n], text[i:i + m], k) for i, (n, m, k) in enumerate(
+        [(90, 20, 68), (8, 2, 6), (3, 1, 3), (0, 0, 0), (1, 0, 1), (12, 0, 9), (9, 3, 7), (40, 5, 40), (10, 10, 0), (7, 9, 2)])]
+    df = spark.createDataFrame(rows, "i int, t string, more string, kept int")
+    t, kept = F.col("t"), F.col("kept")
+    got = df.select(omh.edited_hashes(omh.kmer_hashes(t), t, kept, F.col("more")).alias("a"),
+                    omh.kmer_hashes(F.concat(F.substring(t, F.lit(1), kept), F.col("more"))).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
 
 
 def test_fingerprint_query(spark):

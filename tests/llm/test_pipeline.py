@@ -11,8 +11,9 @@ from tests.llm.test_near_and_prints import brute_components, brute_print
 
 def test_registry():
     names = queries()
-    assert [n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()] .__len__() == 10
-    assert "pipeline" in names and {"op3_benchmark_decontamination", "op7_url_filters"} <= set(oracle_sql())
+    assert [n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()] .__len__() == 13
+    assert "pipeline" in names and {"op3_benchmark_decontamination", "op7_url_filters",
+                                    "op11_collocations"} <= set(oracle_sql())
     assert [n for n, _ in cp.STAGES] == ["language_id", "simhash_near_dedup", "benchmark_decontamination", "pii",
                                          "best_fit_packing"]
 
@@ -70,3 +71,9 @@ def test_near_dedup_with_null_and_repeated_ids(spark):
     assert {(r["doc_id"], r["text"]) for r in near.collect()} == {
         (None, a), (None, b), (None, c), (9, d), (3, e), (5, f), (None, g)}
     assert near.count() == 7 and near.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_without_labels_texts_with_letters_stay(spark):
+    rows = docs(spark, ["some prose without a label", None, "12 34", "汉字"], lang=None)
+    kept = cp.language_id(spark, rows, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 3] and kept.columns == rows.columns

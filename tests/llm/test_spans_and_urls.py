@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm import pii, url_filter
 from marginflow.llm.queries import QUERIES, span_digests
+from marginflow.llm import secrets as S
 from marginflow.llm.secrets import GuessCost, find_secrets, repeats
 from tests.llm.helpers import PII, SECRETS, SF, brute_spans, docs, sha, texts_of
 
@@ -131,11 +132,13 @@ def test_added_secrets_in_the_main_contexts(spark):
 
 def test_words_of_the_documents_are_no_secrets(spark):
     texts = ["login is required", "credentials: documentation", "the pass is available", "login is photosynthesis",
-             "photosynthesis of plants", "more on photosynthesis", "login is zkqvxwjpbmtr", "pwd: zkqvxwjpbmtr",
-             "login: " + "=" * 600, "login: " + "x7$Gq!m2Wz9" * 80]
+             "login is zkqvxwjpbmtr", "pwd: zkqvxwjpbmtr", "login: " + "=" * 600, "login: " + "x7$Gq!m2Wz9" * 80,
+             "zkqvxwjpbmtr once", "and zkqvxwjpbmtr again", "login: préfecture"]
+    texts += ["Photosynthesis of plants, la préfecture"] * 5 + ["more on PHOTOSYNTHESIS; préfecture."] * 5
     rows = find_secrets(docs(spark, texts), ["doc_id"]).orderBy("doc_id").collect()
     got = [[s["text"] for s in r["secrets"]] for r in rows]
-    assert got == [[]] * 6 + [["zkqvxwjpbmtr"]] * 2 + [[], ["x7$Gq!m2Wz9" * 80]]
+    # a password that stands in two more documents is none of the known words
+    assert got == [[]] * 4 + [["zkqvxwjpbmtr"]] * 2 + [[], ["x7$Gq!m2Wz9" * 80]] + [[]] * 13
 
 
 def test_repeats_against_all_units():
@@ -223,3 +226,86 @@ def test_many_spans_in_one_text(spark):
             out += [text[at:s["start"]], f"[{s['kind'].upper()}]"]
         at = max(at, s["stop"])
     assert r["t"] == "".join(out) + text[at:]
+
+
+def brute_bits(v, cost, more=None):
+    """The least cost over all segmentations, span by span."""
+    more, low, n, log2 = more or {}, S.lowered(v), len(v), cost.log2
+    spell = [log2(cost._charset(c)) for c in v]
+    dates = {}
+    for i, j, c in cost._dates(v):
+        dates[i, j] = min(c, dates.get((i, j), 1e9))
+    best = [0.0] + [1e9] * n
+    for j in range(1, n + 1):
+        best[j] = best[j - 1] + spell[j - 1]
+        for i in range(j):
+            part, kinds = v[i:j], [dates.get((i, j), 1e9)]
+            word = min(cost.rank.get(low[i:j], 1e9), more.get(low[i:j], 1e9)) if j - i >= 3 else 1e9
+            kinds.append(word + (0 if part.islower() else 1 if part.isupper() or part.istitle() else j - i))
+            if j - i >= 3 and all((a, b) in cost.next_to for a, b in zip(low[i:j], low[i + 1:j])):
+                kinds.append(log2(47) + j - i - 1)
+            for unit in range(1, min(i, j - i) + 1):
+                if all(v[k] == v[k - unit] for k in range(i, j)):
+                    lo, hi = i - unit, j
+                    while lo and v[lo - 1] == v[lo - 1 + unit]:
+                        lo -= 1
+                    while hi < n and v[hi] == v[hi - unit]:
+                        hi += 1
+                    if hi - lo >= 3:
+                        kinds.append(log2(unit) + log2((j - i) / unit + 1))
+            best[j] = min(best[j], best[i] + min(kinds) + 1)
+    return best[n]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_guess_cost_is_the_least_over_all_segmentations(seed):
+    rng, cost = random.Random(seed), GuessCost(["apple", "password", "aaa", "love"])
+    parts = ["apple", "Apple", "LOVE", "pass", "password", "1999", "20240131", "31-12-1999", "qwerty", "qwqwqw", "zxcvbnm", "ewq",
+             "aaaa", "a", "abab", "abcabc", "x", "Q", "7", "é", "ß", "$", "11111", "=="]
+    for _ in range(150):
+        v = "".join(rng.choice(parts) * rng.choice([1, 1, 1, 2, 3]) for _ in range(rng.randrange(1, 6)))[:45]
+        assert cost.bits(v, {"bapp": 3.5}) == pytest.approx(brute_bits(v, cost, {"bapp": 3.5})), v
+    for v in ("aaaaaaaaaaapple", "1111111111119991231"):
+        assert GuessCost().bits(v) == pytest.approx(brute_bits(v, GuessCost()))
+
+
+@pytest.mark.parametrize("v", ["qw" * 50_000, "a" * 100_000, "x7$Gq!m2Wz9" * 10_000, "qwertyuiop" * 10_000])
+def test_long_values_are_costed_whole_in_seconds(v):
+    import time
+    begun = time.time()
+    assert GuessCost().bits(v) < 200
+    assert time.time() - begun < 60
+
+
+CONTEXTS = {
+    "Authorization: Bearer x7$Gq!m2Wz9pQ": "x7$Gq!m2Wz9pQ", "authorization: bearer\tx7$Gq!m2Wz9pQ": "x7$Gq!m2Wz9pQ",
+    "client_secret -> x7$Gq!m2Wz9pQ": "x7$Gq!m2Wz9pQ", "my password was x7$Gq!m2Wz9pQ.": "x7$Gq!m2Wz9pQ",
+    "login:\tx7$Gq!m2Wz9pQ": "x7$Gq!m2Wz9pQ", "pwd:\n  x7$Gq!m2Wz9pQ\n": "x7$Gq!m2Wz9pQ", "pin => x7$Gq!m2Wz9pQ": "x7$Gq!m2Wz9pQ",
+    "see https://bob:x7$Gq!m2Wz9pQ@host.example/p": "x7$Gq!m2Wz9pQ", "pwd=Zür!ch7$Gq2Wß": "Zür!ch7$Gq2Wß",
+    "the pass was open": None, "Authorization: Bearer none": None, "login:\n\nTomorrow we meet": None,
+    "https://host.example:8080/x@y": None, "password: 密码在这里没有问题的": None}
+
+
+def test_contexts(spark):
+    rows = find_secrets(docs(spark, list(CONTEXTS)), ["doc_id"]).orderBy("doc_id").collect()
+    got = [[s["text"] for s in r["secrets"] if not s["base"]] for r in rows]
+    assert got == [[v] if v else [] for v in CONTEXTS.values()]
+
+
+def test_one_verdict_for_a_value_in_many_rows(spark):
+    """A value in a third of the rows; null and repeated ids; clashing names."""
+    texts = ["pwd: x7$Gq!m2Wz9pQ and pin: Kq9#vT2!xx"] * 40 + ["plain"] * 80 + [None]
+    rows = docs(spark, texts, ids=[None, 1, 1, *range(3, 121)]).withColumns(
+        {"row": F.lit(7), "a.b": F.lit(8), "maybe": F.lit("m"), "value": F.lit("v")})
+    got = find_secrets(rows)
+    assert got.columns == [*rows.columns, "secrets"]
+    n = [(r["row"], r["a.b"], r["maybe"], len(r["secrets"])) for r in got.collect()]
+    assert sorted(n) == [(7, 8, "m", 0)] * 81 + [(7, 8, "m", 2)] * 40
+    bits = {(s["text"], s["bits"]) for r in got.collect() for s in r["secrets"]}
+    assert bits == {(v, GuessCost().bits(v)) for v in ("x7$Gq!m2Wz9pQ", "Kq9#vT2!xx")}
+
+
+def test_costs_of_base_matches_on_request(spark):
+    rows = docs(spark, ["token=abcdef123"])
+    assert find_secrets(rows, ["doc_id"]).first()["secrets"][0]["bits"] == GuessCost().bits("abcdef123")
+    assert find_secrets(rows, ["doc_id"], base_bits=False).first()["secrets"][0]["bits"] is None
