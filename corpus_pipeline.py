@@ -39,7 +39,8 @@ def _named(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: no other scripts, no junk without letters."""
+    """Documents whose language is known: no other scripts, no junk without
+    letters.  Where no row has a label, all texts with letters stay."""
     own, n = _positional(docs)
     model = fit_languages(own.filter(~held_out(F.col(n["doc_id"]))), n["text"], n["lang"], n["doc_id"])
     return _named(identify_languages(own, model, text_col=n["text"]).filter("not rejected"), n)
