@@ -471,6 +471,57 @@ def q_project_start(spark, sf):
     return D.project_start(rows).select("id", "y", r("alpha", 6).alias("alpha"))
 
 
+#: Columns of a block in the wide queries (the vectors have 64).
+BLOCK = 24
+
+
+def _blocked(spark, sf) -> DataFrame:
+    from marginflow.operators.wide import blocked_weights
+    pm = fx.planted_model(spark, sf)
+    return blocked_weights(pm.select("x", (F.col("alpha") * F.col("y")).alias("coef")), width=BLOCK)
+
+
+def q_blocked_weights(spark, sf):
+    """W of the planted model as a table of column blocks."""
+    w = _blocked(spark, sf).select("block", F.posexplode("w").alias("at", "w"))
+    w = w.withColumn("pos", (F.col("block") * BLOCK + F.col("at")).cast("int"))
+    return w.filter(F.col("pos") < 64).select("pos", r("w", 9).alias("w"))
+
+
+def q_blocked_score(spark, sf):
+    """Scores from slices of the rows and blocks of W."""
+    from marginflow.operators.wide import blocked_score
+    s = blocked_score(fx.embeddings(spark, sf), _blocked(spark, sf), B, width=BLOCK)
+    return s.select("id", r("score", 6).alias("score"))
+
+
+ROUND_PAIRS = 8
+
+
+def q_pair_round(spark, sf):
+    """One round of disjoint pairs on the planted state, with its line search."""
+    from marginflow.operators.rounds import pair_round
+    st, _ = _planted_state(spark, sf)
+    new, _ = pair_round(st.drop("e"), "rbf", GAMMA, ROUND_PAIRS)
+    return new.select("id", r("alpha", 6).alias("alpha"), r("g", 6).alias("g"))
+
+
+def q_zoned_choice(spark, sf):
+    """The most violating rows of both sets, read from the files that can
+    hold them, and whether files were left out."""
+    from marginflow.operators.rounds import write_zoned, zoned_top
+    from marginflow.session import one_row
+    st, _ = _planted_state(spark, sf)
+    zoned = write_zoned(st.drop("e", "x"), 16)
+    rows = []
+    for up in (True, False):
+        top, files = zoned_top(spark, zoned, ROUND_PAIRS, up)
+        rows += [F.struct(F.lit("up" if up else "low").alias("side"), F.lit(i).alias("rank"), F.lit(t["id"]).cast("long").alias("id"),
+                          F.lit(round(t["v"], 6) + 0.0).alias("v"), F.lit(2 * len(files) < len(zoned.zones)).alias("pruned"))
+                 for i, t in enumerate(top, 1)]
+    return one_row(spark).select(F.inline(F.array(*rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_lines": q_csv_lines,
     "task_type": q_task_type,
@@ -522,4 +573,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_rbf": q_train_rbf,
     "decision_tiled": q_decision_tiled,
     "project_start": q_project_start,
+    "blocked_weights": q_blocked_weights,
+    "blocked_score": q_blocked_score,
+    "pair_round": q_pair_round,
+    "zoned_choice": q_zoned_choice,
 }

@@ -197,6 +197,42 @@ def _regression_report(c: float = 1.0) -> str:
             "SELECT CASE WHEN is_test THEN 'test_rows' ELSE 'train_rows' END, count(*)::DOUBLE FROM t GROUP BY is_test")
 
 
+def _pair_round(pairs: int) -> str:
+    """One round on the planted state: both sets' first rows matched by rank,
+    each pair's own step, and the least objective along all steps together."""
+    v = "-y * g"
+    up = "(y > 0 AND alpha < cap) OR (y < 0 AND alpha > 0)"
+    low = "(y > 0 AND alpha > 0) OR (y < 0 AND alpha < cap)"
+    d2 = _rbf("a.x", "b.x")
+    return (f"{PLANTED}, cand AS (SELECT * FROM (SELECT *, {v} AS v, 0 AS side, row_number() OVER (ORDER BY {v} DESC, id) AS rk "
+            f"FROM state WHERE {up}) WHERE rk <= {pairs} UNION ALL SELECT * FROM (SELECT *, {v} AS v, 1 AS side, "
+            f"row_number() OVER (ORDER BY {v}, id) AS rk FROM state WHERE {low}) WHERE rk <= {pairs}), "
+            "once AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY id ORDER BY rk, side) = 1), "
+            "ranked AS (SELECT * EXCLUDE rk, row_number() OVER (PARTITION BY side ORDER BY rk) AS rk FROM once), "
+            f"p AS (SELECT a.id AS i, b.id AS j, a.y AS y_i, b.y AS y_j, least((a.v - b.v) / (2.0{DBL} - 2.0{DBL} * {d2}), "
+            "CASE WHEN a.y > 0 THEN a.cap - a.alpha ELSE a.alpha END, CASE WHEN b.y > 0 THEN b.alpha ELSE b.cap - b.alpha END) AS t "
+            "FROM ranked a JOIN ranked b ON a.side = 0 AND b.side = 1 AND a.rk = b.rk AND a.v > b.v), "
+            "d AS (SELECT s.id, s.x, s.y, q.d FROM (SELECT i AS id, y_i * t AS d FROM p UNION ALL SELECT j, -y_j * t FROM p) q "
+            "JOIN state s USING (id)), "
+            f"dg AS (SELECT t.id, t.y * coalesce(sum(d.d * d.y * {_rbf('d.x', 't.x')}), 0.0{DBL}) AS dg FROM state t LEFT JOIN d ON TRUE "
+            "GROUP BY t.id, t.y), "
+            "ls AS (SELECT sum(s.g * d.d) AS gd, sum(dg.dg * d.d) AS q FROM d JOIN state s USING (id) JOIN dg USING (id)), "
+            f"st AS (SELECT CASE WHEN q > 0 THEN greatest(least(1.0{DBL}, -gd / q), 0.0{DBL}) ELSE 1.0{DBL} END AS s FROM ls) "
+            f"SELECT s.id, {_r(f'least(greatest(s.alpha + st.s * coalesce(d.d, 0.0{DBL}), 0.0{DBL}), s.cap)', 6)} AS alpha, "
+            f"{_r('s.g + st.s * dg.dg', 6)} AS g FROM state s JOIN dg USING (id) LEFT JOIN d USING (id), st")
+
+
+def _zoned_choice(k: int) -> str:
+    v = "-y * g"
+    one = ("SELECT '{side}' AS side, row_number() OVER (ORDER BY {v} {way}, id)::INTEGER AS rank, id, {shown} AS v, true AS pruned "
+           "FROM state WHERE {where} QUALIFY rank <= {k}")
+    shown = _r(v, 6)
+    return (f"{PLANTED} " + one.format(side="up", v=v, way="DESC", shown=shown, k=k,
+                                       where="(y > 0 AND alpha < cap) OR (y < 0 AND alpha > 0)")
+            + " UNION ALL " + one.format(side="low", v=v, way="ASC", shown=shown, k=k,
+                                         where="(y > 0 AND alpha > 0) OR (y < 0 AND alpha < cap)"))
+
+
 #: the closed form of ``price_samples``: the two points next to the gap are
 #: the support, no row is inside the margin
 GAP = (f"WITH {PRICES}, e AS (SELECT min(CASE WHEN label = 1 THEN v + 1.0{DBL} END) AS p, "
@@ -370,6 +406,12 @@ ORACLE: dict[str, str] = {
                   "true AS accurate, true AS two_sided FROM x"),
     "svm_report": _report(),
     "svm_regression_report": _regression_report(),
+    "pair_round": _pair_round(8),
+    "zoned_choice": _zoned_choice(8),
+    "blocked_weights": f"WITH {EMB}, {PM}, {WEIGHTS} SELECT pos::INTEGER AS pos, {_r('w', 9)} AS w FROM w",
+    "blocked_score": (f"WITH {EMB}, {PM}, {WEIGHTS} SELECT e.id, {_r(f'sum(e.v * w.w) - {fx.PLANTED_B}{DBL}', 6)} AS score "
+                      "FROM (SELECT id, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM emb) e "
+                      "JOIN w USING (pos) GROUP BY e.id"),
     "rmse": (f"WITH {F6} SELECT count(*) AS n, {_r('avg((label - prediction) * (label - prediction))', 0)} AS mse, "
              f"{_r('sqrt(avg((label - prediction) * (label - prediction)))', 6)} AS rmse FROM f6"),
     "half_mse": (f"WITH {F6} SELECT count(*) AS n, "

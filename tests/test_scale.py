@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from marginflow.functions.kernels import block_kernel
 from marginflow.operators import dual as D
 from marginflow.operators import metrics as M
+from marginflow.operators import rounds as RO
+from marginflow.operators import wide as W
 from marginflow.operators.scoring import KernelModel, basis_stats, kernel_sum
 from marginflow.operators.trainers import (NotConverged, SVMParams, certificate, fit_kernel_svm, fit_linear_svr,
                                            gram_matrix, prepare_state, settled)
@@ -252,3 +254,157 @@ def test_model_of_a_large_basis_scores_alike(spark):
     one = {r.id: r.score for r in model.decision(pm).collect()}
     many = {r.id: r.score for r in model.decision(pm, max_broadcast_bytes=20_000).collect()}
     assert all(abs(one[i] - many[i]) < 1e-9 for i in one)
+
+
+# ------------------------------------------------------------------ wide vectors
+
+def wide_rows(spark, n, d, seed=0):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        pos = rng.choice(d, rng.integers(0, 12), replace=False)
+        rows.append((i, [int(p) for p in pos], rng.normal(size=len(pos)).tolist(), float(rng.normal())))
+    df = spark.createDataFrame(rows, "id long, pos array<int>, val array<double>, coef double").repartition(4)
+    X = np.zeros((n, d))
+    for i, pos, val, _ in rows:
+        X[i, pos] = val
+    return df, X, np.array([r[3] for r in rows])
+
+
+@pytest.mark.parametrize("width", [1, 7, 50, 64])
+def test_blocked_weights_and_scores(spark, width):
+    df, X, c = wide_rows(spark, 120, 50)
+    dense = spark.createDataFrame([(i, X[i].tolist(), float(c[i])) for i in range(len(X))],
+                                  "id long, x array<double>, coef double")
+    for cols, table in ((("pos", "val"), df), ("x", dense)):
+        w = W.blocked_weights(table, "coef", cols, width)
+        got = np.zeros((-(-50 // width)) * width)
+        for r in w.collect():
+            got[r.block * width:(r.block + 1) * width] = r.w
+        assert np.allclose(got[:50], X.T @ c) and not got[50:].any()
+        scores = {r.id: r.score for r in W.blocked_score(table, w, 0.25, "id", cols, width).collect()}
+        assert np.allclose([scores[i] for i in range(len(X))], X @ (X.T @ c) - 0.25)
+
+
+def test_a_million_columns_without_a_row_of_them(spark, monkeypatch):
+    monkeypatch.setattr(W, "HELD_VALUES", 20 * 4096)
+    d = 1_000_000
+    rng = np.random.default_rng(3)
+    rows = [(i, sorted(int(p) for p in rng.choice(d, 30, replace=False)), rng.normal(size=30).tolist(), 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, pos array<int>, val array<double>, coef double").repartition(3)
+    w = W.blocked_weights(df, "coef", ("pos", "val"))
+    assert w.agg(F.max(F.size("w"))).first()[0] == W.WIDTH
+    got = {r.id: r.score for r in W.blocked_score(df, w, 0.0, "id", ("pos", "val")).collect()}
+    total = {}
+    for _, pos, val, _ in rows:
+        for p, v in zip(pos, val):
+            total[p] = total.get(p, 0.0) + v
+    for i, pos, val, _ in rows:
+        assert got[i] == pytest.approx(sum(total[p] * v for p, v in zip(pos, val)))
+
+
+def test_wide_rows_in_salted_copies_and_rows_without_values(spark, monkeypatch):
+    monkeypatch.setattr(W, "ROWS_A_TASK", 10)
+    df, X, c = wide_rows(spark, 60, 30, 4)
+    w = W.blocked_weights(df, "coef", ("pos", "val"), 8)
+    scores = {r.id: r.score for r in W.blocked_score(df, w, 1.0, "id", ("pos", "val"), 8).collect()}
+    assert np.allclose([scores[i] for i in range(60)], X @ (X.T @ c) - 1.0)
+    none = spark.createDataFrame([(1, [], []), (2, [5000], [2.0])], "id long, pos array<int>, val array<double>")
+    assert {r.id: r.score for r in W.blocked_score(none, w, 1.0, "id", ("pos", "val"), 8).collect()} == {1: -1.0, 2: -1.0}
+    assert W.blocked_score(none.limit(0), w, 1.0, "id", ("pos", "val"), 8).collect() == []
+
+
+@pytest.mark.parametrize("pos,val", [([0, 0], [1.0, 2.0]), ([0], [1.0, 2.0]), ([-1], [1.0]), ([0], [None]), ([None], [1.0]),
+                                     (None, None), ([0], [float("nan")])])
+def test_wide_rows_reject_bad_vectors(spark, pos, val):
+    df = spark.createDataFrame([(1, pos, val)], "id long, pos array<int>, val array<double>")
+    with pytest.raises(Exception, match="feature v|positions"):
+        W.slice_rows(df, "id", ("pos", "val")).collect()
+
+
+# ------------------------------------------------------------------ rounds and zones
+
+def dual_rows(spark, n=60, seed=1, c=1.0):
+    """A feasible state with its gradient, and its arrays."""
+    rng = np.random.default_rng(seed)
+    X, y = rng.normal(size=(n, 2)), np.where(np.arange(n) % 2, 1.0, -1.0)
+    a = np.repeat(rng.choice([0.0, 0.3, c], n // 2), 2)
+    K = block_kernel(X, X, "rbf", 0.5)
+    g = y * (K @ (a * y)) - 1
+    rows = [(i, X[i].tolist(), float(y[i]), c, float(a[i]), float(g[i])) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, x array<double>, y double, cap double, alpha double, g double"), y, a, g, K
+
+
+def round_twin(y, a, g, K, c, pairs):
+    """The same round with plain loops."""
+    v = -y * g
+    up = [i for i in range(len(y)) if (y[i] > 0 and a[i] < c) or (y[i] < 0 and a[i] > 0)]
+    low = [i for i in range(len(y)) if (y[i] > 0 and a[i] > 0) or (y[i] < 0 and a[i] < c)]
+    up, low = sorted(up, key=lambda i: (-v[i], i))[:pairs], sorted(low, key=lambda i: (v[i], i))[:pairs]
+    keep_up = [i for i in up if i not in low or up.index(i) <= low.index(i)]
+    keep_low = [i for i in low if i not in up or low.index(i) < up.index(i)]
+    d = np.zeros(len(y))
+    for i, j in zip(keep_up, keep_low):
+        if v[i] > v[j]:
+            t = min((v[i] - v[j]) / (K[i, i] + K[j, j] - 2 * K[i, j]), c - a[i] if y[i] > 0 else a[i], a[j] if y[j] > 0 else c - a[j])
+            d[i], d[j] = y[i] * t, -y[j] * t
+    Qd = y * (K @ (d * y))
+    s = min(1.0, -(g @ d) / (d @ Qd)) if d @ Qd > 0 else 1.0
+    return a + s * d, g + s * Qd, s * (g @ d) + 0.5 * s * s * (d @ Qd)
+
+
+@pytest.mark.parametrize("pairs", [1, 5, 40])
+def test_rounds_against_a_plain_twin(spark, pairs):
+    state, y, a, g, K = dual_rows(spark)
+    for _ in range(3):
+        state, one = RO.pair_round(state, "rbf", 0.5, pairs)
+        want_a, want_g, change = round_twin(y, a, g, K, 1.0, pairs)
+        rows = state.orderBy("id").collect()
+        got_a, got_g = np.array([r.alpha for r in rows]), np.array([r.g for r in rows])
+        assert np.allclose(got_a, want_a, atol=1e-9) and np.allclose(got_g, want_g, atol=1e-9)
+        assert one.change == pytest.approx(change) and one.change < 0 < one.step <= 1
+        assert abs((got_a * y).sum()) < 1e-9 and got_a.min() >= 0 and got_a.max() <= 1
+        a, g = got_a, got_g
+
+
+def test_rounds_reach_the_optimum(spark):
+    state, y, a, g, K = dual_rows(spark, 40, 3)
+    state, done = RO.solve_by_rounds(state, "rbf", 0.5, 60, tol=0.05, pairs=8)
+    assert done and all(r.change <= 1e-12 for r in done) and len(done) < 60
+    assert done[-1].gap < done[0].gap
+    rows = state.orderBy("id").collect()
+    a, g = np.array([r.alpha for r in rows]), np.array([r.g for r in rows])
+    assert np.allclose(g, y * (K @ (a * y)) - 1, atol=1e-8)
+    v = -y * g
+    up, low = ((y > 0) & (a < 1)) | ((y < 0) & (a > 0)), ((y > 0) & (a > 0)) | ((y < 0) & (a < 1))
+    assert v[up].max() - v[low].min() <= 0.05 + 1e-9
+
+
+def test_a_round_without_violating_pairs_changes_nothing(spark):
+    state, *_ = dual_rows(spark, 20, 5)
+    same, one = RO.pair_round(state, "rbf", 0.5, 5, tol=1e9)
+    assert one.moved == 0 and same.collect() == state.collect()
+
+
+@pytest.mark.parametrize("k", [1, 10, 300])
+def test_zone_maps_choose_as_a_full_scan(spark, k):
+    rng = np.random.default_rng(k)
+    rows = [(i, 1.0 if rng.random() < 0.5 else -1.0, 1.0, float(rng.choice([0.0, 0.5, 1.0])), float(np.round(rng.normal(), 1)))
+            for i in range(2000)]
+    state = spark.createDataFrame(rows, "id long, y double, cap double, alpha double, g double").repartition(5)
+    zoned = RO.write_zoned(state, 20)
+    for up in (True, False):
+        got, files = RO.zoned_top(spark, zoned, k, up)
+        v = RO.violation()
+        want = state.filter(D.up_set() if up else D.low_set()).withColumn("v", v) \
+            .orderBy(v.desc() if up else v.asc(), "id").limit(k).collect()
+        assert [(r.id, r.v) for r in got] == [(r.id, r.v) for r in want]
+        assert len(files) < len(zoned.zones) / 2 and len(set(files)) == len(files)
+
+
+def test_zone_maps_of_an_empty_or_one_sided_state(spark):
+    s = "id long, y double, cap double, alpha double, g double"
+    assert RO.zoned_top(spark, RO.write_zoned(spark.createDataFrame([], s), 3), 2, True) == ([], [])
+    zoned = RO.write_zoned(spark.createDataFrame([(1, 1.0, 1.0, 0.0, 2.0)], s), 3)
+    assert RO.zoned_top(spark, zoned, 2, False) == ([], [])
+    assert [r.id for r in RO.zoned_top(spark, zoned, 2, True)[0]] == [1]
