@@ -1,13 +1,14 @@
 """Personal data by weak supervision, DataFrame functions only.
 
 Fixed formats (``base`` spans) are always kept.  Looser candidates - spelled
-e-mail signs, IPv6, numbers like cards with a wrong check digit, phone
-numbers without a country code - are kept if a span classifier says so:
-
-1. labelers vote on every candidate (1, -1 or 0 for no opinion): the fixed
-   format with its checks, a gazetteer (top-level domains, address ranges,
-   card issuers, country codes), cue words before the span, and the
-   characters around it;
+e-mail signs, IPv6 whole or with ``::``, numbers like cards with a wrong check
+digit, phone numbers without a country code, bank account numbers (``iban``)
+and national ids (``id``) - are kept if a span classifier says so:
+
+1. labelers vote on every candidate (1, -1 or 0 for no opinion): the format
+   with its checks, a gazetteer (top-level domains, address ranges, card
+   issuers, country and area codes), cue words before the span (in a list of
+   spans: before the list), and the characters around it;
 2. expectation-maximisation over the counts of vote patterns estimates each
    labeler's reliability and each pattern's probability;
 3. a logistic classifier over votes and span features is trained on those
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm.common import write_table
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "iban", "id")
 #: Least probability of a looser candidate.
 MIN_PROBABILITY = 0.9
 EM_ROUNDS, FIT_ROUNDS = 50, 500
@@ -51,9 +52,12 @@ BASE = {
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+"
              r"(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
+    "ip": r"(?<![\p{L}\p{N}_:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+          r"|(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}+)?)(?![\p{L}\p{N}_:])",
     "card": r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,}+",
     "phone": r"(?<![0-9+])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])",
+    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 # a text without these has no match
 HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
@@ -61,11 +65,18 @@ HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 DOMAINS = "com|org|net|edu|gov|mil|int|info|biz|io|co|me|de|fr|es|it|uk|us|ca|nl|be|ch|at|se|no|dk|fi|pl|pt|ru|jp|cn|in|br|mx|au|eu"
 RESERVED = r"^0*(?:0|10|127|22[4-9]|2[3-5][0-9])\.|^0*192\.0*168\.|^0*172\.0*(?:1[6-9]|2[0-9]|3[01])\.|^0*169\.0*254\."
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[4-8]|6011|65)"
+AREAS = r"^\(?[2-9][0-8][0-9]\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$"
+IPV6 = r"(?i)^(?:[23][0-9a-f]{3}:|fe[89ab][0-9a-f]:|f[cd][0-9a-f]{2}:|64:ff9b:|::ffff:|::1$)"
+IBAN_LANDS = "AD|AE|AL|AT|BA|BE|BG|BH|BR|CH|CR|CY|CZ|DE|DK|DO|EE|ES|FI|FO|FR|GB|GE|GI|GL|GR|HR|HU|IE|IL|IS|IT|JO|KW|KZ|LB|LI|LT|LU|LV|MC|MD|ME|MK|MT|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SE|SI|SK|SM|TN|TR|UA|XK"
+#: what may stand between the members of a list
+LISTED = r"(?i)^[\s,;/&|]*(?:(?:and|or|und|oder|et|ou|y|o)\s+)?$"
 COUNTRIES = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 CUES = {
     "email": (r"e-?mails?|mail(?:to)?|contact|write|reach|address|adresse|correo|courriel", r"example|npm|version"),
     "ip": (r"\bip\b|ipv[46]|\bhost|server|address|adresse|login from|client", r"version|\bv|release|section|chapter"),
     "card": (r"card|visa|master|amex|credit|debit|payment|pay|karte|tarjeta|carte", r"isbn|order|invoice|tracking|serial"),
+    "iban": (r"iban|konto|account|bank|bic|swift|compte|cuenta", r"order|serial|tracking|part"),
+    "id": (r"\bssn|social security|national id|identity|tax id|\btin\b|passport", r"isbn|order|invoice|serial|part|item"),
     "phone": (r"\btel|phone|call|fax|mobil|cell|contact|whatsapp|sms|ruf|llam|appel", r"isbn|order|invoice|version|serial"),
 }
 VOTES = ("regex", "gazetteer", "context", "shape")
@@ -78,12 +89,14 @@ def let(value: Column, body) -> Column:
 
 
 _SPANS = "array<struct<start:int,stop:int,m:string,cue:string,around:string>>"
+_FIRSTS = "array<struct<at:int,cue:string>>"
 _BLOCK = 64
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: code point positions, the match, up
-    to 40 characters between the previous match and it, and the characters on
+    to 40 characters between the previous match and it (if only a list's comma
+    or "and" is there, those of the previous match), and the characters on
     either side.  All comes from the matches and the texts between them, so
     the work is linear in the text."""
     none = F.array().cast(_SPANS)
@@ -91,20 +104,26 @@ def matches(text: Column, pattern: str) -> Column:
     def spans_of(lens: Column) -> Column:
         blocks = in_blocks(lens)
 
-        def fold(part: Column, at: Column) -> Column:
+        def fold(part: Column, first: Column) -> Column:
             return F.aggregate(
-                part, F.struct(at.alias("at"), none.alias("out")), lambda acc, x: F.struct(
-                    (acc["at"] + x["gap"] + x["n"]).alias("at"),
+                part, F.struct(first["at"].alias("at"), first["cue"].alias("cue"), none.alias("out")),
+                lambda acc, x: let(F.when(x["listed"], acc["cue"]).otherwise(x["cue"]), lambda cue: F.struct(
+                    (acc["at"] + x["gap"] + x["n"]).alias("at"), cue.alias("cue"),
                     F.array_append(acc["out"], F.struct(
                         (acc["at"] + x["gap"]).alias("start"), (acc["at"] + x["gap"] + x["n"]).alias("stop"),
-                        x["m"].alias("m"), x["cue"].alias("cue"), x["around"].alias("around"))).alias("out")),
+                        x["m"].alias("m"), cue.alias("cue"), x["around"].alias("around"))).alias("out"))),
                 lambda acc: acc["out"])
 
         def firsts(parts: Column) -> Column:
-            sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x["gap"] + x["n"]))
-            return F.aggregate(sums, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-                               lambda acc, s: F.struct((acc["at"] + s).alias("at"),
-                                                       F.array_append(acc["out"], acc["at"]).alias("out")),
+            """Position and cue before each block."""
+            ends = F.transform(parts, lambda p: F.struct(
+                F.aggregate(p, F.lit(0), lambda s, x: s + x["gap"] + x["n"]).alias("n"),
+                F.aggregate(p, F.lit(None).cast("string"),
+                            lambda c, x: F.when(x["listed"], c).otherwise(x["cue"])).alias("cue")))
+            return F.aggregate(ends, F.struct(F.lit(0).alias("at"), F.lit("").alias("cue"), F.array().cast(_FIRSTS).alias("out")),
+                               lambda acc, e: F.struct(
+                                   (acc["at"] + e["n"]).alias("at"), F.coalesce(e["cue"], acc["cue"]).alias("cue"),
+                                   F.array_append(acc["out"], F.struct(acc["at"].alias("at"), acc["cue"].alias("cue"))).alias("out")),
                                lambda acc: acc["out"])
         return let(blocks, lambda parts: F.flatten(F.zip_with(parts, firsts(parts), fold)))
 
@@ -115,6 +134,7 @@ def matches(text: Column, pattern: str) -> Column:
             right = F.when(after != "", F.substring(after, 1, 1)).otherwise(F.substring(F.get(found, i + 1), 1, 1))
             return F.struct(F.length(gap).alias("gap"), F.length(m).alias("n"), m.alias("m"),
                             F.lower(F.substring(gap, -40, 40)).alias("cue"),
+                            ((i > 0) & (F.length(gap) < 40) & gap.rlike(LISTED)).alias("listed"),
                             F.concat_ws("\n", left, right).alias("around"))
         return F.transform(found, one)
 
@@ -152,6 +172,15 @@ def luhn(digits: Column) -> Column:
     return total(F.reverse(digits)) % 10 == 0
 
 
+def mod97(m: Column) -> Column:
+    """A bank account number's check: the first four characters moved to the
+    end, letters as 10 to 35, leave 1 modulo 97."""
+    bare = F.regexp_replace(m, r"\x20", "")
+    turned = F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))
+    return F.aggregate(F.regexp_extract_all(turned, F.lit("."), F.lit(0)), F.lit(0), lambda acc, c: let(
+        F.ascii(c), lambda a: F.when(a < 65, (acc * 10 + a - 48) % 97).otherwise((acc * 100 + a - 55) % 97).cast("int"))) == 1
+
+
 def valid(kind: str, m: Column) -> Column:
     """The fixed format's own check."""
     n = F.length(_digits(m))
@@ -173,12 +202,16 @@ def _candidate(kind: str, base: bool, c: Column) -> Column:
     digits = _digits(m)
     gazetteer = {
         "email": _sign(F.lower(m).rlike(rf"(?:\.|\(dot\)\x20?|\[dot\]\x20?)(?:{DOMAINS})$")),
-        "ip": _sign(~m.rlike(RESERVED)) if base else _sign(m.rlike("^[23]")),
+        "ip": _sign(~m.rlike(RESERVED)) if base else _sign(m.rlike(IPV6)),
         "card": _sign(digits.rlike(ISSUERS)),
-        "phone": _sign(m.rlike(COUNTRIES), m.startswith("+")),
+        "phone": _sign(m.rlike(COUNTRIES), m.startswith("+")) if base else _sign(m.rlike(AREAS), F.lit(False)),
+        "iban": _sign(m.rlike(f"^(?:{IBAN_LANDS})")),
+        "id": _sign(~m.rlike(r"^(?:000|666|9)|-00-|-0000$")),
     }[kind]
     good, bad = CUES[kind]
-    regex = F.lit(1) if base else F.when(F.lit(kind == "card") & ~luhn(digits), -1).otherwise(0)
+    # of a looser format: a check that fails, or one that hardly any other string passes
+    regex = F.lit(1) if base else {"card": F.when(~luhn(digits), -1).otherwise(0),
+                                   "iban": F.when(mod97(m), 1).otherwise(-1)}.get(kind, F.lit(0))
     return F.struct(
         c["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), c["stop"].alias("stop"),
         F.lit(base).alias("base"), regex.alias("regex"), gazetteer.alias("gazetteer"),
@@ -196,26 +229,35 @@ def candidates(text: Column) -> Column:
     def of(kind: str, base: bool, hint: Column) -> Column:
         empty = F.array().cast(_SPANS)
         found = F.when(hint, matches(t, (BASE if base else LOOSE)[kind])).otherwise(empty)
-        ok = (lambda c: valid(kind, c["m"])) if base else (
-            lambda c: F.length(_digits(c["m"])).between(13, 19)) if kind == "card" else (lambda c: F.lit(True))
+        checks = {"card": lambda c: F.length(_digits(c["m"])).between(13, 19),
+                  # "::" stands for at least one group, and leaves a colon at neither end
+                  "ip": lambda c: ~c["m"].contains("::") | (F.size(F.filter(
+                      F.split(c["m"], ":"), lambda g: g != "")).between(1, 7) & c["m"].rlike("[0-9]"))}
+        ok = (lambda c: valid(kind, c["m"])) if base else checks.get(kind, lambda c: F.lit(True))
         return F.transform(F.filter(found, ok), lambda c: _candidate(kind, base, c))
 
     digits = {"email": F.lit(True), "ip": has_digit, "card": has_digit, "phone": has_digit}
-    base = F.array(*[of(k, True, digits[k] & (t.contains(HINT[k]) if HINT[k] else F.lit(True))) for k in KINDS])
+    base = F.array(*[of(k, True, digits[k] & (t.contains(HINT[k]) if HINT[k] else F.lit(True))) for k in BASE])
     spelled = {"email": t.contains("(at)") | t.contains("[at]"), "ip": has_digit & t.contains(":"),
-               "card": has_digit, "phone": has_digit}
-    loose = F.concat(*[of(k, False, spelled[k]) for k in KINDS])
+               "card": has_digit, "phone": has_digit, "iban": has_digit, "id": has_digit & t.contains("-")}
+    loose = {k: of(k, False, spelled[k]) for k in LOOSE}
+    # an account number's or an id's digits are no card or phone number
+    strict = F.array(loose.pop("iban"), loose.pop("id"))
+
+    def apart(b: Column, kinds: Column) -> Column:
+        return F.filter(kinds, lambda s: ~F.exists(b, lambda spans: overlaps(spans, s)))
 
-    def apart(b: Column) -> Column:
-        free = F.filter(loose, lambda s: ~F.exists(b, lambda spans: overlaps(spans, s)))
-        return F.array_sort(F.concat(F.flatten(b), free))
-    return let(base, apart)
+    def whole(b: Column) -> Column:
+        return let(F.transform(strict, lambda k: apart(b, k)), lambda k: F.array_sort(F.concat(
+            F.flatten(b), F.flatten(k), apart(F.concat(b, k), F.concat(*loose.values())))))
+    return let(base, whole)
 
 
 def estimate(patterns: list[tuple[int, tuple[int, ...], int]]) -> list[float]:
     """Probability of each (kind, votes, count) pattern, by EM over two
-    classes with labelers independent given the class.  Candidates of the
-    fixed formats are taken as given."""
+    classes with labelers independent given the class.  Candidates whose
+    format says yes (the fixed ones, and account numbers whose check holds)
+    are taken as given."""
     p = [1.0 if v[0] > 0 else 0.9 if sum(v) >= 2 else 0.1 for _, v, _ in patterns]
     for _ in range(EM_ROUNDS):
         right = {}  # (labeler, class): probability of a vote of 1 among votes given

@@ -66,6 +66,40 @@ def test_looser_candidates_need_support(spark):
     assert [n[len(found) + i] for i in range(len(clean))] == [[]] * len(clean)
 
 
+#: kind of the added spans, by text; what the formats alone cannot tell is told by cues and code tables
+ADDED = {
+    "my ip 2001:db8::1 today": ["ip"], "host fe80::1%eth0": ["ip"], "server ::1 up": ["ip"], "ip 2001:db8:0:1:1:1:1:1.": ["ip"],
+    "client address ::ffff:1 and": ["ip"], "std::vector<a::b> x1": [], "at 12:30:45::": [], "fe::add 1 of": [],
+    "Phone: 555-123-4567, 555-123-4568 and 555-123-4569": ["phone"] * 3, "order 555-123-4567": [],
+    "IBAN DE89 3704 0044 0532 0130 00": ["iban"], "account GB82WEST12345698765432,": ["iban"],
+    "part DE89 3704 0044 0532 0130 01": [], "my ssn: 219-09-9999": ["id"], "social security number 219-09-9998": ["id"],
+    "ssn 000-12-3456": [], "part 219-09-9999": [],
+}
+
+
+def test_spans_beyond_the_fixed_formats(spark):
+    """Many copies of the plain formats around them, as in a corpus."""
+    fixed = ["mail a@b.com", "call +1 (988) 555-2485", "tel +49 30 1234567", "ip 8.8.8.8", "card 4111111111111111"] * 20
+    df = pii.find_pii(docs(spark, [*ADDED, *fixed]), ["doc_id", "text"])
+    got = {r["text"]: [s["kind"] for s in r["pii"]] for r in df.collect()}
+    assert {t: got[t] for t in ADDED} == ADDED
+
+
+def test_cues_of_a_long_list_reach_its_end(spark):
+    """More members than a block holds."""
+    numbers = [f"555-123-{k:04d}" for k in range(200)]
+    row = docs(spark, ["Phone: " + ", ".join(numbers) + " but " + numbers[0]]) \
+        .select(pii.matches(F.col("text"), pii.LOOSE["phone"]).alias("m")).first()["m"]
+    assert [m["cue"] for m in row] == ["phone: "] * 200 + [" but "]
+    assert [m["m"] for m in row] == [*numbers, numbers[0]]
+
+
+def test_account_check_digits(spark):
+    good = ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "FR14 2004 1010 0505 0001 3M02 606", "NO9386011117947"]
+    rows = spark.createDataFrame([(g,) for g in good] + [(g[:-1] + ("1" if g[-1] != "1" else "2"),) for g in good], "m string")
+    assert [r["c"] for r in rows.select(pii.mod97(F.col("m")).alias("c")).collect()] == [True] * 4 + [False] * 4
+
+
 def test_em_tells_good_labelers_from_bad():
     # labelers 1, 2 agree with the truth; 3 votes yes whatever it sees
     patterns = [(0, (0, 1, 1, 1), 90), (0, (0, -1, 1, -1), 100), (0, (0, 1, 1, -1), 5), (0, (0, 0, 1, 0), 30)]
