@@ -452,7 +452,8 @@ def q_svm_regression_report(spark, sf):
 
 def q_decision_tiled(spark, sf):
     """Decision values over every row as support (no broadcast: the budget is
-    a tenth of it), rows and support meeting in tiles."""
+    a tenth of it, or the usual one if that is less), rows and support meeting
+    in tiles."""
     pm = fx.planted_model(spark, sf)
     model = KernelModel(pm.filter("alpha > 0").select("x", "y", "alpha"), B, "rbf", GAMMA, C)
     out = model.decision(pm.select("id", "x"), max_broadcast_bytes=_tenth(pm))
@@ -460,8 +461,8 @@ def q_decision_tiled(spark, sf):
 
 
 def _tenth(pm: DataFrame) -> int:
-    from marginflow.operators.scoring import basis_stats
-    return max(1, basis_stats(pm.filter("alpha > 0")).bytes // 10)
+    from marginflow.operators.scoring import DEFAULT_BROADCAST_BYTES, basis_stats
+    return max(1, min(DEFAULT_BROADCAST_BYTES, basis_stats(pm.filter("alpha > 0")).bytes // 10))
 
 
 def q_project_start(spark, sf):
