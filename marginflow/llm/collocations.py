@@ -17,7 +17,8 @@ which is what the next scans' tasks get.  Bits only ever appear, and a phrase
 is active from the first scan after both its subphrases' bits are there, so
 every phrase goes through each shard exactly once; phrases sharing a hash or
 a bit cost counting and are never missed.  A last pass counts the phrases
-whose own bit is set by their texts, and those below the threshold go.
+whose own bit is set by their words, in packed blobs per hash range again, and
+those below the threshold go.
 
 Scores use decimals of 38 digits: exact for counts up to 10^15.
 
@@ -173,9 +174,9 @@ class ActiveCounter(PhraseCounter):
 class FrequentCounter(PhraseCounter):
     """Counts by their words the phrases whose bit is set, and all words."""
 
-    def __init__(self, sizes, filters):
+    def __init__(self, sizes, filters, parts: int):
         super().__init__(sizes)
-        self.filters = filters
+        self.filters, self.parts = filters, parts
         self.total: dict[str, int] = {}
 
     def active(self, k, shorter, h):
@@ -188,40 +189,80 @@ class FrequentCounter(PhraseCounter):
         return code
 
     def _count(self, ids, counted):
-        super()._count(ids, counted)
         import numpy as np
+        super()._count(ids, counted)
         words = ids[counted:]
-        new = words[words != BREAK]
-        if len(new):
-            lang = self.langs[int(new[0])]
-            self.total[lang] = self.total.get(lang, 0) + int(np.count_nonzero(words != BREAK))
+        words = words[words != BREAK]
+        if len(words):
+            lang = self.langs[int(words[0])]
+            self.total[lang] = self.total.get(lang, 0) + len(np.atleast_1d(words))
 
     def take(self):
-        """(lang, size, phrase, n); then forgets them.  Size 0: a lang's words."""
+        """(part, lang, size, phrases, counts); then forgets them.  Phrases of
+        one part, in order, parted by line ends; size 0: a lang's words."""
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        words, langs = pa.array(self.words, pa.binary()).cast(pa.string()), pa.array(self.langs)
+        import zstandard
+        press = zstandard.ZstdCompressor(level=3).compress
+        words = pa.array(self.words, pa.binary())
+        langs = pa.array(self.langs).dictionary_encode()
+        lang_of, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
         mask = (1 << self.BITS) - 1
-        names = ["lang", "size", "phrase", "n"]
+        out = []
         for k, (code, n) in self.held.items():
-            for lo in range(0, len(code), 200_000):
-                part = code[lo:lo + 200_000]
-                each = [pa.array((part >> (self.BITS * i)) & mask) for i in reversed(range(k))]
-                phrase = words.take(each[0])
-                if k > 1:
-                    phrase = pc.binary_join_element_wise(*[words.take(e) for e in each], " ")
-                yield pa.RecordBatch.from_arrays([
-                    langs.take(each[0]), pa.array(np.full(len(part), k, np.int32)), phrase,
-                    pa.array(n[lo:lo + 200_000])], names=names)
-        if self.total:
-            yield pa.RecordBatch.from_arrays([
-                pa.array(self.total.keys(), pa.string()), pa.array([0] * len(self.total), pa.int32()),
-                pa.array([None] * len(self.total), pa.string()), pa.array(self.total.values(), pa.int64())], names=names)
-            self.total = {}
+            if not len(code):
+                continue
+            each = [(code >> (self.BITS * i)) & mask for i in reversed(range(k))]
+            h = self.hash[each[0]]
+            for e in each[1:]:
+                h = mix(h, self.hash[e])
+            phrase = words.take(pa.array(each[0]))
+            if k > 1:
+                phrase = pc.binary_join_element_wise(*[words.take(pa.array(e)) for e in each], pa.scalar(b" "))
+            group = (short(h) // ((1 << HASH_BITS) // self.parts)) * len(names) + lang_of[each[0]]
+            order = pc.sort_indices(pa.table({"g": group, "p": phrase}), [("g", "ascending"), ("p", "ascending")]).to_numpy()
+            group, n = group[order], n[order]
+            edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])).tolist()
+            for lo, hi in zip(edges, edges[1:]):
+                part = phrase.take(pa.array(order[lo:hi])).to_pylist()
+                out.append((int(group[lo]) // len(names), names[int(group[lo]) % len(names)], k,
+                            press(b"\n".join(part)), press(n[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())))
+        out += [(0, lang, 0, b"", press(np.array([n], "<u8").tobytes())) for lang, n in self.total.items()]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (
+                pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()))],
+                names=["part", "lang", "size", "phrases", "counts"])
+        self.total = {}
         self._reset()
 
 
+def add_up(threshold: int):
+    """Merges one part's phrases and counts of all tasks."""
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import zstandard
+        plain = zstandard.ZstdDecompressor().decompress
+        found: dict[tuple, list] = {}
+        for r in table.select(["lang", "size", "phrases", "counts"]).to_pylist():
+            n = np.frombuffer(plain(r["counts"]), np.uint8).reshape(8, -1)
+            n = np.ascontiguousarray(n.T).view("<i8")[:, 0]
+            phrases = plain(r["phrases"]).decode().split("\n") if r["size"] else [None]
+            found.setdefault((r["lang"], r["size"]), []).append(pa.table(
+                {"phrase": pa.array(phrases, pa.string()), "n": pa.array(n)}))
+        out = []
+        for (lang, size), tables in found.items():
+            one = pa.concat_tables(tables).group_by("phrase").aggregate([("n", "sum")])
+            if size:
+                one = one.filter(pc.greater_equal(one.column("n_sum"), threshold))
+            out.append(pa.table({"lang": pa.array([lang] * len(one), pa.string()), "size": pa.array([size] * len(one), pa.int32()),
+                                 "phrase": one.column("phrase").combine_chunks(), "n": one.column("n_sum").combine_chunks()}))
+        return pa.concat_tables(out)
+    return run
+
+
 def packed(key, n) -> bytes:
     """Rising keys and their counts in little room."""
     import numpy as np
@@ -359,10 +400,10 @@ def count_phrases(docs: DataFrame, max_words: int = MAX_WORDS, threshold: int =
         step += 1
 
     filters = share(docs.sparkSession, {k: after(k, step - 1) for k in history})
-    counted = _map_texts(dealt, lambda: FrequentCounter(list(history), filters()),
-                         "lang string, size int, phrase string, n long")
-    counted = counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return write_table(counted.filter((F.col("n") >= threshold) | (F.col("size") == 0)), "phrases")
+    counted = _map_texts(dealt, lambda: FrequentCounter(list(history), filters(), parts),
+                         "part int, lang string, size int, phrases binary, counts binary")
+    return write_table(counted.groupBy("part").applyInArrow(
+        add_up(threshold), "lang string, size int, phrase string, n long"), "phrases")
 
 
 def union(tables: list[DataFrame]) -> DataFrame | None:
@@ -373,31 +414,34 @@ def union(tables: list[DataFrame]) -> DataFrame | None:
 
 
 def score_phrases(phrases: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
-    """(lang, phrase, a, l, r, n, score) of every phrase of two or more words
-    of ``count_phrases``: the lowest score floor(10^6 a^2 / (l r)) over its
-    cuts into two parts, the first such cut at ties."""
+    """(lang, size, phrase, a, l, r, score) of every phrase of two or more
+    words of ``count_phrases``: the lowest score floor(10^6 a^2 / (l r)) over
+    its cuts into two parts, the first such cut at ties."""
     def part(lo, hi):
         return F.array_join(F.slice("words", lo, hi), " ")
 
     known = phrases.filter("size > 0")
-    longer = known.filter("size > 1").select("lang", "size", "phrase", F.col("n").alias("a"))
-    cut = longer.withColumn("words", F.split("phrase", " ")).withColumn("k", F.explode(
+    cut = known.filter("size > 1").withColumn("words", F.split("phrase", " ")).withColumn("k", F.explode(
         F.sequence(F.lit(1), F.col("size") - 1)))
-    cut = cut.select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("first"),
-                     part(F.col("k") + 1, F.col("size") - F.col("k")).alias("rest"))
+    cut = cut.select("lang", "size", part(F.lit(1), F.col("k")).alias("first"),
+                     part(F.col("k") + 1, F.col("size") - F.col("k")).alias("rest"), F.col("n").alias("a"))
     for name, n in (("first", "l"), ("rest", "r")):
-        of = known.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
+        of = known.filter(F.col("size") < max_words).select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
         cut = cut.join(of, ["lang", name])
     big = {c: F.col(c).cast("decimal(19,0)") for c in "alr"}
     top = (big["a"] * big["a"]).cast("decimal(31,0)") * F.lit(1_000_000).cast("decimal(7,0)")
-    cut = cut.select("lang", "phrase", "a", "k", "l", "r", top.alias("top"), (big["l"] * big["r"]).alias("bottom"))
-    cut = cut.withColumn("score", F.expr("cast(top div bottom as bigint)"))
-    best = cut.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
-    total = phrases.filter("size = 0").select("lang", "n")
-    return best.join(total, "lang").select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
-
-
-def drop_contained(scored: DataFrame, phrases: DataFrame, percent: int = 50) -> DataFrame:
+    cut = cut.select("lang", "size", F.concat_ws(" ", "first", "rest").alias("phrase"), "a", "l", "r",
+                     F.size(F.split("first", " ")).alias("k"), top.alias("top"), (big["l"] * big["r"]).alias("bottom"))
+    cut = cut.withColumn("score", F.expr("cast(top div bottom as bigint)")).drop("top", "bottom")
+    # two words have one cut
+    long = cut.filter("size > 2").groupBy("lang", "size", "phrase", "a").agg(
+        F.min(F.struct("score", "k", "l", "r")).alias("best"))
+    result = ["lang", "size", "phrase", "a"]
+    return cut.filter("size = 2").select(*result, "l", "r", "score").unionByName(
+        long.select(*result, "best.l", "best.r", "best.score"))
+
+
+def drop_contained(scored: DataFrame, phrases: DataFrame, percent: int = 50, max_words: int = MAX_WORDS) -> DataFrame:
     """Without the phrases that lie inside a longer one of which there are at
     least ``percent`` % as many."""
     longer = phrases.filter("size > 2").withColumn("words", F.split("phrase", " "))
@@ -405,8 +449,10 @@ def drop_contained(scored: DataFrame, phrases: DataFrame, percent: int = 50) ->
         .select("lang", "n", "words", "k", F.explode(F.sequence(F.lit(1), F.col("size") - F.col("k") + 1)).alias("i")) \
         .select("lang", F.array_join(F.slice("words", F.col("i"), F.col("k")), " ").alias("phrase"), "n") \
         .groupBy("lang", "phrase").agg(F.max("n").alias("most"))
-    out = scored.join(inside, ["lang", "phrase"], "left")
-    return out.filter(~(F.coalesce(F.col("most"), F.lit(0)) * 100 >= F.col("a") * percent)).drop("most")
+    # nothing is longer than the longest
+    out = scored.filter(F.col("size") < max_words).join(inside, ["lang", "phrase"], "left")
+    out = out.filter(~(F.coalesce(F.col("most"), F.lit(0)) * 100 >= F.col("a") * percent)).drop("most")
+    return out.unionByName(scored.filter(F.col("size") >= max_words))
 
 
 def best_of_each(scored: DataFrame, top: int = TOP, parts: int = PARTS) -> DataFrame:
@@ -418,12 +464,14 @@ def best_of_each(scored: DataFrame, top: int = TOP, parts: int = PARTS) -> DataF
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))) \
         .filter(F.col("rank") <= top)
     return some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")) \
-        .filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        .filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "score")
 
 
-def collocations(docs: DataFrame, top: int = TOP, percent: int = 50, **settings) -> DataFrame:
+def collocations(docs: DataFrame, top: int = TOP, percent: int = 50, max_words: int = MAX_WORDS,
+                 **settings) -> DataFrame:
     """Each lang's best phrases of two and more words: (lang, rank, phrase, a,
     l, r, n, score).  ``settings`` go to ``count_phrases``."""
-    phrases = count_phrases(docs, **settings)
-    scored = drop_contained(score_phrases(phrases), phrases, percent)
-    return best_of_each(scored, top)
+    phrases = count_phrases(docs, max_words, **settings)
+    best = best_of_each(drop_contained(score_phrases(phrases, max_words), phrases, percent, max_words), top)
+    total = phrases.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    return best.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

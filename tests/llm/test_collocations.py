@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,7 +94,7 @@ def every():
 def by_words(batches):
     got = Counter()
     for b in batches:
-        for r in b.to_pylist():
+        for r in C.add_up(1)(pa.Table.from_batches([b])).to_pylist():
             got[r["size"], r["phrase"]] += r["n"]
     return got
 
@@ -115,7 +116,7 @@ def counts_of(text):
 
 
 def both(text):
-    counters = C.FrequentCounter([1, 2, 3], every()), C.ActiveCounter([1, 2, 3], every(), {1: None, 2: None}, 8)
+    counters = C.FrequentCounter([1, 2, 3], every(), 4), C.ActiveCounter([1, 2, 3], every(), {1: None, 2: None}, 8)
     return [[*c.add("x", [text.encode()]), *c.take()] for c in counters]
 
 
@@ -143,6 +144,20 @@ def test_counts_are_passed_on_when_they_are_many(monkeypatch):
     assert sum(by_hash(hashes).values()) == sum(n for (k, _), n in counts_of(text).items() if k)
 
 
+def test_phrases_of_all_tasks_add_up():
+    texts = ["a b c a b", "b c. é é é", "z"]
+    batches = []
+    for t in texts:
+        for lang in ("x", "y\tz"):
+            counter = C.FrequentCounter([1, 2, 3], every(), 4)
+            batches += [*counter.add(lang, [t.encode()]), *counter.take()]
+    rows = C.add_up(2)(pa.Table.from_batches(batches)).to_pylist()
+    want = sum((counts_of(t) for t in texts), Counter())
+    for lang in ("x", "y\tz"):
+        assert {(r["size"], r["phrase"]): r["n"] for r in rows if r["lang"] == lang} == {
+            p: n for p, n in want.items() if n >= 2 or p[0] == 0}
+
+
 def test_packed_counts_come_back():
     rng = np.random.default_rng(0)
     for n in (1, 2, 1000):
