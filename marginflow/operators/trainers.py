@@ -313,25 +313,27 @@ def sized(df: DataFrame, rows: int, width: int) -> DataFrame:
 
 
 def check_training(df: DataFrame, x_col: str, label_col: str, positive: float) -> tuple[int, int]:
-    """(rows, width) of a usable training table.
+    """(rows, width) of a usable training table: one pass.
 
     Raises on NULL labels, NULL vectors, NULL or NaN values, vectors of
     different lengths, no rows, and labels other than ``positive`` and one
     more value."""
-    x = F.col(x_col)
+    x, label = F.col(x_col), F.col(label_col)
     odd = x.isNull() | F.exists(F.transform(x, lambda v: v.cast("double")), lambda v: v.isNull() | F.isnan(v))
+    other = F.when(label != F.lit(positive), label)
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(F.size(x)).alias("lo"), F.max(F.size(x)).alias("hi"),
-               F.max(F.coalesce(odd, F.lit(True))).alias("odd"),
-               F.max(F.col(label_col).isNull()).alias("unlabelled")).first()
+               F.max(F.coalesce(odd, F.lit(True))).alias("odd"), F.max(label.isNull()).alias("unlabelled"),
+               F.count_if(label == F.lit(positive)).alias("positives"),
+               F.min(other).alias("least"), F.max(other).alias("most")).first()
     if not r["n"]:
         raise ValueError("training needs both classes; found no rows")
     if r["unlabelled"]:
         raise ValueError("training labels must not be NULL")
     if r["odd"] or r["lo"] != r["hi"]:
         raise ValueError("feature vectors must have one length and no NULL or NaN values")
-    labels = sorted(row[0] for row in df.select(label_col).distinct().limit(3).collect())
-    if len(labels) != 2 or positive not in labels:
-        raise ValueError(f"training needs both classes, {positive} and one other label; found {labels}")
+    if not r["positives"] or r["least"] is None or r["least"] != r["most"]:
+        found = sorted({r["least"], r["most"], positive if r["positives"] else None} - {None})
+        raise ValueError(f"training needs both classes, {positive} and one other label; found among others {found}")
     return r["n"], r["hi"]
 
 
