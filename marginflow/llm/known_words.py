@@ -4,13 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-
-def spread(start, length):
-    """Indexes start, start + 1, ... of every (start, length), one after the other."""
-    import numpy as np
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(start - (ends - length), length)
+from marginflow.llm.byte_bpe import spread
 
 
 class KnownWords:

@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marginflow.llm.byte_bpe import ByteTokens, Decimals
+from marginflow.llm.byte_bpe import ByteTokens, Decimals, spread
 from marginflow.llm.common import column, map_texts, process_cache, write_table
-from marginflow.llm.known_words import KnownWords, spread
+from marginflow.llm.known_words import KnownWords
 from marginflow.llm.tokens import vocabulary_path
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
