@@ -46,7 +46,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -500,19 +500,22 @@ def dual_objective(state: DataFrame) -> float:
 # linear and Fourier-feature trainers (built-in LinearSVC)
 # --------------------------------------------------------------------------
 
-def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
-                   dedup: bool) -> tuple[DataFrame, dict]:
-    """(x, label 0/1, weight), and the row counts.  With ``dedup`` identical
-    rows become one row weighted by its count.  Written once and spread by
-    its bytes, as every optimizer step passes over it."""
-    n, width = check_training(df, x_col, label_col, positive)
+def _merged_rows(df: DataFrame, x_col: str, label_col: str, positive: float, dedup: bool) -> DataFrame:
+    """(x, label 0/1, weight).  With ``dedup`` identical rows become one row
+    weighted by its count."""
     lab = F.when(F.col(label_col) == F.lit(positive), F.lit(1.0)).otherwise(F.lit(0.0))
     rows = df.select(F.col(x_col).cast("array<double>").alias("x"), lab.alias("label"))
     if dedup:
-        rows = rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    else:
-        rows = rows.withColumn("weight", F.lit(1.0))
-    rows = shared_table(rows, "weighted-rows")
+        return rows.groupBy("x", "label").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    return rows.withColumn("weight", F.lit(1.0))
+
+
+def _weighted_rows(df: DataFrame, x_col: str, label_col: str, positive: float,
+                   dedup: bool) -> tuple[DataFrame, dict]:
+    """``_merged_rows``, and the row counts.  Written once and spread by its
+    bytes, as every optimizer step passes over it."""
+    n, width = check_training(df, x_col, label_col, positive)
+    rows = shared_table(_merged_rows(df, x_col, label_col, positive, dedup), "weighted-rows")
     distinct = rows.count()
     return sized(rows, distinct, width), {"rows": n, "distinct_rows": distinct, "width": width}
 
@@ -674,22 +677,158 @@ class FourierModel:
         return predict_label(self.decision(df, x_col))
 
 
+#: Rows of the share that a Fourier fit starts on, before it passes over all.
+START_ROWS = 1 << 20
+
+
+def _packed(rows: DataFrame, start: Column) -> DataFrame:
+    """(first, n, x, s): the (x, label, weight) rows of an Arrow batch as one
+    row of packed doubles, ``s`` the weight with the label's sign; those that
+    ``start`` picks and the others apart.  A pass over packed rows costs no
+    conversion row by row.  Written once to the shared folder."""
+    def run(batches):
+        for batch in batches:
+            X = arrow_matrix(batch.column(0))
+            if not len(X):
+                continue
+            label, weight, first = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+            s = np.where(label > 0, weight, -weight)
+            parts = [(side, first == side) for side in (True, False) if (first == side).any()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([side for side, _ in parts]), pa.array([int(at.sum()) for _, at in parts], pa.int64()),
+                 pa.array([X[at].tobytes() for _, at in parts], pa.binary()),
+                 pa.array([s[at].tobytes() for _, at in parts], pa.binary())], names=["first", "n", "x", "s"])
+
+    packed = rows.select("x", "label", "weight", start.alias("first")) \
+        .mapInArrow(run, "first boolean, n long, x binary, s binary")
+    return shared_table(packed, "packed-rows")
+
+
+def _hinge_sums(packed: DataFrame, fmap: FourierMap, v: np.ndarray) -> tuple[float, float, np.ndarray]:
+    """(sum of weights, sum of weighted hinge losses, its gradient) of packed
+    rows under v[:-1] . cos(W x + p) + v[-1]: one pass.
+
+    The features are computed 1024 rows at a time and never leave the task,
+    in 4-byte numbers once the angle is within half a turn; the sums are
+    8-byte.  A task returns ``len(v) + 2`` numbers, added up by Spark."""
+    W, p = fmap.W.T / (2.0 * math.pi), fmap.p / (2.0 * math.pi)
+    w, b = v[:-1].astype(np.float32), float(v[-1])
+
+    def run(batches):
+        total = np.zeros(len(v) + 2)
+        for batch in batches:
+            for x, s in zip(batch.column(0), batch.column(1)):
+                S = np.frombuffer(s.as_buffer())
+                X = np.frombuffer(x.as_buffer()).reshape(len(S), len(W))
+                for lo in range(0, len(S), 1024):
+                    turns = X[lo:lo + 1024] @ W + p
+                    turns -= np.rint(turns)
+                    Z = np.cos(turns.astype(np.float32) * np.float32(2.0 * math.pi))
+                    sc = S[lo:lo + 1024]
+                    hinge = 1.0 - np.sign(sc) * (Z @ w + b)
+                    pull = np.where(hinge > 0, -sc, 0.0)
+                    total[:-3] += pull.astype(np.float32) @ Z
+                    total[-3] += pull.sum()
+                    total[-2] += np.abs(sc) @ np.maximum(hinge, 0.0)
+                    total[-1] += np.abs(sc).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["i", "s"])
+
+    cells = packed.select("x", "s").mapInArrow(run, "i long, s double").groupBy("i").agg(F.sum("s").alias("s")).collect()
+    out = np.zeros(len(v) + 2)
+    for r in cells:
+        out[r["i"]] = r["s"]
+    return out[-1], out[-2], out[:-2]
+
+
+def _minimise(f, v: np.ndarray, max_iter: int, tol: float, memory: int = 10) -> tuple[np.ndarray, int, bool]:
+    """L-BFGS for a convex function with kinks: (v, iterations, converged).
+
+    ``f`` gives (value, gradient).  Steps are bisected until they fall enough
+    and the slope has risen (weak Wolfe conditions, which the kinks of the
+    hinge loss allow).  Converged: ten iterations have let the value fall by no
+    more than ``tol`` of that at zero, or no step lets it fall."""
+    value, g = f(v)
+    start = f(np.zeros_like(v))[0] if v.any() else value
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []
+    values = [value]
+    for it in range(1, max_iter + 1):
+        d = -g
+        kept = []
+        for s, y in reversed(pairs):
+            a = (s @ d) / (s @ y)
+            d = d - a * y
+            kept.append(a)
+        if pairs:
+            s, y = pairs[-1]
+            d = d * ((s @ y) / (y @ y))
+        for (s, y), a in zip(pairs, reversed(kept)):
+            d = d + s * (a - (y @ d) / (s @ y))
+        slope = g @ d
+        lo, hi = 0.0, math.inf
+        t = 1.0 if pairs else 1.0 / max(float(np.linalg.norm(g)), 1e-12)
+        for _ in range(20):
+            new, new_g = f(v + t * d)
+            if new > value + 1e-4 * t * slope:
+                hi = t
+            elif new_g @ d < 0.9 * slope:
+                lo = t
+            else:
+                break
+            t = (lo + hi) / 2.0 if hi < math.inf else 2.0 * t
+        if not new < value:
+            if not pairs:
+                return v, it, True
+            pairs = []            # once more, along the gradient
+            continue
+        step, change = t * d, new_g - g
+        if step @ change > 0:
+            pairs = [*pairs[1 - memory:], (step, change)]
+        v, value, g = v + step, new, new_g
+        values.append(value)
+        if len(values) > 10 and values[-11] - value <= tol * start:
+            return v, it, True
+    return v, max_iter, False
+
+
 def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0,
                 x_col: str = "x", label_col: str = "label", positive: float = 1.0,
                 reg: float = 1e-5, max_iter: int = 200, tol: float = 1e-3,
                 dedup: bool = True, allow_unconverged: bool = False) -> FourierModel:
-    """Large-table RBF SVM: random Fourier features + LinearSVC.
+    """Large-table RBF SVM: random Fourier features, and the linear SVM of
+    mean hinge loss + reg/2 |w|^2 over them (T16).
 
     Duplicates are merged before the feature map (weights carry the counts).
-    LinearSVC keeps blocks of the expanded features, in memory and then on
-    the executors' disks, while it iterates; lost blocks are computed again.
+    Every step is one pass over the merged rows, packed once, which computes
+    the features anew (``_hinge_sums``): nothing ``n_features`` wide is kept in memory or
+    on disk, so a pass costs the rows' own bytes and their arithmetic.
+
+    The first steps run over a share of about ``START_ROWS`` rows, picked by
+    the hash of x; the steps from there on run over all rows, until they meet
+    ``tol``.  The share only says where those begin: the objective, its
+    tolerance and ``max_iter`` are those of the whole table.
     """
-    from pyspark.ml.functions import array_to_vector
-
-    rows, info = _weighted_rows(df, x_col, label_col, positive, dedup)
-    fmap = FourierMap.draw(info["width"], n_features, gamma, seed)
-    z = fmap.transform(rows, "x", "z").select(array_to_vector("z").alias("features"),
-                                              "label", "weight")
-    model = _fit_svc(z, info, reg, max_iter, tol, allow_unconverged, False)
-    return FourierModel(fmap, model.coefficients.toArray().astype(np.float64),
-                        -float(model.intercept), info)
+    n, width = check_training(df, x_col, label_col, positive)
+    merged = _merged_rows(df, x_col, label_col, positive, dedup)
+    rows = _packed(merged, F.pmod(F.xxhash64("x"), F.lit(n)) < F.lit(START_ROWS))
+    sizes = {r["first"]: r["n"] for r in rows.groupBy("first").agg(F.sum("n").alias("n")).collect()}
+    info = {"rows": n, "distinct_rows": sum(sizes.values()), "width": width,
+            "start_rows": sizes.get(True, 0) if sizes.get(False) else 0, "start_iterations": 0}
+    fmap = FourierMap.draw(width, n_features, gamma, seed)
+    scale = math.sqrt(2.0 / n_features)
+    ridge = np.append(np.full(n_features, reg / scale ** 2), 0.0)   # v[:-1] = scale * w
+
+    def objective(table: DataFrame):
+        def f(v):
+            total, loss, g = _hinge_sums(table, fmap, v)
+            return loss / total + 0.5 * float(ridge @ (v * v)), g / total + ridge * v
+        return f
+
+    v = np.zeros(n_features + 1)
+    if info["start_rows"]:
+        first = shared_table(rows.filter("first"), "start-rows")
+        v, info["start_iterations"], _ = _minimise(objective(first), v, max_iter, tol)
+    v, info["iterations"], info["converged"] = _minimise(objective(rows), v, max_iter, tol)
+    if not info["converged"] and not allow_unconverged:
+        raise NotConverged(f"the fit has not reached tol {tol:.3g} in {max_iter} iterations; "
+                           "raise max_iter or tol, or set allow_unconverged")
+    return FourierModel(fmap, v[:-1] / scale, -float(v[-1]), info)

@@ -181,3 +181,36 @@ def test_kernel_sum_refuses_to_overwrite(spark):
     df = spark.createDataFrame([([1.0], 1.0)], "x array<double>, coef double")
     with pytest.raises(ValueError, match="already"):
         kernel_sum(df, df, "coef", "coef")
+
+
+def test_fourier_fit_over_packed_rows_against_numpy(spark, monkeypatch):
+    """A pass over packed rows gives the loss and gradient of the features in
+    full, and a fit begun on a share ends where one over all rows does."""
+    from marginflow.operators import trainers as tr
+    rng = np.random.default_rng(4)
+    X = np.vstack([p := rng.random((900, 2)), p[:100]])
+    label = (((X - 0.5) ** 2).sum(axis=1) < 0.12).astype(float)
+    df = spark.createDataFrame([(x.tolist(), float(v)) for x, v in zip(X, label)], "x array<double>, label double")
+    fmap = tr.FourierMap.draw(2, 16, 5.0, 1)
+    merged = tr._merged_rows(df, "x", "label", 1.0, True)
+    packed = tr._packed(merged, F.pmod(F.xxhash64("x"), F.lit(4)) == 0)
+    assert sorted(packed.columns) == ["first", "n", "s", "x"]
+    assert packed.agg(F.sum("n"), F.sum(F.octet_length("x")), F.sum(F.octet_length("s"))).first() == (900, 14400, 7200)
+    v = rng.normal(size=17)
+    Z, y = np.cos(X @ fmap.W.T + fmap.p), 2 * label - 1
+    hinge = 1 - y * (Z @ v[:-1] + v[-1])
+    pull = np.where(hinge > 0, -y, 0.0)
+    n, loss, g = tr._hinge_sums(packed, fmap, v)
+    assert n == 1000 and loss == pytest.approx(np.maximum(hinge, 0).sum(), rel=1e-5)
+    assert g == pytest.approx(np.append(pull @ Z, pull.sum()), rel=1e-4, abs=1e-2)
+
+    def loss_of(model):
+        z = np.sqrt(2 / 64) * np.cos(X @ model.fmap.W.T + model.fmap.p)
+        return np.maximum(1 - y * (z @ model.w - model.b), 0).mean() + 0.5e-5 * model.w @ model.w
+
+    whole = fit_rff_svc(df, 5.0)
+    monkeypatch.setattr(tr, "START_ROWS", 200)
+    shared = fit_rff_svc(df, 5.0)
+    assert whole.info["start_rows"] == 0 < shared.info["start_rows"] < 400
+    assert whole.info["distinct_rows"] == shared.info["distinct_rows"] == 900
+    assert loss_of(shared) < loss_of(whole) + 0.01 < 0.3
