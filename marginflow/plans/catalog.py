@@ -431,7 +431,7 @@ def q_train_rff(spark, sf):
     predictions take both values and agree with at least 97 % of the labels."""
     from marginflow.operators.trainers import fit_rff_svc
     data = fx.price_ring(spark, sf)
-    scored = fit_rff_svc(data, gamma=5.0, n_features=64, seed=SEED).transform(data)
+    scored = fit_rff_svc(data, gamma=5.0, n_features=64, seed=SEED).transform(data.select("x", "label"))
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("label") == 1).alias("n_positive"),
         (F.avg((F.col("label") == F.col("prediction")).cast("double")) >= 0.97).alias("accurate"),
