@@ -1,11 +1,9 @@
 """Document fingerprints by Order MinHash, DataFrame functions only.
 
-The k-mers of a text are its windows of ``K`` characters from every character
-of the class ``ANCHOR`` on, whatever the text's length or script (a text
-without any is one k-mer itself).  The class holds about a third of the
-characters of prose, base64 and the like, and all beyond ASCII, so windows
-follow the content and no place in the text.  Equal k-mers are told apart by
-the number of their occurrence.  A k-mer's 64-bit hash deals it to one of ``SKETCH`` buckets by
+The k-mers of a text are all its windows of ``K`` characters, one from every
+character on, whatever the text's length or script (a text shorter than that
+is one k-mer itself).  Equal k-mers are told apart by the number of their
+occurrence.  A k-mer's 64-bit hash deals it to one of ``SKETCH`` buckets by
 its last bits and ranks it there by the rest, equal ones by their occurrence
 number (one-permutation hashing).  The ``PICK`` least of each bucket are put
 back into text order and hashed as a tuple: one signature.  A moved or
@@ -17,14 +15,15 @@ Likeness: the share of equal signatures among buckets filled in either text,
 to the power 1/PICK (a tuple is equal if all its members are).
 
 Everything is array arithmetic within a row.  Long texts are cut into
-``PART`` characters, so that only hashes of the whole text are held.  Only
-k-mers of low rank are sorted: the rank under which ``EXPECT`` members of each
-bucket are expected; if a bucket then has fewer than ``PICK``, all are sorted,
-so the signatures never depend on the cut.
+``PART`` characters, so that only hashes of the whole text are held.  Hashes
+are sorted as plain numbers, the bucket in the first bits.  Of long texts,
+those of low rank are sorted first: the rank under which ``EXPECT`` members of
+each bucket are expected.  If these fill all buckets with ``PICK`` they hold
+the least of all; if not, all are sorted, so every k-mer counts.
 
 Edge cases: a null text is an empty one; empty texts are alike; equal texts
-have equal fingerprints; texts of fewer than 16 characters have but one to
-three windows, so one character may halve their likeness; repeated rows each
+have equal fingerprints; texts of little more than ``K`` characters have but a
+few windows, so one character may halve their likeness; repeated rows each
 get a row; an empty table gives an empty result.  Null document ids sort first.
 """
 
@@ -37,9 +36,9 @@ from pyspark.sql import functions as F
 
 from marginflow.llm.common import column, range_buckets
 
-#: Characters of a k-mer, and the class of those that one begins with.
+#: Characters of a k-mer, and those that one may begin with: all.
 K = 8
-ANCHOR = r"[^\x00-\x20B-DF-HJ-NP-TV-Zb-df-hj-np-tv-z\x7F]"
+ANCHOR = r"(?s:.)"
 PICK = 2
 SKETCH = 64
 #: Members expected in a bucket after the cut by rank.
@@ -55,20 +54,26 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _picked(members: Column) -> Column:
-    """The least (bucket, rank, place) of each filled bucket, in bucket order;
-    places number the occurrences of equal k-mers."""
-    return let(F.array_sort(members), lambda s: let(
-        F.filter(F.sequence(F.lit(0), F.size(s) - 1),
-                 lambda j: (j == 0) | (F.get(s, j)["bucket"] != F.get(s, j - 1)["bucket"])),
-        lambda firsts: F.transform(firsts, lambda f, q: F.slice(
-            s, f + 1, F.least(F.lit(PICK), F.coalesce(F.get(firsts, q + 1), F.size(s)) - f)))))
+def _turned(hashes: Column) -> Column:
+    """Hashes with the bucket moved to the first bits: in their order as
+    numbers a bucket's members stand together, by rank."""
+    return F.transform(hashes, lambda g: F.shiftleft(g, 64 - _BITS).bitwiseOR(F.shiftrightunsigned(g, _BITS)))
+
+
+def _bucket(turned: Column) -> Column:
+    return F.shiftrightunsigned(turned, 64 - _BITS)
+
+
+def _least(turned: Column) -> Column:
+    """The ``PICK`` least of each filled bucket, bucket by bucket; equal k-mers
+    as often as they occur."""
+    return let(F.sort_array(turned), lambda s: F.filter(
+        s, lambda t, j: (j < PICK) | (_bucket(t) != _bucket(F.get(s, j - PICK)))))
 
 
 def window_hashes(text: Column) -> Column:
-    """Hashes of the text's windows of ``K`` characters that begin with an
-    ``ANCHOR``, in order."""
-    each = F.lit(rf"(?s)(?=({ANCHOR}.{{{K - 1}}})).")
+    """Hashes of all the text's windows of ``K`` characters, in order."""
+    each = F.lit(rf"(?s)(?=({'.' * K})).")
 
     def of_part(part: Column) -> Column:
         return F.transform(F.regexp_extract_all(part, each, F.lit(1)), lambda w: F.xxhash64(w))
@@ -88,35 +93,37 @@ def edited_windows(own: Column, text: Column, kept: Column, added: Column) -> Co
     ``added``, given those of ``text``: the windows within the first part are
     the text's own, only those that reach into the second are new."""
     over = F.least(kept, F.lit(K - 1))
-    inside = F.regexp_count(F.substring(text, F.lit(1), F.greatest(kept - (K - 1), F.lit(0))), F.lit(ANCHOR))
+    inside = F.greatest(kept - (K - 1), F.lit(0))
     end = F.concat(F.substring(text, kept - over + 1, over), added)
     return F.concat(F.slice(own, F.lit(1), inside), window_hashes(end))
 
 
 def signatures_of(hashes: Column) -> Column:
     """Array of ``SKETCH`` 32-bit signatures of k-mer hashes; null for an empty bucket."""
-    def members(h: Column, places: Column) -> Column:
-        return F.transform(places, lambda i: let(F.get(h, i), lambda g: F.struct(
-            g.bitwiseAND(SKETCH - 1).alias("bucket"), F.shiftrightunsigned(g, _BITS).alias("rank"), i.alias("place"))))
-
-    def pick(h: Column) -> Column:
+    def tuples(turned: Column, least: Column) -> Column:
+        """Bucket -> hash of its picked ranks, by their first place in the text."""
+        return let(F.array_intersect(turned, least), lambda order: let(
+            F.filter(F.sequence(F.lit(0), F.size(least) - 1),
+                     lambda j: (j == 0) | (_bucket(F.get(least, j)) != _bucket(F.get(least, j - 1)))),
+            lambda firsts: F.map_from_entries(F.transform(firsts, lambda f, q: let(
+                F.slice(least, f + 1, F.coalesce(F.get(firsts, q + 1), F.size(least)) - f), lambda b: F.struct(
+                    _bucket(F.get(b, F.lit(0))).alias("k"), F.xxhash64(F.transform(
+                        F.array_sort(F.transform(b, lambda t: F.struct(
+                            F.array_position(order, t).alias("p"), t.bitwiseAND((1 << (64 - _BITS)) - 1).alias("r")))),
+                        lambda m: m["r"])).bitwiseAND(0xFFFFFFFF).alias("v")))))))
+
+    def spread(found: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)), lambda i: F.element_at(found, i.cast("long")))
+
+    def of(h: Column) -> Column:
         n = F.size(h)
-        every = F.sequence(F.lit(0), n - 1)
         limit = (F.lit(float(1 << (64 - _BITS))) * EXPECT * SKETCH / n).cast("long")
-        low = F.filter(every, lambda i: F.shiftrightunsigned(F.get(h, i), _BITS) < limit)
-        return F.when(n <= EXPECT * SKETCH, _picked(members(h, every))).otherwise(
-            let(_picked(members(h, low)), lambda few: F.when(
-                F.size(F.filter(few, lambda b: F.size(b) == PICK)) == SKETCH, few).otherwise(_picked(members(h, every)))))
-
-    def spread(picked: Column) -> Column:
-        tuples = F.map_from_entries(F.transform(picked, lambda b: F.struct(
-            F.get(b, F.lit(0))["bucket"].alias("k"), F.xxhash64(F.transform(
-                F.array_sort(F.transform(b, lambda m: F.struct(m["place"].alias("p"), m["rank"].alias("r")))),
-                lambda m: m["r"])).bitwiseAND(0xFFFFFFFF).alias("v"))))
-        return let(tuples, lambda t: F.transform(F.sequence(F.lit(0), F.lit(SKETCH - 1)),
-                                                 lambda i: F.element_at(t, i.cast("long"))))
-
-    return let(hashes, lambda h: let(pick(h), spread))
+        every = let(_turned(h), lambda t: let(_least(t), lambda few: tuples(t, few)))
+        low = let(limit, lambda most: _turned(F.filter(h, lambda g: F.shiftrightunsigned(g, _BITS) < most)))
+        return F.when(n <= EXPECT * SKETCH, every).otherwise(let(low, lambda t: let(_least(t), lambda few: F.when(
+            F.size(few) == PICK * SKETCH, tuples(t, few)).otherwise(every))))
+
+    return let(hashes, lambda h: let(of(h), spread))
 
 
 def signatures(text: Column) -> Column:

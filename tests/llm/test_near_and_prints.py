@@ -208,3 +208,14 @@ def test_fingerprint_edges(spark):
     assert omh.with_next(s.limit(0), "id", ["text"], "tie").count() == 0
     one = omh.with_next(s.filter("id = 4"), "id", ["text"], "tie").collect()
     assert [r["next_text"] for r in one] == ["x"]
+
+
+def test_every_position_begins_a_window(spark):
+    """Texts without vowels and digits have as many windows as any other, and a
+    change of such characters shows in the signatures."""
+    rng = random.Random(11)
+    text = "".join(rng.choice("bcdfg \n") for _ in range(3000))
+    df = spark.createDataFrame([(text,), (text[:8],), (text[:7],)], "t string")
+    assert [r["n"] for r in df.select(F.size(omh.window_hashes(F.col("t"))).alias("n")).collect()] == [2993, 1, 0]
+    cut, other = near(spark, [(text, text[:2900]), (text, text[::-1])])
+    assert cut > 0.8 and other < 0.2
