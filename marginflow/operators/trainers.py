@@ -497,7 +497,7 @@ def dual_objective(state: DataFrame) -> float:
 
 
 # --------------------------------------------------------------------------
-# linear and Fourier-feature trainers (built-in LinearSVC)
+# linear (built-in LinearSVC) and Fourier-feature trainers
 # --------------------------------------------------------------------------
 
 def _merged_rows(df: DataFrame, x_col: str, label_col: str, positive: float, dedup: bool) -> DataFrame:
@@ -679,6 +679,8 @@ class FourierModel:
 
 #: Rows of the share that a Fourier fit starts on, before it passes over all.
 START_ROWS = 1 << 20
+#: Packed rows are large: a reader holds a row group of them at a time.
+SMALL_GROUPS = {"parquet.block.size": str(16 << 20)}
 
 
 def _packed(rows: DataFrame, start: Column) -> DataFrame:
@@ -701,7 +703,7 @@ def _packed(rows: DataFrame, start: Column) -> DataFrame:
 
     packed = rows.select("x", "label", "weight", start.alias("first")) \
         .mapInArrow(run, "first boolean, n long, x binary, s binary")
-    return shared_table(packed, "packed-rows")
+    return shared_table(packed, "packed-rows", SMALL_GROUPS)
 
 
 def _hinge_sums(packed: DataFrame, fmap: FourierMap, v: np.ndarray) -> tuple[float, float, np.ndarray]:
@@ -825,7 +827,7 @@ def fit_rff_svc(df: DataFrame, gamma: float, n_features: int = 64, seed: int = 0
 
     v = np.zeros(n_features + 1)
     if info["start_rows"]:
-        first = shared_table(rows.filter("first"), "start-rows")
+        first = shared_table(rows.filter("first"), "start-rows", SMALL_GROUPS)
         v, info["start_iterations"], _ = _minimise(objective(first), v, max_iter, tol)
     v, info["iterations"], info["converged"] = _minimise(objective(rows), v, max_iter, tol)
     if not info["converged"] and not allow_unconverged:
